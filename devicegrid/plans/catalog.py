@@ -10,8 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from devicegrid.operators import alerts
+from devicegrid import config as C
+from devicegrid.functions import exprs
+from devicegrid.operators import alerts, encode, profile, silver
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
 
@@ -99,3 +102,162 @@ def alert_messages(m: Model) -> DataFrame:
 def alert_feed_summary(m: Model) -> DataFrame:
     """Alert totals by type and priority."""
     return alerts.feed_counts(m.all_alerts)
+
+
+# --- wire format, silver ------------------------------------------------------
+
+@query("json_encode_keyed")
+def json_encode_keyed(m: Model) -> DataFrame:
+    """K4 K5 X11: keyed JSON messages of the transactions (rows-only check)."""
+    return encode.encode_keyed(m.transactions)
+
+
+@query("silver_transactions")
+def silver_transactions(m: Model) -> DataFrame:
+    """Tolerant decode, time parsing, key filter."""
+    return m.silver_transactions.select("event_id", "atm_id", "event_ts", "event_date", "tx_type",
+                                        "amount_mwk", "card_type", "success")
+
+
+@query("quarantine_transactions")
+def quarantine_transactions(m: Model) -> DataFrame:
+    """Rows that cannot enter silver, with the reason."""
+    return m.tx_quarantine.select("offset", "reason")
+
+
+@query("dedupe_latest")
+def dedupe_latest(m: Model) -> DataFrame:
+    """One row per (l_orderkey, l_linenumber), the latest by a total order."""
+    li = m.tables.lineitem
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    return silver.dedupe_latest(li, ["l_orderkey", "l_linenumber"], order)
+
+
+@query("calendar_features")
+def calendar_features(m: Model) -> DataFrame:
+    """Hour / weekend / month-end / peak features of each transaction."""
+    return m.transactions.select("event_id", *exprs.calendar_features("event_ts"))
+
+
+@query("component_lookup")
+def component_lookup(m: Model) -> DataFrame:
+    """Fault type -> component by a literal map, with event counts."""
+    lookup = F.create_map(*[F.lit(x) for pair in zip(C.FAULT_TYPES, C.COMPONENTS) for x in pair])
+    return (m.fault_events.groupBy("fault_type").agg(F.count(F.lit(1)).alias("events"))
+              .select("fault_type", F.element_at(lookup, F.col("fault_type")).alias("component"),
+                      "events"))
+
+
+# --- profiles and serving queries -------------------------------------------
+
+@query("profile_numeric")
+def profile_numeric(m: Model) -> DataFrame:
+    """Mean / std / min / max per numeric column, one decimal."""
+    return profile.numeric_profile(m.tables.lineitem)
+
+
+@query("profile_shapes")
+def profile_shapes(m: Model) -> DataFrame:
+    """Rows, columns and null cells per table."""
+    t = m.tables
+    return profile.shape_profile({"lineitem": t.lineitem, "events": t.events,
+                                  "orders": t.orders, "customer": t.customer})
+
+
+@query("type_breakdown")
+def type_breakdown(m: Model) -> DataFrame:
+    """Count and rounded mean amount per transaction type."""
+    return profile.type_breakdown(m.transactions)
+
+
+@query("success_rate")
+def success_rate(m: Model) -> DataFrame:
+    """Overall success rate in percent."""
+    return profile.rate_percent(m.transactions, "success", name="success_rate_pct")
+
+
+@query("level_flag_counts")
+def level_flag_counts(m: Model) -> DataFrame:
+    """Refills and readings below the threshold."""
+    return profile.flag_counts(m.cash_levels, {"refills": "was_refilled",
+                                               "hours_below_threshold": "below_threshold"})
+
+
+@query("class_type_pivot")
+def class_type_pivot(m: Model) -> DataFrame:
+    """Fault events by class x type, missing = 0."""
+    return profile.crosstab_counts(m.fault_events, "event_class", "fault_type", C.FAULT_TYPES)
+
+
+@query("dimension_counts")
+def dimension_counts(m: Model) -> DataFrame:
+    """Devices per region and per type."""
+    return profile.dimension_counts(m.device_dim, ["region", "atm_type"])
+
+
+@query("filter_values")
+def filter_values(m: Model) -> DataFrame:
+    """Sorted distinct regions and types (filter lists)."""
+    d = m.device_dim
+    return (profile.distinct_sorted(d, "region").select(F.lit("region").alias("dimension"),
+                                                        F.col("region").alias("value"))
+            .unionByName(profile.distinct_sorted(d, "atm_type")
+                         .select(F.lit("atm_type").alias("dimension"),
+                                 F.col("atm_type").alias("value"))))
+
+
+@query("status_distribution")
+def status_distribution(m: Model) -> DataFrame:
+    """Cash status counts on the latest day."""
+    return profile.value_counts(profile.latest_rows(m.daily_cash), "cash_status")
+
+
+@query("network_kpis")
+def network_kpis(m: Model) -> DataFrame:
+    """Network figures in one row."""
+    return profile.network_kpis(m.device_profile, m.daily_cash)
+
+
+@query("latest_status_map")
+def latest_status_map(m: Model) -> DataFrame:
+    """Devices with the latest day's status, default healthy."""
+    return profile.latest_status_map(m.level_dim, m.daily_cash)
+
+
+@query("component_matrix_long")
+def component_matrix_long(m: Model) -> DataFrame:
+    """Component events per device, long format."""
+    return profile.component_matrix_long(m.daily_faults)
+
+
+@query("top10_faulty")
+def top10_faulty(m: Model) -> DataFrame:
+    """Ten devices with the highest rolling fault sum."""
+    return profile.top_k(m.daily_faults, "atm_id", "faults_ma_30d", 10)
+
+
+@query("feed_page")
+def feed_page(m: Model) -> DataFrame:
+    """First 25 P1/P2 alerts of the feed in a total order."""
+    a = m.all_alerts.filter(F.col("priority").isin("P1", "P2"))
+    entries = a.select("alert_id", "type", "priority", "atm_id", "event_date", "city",
+                       F.col("sms").alias("message"), "created_at")
+    return profile.first_n(entries, ["priority", "type", "atm_id", "event_date"], 25)
+
+
+@query("entity_history")
+def entity_history(m: Model) -> DataFrame:
+    """F8 O1: daily series of the device with the lowest level on the latest day."""
+    latest = profile.latest_rows(m.daily_cash)
+    worst = (latest.orderBy(F.col("min_cash_mwk").asc(), F.col("atm_id").asc())
+                   .select("atm_id").limit(1))
+    return (m.daily_cash.join(worst, "atm_id", "left_semi")
+              .select("atm_id", "event_date", "min_cash_mwk", "cash_ma_7d", "cash_status")
+              .orderBy("event_date"))
+
+
+@query("sample_repeatable")
+def sample_repeatable(m: Model) -> DataFrame:
+    """100 transactions in a seeded order (rows-only check: hashes differ by engine)."""
+    return profile.repeatable_sample(m.transactions, 100, ["event_id"])

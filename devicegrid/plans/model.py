@@ -13,8 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from devicegrid import config as C
-from devicegrid.operators import alerts, marts, staging
+from devicegrid.operators import alerts, marts, silver, staging
 from devicegrid.sources import adapters
+from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
 from devicegrid.sources.tables import Tables
 
 
@@ -51,6 +52,25 @@ class Model:
     def level_dim(self) -> DataFrame:
         return adapters.level_dim(self.tables)
 
+    # wire messages -> silver ----------------------------------------------
+    @cached_property
+    def tx_messages(self) -> DataFrame:
+        return adapters.transaction_messages(self.transactions)
+
+    @cached_property
+    def tx_decoded(self) -> DataFrame:
+        return silver.decode_json(self.tx_messages, TX_MESSAGE_SCHEMA,
+                                  keep=("value", "kafka_ts", "partition", "offset"))
+
+    @cached_property
+    def silver_transactions(self) -> DataFrame:
+        return silver.to_silver(self.tx_decoded.drop("value"), "timestamp",
+                                keep=("kafka_ts", "partition", "offset"))
+
+    @cached_property
+    def tx_quarantine(self) -> DataFrame:
+        return silver.quarantine(self.tx_decoded, keep=("offset", "value"))
+
     # staging --------------------------------------------------------------
     @cached_property
     def stg_transactions(self) -> DataFrame:

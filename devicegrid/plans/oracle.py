@@ -263,3 +263,105 @@ FROM all_alerts""",
 
 def oracle_sql() -> dict[str, str]:
     return {name: f"WITH {BASE}\n{body}" for name, body in BODIES.items()}
+
+
+_LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+           "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _shape(t: str, cols: list[str]) -> str:
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    return (f"SELECT '{t}' AS \"table\", count(*) AS n_rows, {len(cols)} AS n_cols, "
+            f"CAST({nulls} AS BIGINT) AS null_cells FROM {t}")
+
+
+_SHAPES = {
+    "lineitem": _LI_NUM + ["l_returnflag", "l_linestatus", "l_shipdate"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+}
+
+BODIES.update({
+    "silver_transactions": """
+SELECT event_id, CAST(atm_id AS VARCHAR) AS atm_id,
+       CASE WHEN card_type = 'UnionPay' AND tx_type = 'deposit' THEN NULL ELSE event_ts END AS event_ts,
+       CASE WHEN card_type = 'UnionPay' AND tx_type = 'deposit' THEN NULL ELSE event_date END AS event_date,
+       tx_type, amount_mwk, card_type, success
+FROM tx WHERE NOT (card_type = 'UnionPay' AND tx_type = 'transfer')""",
+    "quarantine_transactions": """
+SELECT event_id AS "offset", 'malformed_json' AS reason
+FROM tx WHERE card_type = 'UnionPay' AND tx_type = 'transfer'""",
+    "dedupe_latest": """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+               l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+               l_linestatus DESC) AS rn
+  FROM lineitem) WHERE rn = 1""",
+    "calendar_features": """
+SELECT event_id, CAST(extract(hour FROM event_ts) AS INTEGER) AS hour,
+       isodow(event_ts) >= 6 AS is_weekend, day(event_ts) >= 26 AS is_month_end,
+       extract(hour FROM event_ts) BETWEEN 9 AND 17 AS is_peak
+FROM tx""",
+    "component_lookup": """
+SELECT fault_type, component, count(*) AS events FROM faults GROUP BY fault_type, component""",
+    "profile_numeric": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", round(round(avg({c}), 1), 6) AS mean, "
+        f"round(round(stddev_samp({c}), 1), 6) AS std, "
+        f"round(CAST(min({c}) AS DOUBLE), 1) AS min, round(CAST(max({c}) AS DOUBLE), 1) AS max "
+        f"FROM lineitem" for c in _LI_NUM),
+    "profile_shapes": "\nUNION ALL\n".join(_shape(t, c) for t, c in _SHAPES.items()),
+    "type_breakdown": """
+SELECT tx_type, count(*) AS count, round_even(avg(amount_mwk), 0) AS avg_amount
+FROM tx GROUP BY tx_type""",
+    "success_rate": """
+SELECT round(avg(CASE WHEN success THEN 1.0 ELSE 0.0 END) * 100, 2) AS success_rate_pct FROM tx""",
+    "level_flag_counts": """
+SELECT count(*) FILTER (WHERE was_refilled) AS refills,
+       count(*) FILTER (WHERE below_threshold) AS hours_below_threshold
+FROM levels""",
+    "class_type_pivot": "SELECT event_class, " + ", ".join(
+        f"count(*) FILTER (WHERE fault_type = '{t}') AS {t}" for t in C.FAULT_TYPES)
+        + " FROM faults GROUP BY event_class",
+    "dimension_counts": """
+SELECT 'region' AS dimension, region AS value, count(*) AS n FROM device_dim GROUP BY region
+UNION ALL
+SELECT 'atm_type', atm_type, count(*) FROM device_dim GROUP BY atm_type""",
+    "filter_values": """
+SELECT DISTINCT 'region' AS dimension, region AS value FROM device_dim WHERE region IS NOT NULL
+UNION ALL
+SELECT DISTINCT 'atm_type', atm_type FROM device_dim WHERE atm_type IS NOT NULL""",
+    "status_distribution": """
+SELECT cash_status, count(*) AS n FROM daily_cash
+WHERE event_date = (SELECT max(event_date) FROM daily_cash) GROUP BY cash_status""",
+    "network_kpis": """
+SELECT count(*) AS devices, CAST(sum(total_tx) AS BIGINT) AS total_tx,
+       round(avg(failure_rate), 6) AS avg_failure_rate,
+       (SELECT count(*) FILTER (WHERE cash_status IN ('critical', 'low')) FROM daily_cash
+         WHERE event_date = (SELECT max(event_date) FROM daily_cash)) AS cash_at_risk,
+       (SELECT count(DISTINCT atm_id) FROM daily_cash) AS devices_with_levels
+FROM device_profile""",
+    "latest_status_map": """
+SELECT d.atm_id, d.city, d.region, d.atm_type, d.latitude, d.longitude, c.min_cash_mwk,
+       COALESCE(c.cash_status, 'healthy') AS cash_status
+FROM level_dim d LEFT JOIN (SELECT atm_id, min_cash_mwk, cash_status FROM daily_cash
+                            WHERE event_date = (SELECT max(event_date) FROM daily_cash)) c
+  ON c.atm_id = d.atm_id""",
+    "component_matrix_long": "\nUNION ALL\n".join(
+        f"SELECT atm_id, '{c}' AS component, CAST(sum({c}_events) AS BIGINT) AS events "
+        f"FROM daily_faults GROUP BY atm_id" for c in C.ALERT_COMPONENTS),
+    "top10_faulty": """
+SELECT atm_id, max(faults_ma_30d) AS max_faults_ma_30d FROM daily_faults GROUP BY atm_id
+ORDER BY max_faults_ma_30d DESC, atm_id ASC LIMIT 10""",
+    "feed_page": """
+SELECT alert_id, type, priority, atm_id, event_date, city, sms AS message, created_at
+FROM all_alerts WHERE priority IN ('P1', 'P2')
+ORDER BY priority, type, atm_id, event_date LIMIT 25""",
+    "entity_history": f"""
+SELECT atm_id, event_date, min_cash_mwk, {_r('cash_ma_7d')}, cash_status FROM daily_cash
+WHERE atm_id = (SELECT atm_id FROM daily_cash
+                WHERE event_date = (SELECT max(event_date) FROM daily_cash)
+                ORDER BY min_cash_mwk ASC, atm_id ASC LIMIT 1)""",
+})

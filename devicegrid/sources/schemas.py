@@ -87,3 +87,8 @@ WEATHER_SCHEMA = T.StructType([
     ])),
 ])
 HOLIDAY_SCHEMA = _struct(("date", S), ("name", S), ("localName", S), ("countryCode", S))
+
+# Transactions as the driver-derived topic carries them (with an event id, the
+# only safe de-duplication key for transactions).
+TX_MESSAGE_SCHEMA = T.StructType(
+    [T.StructField("event_id", L, True)] + list(BRONZE_SCHEMAS["atm.transactions"].fields))
