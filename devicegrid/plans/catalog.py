@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions import exprs
-from devicegrid.operators import alerts, encode, profile, silver
+from devicegrid.operators import alerts, encode, ml, profile, silver
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
 
@@ -261,3 +261,137 @@ def entity_history(m: Model) -> DataFrame:
 def sample_repeatable(m: Model) -> DataFrame:
     """100 transactions in a seeded order (rows-only check: hashes differ by engine)."""
     return profile.repeatable_sample(m.transactions, 100, ["event_id"])
+
+
+# --- features, models, forecast ---------------------------------------------
+
+_FITTED: dict = {}
+
+
+def _fault_model(m: Model):
+    """Fit once per session and input folder (the queries below share it)."""
+    k = ("gbt", m.spark.sparkContext.applicationId, m.tables.sf_dir)
+    if k not in _FITTED:
+        split = ml.hash_split(ml.next_event_label(m.daily_faults), ["atm_id", "event_date"])
+        _FITTED[k] = (ml.fit_fault_model(split.filter("split = 'train'")), split)
+    return _FITTED[k]
+
+
+def _kmeans(m: Model):
+    k = ("kmeans", m.spark.sparkContext.applicationId, m.tables.sf_dir)
+    if k not in _FITTED:
+        z = ml.zscore(m.device_profile)
+        model, cost = ml.fit_kmeans(z)
+        _FITTED[k] = (model, cost, z)
+    return _FITTED[k]
+
+
+@query("next_day_label")
+def next_day_label(m: Model) -> DataFrame:
+    """Features and the next event row's fault count as label."""
+    return ml.next_event_label(m.daily_faults)
+
+
+@query("label_positives")
+def label_positives(m: Model) -> DataFrame:
+    """Rows and positive labels."""
+    return ml.next_event_label(m.daily_faults).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").cast("long").alias("positives"))
+
+
+@query("stratified_split")
+def stratified_split(m: Model) -> DataFrame:
+    """M5: seeded 80/20 split per row (rows-only check: hash differs by engine)."""
+    lab = ml.next_event_label(m.daily_faults)
+    return ml.hash_split(lab, ["atm_id", "event_date"]).select("atm_id", "event_date", "label", "split")
+
+
+@query("fault_model_scores")
+def fault_model_scores(m: Model) -> DataFrame:
+    """M4 M6 M7: boosted trees, scored on the held-out rows."""
+    model, split = _fault_model(m)
+    test = split.filter("split = 'test'")
+    return ml.score(model, test).select("atm_id", "event_date", "label", "fault_probability",
+                                        "predicted")
+
+
+@query("fault_importance")
+def fault_importance(m: Model) -> DataFrame:
+    """M8: feature importances of the fault model."""
+    model, _ = _fault_model(m)
+    return ml.feature_importance(m.spark, model)
+
+
+@query("dispatch_candidates")
+def dispatch_candidates(m: Model) -> DataFrame:
+    """Held-out device-days scored above the dispatch threshold."""
+    model, split = _fault_model(m)
+    scored = ml.score(model, split.filter("split = 'test'"))
+    return alerts.dispatch_candidates(scored).select("atm_id", "event_date", "fault_probability")
+
+
+@query("model_metrics")
+def model_metrics(m: Model) -> DataFrame:
+    """Metric rows of the fault model and the clustering."""
+    model, split = _fault_model(m)
+    fm = ml.classification_metrics(ml.score(model, split.filter("split = 'test'")))
+    km, cost, z = _kmeans(m)
+    assigned = km.transform(z)
+    rows = [("fault_gbt", "roc_auc", fm["roc_auc"]), ("fault_gbt", "f1", fm["f1"]),
+            ("kmeans", "silhouette_sq_euclidean", ml.silhouette(assigned)),
+            ("kmeans", "inertia", float(cost))]
+    n = assigned.select(F.count(F.lit(1)).cast("double")).scalar()
+    base = m.spark.createDataFrame(rows, "model string, metric string, value double")
+    return base.unionByName(m.spark.range(1).select(
+        F.lit("kmeans").alias("model"), F.lit("n_samples").alias("metric"), n.alias("value")))
+
+
+@query("cluster_zscores")
+def cluster_zscores(m: Model) -> DataFrame:
+    """M9: standardised clustering features (NULL -> 0, population sd)."""
+    return ml.zscore(m.device_profile)
+
+
+@query("cluster_assignments")
+def cluster_assignments(m: Model) -> DataFrame:
+    """K-means (best of 10 seeds) cluster per device."""
+    km, _, z = _kmeans(m)
+    return km.transform(z).select("atm_id", F.col("cluster").cast("int").alias("cluster"))
+
+
+@query("cluster_profile")
+def cluster_profile(m: Model) -> DataFrame:
+    """Cluster sizes and mean transaction volume."""
+    km, _, z = _kmeans(m)
+    a = km.transform(z).select("atm_id", "cluster")
+    return (m.device_profile.join(a, "atm_id")
+              .groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
+                                      F.avg("total_tx").alias("avg_tx")))
+
+
+@query("utilisation_scores")
+def utilisation_scores(m: Model) -> DataFrame:
+    """Approximate percentile rank of volume within the region (own definition)."""
+    return ml.utilisation(m.device_profile)
+
+
+@query("forecast_mae")
+def forecast_mae(m: Model) -> DataFrame:
+    """Hold-out error of the per-device trend + weekday model."""
+    return ml.forecast_holdout_error(m.daily_cash)
+
+
+@query("cash_forecast")
+def cash_forecast(m: Model) -> DataFrame:
+    """Next 3 days per device with the 80 % band and refill flag."""
+    return ml.forecast_horizon(m.daily_cash)
+
+
+@query("forecast_summary")
+def forecast_summary(m: Model) -> DataFrame:
+    """Devices needing a refill within the horizon and the mean hold-out error."""
+    fc = ml.forecast_horizon(m.daily_cash)
+    mae = ml.forecast_holdout_error(m.daily_cash)
+    need = fc.filter("needs_refill").select(F.count_distinct("atm_id")).scalar()
+    return mae.agg(F.count(F.lit(1)).alias("devices"), F.avg("mae").alias("avg_mae")) \
+              .select("devices", "avg_mae", need.alias("devices_needing_refill"))

@@ -261,8 +261,6 @@ FROM all_alerts""",
 }
 
 
-def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {BASE}\n{body}" for name, body in BODIES.items()}
 
 
 _LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -365,3 +363,85 @@ WHERE atm_id = (SELECT atm_id FROM daily_cash
                 WHERE event_date = (SELECT max(event_date) FROM daily_cash)
                 ORDER BY min_cash_mwk ASC, atm_id ASC LIMIT 1)""",
 })
+
+
+_FEATS = ", ".join(C.FAULT_FEATURES)
+_ZF = C.CLUSTER_FEATURES
+_NEXT = "COALESCE(lead(faults) OVER (PARTITION BY atm_id ORDER BY event_date ASC NULLS LAST), 0)"
+_SERIES = f"""
+s0 AS (SELECT atm_id, event_date, CAST(avg_cash_mwk AS DOUBLE) AS y,
+              CAST(date_diff('day', DATE '1970-01-01', event_date) AS BIGINT) AS t,
+              dayofweek(event_date) AS dow FROM daily_cash),
+sz AS (SELECT atm_id, count(*) AS n_rows FROM s0 GROUP BY atm_id),
+s AS (SELECT s0.*, row_number() OVER (PARTITION BY s0.atm_id ORDER BY event_date DESC) AS pos
+      FROM s0 JOIN sz USING (atm_id) WHERE n_rows >= {C.FORECAST_MIN_ROWS})"""
+
+
+def _fit(src: str, x: str = "") -> str:
+    return f"""
+tr{x} AS (SELECT atm_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b, count(*) AS train_rows
+       FROM {src} GROUP BY atm_id),
+r{x} AS (SELECT q.*, a, b, y - (a + b * t) AS r FROM {src} q JOIN tr{x} USING (atm_id)),
+wd{x} AS (SELECT atm_id, dow, avg(r) AS wd FROM r{x} GROUP BY atm_id, dow),
+sd{x} AS (SELECT q.atm_id, stddev_pop(q.r - w.wd) AS sd FROM r{x} q JOIN wd{x} w USING (atm_id, dow)
+       GROUP BY q.atm_id)"""
+
+
+_MAE = f"""
+train AS (SELECT * FROM s WHERE pos > {C.FORECAST_HOLDOUT_ROWS}),
+test AS (SELECT * FROM s WHERE pos <= {C.FORECAST_HOLDOUT_ROWS}),{_fit('train')},
+mae AS (SELECT q.atm_id, tr.train_rows,
+               avg(abs(y - (a + b * t + COALESCE(w.wd, 0)))) AS mae
+        FROM test q JOIN tr USING (atm_id) JOIN sd USING (atm_id)
+        LEFT JOIN wd w ON w.atm_id = q.atm_id AND w.dow = q.dow
+        GROUP BY q.atm_id, tr.train_rows)"""
+
+_FC = f"""{_fit('s', '_f')},
+last AS (SELECT atm_id, max(event_date) AS last FROM s GROUP BY atm_id),
+days AS (SELECT atm_id, CAST(last + CAST(g.i AS INTEGER) AS DATE) AS ds
+         FROM last CROSS JOIN range(1, {C.FORECAST_HORIZON_DAYS + 1}) AS g(i)),
+p AS (SELECT d.atm_id, d.ds,
+             a + b * CAST(date_diff('day', DATE '1970-01-01', d.ds) AS BIGINT) + COALESCE(w.wd, 0) AS yhat, sd
+      FROM days d JOIN tr_f USING (atm_id) JOIN sd_f USING (atm_id)
+      LEFT JOIN wd_f w ON w.atm_id = d.atm_id AND w.dow = dayofweek(d.ds)),
+fc AS (SELECT atm_id, ds, yhat, yhat - {C.FORECAST_BAND_Z} * sd AS yhat_lower,
+              yhat + {C.FORECAST_BAND_Z} * sd AS yhat_upper,
+              max(CASE WHEN yhat - {C.FORECAST_BAND_Z} * sd < {C.FORECAST_MIN_CASH} THEN 1 ELSE 0 END)
+                OVER (PARTITION BY atm_id) = 1 AS needs_refill
+       FROM p)"""
+
+BODIES.update({
+    "next_day_label": f"""
+SELECT atm_id, event_date, {_FEATS},
+       CAST({_NEXT} AS BIGINT) AS fault_tomorrow,
+       CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label
+FROM daily_faults""",
+    "label_positives": f"""
+SELECT count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives
+FROM (SELECT CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label FROM daily_faults)""",
+    "cluster_zscores": "zf AS (SELECT atm_id, " + ", ".join(
+        f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in _ZF) + " FROM device_profile),\n"
+        + "zs AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _ZF)
+        + " FROM zf)\nSELECT atm_id, " + ", ".join(
+            f"round(CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0 END, 6) AS {c}" for c in _ZF)
+        + " FROM zf CROSS JOIN zs",
+    "forecast_mae": f"{_SERIES},{_MAE}\nSELECT atm_id, train_rows, round(mae, 6) AS mae FROM mae",
+    "cash_forecast": f"""{_SERIES},{_FC}
+SELECT atm_id, ds, round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower,
+       round(yhat_upper, 6) AS yhat_upper, needs_refill FROM fc""",
+    "forecast_summary": f"""{_SERIES},{_MAE},{_FC}
+SELECT count(*) AS devices, round(avg(mae), 6) AS avg_mae,
+       (SELECT count(DISTINCT atm_id) FROM fc WHERE needs_refill) AS devices_needing_refill
+FROM mae""",
+})
+
+
+def oracle_sql() -> dict[str, str]:
+    out = {}
+    for name, body in BODIES.items():
+        b = body.lstrip()
+        if b.upper().startswith(("SELECT", "(SELECT")):
+            out[name] = f"WITH {BASE}\n{body}"
+        else:  # body begins with further CTEs
+            out[name] = f"WITH {BASE},\n{b}"
+    return out
