@@ -7,6 +7,7 @@ DataFrame.  Computed columns carry the same names as in the SQL oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,11 @@ from devicegrid.functions import exprs
 from devicegrid.operators import alerts, encode, ml, profile, silver
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
+from devicegrid.session import shared_path
+from devicegrid.sinks import writers
+from devicegrid.sources import files
+from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
+from devicegrid.streaming import ingest, live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -395,3 +401,75 @@ def forecast_summary(m: Model) -> DataFrame:
     need = fc.filter("needs_refill").select(F.count_distinct("atm_id")).scalar()
     return mae.agg(F.count(F.lit(1)).alias("devices"), F.avg("mae").alias("avg_mae")) \
               .select("devices", "avg_mae", need.alias("devices_needing_refill"))
+
+
+# --- streaming and file round trips -------------------------------------------
+
+def _run_dir(m: Model, name: str) -> str:
+    return shared_path(m.spark, "runs", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _land_messages(m: Model, base: str) -> str:
+    """Land the transactions topic as message files (what a broker would hold)."""
+    landing = f"{base}/landing"
+    m.tx_messages.write.mode("overwrite").json(landing)
+    return landing
+
+
+@query("bronze_stream")
+def bronze_stream(m: Model) -> DataFrame:
+    """Message stream -> tolerant decode -> bronze
+    Parquet with a checkpoint, drained with an available-now trigger."""
+    base = _run_dir(m, "bronze")
+    src = ingest.file_stream(m.spark, _land_messages(m, base))
+    q = ingest.ingest(m.spark, TX_MESSAGE_SCHEMA, src, f"{base}/bronze", f"{base}/_checkpoint")
+    q.awaitTermination()
+    return (m.spark.read.parquet(f"{base}/bronze")
+              .select("offset", "event_id", "atm_id", "amount_mwk", "success", "malformed"))
+
+
+@query("live_sink")
+def live_sink(m: Model) -> DataFrame:
+    """Micro-batch live table with arrival time and defaults."""
+    base = _run_dir(m, "live")
+    src = ingest.file_stream(m.spark, _land_messages(m, base), max_files_per_trigger=4)
+    rows = live.live_rows(ingest.to_bronze(src, TX_MESSAGE_SCHEMA))
+    q = live.start_live_sink(rows, f"{base}/live", f"{base}/_checkpoint", available_now=True)
+    q.awaitTermination()
+    return (m.spark.read.parquet(f"{base}/live")
+              .select("atm_id", "tx_type", "amount_mwk", "card_type", "success"))
+
+
+@query("live_per_minute")
+def live_per_minute(m: Model) -> DataFrame:
+    """Per-minute counts on the stream (watermark; rows-only check, since
+    windows within the watermark delay are emitted only when later data comes)."""
+    base = _run_dir(m, "perminute")
+    src = ingest.file_stream(m.spark, _land_messages(m, base), max_files_per_trigger=4)
+    b = ingest.to_bronze(src, TX_MESSAGE_SCHEMA).filter(F.col("atm_id").isNotNull())
+    counts = live.per_minute_counts(b, ts="kafka_ts")
+    q = ingest.start_parquet_sink(counts, f"{base}/out", f"{base}/_checkpoint", partition_by=())
+    q.awaitTermination()
+    return m.spark.read.parquet(f"{base}/out")
+
+
+@query("tx_per_minute")
+def tx_per_minute(m: Model) -> DataFrame:
+    """D5 batch twin: transactions per minute."""
+    return live.per_minute_counts(m.transactions)
+
+
+@query("latest_15")
+def latest_15(m: Model) -> DataFrame:
+    """The 15 most recent transactions."""
+    return live.latest_n(m.transactions, 15, "event_ts", "event_id").select(
+        "event_id", "atm_id", "event_ts", "tx_type", "amount_mwk", "success")
+
+
+@query("csv_round_trip")
+def csv_round_trip(m: Model) -> DataFrame:
+    """Write a table as CSV with a header, read it back with its schema."""
+    path = _run_dir(m, "csv")
+    reg = m.tables.region
+    writers.write_csv(reg, path)
+    return files.read_csv(m.spark, path, reg.schema)

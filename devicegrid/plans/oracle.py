@@ -445,3 +445,26 @@ def oracle_sql() -> dict[str, str]:
         else:  # body begins with further CTEs
             out[name] = f"WITH {BASE},\n{b}"
     return out
+
+
+_JUNK = "(card_type = 'UnionPay' AND tx_type = 'transfer')"
+BODIES.update({
+    "bronze_stream": f"""
+SELECT event_id AS "offset",
+       CASE WHEN {_JUNK} THEN NULL ELSE event_id END AS event_id,
+       CASE WHEN {_JUNK} THEN NULL ELSE CAST(atm_id AS VARCHAR) END AS atm_id,
+       CASE WHEN {_JUNK} THEN NULL ELSE amount_mwk END AS amount_mwk,
+       CASE WHEN {_JUNK} THEN NULL ELSE success END AS success,
+       {_JUNK} AS malformed
+FROM tx""",
+    "live_sink": f"""
+SELECT CAST(atm_id AS VARCHAR) AS atm_id, tx_type, COALESCE(amount_mwk, 0) AS amount_mwk,
+       card_type, COALESCE(success, false) AS success
+FROM tx WHERE NOT {_JUNK}""",
+    "tx_per_minute": """
+SELECT date_trunc('minute', event_ts) AS minute, count(*) AS n FROM tx GROUP BY 1""",
+    "latest_15": """
+SELECT event_id, atm_id, event_ts, tx_type, amount_mwk, success FROM tx
+ORDER BY event_ts DESC, event_id DESC LIMIT 15""",
+    "csv_round_trip": "SELECT * FROM region",
+})
