@@ -5,8 +5,8 @@
 * the split is a seeded hash per row, stratified by label in expectation
   (no window over a whole class, which would put half the data in one task);
 * models are MLlib estimators on an assembled feature vector;
-* the cash forecast is a per-device regression written with aggregates and
-  joins, so it is exact, distributed and checkable against SQL.
+* the cash forecast is a per-device regression written with window aggregates,
+  so it is exact, distributed, shuffle-free after the mart and checkable against SQL.
 """
 
 from __future__ import annotations
@@ -171,40 +171,43 @@ def utilisation(profile: DataFrame, key: str = "atm_id", group: str = "region",
 
 
 # --- cash forecast -------------------------------------------------------------
+#
+# The daily mart is already hash-partitioned by device (its window), so the
+# model is fitted with window aggregates partitioned by the device (and by
+# device + weekday, which that partitioning also satisfies): no extra shuffle
+# and no join back.  Each window group is one device's daily rows, bounded by
+# the number of days, never by the raw event volume.
 
 
 def _series(daily: DataFrame, key: str, date: str, value: str, min_rows: int) -> DataFrame:
     s = daily.select(key, date, F.col(value).cast("double").alias("y"),
                      F.unix_date(date).cast("long").alias("t"),
                      day_of_week_sunday0(date).alias("dow"))
-    sizes = s.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    return s.join(sizes.filter(F.col("n_rows") >= min_rows), key)
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    return s.withColumn("n_rows", n).filter(F.col("n_rows") >= min_rows)
 
 
-def fit_trend_weekday(train: DataFrame, key: str = "atm_id") -> tuple[DataFrame, DataFrame]:
-    """Per device: least-squares trend y = a + b*t, weekday mean of the
-    residuals, and the population sd of what is left.
+def with_trend_weekday(s: DataFrame, train_col: str = "train", key: str = "atm_id",
+                       z: float = C.FORECAST_BAND_Z) -> DataFrame:
+    """Fit per device on the rows where ``train_col`` is true and predict every row.
 
-    Returns (params: key, a, b, sd, train_rows; weekday: key, dow, wd).
+    Model: least-squares trend y = a + b*t, plus the weekday mean of the
+    trend residuals, plus a band of +/- z * (population sd of what is left).
+    Adds a, b, train_rows, wd, sd, yhat, yhat_lower, yhat_upper.
     """
-    trend = train.groupBy(key).agg(F.regr_intercept("y", "t").alias("a"),
-                                   F.regr_slope("y", "t").alias("b"),
-                                   F.count(F.lit(1)).alias("train_rows"))
-    r = train.join(trend, key).withColumn("r", F.col("y") - (F.col("a") + F.col("b") * F.col("t")))
-    weekday = r.groupBy(key, "dow").agg(F.avg("r").alias("wd"))
-    sd = (r.join(weekday, [key, "dow"])
-           .groupBy(key).agg(F.stddev_pop(F.col("r") - F.col("wd")).alias("sd")))
-    return trend.join(sd, key), weekday
-
-
-def predict(rows: DataFrame, params: DataFrame, weekday: DataFrame, key: str = "atm_id",
-            z: float = C.FORECAST_BAND_Z) -> DataFrame:
-    """Adds yhat and the band yhat +/- z*sd (weekday effect 0 if unseen)."""
-    j = rows.join(params, key).join(weekday, [key, "dow"], "left")
-    yhat = F.col("a") + F.col("b") * F.col("t") + F.coalesce(F.col("wd"), F.lit(0.0))
-    return (j.withColumn("yhat", yhat)
-             .withColumn("yhat_lower", F.col("yhat") - z * F.col("sd"))
-             .withColumn("yhat_upper", F.col("yhat") + z * F.col("sd")))
+    tr = F.col(train_col)
+    dev = Window.partitionBy(key)
+    dev_dow = Window.partitionBy(key, "dow")
+    out = (s.withColumn("a", F.regr_intercept(F.when(tr, F.col("y")), F.when(tr, F.col("t"))).over(dev))
+            .withColumn("b", F.regr_slope(F.when(tr, F.col("y")), F.when(tr, F.col("t"))).over(dev))
+            .withColumn("train_rows", F.count_if(tr).over(dev))
+            .withColumn("trend", F.col("a") + F.col("b") * F.col("t"))
+            .withColumn("wd", F.avg(F.when(tr, F.col("y") - F.col("trend"))).over(dev_dow))
+            .withColumn("sd", F.stddev_pop(F.when(tr, (F.col("y") - F.col("trend")) - F.col("wd")))
+                        .over(dev)))
+    return (out.withColumn("yhat", F.col("trend") + F.coalesce(F.col("wd"), F.lit(0.0)))
+               .withColumn("yhat_lower", F.col("yhat") - z * F.col("sd"))
+               .withColumn("yhat_upper", F.col("yhat") + z * F.col("sd")))
 
 
 def forecast_holdout_error(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
@@ -214,12 +217,11 @@ def forecast_holdout_error(daily: DataFrame, key: str = "atm_id", date: str = "e
     mean absolute error on those rows: (key, train_rows, mae)."""
     s = _series(daily, key, date, value, min_rows)
     pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
-    s = s.withColumn("_pos", pos)
-    train, test = s.filter(F.col("_pos") > holdout), s.filter(F.col("_pos") <= holdout)
-    params, weekday = fit_trend_weekday(train, key)
-    p = predict(test, params, weekday, key)
-    return p.groupBy(key).agg(F.first("train_rows").alias("train_rows"),
-                              F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
+    s = s.withColumn("train", pos > holdout)
+    p = with_trend_weekday(s, "train", key)
+    return p.groupBy(key).agg(F.max("train_rows").alias("train_rows"),
+                              F.avg(F.when(~F.col("train"), F.abs(F.col("y") - F.col("yhat"))))
+                               .alias("mae"))
 
 
 def forecast_horizon(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
@@ -229,16 +231,26 @@ def forecast_horizon(daily: DataFrame, key: str = "atm_id", date: str = "event_d
     """Refit on every row and forecast the ``horizon`` days after each
     series' last date: (key, ds, yhat, yhat_lower, yhat_upper, needs_refill).
 
+    The horizon days are generated from each series' last row (``explode``)
+    as rows without a value, so the same windows fit the history and predict
+    the new days in one pass, without a second scan or a union.
     ``needs_refill`` is true for every row of a device when any of its
     horizon days has ``yhat_lower < min_cash``.
     """
     s = _series(daily, key, date, value, min_rows)
-    params, weekday = fit_trend_weekday(s, key)
-    last = s.groupBy(key).agg(F.max(date).alias("_last"))
-    days = last.select(key, F.explode(F.sequence(F.date_add("_last", 1),
-                                                 F.date_add("_last", horizon))).alias("ds"))
-    days = days.select(key, "ds", F.unix_date("ds").cast("long").alias("t"),
-                       day_of_week_sunday0("ds").alias("dow"))
-    p = predict(days, params, weekday, key)
+    s = s.withColumn("_last", F.max(date).over(Window.partitionBy(key)))
+
+    def row(d, y, train):
+        return F.struct(d.alias("d"), y.alias("y"), F.lit(train).alias("train"))
+    own = row(F.col(date), F.col("y"), True)
+    ahead = [row(F.date_add(date, i), F.lit(None).cast("double"), False)
+             for i in range(1, horizon + 1)]
+    rows = F.when(F.col(date) == F.col("_last"), F.array(own, *ahead)).otherwise(F.array(own))
+    ext = (s.select(key, F.explode(rows).alias("r"))
+            .select(key, F.col("r.d").alias(date), "r.y", "r.train")
+            .withColumn("t", F.unix_date(date).cast("long"))
+            .withColumn("dow", day_of_week_sunday0(date)))
+    p = with_trend_weekday(ext, "train", key).filter(~F.col("train"))
     need = F.max((F.col("yhat_lower") < min_cash).cast("int")).over(Window.partitionBy(key)) == 1
-    return p.select(key, "ds", "yhat", "yhat_lower", "yhat_upper", need.alias("needs_refill"))
+    return p.select(key, F.col(date).alias("ds"), "yhat", "yhat_lower", "yhat_upper",
+                    need.alias("needs_refill"))

@@ -58,14 +58,17 @@ def decode_json(raw: DataFrame, schema: T.StructType, value_col: str = "value",
 
     Adds ``_malformed``: true when the text is not a JSON object (all
     fields NULL after decoding), so callers can quarantine it.
+
+    The text is parsed once, inside an ``inline`` generator: a later filter
+    on a decoded field (e.g. the key) cannot be pushed below a generator,
+    so Catalyst does not copy the ``from_json`` call into the filter.
     """
     tol = tolerant_schema(schema)
     d = F.from_json(F.col(value_col).cast("string"), tol)
-    typed = [convert(F.col("_d").getField(f.name), f.dataType).alias(f.name)
-             for f in schema.fields]
-    all_null = F.coalesce(*[F.col("_d").getField(f.name) for f in schema.fields]).isNull()
-    return (raw.select(*keep, d.alias("_d"))
-               .select(*keep, *typed, all_null.alias("_malformed")))
+    flat = raw.select(*keep, F.inline(F.array(d)))
+    typed = [convert(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    all_null = F.coalesce(*[F.col(f.name) for f in schema.fields]).isNull()
+    return flat.select(*keep, *typed, all_null.alias("_malformed"))
 
 
 def to_silver(decoded: DataFrame, ts_col: str, key: str = "atm_id",
