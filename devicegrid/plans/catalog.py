@@ -17,6 +17,7 @@ from devicegrid import config as C
 from devicegrid.functions import exprs
 from devicegrid.operators import alerts, encode, ml, profile, silver
 from devicegrid.plans.model import Model
+from devicegrid.plans import sql_marts
 from devicegrid.plans.normalize import round_doubles
 from devicegrid.session import shared_path
 from devicegrid.sinks import writers
@@ -473,3 +474,23 @@ def csv_round_trip(m: Model) -> DataFrame:
     reg = m.tables.region
     writers.write_csv(reg, path)
     return files.read_csv(m.spark, path, reg.schema)
+
+
+# --- the marts as SQL text (same oracles as the DataFrame forms) -----------------
+
+@query("daily_cash_mart_sql")
+def daily_cash_mart_sql(m: Model) -> DataFrame:
+    """The daily level mart as Spark SQL over temp views."""
+    return sql_marts.daily_cash_mart_sql(m)
+
+
+@query("daily_fault_mart_sql")
+def daily_fault_mart_sql(m: Model) -> DataFrame:
+    """The daily fault mart as Spark SQL with FILTER (WHERE ...)."""
+    return sql_marts.daily_fault_mart_sql(m)
+
+
+@query("device_profile_mart_sql")
+def device_profile_mart_sql(m: Model) -> DataFrame:
+    """The device profile as Spark SQL."""
+    return sql_marts.device_profile_mart_sql(m)

@@ -468,3 +468,10 @@ SELECT event_id, atm_id, event_ts, tx_type, amount_mwk, success FROM tx
 ORDER BY event_ts DESC, event_id DESC LIMIT 15""",
     "csv_round_trip": "SELECT * FROM region",
 })
+
+
+BODIES.update({
+    "daily_cash_mart_sql": BODIES["daily_cash_mart"],
+    "daily_fault_mart_sql": BODIES["daily_fault_mart"],
+    "device_profile_mart_sql": BODIES["device_profile_mart"],
+})

@@ -2,16 +2,22 @@
 
 import json
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
+from devicegrid.session import shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live
 
 
+def _scratch(spark, name):
+    """A fresh folder below the session's shared checkpoint folder."""
+    return shared_path(spark, "tests", f"{name}-{uuid.uuid4().hex[:10]}")
+
+
 def _land(spark, folder, rows):
     os.makedirs(folder, exist_ok=True)
     spark.createDataFrame(rows, ingest.ENVELOPE).coalesce(1).write.mode("append").json(folder)
@@ -25,7 +31,7 @@ def _msg(i, ts="2024-01-01 00:00:00"):
 
 
 def test_restart_on_checkpoint_gives_no_duplicates(spark):
-    base = tempfile.mkdtemp(prefix="dg-stream-")
+    base = _scratch(spark, "stream")
     landing, out, ck = f"{base}/in", f"{base}/bronze", f"{base}/ck"
     _land(spark, landing, [_msg(i) for i in range(100)])
     q = ingest.ingest(spark, TX_MESSAGE_SCHEMA, ingest.file_stream(spark, landing), out, ck)
@@ -45,7 +51,7 @@ def test_restart_on_checkpoint_gives_no_duplicates(spark):
 
 
 def test_resent_messages_dropped_within_watermark(spark):
-    base = tempfile.mkdtemp(prefix="dg-dedupe-")
+    base = _scratch(spark, "dedupe")
     landing, out, ck = f"{base}/in", f"{base}/bronze", f"{base}/ck"
     rows = [_msg(i) for i in range(20)]
     resent = [(k, v, ts, p, o + 1000) for k, v, ts, p, o in rows[:5]]  # new offsets, same ids
@@ -58,7 +64,7 @@ def test_resent_messages_dropped_within_watermark(spark):
 
 
 def test_live_sink_and_per_minute(spark):
-    base = tempfile.mkdtemp(prefix="dg-live-")
+    base = _scratch(spark, "live")
     landing = f"{base}/in"
     _land(spark, landing, [_msg(i) for i in range(30)] + [("x", "junk", None, 0, 999)])
     rows = live.live_rows(ingest.to_bronze(ingest.file_stream(spark, landing), TX_MESSAGE_SCHEMA))
@@ -74,7 +80,7 @@ def test_live_sink_and_per_minute(spark):
 
 
 def test_weather_holidays_feed_and_missing(spark):
-    base = tempfile.mkdtemp(prefix="dg-files-")
+    base = _scratch(spark, "files")
     with open(f"{base}/weather.json", "w") as f:
         json.dump({"daily": {"time": ["2023-01-01", "2023-01-02"], "temperature_2m_max": [30.1, 29.0],
                              "temperature_2m_min": [18.0, 17.5], "precipitation_sum": [0.0, 12.3],
@@ -95,7 +101,7 @@ def test_weather_holidays_feed_and_missing(spark):
 
 
 def test_written_row_count_and_inventory(spark):
-    base = tempfile.mkdtemp(prefix="dg-sink-")
+    base = _scratch(spark, "sink")
     n = writers.write_counted(spark.range(123), f"{base}/t")
     assert n == 123 and spark.read.parquet(f"{base}/t").count() == 123
     n = writers.overwrite_partitions(spark.range(10).withColumn("p", F.col("id") % 2), f"{base}/p", ["p"])
@@ -105,3 +111,21 @@ def test_written_row_count_and_inventory(spark):
     writers.save_table(spark.range(3), "dg_inv_view", materialized="view")
     run = writers.append_metrics(spark, f"{base}/metrics", "m", {"a": 1.0, "b": 2.0})
     assert spark.read.parquet(f"{base}/metrics").filter(F.col("run_id") == run).count() == 2
+
+
+def test_pipeline_writes_every_layer(spark, sf_dir):
+    import __spark_entry__ as E
+    from devicegrid.plans.pipeline import run_pipeline
+    out = _scratch(spark, "pipe")
+    n = run_pipeline(spark, sf_dir, out)
+    assert n["silver.cash"] == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    gold = spark.read.parquet(f"{out}/gold/daily_cash").drop("event_month")
+    q = E.queries()["daily_cash_mart"](spark, sf_dir)
+    assert gold.count() == q.count() == n["gold.daily_cash"]
+    assert gold.select(F.sum("total_withdrawal_mwk")).first()[0] == \
+        q.select(F.sum("total_withdrawal_mwk")).first()[0]
+    assert n["alerts"] == E.queries()["all_alerts"](spark, sf_dir).count()
+    assert n["alerts.messages"] == 2 * n["alerts"]
+    assert spark.read.json(f"{out}/alerts/feed/summary").first().total_alerts == n["alerts"]
+    # month partitions exist and prune
+    assert any(d.startswith("event_month=") for d in os.listdir(f"{out}/silver/cash"))
