@@ -81,6 +81,7 @@ def test_live_sink_and_per_minute(spark):
 
 def test_weather_holidays_feed_and_missing(spark):
     base = _scratch(spark, "files")
+    os.makedirs(base, exist_ok=True)
     with open(f"{base}/weather.json", "w") as f:
         json.dump({"daily": {"time": ["2023-01-01", "2023-01-02"], "temperature_2m_max": [30.1, 29.0],
                              "temperature_2m_min": [18.0, 17.5], "precipitation_sum": [0.0, 12.3],
