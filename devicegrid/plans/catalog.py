@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions import exprs
-from devicegrid.operators import alerts, encode, ml, profile, silver
+from devicegrid.operators import alerts, encode, marts, ml, profile, silver, staging
 from devicegrid.plans.model import Model
 from devicegrid.plans import sql_marts
 from devicegrid.plans.normalize import round_doubles
@@ -23,7 +23,7 @@ from devicegrid.session import shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import files
 from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
-from devicegrid.streaming import ingest, live
+from devicegrid.streaming import ingest, live, marts_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -494,3 +494,20 @@ def daily_fault_mart_sql(m: Model) -> DataFrame:
 def device_profile_mart_sql(m: Model) -> DataFrame:
     """The device profile as Spark SQL."""
     return sql_marts.device_profile_mart_sql(m)
+
+
+@query("daily_cash_mart_stream")
+def daily_cash_mart_stream(m: Model) -> DataFrame:
+    """W1-W3 on a stream: level readings arrive in several micro-batches and
+    the mart partitions of the touched devices are recomputed each time; the
+    final mart equals the batch mart (same oracle)."""
+    base = _run_dir(m, "martstream")
+    levels = m.cash_levels
+    levels.repartition(6).write.mode("overwrite").parquet(f"{base}/landing")
+    src = (m.spark.readStream.schema(levels.schema).option("maxFilesPerTrigger", 2)
+           .parquet(f"{base}/landing"))
+    q = marts_stream.start_mart_refresh(
+        src, f"{base}/silver", f"{base}/mart", f"{base}/_checkpoint",
+        lambda rows: marts.daily_level_mart(staging.stg_cash(rows)), buckets=16)
+    q.awaitTermination()
+    return m.spark.read.parquet(f"{base}/mart").drop("bucket")

@@ -475,3 +475,5 @@ BODIES.update({
     "daily_fault_mart_sql": BODIES["daily_fault_mart"],
     "device_profile_mart_sql": BODIES["device_profile_mart"],
 })
+
+BODIES["daily_cash_mart_stream"] = BODIES["daily_cash_mart"]
