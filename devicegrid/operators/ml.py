@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions.exprs import day_of_week_sunday0, hash_order
+from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
 
@@ -53,14 +54,22 @@ def fit_fault_model(train: DataFrame, features: Sequence[str] = C.FAULT_FEATURES
                     label: str = "label", max_iter: int = C.GBT_MAX_ITER,
                     max_depth: int = C.GBT_MAX_DEPTH, step_size: float = C.GBT_STEP_SIZE,
                     seed: int = C.SEED):
-    """Boosted trees on the assembled features (a fitted PipelineModel)."""
+    """Boosted trees on the assembled features (a fitted PipelineModel).
+
+    ``cacheNodeIds`` keeps each row's tree node between levels instead of
+    recomputing it, and the node cache is checkpointed every 10 rounds into
+    the shared checkpoint folder (bounded lineage over 300 rounds); neither
+    changes the fitted model.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter,
-                        maxDepth=max_depth, stepSize=step_size, seed=seed)
+                        maxDepth=max_depth, stepSize=step_size, seed=seed,
+                        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
+    ensure_checkpoint_dir(train.sparkSession)
     data = train.persist()
     try:
         return Pipeline(stages=[asm, gbt]).fit(data)
@@ -107,19 +116,21 @@ def zscore(df: DataFrame, features: Sequence[str] = C.CLUSTER_FEATURES,
            keep: Sequence[str] = ("atm_id",)) -> DataFrame:
     """Standardise features: NULL -> 0, then (x - mean) / population sd.
 
-    A constant feature (sd 0) becomes 0.  Means and sds are scalar
-    subqueries over one aggregate of ``df`` (Spark merges them into a
-    single job); nothing is collected.
+    A constant feature (sd 0) becomes 0.  Fitting the scaler is one
+    distributed aggregate; only its parameters (a mean and an sd per
+    feature) reach the driver, and are applied as literals.
     """
     filled = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
                                 for c in features])
     stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in features],
-                       *[F.stddev_pop(c).alias(f"s_{c}") for c in features])
+                       *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
     cols = []
     for c in features:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(f"s_{c}").scalar()
-        cols.append(F.when(s > 0, (F.col(c) - m) / s).otherwise(F.lit(0.0)).alias(c))
+        m, s = stats[f"m_{c}"], stats[f"s_{c}"]
+        if s is None or m is None or s <= 0:
+            cols.append(F.lit(0.0).alias(c))
+        else:
+            cols.append(((F.col(c) - F.lit(m)) / F.lit(s)).alias(c))
     return filled.select(*keep, *cols)
 
 

@@ -149,10 +149,12 @@ def calendar_features(m: Model) -> DataFrame:
 
 @query("component_lookup")
 def component_lookup(m: Model) -> DataFrame:
-    """Fault type -> component by a literal map, with event counts."""
+    """Fault type -> component by a literal map (default for unknown types)."""
     lookup = F.create_map(*[F.lit(x) for pair in zip(C.FAULT_TYPES, C.COMPONENTS) for x in pair])
     return (m.fault_events.groupBy("fault_type").agg(F.count(F.lit(1)).alias("events"))
-              .select("fault_type", F.element_at(lookup, F.col("fault_type")).alias("component"),
+              .select("fault_type",
+                      F.coalesce(F.try_element_at(lookup, F.col("fault_type")), F.lit("unknown"))
+                       .alias("component"),
                       "events"))
 
 

@@ -197,3 +197,16 @@ def test_component_list_skips_zero(spark):
     got = [r.c for r in df.select(exprs.component_list({"a": F.col("a"), "b": F.col("b")})
                                   .alias("c")).collect()]
     assert got == ["no component data", "a:2"]
+
+
+def test_optional_filters_and_pages(spark):
+    from devicegrid.operators import profile
+    df = spark.createDataFrame([("N", "a", 1), ("S", "a", 2), ("S", "b", 3)],
+                               "region string, atm_type string, v int")
+    assert profile.optional_filter(df, region="All", atm_type=None).count() == 3
+    assert profile.optional_filter(df, region="S", atm_type="All").count() == 2
+    assert profile.optional_filter(df, region="S", atm_type="b").count() == 1
+    assert [r.v for r in profile.first_n(df, [F.col("v").desc()], 2).collect()] == [3, 2]
+    assert [r.region for r in profile.distinct_sorted(df, "region").collect()] == ["N", "S"]
+    vc = profile.value_counts(df, "region").collect()
+    assert [(r.region, r.n) for r in vc] == [("S", 2), ("N", 1)]
