@@ -21,12 +21,16 @@ ALERT_COLUMNS = [
 
 def cash_alerts(daily_cash: DataFrame, dim: DataFrame, run_ts: str = C.DEFAULT_RUN_TS,
                 key: str = "atm_id", date: str = "event_date",
-                min_cash: int = C.ALERT_MIN_CASH) -> DataFrame:
+                min_cash: int = C.ALERT_MIN_CASH,
+                date_source: DataFrame | None = None) -> DataFrame:
     """Devices whose minimum level on the latest date is below ``min_cash``.
 
-    Priority P1 below half of ``min_cash``, else P2.
+    Priority P1 below half of ``min_cash``, else P2.  ``date_source`` (the
+    mart's input rows) gives the same latest date with one scan and a partial
+    max, instead of recomputing the mart's aggregate and window for it.
     """
-    latest = daily_cash.select(F.max(date)).scalar()
+    src = daily_cash if date_source is None else date_source
+    latest = src.select(F.max(date)).scalar()
     rows = daily_cash.filter((F.col(date) == latest) & (F.col("min_cash_mwk") < min_cash))
     j = rows.join(dim.select(key, "city", "region"), key)
     p = F.when(F.col("min_cash_mwk") < min_cash / 2, "P1").otherwise("P2")
@@ -48,10 +52,13 @@ def cash_alerts(daily_cash: DataFrame, dim: DataFrame, run_ts: str = C.DEFAULT_R
 def fault_alerts(daily_faults: DataFrame, dim: DataFrame, run_ts: str = C.DEFAULT_RUN_TS,
                  key: str = "atm_id", date: str = "event_date",
                  lookback_days: int = C.ALERT_LOOKBACK_DAYS,
-                 min_warnings: int = C.ALERT_MIN_WARNINGS) -> DataFrame:
+                 min_warnings: int = C.ALERT_MIN_WARNINGS,
+                 date_source: DataFrame | None = None) -> DataFrame:
     """Fault-risk days in the trailing window (latest date - ``lookback_days``,
-    inclusive) with a fault or at least ``min_warnings`` warnings."""
-    start = daily_faults.select(F.date_sub(F.max(date), lookback_days)).scalar()
+    inclusive) with a fault or at least ``min_warnings`` warnings.
+    ``date_source``: as in ``cash_alerts``."""
+    src = daily_faults if date_source is None else date_source
+    start = src.select(F.date_sub(F.max(date), lookback_days)).scalar()
     rows = daily_faults.filter((F.col(date) >= start)
                                & ((F.col("faults") > 0) | (F.col("warnings") >= min_warnings)))
     j = rows.join(dim.select(key, "city", "region", "atm_model"), key)

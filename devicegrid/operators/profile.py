@@ -107,9 +107,15 @@ def optional_filter(df: DataFrame, **equals) -> DataFrame:
     return df
 
 
-def latest_rows(df: DataFrame, date: str = "event_date") -> DataFrame:
-    """Rows at the latest date (uncorrelated scalar subquery)."""
-    return df.filter(F.col(date) == df.select(F.max(date)).scalar())
+def latest_rows(df: DataFrame, date: str = "event_date",
+                date_source: DataFrame | None = None) -> DataFrame:
+    """Rows at the latest date (uncorrelated scalar subquery).
+
+    ``date_source``: a cheaper frame with the same dates (e.g. a mart's input
+    rows), so the latest date does not recompute an aggregated ``df``.
+    """
+    src = df if date_source is None else date_source
+    return df.filter(F.col(date) == src.select(F.max(date)).scalar())
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
@@ -119,16 +125,18 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def network_kpis(dim_profile: DataFrame, daily_cash: DataFrame,
-                 at_risk: Sequence[str] = ("critical", "low")) -> DataFrame:
+                 at_risk: Sequence[str] = ("critical", "low"),
+                 date_source: DataFrame | None = None) -> DataFrame:
     """Device count, total transactions, mean failure rate (unweighted, NULLs
     skipped), devices at risk on the latest day, distinct devices with levels.
 
     Each figure is its own aggregate; they are combined as scalar subqueries
     on the one-row profile aggregate (no join of the inputs).
     """
-    latest = latest_rows(daily_cash)
+    latest = latest_rows(daily_cash, date_source=date_source)
     risk = latest.select(F.count_if(F.col("cash_status").isin(*at_risk))).scalar()
-    devices_with_levels = daily_cash.select(F.count_distinct("atm_id")).scalar()
+    levels = daily_cash if date_source is None else date_source
+    devices_with_levels = levels.select(F.count_distinct("atm_id")).scalar()
     return dim_profile.agg(
         F.count(F.lit(1)).alias("devices"),
         F.sum("total_tx").alias("total_tx"),
@@ -137,10 +145,11 @@ def network_kpis(dim_profile: DataFrame, daily_cash: DataFrame,
 
 
 def latest_status_map(dim: DataFrame, daily_cash: DataFrame, key: str = "atm_id",
-                      default_status: str = "healthy") -> DataFrame:
+                      default_status: str = "healthy",
+                      date_source: DataFrame | None = None) -> DataFrame:
     """Dimension rows with the latest day's minimum level and status
     (devices without a reading that day get ``default_status``)."""
-    latest = latest_rows(daily_cash).select(key, "min_cash_mwk", "cash_status")
+    latest = latest_rows(daily_cash, date_source=date_source).select(key, "min_cash_mwk", "cash_status")
     j = dim.join(latest, key, "left")
     return j.select(key, "city", "region", "atm_type", "latitude", "longitude", "min_cash_mwk",
                     F.coalesce("cash_status", F.lit(default_status)).alias("cash_status"))

@@ -219,19 +219,20 @@ def filter_values(m: Model) -> DataFrame:
 @query("status_distribution")
 def status_distribution(m: Model) -> DataFrame:
     """Cash status counts on the latest day."""
-    return profile.value_counts(profile.latest_rows(m.daily_cash), "cash_status")
+    return profile.value_counts(profile.latest_rows(m.daily_cash, date_source=m.stg_cash),
+                                "cash_status")
 
 
 @query("network_kpis")
 def network_kpis(m: Model) -> DataFrame:
     """Network figures in one row."""
-    return profile.network_kpis(m.device_profile, m.daily_cash)
+    return profile.network_kpis(m.device_profile, m.daily_cash, date_source=m.stg_cash)
 
 
 @query("latest_status_map")
 def latest_status_map(m: Model) -> DataFrame:
     """Devices with the latest day's status, default healthy."""
-    return profile.latest_status_map(m.level_dim, m.daily_cash)
+    return profile.latest_status_map(m.level_dim, m.daily_cash, date_source=m.stg_cash)
 
 
 @query("component_matrix_long")
@@ -258,7 +259,7 @@ def feed_page(m: Model) -> DataFrame:
 @query("entity_history")
 def entity_history(m: Model) -> DataFrame:
     """F8 O1: daily series of the device with the lowest level on the latest day."""
-    latest = profile.latest_rows(m.daily_cash)
+    latest = profile.latest_rows(m.daily_cash, date_source=m.stg_cash)
     worst = (latest.orderBy(F.col("min_cash_mwk").asc(), F.col("atm_id").asc())
                    .select("atm_id").limit(1))
     return (m.daily_cash.join(worst, "atm_id", "left_semi")

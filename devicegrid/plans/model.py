@@ -113,11 +113,13 @@ class Model:
     # alerts ---------------------------------------------------------------
     @cached_property
     def cash_alerts(self) -> DataFrame:
-        return alerts.cash_alerts(self.daily_cash, self.stg_level_dim, run_ts=self.run_ts)
+        return alerts.cash_alerts(self.daily_cash, self.stg_level_dim, run_ts=self.run_ts,
+                                  date_source=self.stg_cash)
 
     @cached_property
     def fault_alerts(self) -> DataFrame:
-        return alerts.fault_alerts(self.daily_faults, self.stg_device_dim, run_ts=self.run_ts)
+        return alerts.fault_alerts(self.daily_faults, self.stg_device_dim, run_ts=self.run_ts,
+                                   date_source=self.stg_faults)
 
     @cached_property
     def all_alerts(self) -> DataFrame:
