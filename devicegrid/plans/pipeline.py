@@ -84,3 +84,32 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str,
         n["forecast.cash"] = writers.write_counted(ml.forecast_horizon(daily_cash),
                                                    p("forecast", "cash"))
     return n
+
+
+def main(argv=None) -> None:
+    """``python -m devicegrid.plans.pipeline --sf-dir DIR [--out DIR]``.
+
+    Without ``--out`` the layers go below the session's shared checkpoint
+    folder (``spark.checkpoint.dir``).
+    """
+    import argparse
+    import json
+    import uuid
+
+    from devicegrid.session import build_session, shared_path
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--out")
+    ap.add_argument("--as-of", default=C.DEFAULT_AS_OF.isoformat())
+    ap.add_argument("--no-forecast", action="store_true")
+    a = ap.parse_args(argv)
+    spark = build_session()
+    out = a.out or shared_path(spark, "pipeline", uuid.uuid4().hex[:12])
+    n = run_pipeline(spark, a.sf_dir, out, _dt.date.fromisoformat(a.as_of),
+                     with_forecast=not a.no_forecast)
+    print(json.dumps({"out": out, "rows": n}))
+
+
+if __name__ == "__main__":
+    main()
