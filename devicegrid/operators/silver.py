@@ -110,3 +110,38 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
                     F.struct(*[F.col(c) for c in order]))
     return (df.groupBy(*keys).agg(best.alias("_best"))
               .select(*keys, *[F.col("_best").getField(c).alias(c) for c in payload]))
+
+
+# Per entity: the event-time text field and its silver names, extra date
+# fields, and whether the entity is a dimension (one row per key, latest wins).
+SILVER_SPECS = {
+    "transactions": {"ts": "timestamp", "ts_name": "event_ts", "date_name": "event_date"},
+    "cash": {"ts": "timestamp", "ts_name": "event_ts", "date_name": "event_date"},
+    "faults": {"ts": "event_timestamp", "ts_name": "event_ts", "date_name": "event_date",
+               "constants": {"fault_occurred": 1}},
+    "replenishments": {"ts": "refill_timestamp", "ts_name": "refill_ts", "date_name": None},
+    "dim": {"dates": ["installed_date"], "latest_by": ["kafka_ts", "offset", "partition"]},
+}
+LINEAGE = ("kafka_ts", "partition", "offset", "ingested_at", "ingest_date", "malformed",
+           "_malformed")
+
+
+def silver_from_bronze(entity: str, bronze: DataFrame, key: str = "atm_id") -> DataFrame:
+    """Typed bronze rows of one topic -> the entity's silver table.
+
+    Event times are parsed (NULL when unparsable), rows without a key are
+    dropped, and a dimension keeps only the latest version of each key
+    (by broker time, then offset, then partition).
+    """
+    spec = SILVER_SPECS[entity]
+    df = bronze.filter(F.col(key).isNotNull())
+    for c in spec.get("dates", []):
+        df = df.withColumn(c, try_date(F.col(c)))
+    for c, v in spec.get("constants", {}).items():
+        df = df.withColumn(c, F.lit(v))
+    if "latest_by" in spec:
+        keep = [c for c in df.columns if c not in LINEAGE or c in spec["latest_by"]]
+        df = dedupe_latest(df.select(*keep), [key], spec["latest_by"])
+    if "ts" in spec:
+        df = to_silver(df, spec["ts"], key, spec["ts_name"], spec["date_name"])
+    return df.select(*[c for c in df.columns if c not in LINEAGE])

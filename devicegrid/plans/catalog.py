@@ -22,7 +22,8 @@ from devicegrid.plans.normalize import round_doubles
 from devicegrid.session import shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import files
-from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
+from devicegrid.sources import adapters
+from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live, marts_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,6 +133,15 @@ def quarantine_transactions(m: Model) -> DataFrame:
     return m.tx_quarantine.select("offset", "reason")
 
 
+@query("silver_dim_latest")
+def silver_dim_latest(m: Model) -> DataFrame:
+    """Dimension messages with re-sent versions -> silver, latest version wins."""
+    msgs = adapters.dimension_messages(m.device_dim)
+    bronze = silver.decode_json(msgs, BRONZE_SCHEMAS["atm.dim"],
+                                keep=("kafka_ts", "partition", "offset"))
+    return silver.silver_from_bronze("dim", bronze)
+
+
 @query("dedupe_latest")
 def dedupe_latest(m: Model) -> DataFrame:
     """One row per (l_orderkey, l_linenumber), the latest by a total order."""

@@ -177,3 +177,25 @@ def transaction_messages(tx: DataFrame) -> DataFrame:
                      F.col("event_ts").cast("timestamp").alias("kafka_ts"),
                      F.pmod(F.col("atm_id"), F.lit(3)).cast("int").alias("partition"),
                      F.col("event_id").alias("offset"))
+
+
+def dimension_messages(dim: DataFrame, changed_segment: str = "BUILDING") -> DataFrame:
+    """The device dimension as a topic that carries two versions of some keys.
+
+    Every device is sent once; devices of ``changed_segment`` are sent again
+    a day later with a changed city (lower case), so de-duplication must keep
+    the later version.  Columns: key, value, kafka_ts, partition, offset.
+    """
+    from devicegrid.operators.encode import encode_keyed
+
+    base = dim.withColumn("atm_id", F.col("atm_id").cast("string"))
+    v1 = encode_keyed(base).select("key", "value",
+                                   F.lit("2024-01-01 00:00:00").cast("timestamp").alias("kafka_ts"))
+    changed = base.filter(F.col("atm_type") == changed_segment).withColumn("city", F.lower("city"))
+    v2 = encode_keyed(changed).select("key", "value",
+                                      F.lit("2024-01-02 00:00:00").cast("timestamp").alias("kafka_ts"))
+    msgs = v1.unionByName(v2)
+    return msgs.select("key", "value", "kafka_ts",
+                       F.lit(0).alias("partition"),
+                       (F.unix_timestamp("kafka_ts") * 10_000_000 + F.col("key").cast("long"))
+                       .alias("offset"))

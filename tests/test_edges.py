@@ -210,3 +210,20 @@ def test_optional_filters_and_pages(spark):
     assert [r.region for r in profile.distinct_sorted(df, "region").collect()] == ["N", "S"]
     vc = profile.value_counts(df, "region").collect()
     assert [(r.region, r.n) for r in vc] == [("S", 2), ("N", 1)]
+
+
+def test_silver_specs_per_entity(spark):
+    raw = spark.createDataFrame(
+        [('{"atm_id": "A", "event_timestamp": "2024-01-02 03:04:05", "event_class": "fault", '
+          '"duration_mins": "12", "resolved": "False"}', 1),
+         ('{"atm_id": null, "event_timestamp": "2024-01-02"}', 2)], "value string, offset long")
+    b = silver.decode_json(raw, BRONZE_SCHEMAS["atm.faults"], keep=("offset",))
+    f = silver.silver_from_bronze("faults", b).collect()
+    assert len(f) == 1 and f[0].event_ts == TS(2024, 1, 2, 3, 4, 5) and f[0].event_date == D(2024, 1, 2)
+    assert f[0].duration_mins == 12 and f[0].resolved is False and f[0].fault_occurred == 1
+    assert "offset" not in silver.silver_from_bronze("faults", b).columns
+    rr = spark.createDataFrame([('{"atm_id": "A", "refill_timestamp": "2024-01-05 10:00:00", '
+                                 '"amount_loaded_mwk": 500000.0, "downtime_mins": 30}',)], "value string")
+    r = silver.silver_from_bronze("replenishments",
+                                  silver.decode_json(rr, BRONZE_SCHEMAS["atm.replenishments"])).first()
+    assert r.refill_ts == TS(2024, 1, 5, 10) and r.amount_loaded_mwk == 500000 and r.downtime_mins == 30
