@@ -67,3 +67,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Session settings sized for a given input volume and cluster.
+
+    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
+    * an initial shuffle width large enough that no shuffle partition needs
+      more than ~``target_partition_bytes`` even if a stage shuffles the whole
+      input (at least 3 waves of the cluster's cores); AQE then coalesces
+      small partitions to the advisory size and splits skewed ones;
+    * broadcast only below ``broadcast_bytes`` of *measured* size.
+
+    E.g. 100 TB on 1,000 executors x 8 cores: 409,600 scan splits, a
+    409,600-wide initial shuffle coalesced at run time.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }

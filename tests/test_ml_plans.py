@@ -82,3 +82,21 @@ def test_no_python_udf_in_core_queries(spark, sf_dir):
         df = E.queries()[name](spark, sf_dir)
         s = df._jdf.queryExecution().optimizedPlan().toString()
         assert "PythonUDF" not in s and "pythonUDF" not in s, name
+
+
+def test_mart_shuffles_on_device_and_date_first(spark, sf_dir):
+    """Skew safety: raw rows are shuffled on (device, date) after a partial
+    aggregate; only aggregated daily rows are shuffled on the device."""
+    import re
+    plan = E.queries()["daily_cash_mart"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    keys = [{k.split("#")[0].strip() for k in e.split(",")[:-1]}
+            for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)]
+    assert {"atm_id", "event_date"} in keys and {"atm_id"} in keys and len(keys) == 2
+    assert "partial_min" in plan
+
+
+def test_scale_conf_sizes_partitions():
+    from devicegrid.session import scale_conf
+    c = scale_conf(100 * 1024**4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
+    assert scale_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
