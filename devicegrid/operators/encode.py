@@ -34,3 +34,23 @@ def encode_keyed(df: DataFrame, key: str = "atm_id") -> DataFrame:
     return c.select(F.col(key).cast("string").alias("key"),
                     F.to_json(F.struct(*[F.col(n) for n in c.columns]),
                               {"ignoreNullFields": "false"}).alias("value"))
+
+
+def topic_messages(frames: dict[str, DataFrame], topics=None, limit: int | None = None,
+                   key: str = "atm_id") -> DataFrame:
+    """Keyed messages of several topics in one frame (topic, key, value).
+
+    ``topics`` publishes a subset; ``limit`` caps the rows per topic (a trial
+    publish of the first rows).  The result is written partitioned by topic.
+    """
+    out = None
+    for name, df in frames.items():
+        if topics is not None and name not in topics:
+            continue
+        if limit is not None:
+            df = df.limit(limit)
+        m = encode_keyed(df, key).select(F.lit(name).alias("topic"), "key", "value")
+        out = m if out is None else out.unionByName(m)
+    if out is None:
+        raise ValueError("no topic selected")
+    return out

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 from devicegrid import config as C
 from devicegrid.functions import exprs
 from devicegrid.operators import alerts, encode, marts, ml, profile, silver, staging
-from devicegrid.plans.model import Model
 from devicegrid.plans import sql_marts
+from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
 from devicegrid.session import shared_path
 from devicegrid.sinks import writers
-from devicegrid.sources import files
-from devicegrid.sources import adapters
+from devicegrid.sources import adapters, files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live, marts_stream
 

@@ -227,3 +227,14 @@ def test_silver_specs_per_entity(spark):
     r = silver.silver_from_bronze("replenishments",
                                   silver.decode_json(rr, BRONZE_SCHEMAS["atm.replenishments"])).first()
     assert r.refill_ts == TS(2024, 1, 5, 10) and r.amount_loaded_mwk == 500000 and r.downtime_mins == 30
+
+
+def test_topic_subset_and_row_cap(spark):
+    from devicegrid.operators import encode
+    a = spark.createDataFrame([(f"A{i}", i) for i in range(10)], "atm_id string, v long")
+    b = spark.createDataFrame([(f"B{i}", float(i)) for i in range(5)], "atm_id string, x double")
+    m = encode.topic_messages({"atm.cash": a, "atm.faults": b}, limit=3)
+    assert {(r.topic, r["count"]) for r in m.groupBy("topic").count().collect()} == \
+        {("atm.cash", 3), ("atm.faults", 3)}
+    only = encode.topic_messages({"atm.cash": a, "atm.faults": b}, topics={"atm.faults"})
+    assert only.count() == 5 and only.first().value.startswith('{"atm_id":"B')
