@@ -22,21 +22,25 @@ def _series_window(key: str, date: str) -> Window:
     return Window.partitionBy(key).orderBy(F.col(date).asc_nulls_last())
 
 
-def daily_level_mart(levels: DataFrame, key: str = "atm_id", date: str = "event_date",
-                     level: str = "cash_level_mwk", outflow: str = "hourly_withdrawal_mwk",
-                     ma_rows: int = C.CASH_MA_ROWS,
-                     critical_below: int = C.CASH_CRITICAL_BELOW,
-                     low_below: int = C.CASH_LOW_BELOW) -> DataFrame:
-    """Daily min/max/avg level, outflow, refill and below-threshold counts,
-    ``ma_rows``-row moving averages, previous day's minimum and a status tier."""
-    daily = (levels.filter(F.col(key).isNotNull())
-             .groupBy(key, date)
-             .agg(F.min(level).alias("min_cash_mwk"),
-                  F.max(level).alias("max_cash_mwk"),
-                  F.avg(level).alias("avg_cash_mwk"),
-                  F.sum(outflow).alias("total_withdrawal_mwk"),
-                  F.count_if(F.col("was_refilled")).alias("refill_count"),
-                  F.count_if(F.col("below_threshold")).alias("hours_below_threshold")))
+def daily_level_base(levels: DataFrame, key: str = "atm_id", date: str = "event_date",
+                     level: str = "cash_level_mwk",
+                     outflow: str = "hourly_withdrawal_mwk") -> DataFrame:
+    """The aggregate part of the daily level mart: one row per device and day."""
+    return (levels.filter(F.col(key).isNotNull())
+            .groupBy(key, date)
+            .agg(F.min(level).alias("min_cash_mwk"),
+                 F.max(level).alias("max_cash_mwk"),
+                 F.avg(level).alias("avg_cash_mwk"),
+                 F.sum(outflow).alias("total_withdrawal_mwk"),
+                 F.count_if(F.col("was_refilled")).alias("refill_count"),
+                 F.count_if(F.col("below_threshold")).alias("hours_below_threshold")))
+
+
+def daily_level_windows(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
+                        ma_rows: int = C.CASH_MA_ROWS,
+                        critical_below: int = C.CASH_CRITICAL_BELOW,
+                        low_below: int = C.CASH_LOW_BELOW) -> DataFrame:
+    """The window part: moving averages over ``ma_rows`` rows, previous minimum, tier."""
     w = _series_window(key, date)
     frame = w.rowsBetween(-(ma_rows - 1), Window.currentRow)
     return daily.select(
@@ -49,21 +53,29 @@ def daily_level_mart(levels: DataFrame, key: str = "atm_id", date: str = "event_
     )
 
 
-def daily_fault_mart(faults: DataFrame, key: str = "atm_id", date: str = "event_date",
-                     components=C.COMPONENTS, rolling_rows: int = C.FAULT_ROLLING_ROWS,
-                     high_faults: int = C.SEVERITY_HIGH_FAULTS,
-                     medium_warnings: int = C.SEVERITY_MEDIUM_WARNINGS,
-                     calendar_days: int | None = None) -> DataFrame:
-    """Daily fault profile from staged fault events (``stg_faults``).
+LEVEL_BASE_COLUMNS = ["min_cash_mwk", "max_cash_mwk", "avg_cash_mwk", "total_withdrawal_mwk",
+                      "refill_count", "hours_below_threshold"]
+
+
+def daily_level_mart(levels: DataFrame, key: str = "atm_id", date: str = "event_date",
+                     level: str = "cash_level_mwk", outflow: str = "hourly_withdrawal_mwk",
+                     ma_rows: int = C.CASH_MA_ROWS,
+                     critical_below: int = C.CASH_CRITICAL_BELOW,
+                     low_below: int = C.CASH_LOW_BELOW) -> DataFrame:
+    """Daily min/max/avg level, outflow, refill and below-threshold counts,
+    ``ma_rows``-row moving averages, previous day's minimum and a status tier."""
+    return daily_level_windows(daily_level_base(levels, key, date, level, outflow),
+                               key, date, ma_rows, critical_below, low_below)
+
+
+def daily_fault_base(faults: DataFrame, key: str = "atm_id", date: str = "event_date",
+                     components=C.COMPONENTS) -> DataFrame:
+    """The aggregate part of the daily fault mart: one row per device and day.
 
     The counts per component are computed in the same aggregate as the
     totals (one shuffle instead of an aggregate, a second aggregate and a
     join).  As with the equi-join on the date, a row whose date is NULL gets
     0 for every component.
-
-    ``faults_ma_30d`` is a rolling SUM over the last ``rolling_rows`` *rows*
-    (days with events), not calendar days; ``calendar_days`` adds a
-    ``faults_<n>d`` column summing over calendar days instead.
     """
     has_date = F.col(date).isNotNull()
     is_fault = F.col("is_fault") == 1
@@ -77,15 +89,23 @@ def daily_fault_mart(faults: DataFrame, key: str = "atm_id", date: str = "event_
                   F.avg(F.when(is_fault, F.col("duration_mins"))).alias("avg_duration_mins"),
                   F.sum(F.when(is_fault, F.col("duration_mins"))).alias("total_downtime_mins"),
                   *comp_aggs))
-    w = _series_window(key, date)
-    cols = [
+    return daily.select(
         key, date, "faults", "warnings", "unresolved",
         F.coalesce("avg_duration_mins", F.lit(0.0)).alias("avg_duration_mins"),
         F.coalesce("total_downtime_mins", F.lit(0)).cast("long").alias("total_downtime_mins"),
-        *[f"{c}_events" for c in components],
-        F.sum("faults").over(w.rowsBetween(-(rolling_rows - 1), Window.currentRow))
-         .alias("faults_ma_30d"),
-    ]
+        *[f"{c}_events" for c in components])
+
+
+def daily_fault_windows(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
+                        rolling_rows: int = C.FAULT_ROLLING_ROWS,
+                        high_faults: int = C.SEVERITY_HIGH_FAULTS,
+                        medium_warnings: int = C.SEVERITY_MEDIUM_WARNINGS,
+                        calendar_days: int | None = None) -> DataFrame:
+    """The window part: rolling fault sum over ``rolling_rows`` rows, severity."""
+    w = _series_window(key, date)
+    cols = [F.col(c) for c in daily.columns]
+    cols.append(F.sum("faults").over(w.rowsBetween(-(rolling_rows - 1), Window.currentRow))
+                 .alias("faults_ma_30d"))
     if calendar_days:
         day_no = Window.partitionBy(key).orderBy(F.unix_date(F.col(date)))
         cols.append(F.sum("faults").over(day_no.rangeBetween(-(calendar_days - 1), 0))
@@ -94,6 +114,21 @@ def daily_fault_mart(faults: DataFrame, key: str = "atm_id", date: str = "event_
     return daily.select(*cols)
 
 
+def daily_fault_mart(faults: DataFrame, key: str = "atm_id", date: str = "event_date",
+                     components=C.COMPONENTS, rolling_rows: int = C.FAULT_ROLLING_ROWS,
+                     high_faults: int = C.SEVERITY_HIGH_FAULTS,
+                     medium_warnings: int = C.SEVERITY_MEDIUM_WARNINGS,
+                     calendar_days: int | None = None) -> DataFrame:
+    """Daily fault profile from staged fault events (``stg_faults``).
+
+    ``faults_ma_30d`` is a rolling SUM over the last ``rolling_rows`` *rows*
+    (days with events), not calendar days; ``calendar_days`` adds a
+    ``faults_<n>d`` column summing over calendar days instead.
+    """
+    return daily_fault_windows(daily_fault_base(faults, key, date, components), key, date,
+                               rolling_rows, high_faults, medium_warnings, calendar_days)
+
+
 def device_profile_mart(dim: DataFrame, tx: DataFrame, faults: DataFrame,
                         key: str = "atm_id", withdrawal_type: str = "withdrawal") -> DataFrame:
     """Per-device lifetime profile: dimension + transaction and fault statistics.

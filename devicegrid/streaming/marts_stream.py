@@ -2,33 +2,49 @@
 
 Row-frame windows (7-row averages, 30-row sums, lag) are not allowed on
 streaming frames, and a late row changes the following rows of its device
-too.  So each micro-batch (``foreachBatch``):
-
-1. writes its rows into silver partitions (device bucket, epoch): a retried
-   epoch overwrites its own partitions, so the silver table stays exact;
-2. finds the device buckets it touched (at most ``buckets`` values);
-3. recomputes the mart for exactly those buckets from silver (partition
-   pruning reads only them) and replaces their mart partitions (dynamic
-   partition overwrite).
-
-Cost per batch is proportional to the history of the touched buckets; choose
-``buckets`` so a bucket's history is small (thousands on a large network).
-The result equals the batch mart over all rows seen so far.
+too.  Each micro-batch (``foreachBatch``) therefore:
+
+1. writes its rows into silver partitions (device bucket, month, epoch): a
+   retried epoch overwrites its own partitions, so silver stays exact;
+2. finds, per touched bucket, the earliest month it touched (at most
+   ``buckets`` rows reach the driver);
+3. rebuilds the daily rows of those buckets from that month on, from silver
+   (static partition pruning on bucket and month);
+4. seeds the windows with each device's last ``lookback_rows`` daily rows
+   before that month, read from the existing mart (the windows look only
+   backwards, so earlier mart rows never change), materialised in the shared
+   checkpoint folder before the mart is written;
+5. replaces the mart partitions (bucket, month >= first touched month) with
+   dynamic partition overwrite.
+
+Work per batch is the touched buckets' rows from their first touched month
+on, plus ``lookback_rows`` daily rows per device: late data for recent
+months does not rebuild history.  The result equals the batch mart over all
+rows seen so far.  Rows without a date sort last in the windows and are kept
+in a sentinel month that is always rebuilt.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from devicegrid.session import cut_lineage
+
+NO_DATE_MONTH = "9999-12"
+
 
 def bucket_of(key: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def month_of(date: str):
+    return F.coalesce(F.date_format(F.col(date), "yyyy-MM"), F.lit(NO_DATE_MONTH))
+
+
 def _dynamic_overwrite(df: DataFrame, path: str, parts: list[str]) -> None:
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -39,29 +55,63 @@ def _dynamic_overwrite(df: DataFrame, path: str, parts: list[str]) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def refresh_batch(batch: DataFrame, epoch_id: int, silver_path: str, mart_path: str,
-                  mart_fn: Callable[[DataFrame], DataFrame], key: str = "atm_id",
-                  buckets: int = 256) -> list[int]:
-    """One micro-batch of the refresh; returns the touched buckets."""
+                  base_fn: Callable[[DataFrame], DataFrame],
+                  window_fn: Callable[[DataFrame], DataFrame], lookback_rows: int,
+                  key: str = "atm_id", date: str = "event_date",
+                  buckets: int = 256) -> list[tuple[int, str]]:
+    """One micro-batch of the refresh; returns the (bucket, first month) pairs rebuilt."""
     spark = batch.sparkSession
-    rows = batch.withColumn("bucket", bucket_of(key, buckets)).withColumn("epoch", F.lit(epoch_id))
-    _dynamic_overwrite(rows, silver_path, ["bucket", "epoch"])
-    touched = sorted(r.bucket for r in rows.select("bucket").distinct().collect())
+    rows = (batch.withColumn("bucket", bucket_of(key, buckets))
+                 .withColumn("event_month", month_of(date))
+                 .withColumn("epoch", F.lit(epoch_id)))
+    _dynamic_overwrite(rows, silver_path, ["bucket", "event_month", "epoch"])
+    touched = [(r.bucket, r.from_month) for r in
+               rows.groupBy("bucket").agg(F.min("event_month").alias("from_month")).collect()]
     if not touched:
         return touched
-    hist = spark.read.parquet(silver_path).filter(F.col("bucket").isin(touched)).drop("bucket", "epoch")
-    mart = mart_fn(hist).withColumn("bucket", bucket_of(key, buckets))
-    _dynamic_overwrite(mart, mart_path, ["bucket"])
+    ids = [b for b, _ in touched]
+    first = min(m for _, m in touched)
+    # bounded by `buckets` rows: safe to broadcast
+    since = F.broadcast(spark.createDataFrame(touched, "bucket int, from_month string"))
+
+    def rebuild_scope(df: DataFrame) -> DataFrame:
+        return (df.filter(F.col("bucket").isin(ids) & (F.col("event_month") >= first))
+                  .join(since, "bucket").filter(F.col("event_month") >= F.col("from_month")))
+
+    fresh = rebuild_scope(spark.read.parquet(silver_path)).drop("bucket", "event_month",
+                                                                "epoch", "from_month")
+    base = base_fn(fresh)
+    if _exists(spark, mart_path):
+        old = (spark.read.parquet(mart_path).filter(F.col("bucket").isin(ids))
+                    .join(since, "bucket").filter(F.col("event_month") < F.col("from_month")))
+        pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
+        old = (old.withColumn("_pos", pos).filter(F.col("_pos") <= lookback_rows)
+                  .select(*base.columns))
+        base = base.unionByName(cut_lineage(old))
+    mart = (window_fn(base).withColumn("bucket", bucket_of(key, buckets))
+                           .withColumn("event_month", month_of(date)))
+    out = mart.join(since, "bucket").filter(F.col("event_month") >= F.col("from_month"))
+    _dynamic_overwrite(out.drop("from_month"), mart_path, ["bucket", "event_month"])
     return touched
 
 
 def start_mart_refresh(stream: DataFrame, silver_path: str, mart_path: str, checkpoint: str,
-                       mart_fn: Callable[[DataFrame], DataFrame], key: str = "atm_id",
-                       buckets: int = 256, available_now: bool = True,
+                       base_fn: Callable[[DataFrame], DataFrame],
+                       window_fn: Callable[[DataFrame], DataFrame], lookback_rows: int,
+                       key: str = "atm_id", date: str = "event_date", buckets: int = 256,
+                       available_now: bool = True,
                        processing_time: str | None = None) -> StreamingQuery:
     """Run ``refresh_batch`` for every micro-batch of ``stream``."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        refresh_batch(batch, epoch_id, silver_path, mart_path, mart_fn, key, buckets)
+        refresh_batch(batch, epoch_id, silver_path, mart_path, base_fn, window_fn,
+                      lookback_rows, key, date, buckets)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if available_now:
@@ -69,3 +119,8 @@ def start_mart_refresh(stream: DataFrame, silver_path: str, mart_path: str, chec
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def read_mart(spark, mart_path: str) -> DataFrame:
+    """The mart without its storage columns."""
+    return spark.read.parquet(mart_path).drop("bucket", "event_month")
