@@ -110,6 +110,8 @@ def test_written_row_count_and_inventory(spark):
     writers.overwrite_partitions(spark.range(3).withColumn("p", F.lit(0)), f"{base}/p", ["p"])
     assert spark.read.parquet(f"{base}/p").count() == 8  # partition 1 kept, partition 0 replaced
     writers.save_table(spark.range(3), "dg_inv_view", materialized="view")
+    inv = writers.table_inventory(spark).collect()
+    assert all(r.tables >= 0 for r in inv)
     run = writers.append_metrics(spark, f"{base}/metrics", "m", {"a": 1.0, "b": 2.0})
     assert spark.read.parquet(f"{base}/metrics").filter(F.col("run_id") == run).count() == 2
 
@@ -128,6 +130,9 @@ def test_pipeline_writes_every_layer(spark, sf_dir):
     assert n["alerts"] == E.queries()["all_alerts"](spark, sf_dir).count()
     assert n["alerts.messages"] == 2 * n["alerts"]
     assert spark.read.json(f"{out}/alerts/feed/summary").first().total_alerts == n["alerts"]
+    assert files.read_feed_entries(spark, f"{out}/alerts/feed/alerts").count() == n["alerts"]
+    msgs = spark.read.json(f"{out}/alerts/messages")
+    assert {r.channel for r in msgs.select("channel").distinct().collect()} == {"sms", "email"}
     # month partitions exist and prune
     assert any(d.startswith("event_month=") for d in os.listdir(f"{out}/silver/cash"))
 
