@@ -129,27 +129,28 @@ def daily_fault_mart(faults: DataFrame, key: str = "atm_id", date: str = "event_
                                rolling_rows, high_faults, medium_warnings, calendar_days)
 
 
-def device_profile_mart(dim: DataFrame, tx: DataFrame, faults: DataFrame,
-                        key: str = "atm_id", withdrawal_type: str = "withdrawal") -> DataFrame:
-    """Per-device lifetime profile: dimension + transaction and fault statistics.
-
-    ``dim`` is a staged dimension (``stg_dim``), ``tx`` staged transactions,
-    ``faults`` staged fault events.  Both statistics are pre-aggregated per
-    device (partial + final aggregation), so each join is 1:1 on the key.
-    No broadcast hint: the number of devices grows with the data, and AQE
-    switches a side to broadcast at run time only when its measured size is
-    below ``spark.sql.autoBroadcastJoinThreshold`` (sort-merge otherwise).
-    """
-    tx_stats = (tx.groupBy(key)
-                .agg(F.count(F.lit(1)).alias("total_tx"),
-                     F.count_if(F.col("success_flag") == 0).alias("failed_tx"),
-                     F.avg(F.when(F.col("tx_type") == withdrawal_type, F.col("amount_mwk")))
-                      .alias("avg_withdrawal_mwk"),
-                     F.max("event_date").alias("last_tx_date")))
+def device_tx_stats(tx: DataFrame, key: str = "atm_id",
+                    withdrawal_type: str = "withdrawal") -> DataFrame:
+    """Lifetime transaction statistics per device (algebraic: also streamable)."""
+    return (tx.groupBy(key)
+              .agg(F.count(F.lit(1)).alias("total_tx"),
+                   F.count_if(F.col("success_flag") == 0).alias("failed_tx"),
+                   F.avg(F.when(F.col("tx_type") == withdrawal_type, F.col("amount_mwk")))
+                    .alias("avg_withdrawal_mwk"),
+                   F.max("event_date").alias("last_tx_date")))
+
+
+def device_fault_stats(faults: DataFrame, key: str = "atm_id") -> DataFrame:
+    """Lifetime fault count and last fault date per device."""
     is_fault = F.col("is_fault") == 1
-    fault_stats = (faults.groupBy(key)
-                   .agg(F.count_if(is_fault).alias("lifetime_faults"),
-                        F.max(F.when(is_fault, F.col("event_date"))).alias("last_fault_date")))
+    return (faults.groupBy(key)
+                  .agg(F.count_if(is_fault).alias("lifetime_faults"),
+                       F.max(F.when(is_fault, F.col("event_date"))).alias("last_fault_date")))
+
+
+def device_profile_join(dim: DataFrame, tx_stats: DataFrame, fault_stats: DataFrame,
+                        key: str = "atm_id") -> DataFrame:
+    """Dimension left-joined with the per-device statistics (1:1 on the key)."""
     j = dim.join(tx_stats, key, "left").join(fault_stats, key, "left")
     return j.select(
         key, "city", "region", "latitude", "longitude", "atm_type", "atm_model", "bank",
@@ -162,3 +163,18 @@ def device_profile_mart(dim: DataFrame, tx: DataFrame, faults: DataFrame,
         F.coalesce("lifetime_faults", F.lit(0)).alias("lifetime_faults"),
         "last_fault_date",
     )
+
+
+def device_profile_mart(dim: DataFrame, tx: DataFrame, faults: DataFrame,
+                        key: str = "atm_id", withdrawal_type: str = "withdrawal") -> DataFrame:
+    """Per-device lifetime profile: dimension + transaction and fault statistics.
+
+    ``dim`` is a staged dimension (``stg_dim``), ``tx`` staged transactions,
+    ``faults`` staged fault events.  Both statistics are pre-aggregated per
+    device (partial + final aggregation), so each join is 1:1 on the key.
+    No broadcast hint: the number of devices grows with the data, and AQE
+    switches a side to broadcast at run time only when its measured size is
+    below ``spark.sql.autoBroadcastJoinThreshold`` (sort-merge otherwise).
+    """
+    return device_profile_join(dim, device_tx_stats(tx, key, withdrawal_type),
+                               device_fault_stats(faults, key), key)

@@ -23,7 +23,7 @@ from devicegrid.session import shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import adapters, files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
-from devicegrid.streaming import ingest, live, marts_stream
+from devicegrid.streaming import ingest, live, marts_stream, profile_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -543,3 +543,20 @@ def daily_fault_mart_stream(m: Model) -> DataFrame:
         lookback_rows=C.FAULT_ROLLING_ROWS - 1, buckets=16)
     q.awaitTermination()
     return marts_stream.read_mart(m.spark, f"{base}/mart")
+
+
+@query("device_profile_stream")
+def device_profile_stream(m: Model) -> DataFrame:
+    """G4 J1 on a stream: transaction statistics kept as streaming state
+    (update mode) and upserted per micro-batch; joined with the dimension and
+    the fault statistics it equals the batch profile (same oracle)."""
+    base = _run_dir(m, "profilestream")
+    tx = m.transactions
+    tx.repartitionByRange(5, "event_ts").write.mode("overwrite").parquet(f"{base}/landing")
+    src = (m.spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 2)
+           .parquet(f"{base}/landing"))
+    q = profile_stream.start_stats_stream(staging.stg_transactions(src), f"{base}/tx_stats",
+                                          f"{base}/_checkpoint", buckets=16)
+    q.awaitTermination()
+    stats = profile_stream.read_stats(m.spark, f"{base}/tx_stats")
+    return marts.device_profile_join(m.stg_device_dim, stats, marts.device_fault_stats(m.stg_faults))

@@ -484,3 +484,4 @@ SELECT CAST(atm_id AS VARCHAR) AS atm_id,
        region, latitude, longitude, atm_type, atm_model, bank, installed_date, is_active
 FROM device_dim"""
 BODIES["daily_fault_mart_stream"] = BODIES["daily_fault_mart"]
+BODIES["device_profile_stream"] = BODIES["device_profile_mart"]

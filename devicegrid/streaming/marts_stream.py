@@ -70,10 +70,13 @@ def refresh_batch(batch: DataFrame, epoch_id: int, silver_path: str, mart_path:
     spark = batch.sparkSession
     rows = (batch.withColumn("bucket", bucket_of(key, buckets))
                  .withColumn("event_month", month_of(date))
-                 .withColumn("epoch", F.lit(epoch_id)))
-    _dynamic_overwrite(rows, silver_path, ["bucket", "event_month", "epoch"])
-    touched = [(r.bucket, r.from_month) for r in
-               rows.groupBy("bucket").agg(F.min("event_month").alias("from_month")).collect()]
+                 .withColumn("epoch", F.lit(epoch_id))).persist()  # used twice
+    try:
+        _dynamic_overwrite(rows, silver_path, ["bucket", "event_month", "epoch"])
+        touched = [(r.bucket, r.from_month) for r in
+                   rows.groupBy("bucket").agg(F.min("event_month").alias("from_month")).collect()]
+    finally:
+        rows.unpersist()
     if not touched:
         return touched
     ids = [b for b, _ in touched]

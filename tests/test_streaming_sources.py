@@ -167,3 +167,16 @@ def test_mart_refresh_with_late_batches_equals_batch_mart(spark, sf_dir):
                                marts.daily_fault_windows, C.FAULT_ROLLING_ROWS - 1, buckets=4)
     assert spark.read.parquet(f"{base}/silver").count() == faults.count()
     assert marts_stream.read_mart(spark, f"{base}/mart").select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+def test_stats_upsert_is_idempotent_and_replaces(spark):
+    from devicegrid.streaming import profile_stream
+    path = f"{_scratch(spark, 'upsert')}/stats"
+    cols = "atm_id long, total_tx long"
+    b1 = spark.createDataFrame([(1, 5), (2, 7), (3, 1)], cols)
+    profile_stream.upsert_batch(b1, 0, path, buckets=2)
+    profile_stream.upsert_batch(b1, 0, path, buckets=2)   # retried epoch
+    assert sorted(map(tuple, profile_stream.read_stats(spark, path).collect())) == [(1, 5), (2, 7), (3, 1)]
+    profile_stream.upsert_batch(spark.createDataFrame([(2, 9), (4, 2)], cols), 1, path, buckets=2)
+    got = sorted(map(tuple, profile_stream.read_stats(spark, path).select("atm_id", "total_tx").collect()))
+    assert got == [(1, 5), (2, 9), (3, 1), (4, 2)]
