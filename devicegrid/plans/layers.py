@@ -38,7 +38,7 @@ def _write_layer(df: DataFrame, path: str, date_col: str | None, key: str = "atm
                                  options={"maxRecordsPerFile": str(MAX_RECORDS_PER_FILE)})
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str,
+def build_layers(spark: SparkSession, sf_dir: str, out_dir: str,
                  as_of: _dt.date = C.DEFAULT_AS_OF, run_ts: str = C.DEFAULT_RUN_TS,
                  with_forecast: bool = True) -> dict[str, int]:
     """Build every layer below ``out_dir``; returns the row count per table."""
@@ -87,7 +87,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str,
 
 
 def main(argv=None) -> None:
-    """``python -m devicegrid.plans.pipeline --sf-dir DIR [--out DIR]``.
+    """``python -m devicegrid.plans.layers --sf-dir DIR [--out DIR]``.
 
     Without ``--out`` the layers go below the session's shared checkpoint
     folder (``spark.checkpoint.dir``).
@@ -105,8 +105,8 @@ def main(argv=None) -> None:
     ap.add_argument("--no-forecast", action="store_true")
     a = ap.parse_args(argv)
     spark = build_session()
-    out = a.out or shared_path(spark, "pipeline", uuid.uuid4().hex[:12])
-    n = run_pipeline(spark, a.sf_dir, out, _dt.date.fromisoformat(a.as_of),
+    out = a.out or shared_path(spark, "layers", uuid.uuid4().hex[:12])
+    n = build_layers(spark, a.sf_dir, out, _dt.date.fromisoformat(a.as_of),
                      with_forecast=not a.no_forecast)
     print(json.dumps({"out": out, "rows": n}))
 

@@ -116,11 +116,11 @@ def test_written_row_count_and_inventory(spark):
     assert spark.read.parquet(f"{base}/metrics").filter(F.col("run_id") == run).count() == 2
 
 
-def test_pipeline_writes_every_layer(spark, sf_dir):
+def test_build_layers_writes_every_layer(spark, sf_dir):
     import __spark_entry__ as E
-    from devicegrid.plans.pipeline import run_pipeline
+    from devicegrid.plans.layers import build_layers
     out = _scratch(spark, "pipe")
-    n = run_pipeline(spark, sf_dir, out)
+    n = build_layers(spark, sf_dir, out)
     assert n["silver.cash"] == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     gold = spark.read.parquet(f"{out}/gold/daily_cash").drop("event_month")
     q = E.queries()["daily_cash_mart"](spark, sf_dir)
