@@ -485,3 +485,6 @@ SELECT CAST(atm_id AS VARCHAR) AS atm_id,
 FROM device_dim"""
 BODIES["daily_fault_mart_stream"] = BODIES["daily_fault_mart"]
 BODIES["device_profile_stream"] = BODIES["device_profile_mart"]
+BODIES["live_per_minute"] = f"""
+SELECT CAST(date_trunc('minute', event_ts) AS TIMESTAMP) AS minute, count(*) AS n
+FROM tx WHERE NOT {_JUNK} GROUP BY 1"""

@@ -48,14 +48,24 @@ def start_live_sink(rows: DataFrame, table_path: str, checkpoint: str,
 
 
 def per_minute_counts(df: DataFrame, ts: str = "event_ts", delay: str = "10 minutes",
-                      by: tuple[str, ...] = ()) -> DataFrame:
+                      by: tuple[str, ...] = (), where=None) -> DataFrame:
     """Transactions per 1-minute window.  On a stream the watermark bounds the
-    state; a window is emitted (append mode) once the watermark passes it."""
+    state; a window is emitted (append mode) once the watermark passes it,
+    and rows older than the watermark are dropped as late.
+
+    ``where`` selects the rows to count.  It is applied inside the aggregate
+    (``count_if``) and windows without such rows are dropped afterwards, not
+    as a filter before it: Catalyst would push such a filter below the
+    watermark, and non-transaction messages (e.g. heartbeats) must still
+    advance event time.
+    """
     if df.isStreaming:
         df = df.withWatermark(ts, delay)
-    return (df.groupBy(F.window(ts, "1 minute").alias("w"), *by)
-              .agg(F.count(F.lit(1)).alias("n"))
-              .select(F.col("w.start").alias("minute"), *by, "n"))
+    n = F.count(F.lit(1)) if where is None else F.count_if(where)
+    out = (df.groupBy(F.window(ts, "1 minute").alias("w"), *by)
+             .agg(n.alias("n"))
+             .select(F.col("w.start").alias("minute"), *by, "n"))
+    return out if where is None else out.filter(F.col("n") > 0)
 
 
 def latest_n(df: DataFrame, n: int = 15, ts: str = "event_ts", tie: str = "offset") -> DataFrame:
