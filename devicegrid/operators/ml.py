@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import day_of_week_sunday0, hash_order
+from devicegrid.functions.exprs import day_of_week_sunday0, portable_unit
 from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
@@ -42,11 +42,12 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = C.SPLI
                seed: int = C.SEED, name: str = "split") -> DataFrame:
     """Seeded, repeatable train/test assignment per row.
 
-    Every row draws a uniform number from a hash of its keys, so each label
-    class is split in the same proportion in expectation (stratified),
-    with no shuffle and no group gathered in one task.
+    Every row draws a uniform number from a SHA-256 hash of its keys, so each
+    label class is split in the same proportion in expectation (stratified),
+    with no shuffle and no group gathered in one task; the same split can be
+    reproduced in SQL.
     """
-    u = F.pmod(hash_order(*keys, seed=seed), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    u = portable_unit(*keys, seed=seed)
     return df.withColumn(name, F.when(u < test_fraction, "test").otherwise("train"))
 
 

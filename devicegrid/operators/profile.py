@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import hash_order
+from devicegrid.functions.exprs import hash_order, portable_hash_text
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -184,8 +184,9 @@ def series_of(df: DataFrame, key: str, value, date: str = "event_date") -> DataF
 
 
 def repeatable_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = C.SEED) -> DataFrame:
-    """``n`` rows in a seeded pseudo-random order (same rows on every run)."""
-    return df.orderBy(hash_order(*keys, seed=seed), *keys).limit(n)
+    """``n`` rows in a seeded pseudo-random order (same rows on every run and
+    in any engine with SHA-256); a top-n, so no global sort is materialised."""
+    return df.orderBy(portable_hash_text(*keys, seed=seed), *keys).limit(n)
 
 
 def shuffled(df: DataFrame, keys: Sequence[str], seed: int = C.SEED) -> DataFrame:

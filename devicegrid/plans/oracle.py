@@ -488,3 +488,19 @@ BODIES["device_profile_stream"] = BODIES["device_profile_mart"]
 BODIES["live_per_minute"] = f"""
 SELECT CAST(date_trunc('minute', event_ts) AS TIMESTAMP) AS minute, count(*) AS n
 FROM tx WHERE NOT {_JUNK} GROUP BY 1"""
+
+
+def _unit(*cols: str) -> str:
+    txt = "concat_ws('|', '" + str(C.SEED) + "', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    return f"(CAST(('0x' || substr(sha256({txt}), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+BODIES.update({
+    "stratified_split": f"""
+SELECT atm_id, event_date, CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label,
+       CASE WHEN {_unit('atm_id', 'event_date')} < {C.SPLIT_TEST_FRACTION} THEN 'test' ELSE 'train' END AS split
+FROM daily_faults""",
+    "sample_repeatable": f"""
+SELECT event_id, atm_id, event_ts, event_date, tx_type, amount_mwk, card_type, success FROM tx
+ORDER BY sha256(concat_ws('|', '{C.SEED}', CAST(event_id AS VARCHAR))), event_id LIMIT 100""",
+})
