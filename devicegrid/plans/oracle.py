@@ -504,3 +504,12 @@ FROM daily_faults""",
 SELECT event_id, atm_id, event_ts, event_date, tx_type, amount_mwk, card_type, success FROM tx
 ORDER BY sha256(concat_ws('|', '{C.SEED}', CAST(event_id AS VARCHAR))), event_id LIMIT 100""",
 })
+
+BODIES["json_encode_keyed"] = """
+SELECT CAST(atm_id AS VARCHAR) AS key,
+       CAST(to_json({'event_id': event_id, 'atm_id': atm_id,
+                     'event_ts': strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f'),
+                     'event_date': strftime(event_date, '%Y-%m-%d'),
+                     'tx_type': tx_type, 'amount_mwk': amount_mwk, 'card_type': card_type,
+                     'success': success}) AS VARCHAR) AS value
+FROM tx"""
