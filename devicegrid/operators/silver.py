@@ -99,11 +99,11 @@ def quarantine(decoded: DataFrame, key: str = "atm_id",
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep one row per key: the one with the greatest ``order`` tuple.
 
-    Written as an aggregate (``max_by`` over a struct) rather than a
-    ``row_number`` window: the aggregate combines map-side, so a key that
-    holds a large share of the rows is reduced inside each input partition
-    before the shuffle instead of being sorted in one task.  ``order`` must
-    be a total order over duplicates for a deterministic survivor.
+    Written as an aggregate (``max_by`` over a struct): it combines
+    map-side, so a key that holds a large share of the rows is reduced
+    inside each input partition before the shuffle (measured in SKEW.md).
+    ``order`` must be a total order over duplicates for a deterministic
+    survivor.
     """
     payload = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*[F.col(c) for c in payload]),
