@@ -100,3 +100,11 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024**4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409_600
     assert scale_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
+
+
+def test_dedupe_limits_each_key_before_the_shuffle(spark, sf_dir):
+    """Skew safety of latest-wins de-duplication: a partial window group
+    limit (one row per key and partition) runs below the exchange."""
+    plan = E.queries()["dedupe_latest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    below_exchange = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "WindowGroupLimit" in below_exchange
