@@ -180,7 +180,9 @@ def profile_shapes(m: Model) -> DataFrame:
     """Rows, columns and null cells per table."""
     t = m.tables
     return profile.shape_profile({"lineitem": t.lineitem, "events": t.events,
-                                  "orders": t.orders, "customer": t.customer})
+                                  "orders": t.orders, "customer": t.customer,
+                                  "supplier": t.supplier, "nation": t.nation,
+                                  "region": t.region})
 
 
 @query("type_breakdown")
