@@ -171,8 +171,11 @@ def component_lookup(m: Model) -> DataFrame:
 
 @query("profile_numeric")
 def profile_numeric(m: Model) -> DataFrame:
-    """Mean / std / min / max per numeric column, one decimal."""
-    return profile.numeric_profile(m.tables.lineitem)
+    """Mean / std / min / max per numeric column of each table, one decimal."""
+    t = m.tables
+    parts = [profile.numeric_profile(df).select(F.lit(name).alias("table"), "*")
+             for name, df in (("lineitem", t.lineitem), ("events", t.events), ("orders", t.orders))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("profile_shapes")

@@ -309,10 +309,13 @@ FROM tx""",
     "component_lookup": """
 SELECT fault_type, component, count(*) AS events FROM faults GROUP BY fault_type, component""",
     "profile_numeric": "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS \"column\", round(round(avg({c}), 1), 6) AS mean, "
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", round(round(avg({c}), 1), 6) AS mean, "
         f"round(round(stddev_samp({c}), 1), 6) AS std, "
         f"round(CAST(min({c}) AS DOUBLE), 1) AS min, round(CAST(max({c}) AS DOUBLE), 1) AS max "
-        f"FROM lineitem" for c in _LI_NUM),
+        f"FROM {t}" for t, cols in (("lineitem", _LI_NUM),
+                                    ("events", ["event_id", "user_id", "value"]),
+                                    ("orders", ["o_orderkey", "o_custkey", "o_totalprice"]))
+        for c in cols),
     "profile_shapes": "\nUNION ALL\n".join(_shape(t, c) for t, c in _SHAPES.items()),
     "type_breakdown": """
 SELECT tx_type, count(*) AS count, round_even(avg(amount_mwk), 0) AS avg_amount
