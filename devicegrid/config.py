@@ -82,8 +82,21 @@ RECIPIENT_FAULT = "FIELD_ENGINEER"
 SENDER = "ATM_OPS"
 EMAIL_TO = "ops@bank.example"
 CURRENCY = "MWK"
-CASH_SMS_TAIL = "Refill needed within 24h."
-FAULT_SMS_TAIL = "Dispatch engineer within 48h."
+
+# Alert message templates; {name} is filled from the alert row's column.
+CASH_SMS = "[{priority}] ATM {atm_id} ({city}) cash low: {amount} MWK. Refill needed within 24h."
+CASH_EMAIL_SUBJECT = "[{priority}] Cash refill required: {atm_id}"
+CASH_EMAIL_BODY = ("ATM {atm_id} in {city} ({region}) dropped below minimum.\n"
+                   "Current: {amount} MWK\n"
+                   "Status: {cash_status}")
+FAULT_SMS = ("[{priority}] ATM {atm_id} ({city}) {severity} fault risk. "
+             "Components: {components}. Dispatch engineer within 48h.")
+FAULT_EMAIL_SUBJECT = "[{priority}] Fault risk: {atm_id}"
+FAULT_EMAIL_BODY = ("ATM {atm_id} in {city} ({region})\n"
+                    "Model: {atm_model}\n"
+                    "Severity: {severity}\n"
+                    "Faults: {faults} Warnings: {warnings}\n"
+                    "Components: {components}")
 
 # Features of the next-event fault model, in order.
 FAULT_FEATURES = [

@@ -97,6 +97,22 @@ def alert_id(*parts, length: int = 8) -> Column:
     return F.substring(F.sha2(key, 256), 1, length)
 
 
+def template_parts(template: str) -> list[tuple[str, str]]:
+    """Split ``"a {x} b"`` into [("lit", "a "), ("col", "x"), ("lit", " b")]."""
+    import re
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if piece:
+            parts.append(("col" if i % 2 else "lit", piece))
+    return parts
+
+
+def render(template: str, values: dict[str, Column]) -> Column:
+    """Fill a ``{name}`` template from columns (NULL if any value is NULL)."""
+    return F.concat(*[F.lit(v) if kind == "lit" else values[v].cast("string")
+                      for kind, v in template_parts(template)])
+
+
 def component_list(counts: dict[str, Column], fallback: str = C.NO_COMPONENT_TEXT) -> Column:
     """``"name:n, ..."`` for the components with a positive count, else ``fallback``."""
     items = F.filter(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import alert_id, component_list, thousands
+from devicegrid.functions.exprs import alert_id, component_list, render, thousands
 
 ALERT_COLUMNS = [
     "alert_id", "type", "priority", "created_at", "atm_id", "event_date", "city", "region",
@@ -34,18 +34,16 @@ def cash_alerts(daily_cash: DataFrame, dim: DataFrame, run_ts: str = C.DEFAULT_R
     rows = daily_cash.filter((F.col(date) == latest) & (F.col("min_cash_mwk") < min_cash))
     j = rows.join(dim.select(key, "city", "region"), key)
     p = F.when(F.col("min_cash_mwk") < min_cash / 2, "P1").otherwise("P2")
-    amount = thousands("min_cash_mwk")
+    v = {"priority": p, "atm_id": F.col(key), "city": F.col("city"), "region": F.col("region"),
+         "amount": thousands("min_cash_mwk"), "cash_status": F.col("cash_status")}
     return j.select(
         F.lit(C.ALERT_TYPE_CASH).alias("type"),
         p.alias("priority"),
         F.lit(run_ts).alias("created_at"),
         key, date, "city", "region", "min_cash_mwk", "cash_status",
-        F.format_string(f"[%s] ATM %s (%s) cash low: %s {C.CURRENCY}. {C.CASH_SMS_TAIL}",
-                        p, F.col(key), F.col("city"), amount).alias("sms"),
-        F.format_string("[%s] Cash refill required: %s", p, F.col(key)).alias("email_subject"),
-        F.format_string(f"ATM %s in %s (%s) dropped below minimum.\nCurrent: %s {C.CURRENCY}\n"
-                        "Status: %s", F.col(key), F.col("city"), F.col("region"), amount,
-                        F.col("cash_status")).alias("email_body"),
+        render(C.CASH_SMS, v).alias("sms"),
+        render(C.CASH_EMAIL_SUBJECT, v).alias("email_subject"),
+        render(C.CASH_EMAIL_BODY, v).alias("email_body"),
     )
 
 
@@ -66,6 +64,9 @@ def fault_alerts(daily_faults: DataFrame, dim: DataFrame, run_ts: str = C.DEFAUL
           .when(F.col("severity") == "medium", "P2")
           .otherwise("P3"))
     comps = component_list({c: F.col(f"{c}_events") for c in C.ALERT_COMPONENTS})
+    v = {"priority": p, "atm_id": F.col(key), "city": F.col("city"), "region": F.col("region"),
+         "atm_model": F.col("atm_model"), "severity": F.col("severity"),
+         "faults": F.col("faults"), "warnings": F.col("warnings"), "components": comps}
     return j.select(
         F.lit(C.ALERT_TYPE_FAULT).alias("type"),
         p.alias("priority"),
@@ -73,13 +74,9 @@ def fault_alerts(daily_faults: DataFrame, dim: DataFrame, run_ts: str = C.DEFAUL
         key, date, "city", "region", "atm_model", "severity", "faults", "warnings",
         F.col("faults_ma_30d").cast("double").alias("faults_ma_30d"),
         comps.alias("components"),
-        F.format_string(f"[%s] ATM %s (%s) %s fault risk. Components: %s. {C.FAULT_SMS_TAIL}",
-                        p, F.col(key), F.col("city"), F.col("severity"), comps).alias("sms"),
-        F.format_string("[%s] Fault risk: %s", p, F.col(key)).alias("email_subject"),
-        F.format_string("ATM %s in %s (%s)\nModel: %s\nSeverity: %s\nFaults: %s Warnings: %s\n"
-                        "Components: %s", F.col(key), F.col("city"), F.col("region"),
-                        F.col("atm_model"), F.col("severity"), F.col("faults"),
-                        F.col("warnings"), comps).alias("email_body"),
+        render(C.FAULT_SMS, v).alias("sms"),
+        render(C.FAULT_EMAIL_SUBJECT, v).alias("email_subject"),
+        render(C.FAULT_EMAIL_BODY, v).alias("email_body"),
     )
 
 

@@ -15,6 +15,30 @@ def _list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
+def _render(template: str, values: dict[str, str]) -> str:
+    """The SQL form of ``exprs.render``: literals and expressions joined by ||."""
+    from devicegrid.functions.exprs import template_parts
+    out = []
+    for kind, v in template_parts(template):
+        if kind == "col":
+            out.append(values[v])
+        else:
+            out.append(" || chr(10) || ".join(f"'{line}'" for line in v.split("\n")))
+    return " || ".join(out)
+
+
+_CASH_VALUES = {"priority": "priority", "atm_id": "CAST(atm_id AS VARCHAR)", "city": "city",
+                "region": "region", "amount": "format('{:,}', min_cash_mwk)",
+                "cash_status": "cash_status"}
+_FAULT_VALUES = {"priority": "priority", "atm_id": "CAST(atm_id AS VARCHAR)", "city": "city",
+                 "region": "region", "atm_model": "atm_model", "severity": "severity",
+                 "faults": "CAST(faults AS VARCHAR)", "warnings": "CAST(warnings AS VARCHAR)",
+                 "components": "components"}
+_CASH_TEXT = ",\n    ".join(f"{_render(t, _CASH_VALUES)} AS {n}" for n, t in (
+    ("sms", C.CASH_SMS), ("email_subject", C.CASH_EMAIL_SUBJECT), ("email_body", C.CASH_EMAIL_BODY)))
+_FAULT_TEXT = ",\n    ".join(f"{_render(t, _FAULT_VALUES)} AS {n}" for n, t in (
+    ("sms", C.FAULT_SMS), ("email_subject", C.FAULT_EMAIL_SUBJECT), ("email_body", C.FAULT_EMAIL_BODY)))
+
 AS_OF = f"DATE '{C.DEFAULT_AS_OF.isoformat()}'"
 RUN_TS = f"'{C.DEFAULT_RUN_TS}'"
 _TX_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_TO_TX.items())
@@ -157,12 +181,7 @@ cash_alerts AS (
     AND d.min_cash_mwk < {C.ALERT_MIN_CASH}),
 cash_alert_text AS (
   SELECT *,
-    '[' || priority || '] ATM ' || CAST(atm_id AS VARCHAR) || ' (' || city || ') cash low: '
-      || format('{{:,}}', min_cash_mwk) || ' {C.CURRENCY}. {C.CASH_SMS_TAIL}' AS sms,
-    '[' || priority || '] Cash refill required: ' || CAST(atm_id AS VARCHAR) AS email_subject,
-    'ATM ' || CAST(atm_id AS VARCHAR) || ' in ' || city || ' (' || region || ') dropped below minimum.'
-      || chr(10) || 'Current: ' || format('{{:,}}', min_cash_mwk) || ' {C.CURRENCY}'
-      || chr(10) || 'Status: ' || cash_status AS email_body
+    {_CASH_TEXT}
   FROM cash_alerts),
 fault_alerts AS (
   SELECT '{C.ALERT_TYPE_FAULT}' AS type,
@@ -180,13 +199,7 @@ fault_alerts AS (
     AND (f.faults > 0 OR f.warnings >= {C.ALERT_MIN_WARNINGS})),
 fault_alert_text AS (
   SELECT *,
-    '[' || priority || '] ATM ' || CAST(atm_id AS VARCHAR) || ' (' || city || ') ' || severity
-      || ' fault risk. Components: ' || components || '. {C.FAULT_SMS_TAIL}' AS sms,
-    '[' || priority || '] Fault risk: ' || CAST(atm_id AS VARCHAR) AS email_subject,
-    'ATM ' || CAST(atm_id AS VARCHAR) || ' in ' || city || ' (' || region || ')'
-      || chr(10) || 'Model: ' || atm_model || chr(10) || 'Severity: ' || severity
-      || chr(10) || 'Faults: ' || CAST(faults AS VARCHAR) || ' Warnings: ' || CAST(warnings AS VARCHAR)
-      || chr(10) || 'Components: ' || components AS email_body
+    {_FAULT_TEXT}
   FROM fault_alerts),
 all_alerts AS (
   SELECT substr(sha256(concat_ws('|', type, CAST(atm_id AS VARCHAR), CAST(event_date AS VARCHAR))), 1, 8) AS alert_id,
