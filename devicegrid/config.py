@@ -21,6 +21,9 @@ CASH_LOW_BELOW = 100_000
 SEVERITY_HIGH_FAULTS = 2
 SEVERITY_MEDIUM_WARNINGS = 5
 
+# Cash loaded by a refill (the starting level of a device).
+REFILL_AMOUNT = 500_000
+
 # Moving-window lengths in rows.
 CASH_MA_ROWS = 7
 FAULT_ROLLING_ROWS = 30

@@ -22,14 +22,13 @@ from devicegrid import config as C
 from devicegrid.functions.exprs import pick
 from devicegrid.sources.tables import Tables
 
-# Fixed values of the mapping: event type -> transaction type.
+# Mapping choices of this build: event type -> transaction type.
 EVENT_TO_TX = {
     "purchase": "withdrawal",
     "view": "balance_enquiry",
     "signup": "deposit",
 }
-# Starting cash loaded by a refill.
-REFILL_AMOUNT = 500_000
+REFILL_AMOUNT = C.REFILL_AMOUNT
 
 
 def transactions(t: Tables) -> DataFrame:
