@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, exact_dedup, sharding
-from devicegrid.llm.common import read
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, langid, sharding, toxicity
+from devicegrid.llm.common import id_crc32, read
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,26 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn where crc32(doc_id) mod 5 is not 0, score every document."""
+    docs = read(spark, sf_dir, "documents")
+    learn = id_crc32() % 5 != 0
+    model = toxicity.fit(docs.select("doc_id", "text"), read(spark, sf_dir, "labels").where(learn).select("doc_id", "toxic"))
+    return toxicity.score(docs.select("doc_id", "text"), model, ["doc_id"]).select(
+        "doc_id", (~learn).alias("held_out"), "score", "predicted")
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learnt from the texts and languages of rows whose crc32(doc_id) mod 3 is not 1."""
+    return langid.fit(docs.where(id_crc32() % 3 != 1).select("doc_id", "lang", "text"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs.select("doc_id", "text"), language_model(docs), ["doc_id"]).select(
+        "doc_id", (id_crc32() % 3 == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.regular_tree(8)
     return sharding.shard_rows(read(spark, sf_dir, "documents"), tree, sharding.add_shard(tree))
@@ -41,8 +61,18 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"), ["doc_id"])
+    return hits.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_decontamination": op8_decontamination,
 }

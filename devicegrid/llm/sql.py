@@ -32,4 +32,32 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op5_exact_dedup": OP5}
+#: CTEs: words of documents and items, distinct windows of items, and hits.
+_CONTAMINATION = r"""
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM {documents}
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS size, array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS win
+  FROM items, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS r(i) WHERE len(words) > 0
+), sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM docs, sizes, unnest(range(1, len(words) - size + 2)) AS r(i) WHERE len(words) >= size
+), hits AS (SELECT doc_id, size, i, item FROM doc_windows JOIN item_windows USING (size, win)
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT DISTINCT doc_id, size, i FROM hits), unnest(range(size)) AS r(k) GROUP BY doc_id
+)"""
+
+OP8 = "WITH " + _CONTAMINATION.replace("{documents}", "documents") + """
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(h.n, 0) AS n_items,
+  sha256(coalesce(h.ids, '')) AS items_sha256, c.n IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN covered c USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+           FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id) h USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8}
