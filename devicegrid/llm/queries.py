@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, decontaminate, exact_dedup, langid, sharding, toxicity
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, sharding, toxicity
 from devicegrid.llm.common import id_crc32, read
 
 
@@ -61,6 +61,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document: five words, similarity 0.8."""
+    return jaccard_join.join_classes(read(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"), ["doc_id"])
     return hits.select(
@@ -74,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
 }

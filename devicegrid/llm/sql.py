@@ -60,4 +60,34 @@ LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS
            FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id) h USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op5_exact_dedup": OP5, "op8_decontamination": OP8}
+#: CTEs: shingles by document, texts with equal sets as nodes, links and classes.
+_NEAR = r"""
+word_lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM {documents}
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(words) - least(5, len(words)) + 2),
+    lambda i: array_to_string(words[i:i + least(5, len(words)) - 1], ' ')))) AS grams FROM word_lists WHERE len(words) > 0
+), nodes AS (
+  SELECT min(doc_id) AS node, any_value(grams) AS grams, count(*) AS copies, list(doc_id) AS ids FROM sets GROUP BY sha256(array_to_string(grams, chr(10)))
+), flat AS (SELECT node, len(grams) AS n, unnest(grams) AS gram FROM nodes),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM flat a JOIN flat b ON a.gram = b.gram AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reached AS (
+  SELECT node AS a, node AS b FROM nodes UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), classes AS (SELECT a AS node, min(b) AS class_id FROM reached GROUP BY a
+), linked AS (SELECT l.a AS node, sum(n.copies) AS n, count(*) AS texts FROM links l JOIN nodes n ON n.node = l.b GROUP BY l.a
+), near AS (
+  SELECT unnest(n.ids) AS doc_id, c.class_id, coalesce(l.n, 0) + n.copies - 1 AS n_links, coalesce(l.texts, 0) AS n_texts,
+    sum(n.copies) OVER (PARTITION BY c.class_id) AS class_rows
+  FROM nodes n JOIN classes c USING (node) LEFT JOIN linked l USING (node)
+)"""
+
+OP7 = "WITH RECURSIVE " + _NEAR.replace("{documents}", "documents") + """
+SELECT d.doc_id, coalesce(n.class_id, d.doc_id) AS class_id, coalesce(n.n_links, 0)::BIGINT AS n_links,
+  coalesce(n.n_texts, 0)::BIGINT AS n_texts, coalesce(n.class_rows, 1)::BIGINT AS class_rows
+FROM documents d LEFT JOIN near n USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op5_exact_dedup": OP5, "op7_ngram_jaccard_join": OP7, "op8_decontamination": OP8}

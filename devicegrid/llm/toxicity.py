@@ -6,9 +6,9 @@ for each coordinate, and its L1 term leaves most weights at exactly 0, so that
 the model is a short list of (coordinate, weight), bounded by 2^20 entries.
 
 Fitting takes a bounded sample of labelled rows (``max_rows`` in expectation,
-by hash of the id), deals them to ``shards`` groups, runs FTRL over each group
-in a task of its own and averages the weights.  Scoring needs no shuffle and
-reads every text whole.
+by hash of the id): texts become coordinates in parallel tasks, and one task
+runs FTRL over the bounded sample in the order of the ids' hash.  Scoring needs
+no shuffle and reads every text whole.
 
 Defined results
 * a null or empty text has only the intercept, and so a score too;
@@ -25,7 +25,6 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,13 +85,14 @@ def ftrl(rows: list[tuple[np.ndarray, int]], alpha: float, beta: float, l1: floa
     return weights(z, n)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, shards: int = 6, epochs: int = 3,
-        alpha: float = 0.3, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: int = 6,
+        alpha: float = 2.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) learnt from ``labels`` (doc_id, toxic) and the texts."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = known.count()
+    # Bounded by max_rows, and so broadcast: the texts are not shuffled.
     sample = known.where(sample_share(total, max_rows)).select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__y"))
-    rows = docs.select("doc_id", F.col("text").alias("__t")).join(sample, F.col("doc_id") == F.col("__id")).select("doc_id", "__y", "__t")
+    rows = docs.select("doc_id", F.col("text").alias("__t")).join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "__y", "__t")
 
     def featured(batches):
         features = featurizer()
@@ -101,18 +101,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000, shards: int
                 batch.column(0), batch.column(1),
                 pa.array([features(t).tobytes() for t in batch.column(2).to_pylist()], pa.binary())], names=["id", "y", "at"])
 
-    def train(key, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["order", "id"], kind="stable")
-        w = ftrl([(np.frombuffer(a, np.int32), int(y)) for a, y in zip(group["at"], group["y"])], alpha, beta, l1, l2, epochs)
+    def train(batches):
+        learnt = [(np.frombuffer(a, np.int32), y) for batch in batches
+                  for y, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        w = ftrl(learnt, alpha, beta, l1, l2, epochs)
         at = np.flatnonzero(w)
-        return pd.DataFrame({"at": at.astype("int32"), "w": w[at]})
-
-    # Groups are bounded: max_rows / shards rows each, whatever the input.
-    dealt = (rows.mapInArrow(featured, "id bigint, y int, at binary")
-             .withColumn("order", F.xxhash64(F.lit("deal"), F.col("id")))
-             .withColumn("shard", F.pmod(F.col("order"), F.lit(shards))))
-    found = (dealt.groupBy("shard").applyInPandas(train, "at int, w double")
-             .groupBy("at").agg((F.sum("w") / F.lit(shards)).alias("w")).collect())
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(w[at])], names=["at", "w"])
+
+    # One task, bounded by max_rows whatever the input.
+    found = (rows.mapInArrow(featured, "id bigint, y int, at binary").repartition(1)
+             .sortWithinPartitions(F.xxhash64(F.lit("deal"), F.col("id")), "id", "at")
+             .mapInArrow(train, "at int, w double").collect())
     found.sort(key=lambda r: r["at"])
     return np.array([r["at"] for r in found], np.int32), np.array([r["w"] for r in found], np.float64)
 
