@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, sharding, toxicity
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, sharding, substring_dedup, suffix_dedup, toxicity
 from devicegrid.llm.common import id_crc32, read
 
 
@@ -73,6 +73,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in 400-byte strings that start anywhere else go."""
+    return suffix_dedup.find_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in windows of 20 words that also start earlier go."""
+    return substring_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -81,4 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
