@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, sharding, substring_dedup, suffix_dedup, toxicity
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
 from devicegrid.llm.common import id_crc32, read
 
 
@@ -61,6 +62,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
 
 
+def piece_model() -> str:
+    """Path of the SentencePiece model: a parameter, by default the public 32k one."""
+    return os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again to compare."""
+    return sentencepiece_codec.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), piece_model(), ["doc_id"], digest=True)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document: five words, similarity 0.8."""
     return jaccard_join.join_classes(read(spark, sf_dir, "documents"))
@@ -89,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
