@@ -58,6 +58,8 @@ class ChatTemplate:
     def check(self) -> None:
         if any(c[0] in "&#;0123456789" or c[0].isalnum() for c in self.controls()):
             raise ValueError("a control string starts with a sign that no text can miss")
+        if not all([self.start, *self.accepting, *(s for by_role in self.transitions.values() for s in by_role.values())]):
+            raise ValueError("a state has a name")
         if self.role_end != "\n" or not self.turn_open or not self.turn_close:
             raise ValueError("a turn needs an opening and a closing mark, and its role ends with a line end")
 
@@ -112,9 +114,9 @@ def format_chats(turns: DataFrame, template: ChatTemplate = DEFAULT) -> DataFram
                            for r, nxt in sorted(by_role.items()) for x in (f"{s}\n{r}", nxt)])
 
     def step(acc: Column, turn: Column) -> Column:
-        # A null state has stopped; bad counts the turns accepted before that.
-        nxt = F.element_at(moves, F.concat(acc["state"], F.lit("\n"), turn["role"]))
-        return F.struct(nxt.alias("state"), (acc["bad"] + F.when(nxt.isNotNull(), 1).otherwise(0)).alias("bad"))
+        # The empty state has stopped; bad counts the turns accepted before that.
+        nxt = F.coalesce(F.element_at(moves, F.concat(acc["state"], F.lit("\n"), turn["role"])), F.lit(""))
+        return F.struct(nxt.alias("state"), (acc["bad"] + F.when(nxt != "", 1).otherwise(0)).alias("bad"))
 
     begin = F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("bad"))
     segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
@@ -135,8 +137,8 @@ def format_chats(turns: DataFrame, template: ChatTemplate = DEFAULT) -> DataFram
         .select(
             "conv_id",
             F.size("t").cast("long").alias("n_turns"),
-            F.coalesce(F.col("end.state").isin(*template.accepting), no).alias("valid"),
-            F.when(~F.coalesce(F.col("end.state").isin(*template.accepting), no), F.col("end.bad")).alias("bad_turn"),
+            F.col("end.state").isin(*template.accepting).alias("valid"),
+            F.when(~F.col("end.state").isin(*template.accepting), F.col("end.bad")).alias("bad_turn"),
             segments.alias("segments"),
         )
         .withColumn("formatted", F.array_join(F.col("segments.text"), ""))
