@@ -167,7 +167,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         scanned = scanned.where("n_hit = 0")
     else:
         at = docs.columns.index("text")
-        cut = F.udf(lambda t, s: cut_spans(t, s), "string")
+        cut = F.udf(lambda t, s: cut_spans(t, s) if t else t, "string")
         text = F.col(names[at])
         scanned = scanned.withColumn(names[at], F.when(F.col("n_hit") > 0, cut(text, "spans")).otherwise(text))
     return scanned.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
