@@ -87,14 +87,19 @@ def thousands(x) -> Column:
     return F.format_number(col_(x).cast("long"), 0)
 
 
-def alert_id(*parts, length: int = 8) -> Column:
-    """Repeatable alert id: prefix of the SHA-256 of the key parts.
+#: Hex digits of an alert id: 64 bits, so that ids of a billion alerts are
+#: expected to stay apart.
+ALERT_ID_DIGITS = 16
+
+
+def alert_id(*parts) -> Column:
+    """Repeatable alert id: the first 64 bits of the SHA-256 of the key parts.
 
     Reruns on the same input give the same ids, so a rerun overwrites rather
-    than piling up.  Use a longer ``length`` when alert volume is large.
+    than piling up.
     """
     key = F.concat_ws("|", *[col_(p).cast("string") for p in parts])
-    return F.substring(F.sha2(key, 256), 1, length)
+    return F.substring(F.sha2(key, 256), 1, ALERT_ID_DIGITS)
 
 
 def template_parts(template: str) -> list[tuple[str, str]]:

@@ -94,7 +94,7 @@ def classification_metrics(scored: DataFrame, label: str = "label") -> dict[str,
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="fault_probability",
-                                        metricName="areaUnderROC").evaluate(scored)
+                                        metricName="areaUnderROC", numBins=0).evaluate(scored)
     c = scored.agg(F.count_if((F.col("predicted") == 1) & (F.col(label) == 1)).alias("tp"),
                    F.count_if((F.col("predicted") == 1) & (F.col(label) == 0)).alias("fp"),
                    F.count_if((F.col("predicted") == 0) & (F.col(label) == 1)).alias("fn")).first()
@@ -164,21 +164,25 @@ def silhouette(assigned: DataFrame) -> float:
 
 
 def utilisation(profile: DataFrame, key: str = "atm_id", group: str = "region",
-                value: str = "total_tx", accuracy: int = 10_000) -> DataFrame:
-    """``utilisation_score`` in [0, 1]: approximate percentile rank of
-    ``value`` within ``group``, plus a recommendation label.
-
-    (Own definition; the source pipeline only names the column.)  Per group
-    99 approximate percentiles are computed as a distributed aggregate
-    (bounded memory), joined back on the group, and the score is the share
-    of percentiles at or below the value.
+                value: str = "total_tx") -> DataFrame:
+    """``utilisation_score`` in (0, 1]: the share of the group's rows with at
+    most this ``value``, plus a recommendation label.
+
+    (Own definition; the source pipeline only names the column.)  Exact at
+    every size: rows are counted per (group, value) with map-side
+    combination, the running sum goes over those counts - as many as there
+    are different values - and is joined back on both columns, so that a
+    group that holds most rows is spread over its values.
     """
-    probs = [i / 100 for i in range(1, 100)]
-    q = profile.groupBy(group).agg(F.percentile_approx(value, probs, accuracy).alias("_q"))
-    j = profile.join(q, group, "left")
-    score_ = (F.size(F.filter("_q", lambda x: x <= F.col(value))) / F.lit(len(probs)))
-    rec = (F.when(score_ >= 0.8, "expand").when(score_ <= 0.2, "review").otherwise("maintain"))
-    return j.select(key, group, value, F.round(score_, 4).alias("utilisation_score"),
+    counts = profile.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(group).orderBy(value)
+    ranked = counts.select(
+        F.col(group).alias("_g"), F.col(value).alias("_v"),
+        (F.sum("_n").over(upto).cast("double") / F.sum("_n").over(Window.partitionBy(group))).alias("_score"))
+    j = profile.join(ranked, F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v")))
+    rec = (F.when(F.col("_score") >= 0.8, "expand").when(F.col("_score") <= 0.2, "review")
+            .otherwise("maintain"))
+    return j.select(key, group, value, F.round("_score", 4).alias("utilisation_score"),
                     rec.alias("recommendation"))
 
 

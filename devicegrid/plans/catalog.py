@@ -395,7 +395,7 @@ def cluster_profile(m: Model) -> DataFrame:
 
 @query("utilisation_scores")
 def utilisation_scores(m: Model) -> DataFrame:
-    """Approximate percentile rank of volume within the region (own definition)."""
+    """Share of the region's devices with at most this volume (own definition)."""
     return ml.utilisation(m.device_profile)
 
 
