@@ -19,13 +19,27 @@ from devicegrid.functions.exprs import try_date, try_timestamp
 from devicegrid.sources.schemas import tolerant_schema
 
 
+def _whole_number(c: Column, kind: str) -> Column:
+    """The number a text states, if it is whole and fits; else NULL.
+
+    Decimals keep every digit (a double would not beyond 2^53); texts with
+    an exponent are the exception and go through a double, whole values of
+    up to 2^53 only.
+    """
+    d = c.try_cast("decimal(38,10)")
+    exact = F.when(d == F.floor(d), d.cast("decimal(38,0)").try_cast(kind))
+    e = F.when(c.rlike("[eE]"), c.try_cast("double"))
+    powers = F.when((e == F.rint(e)) & (F.abs(e) <= F.lit(9007199254740992.0)), e.try_cast(kind))
+    return F.coalesce(exact, powers)
+
+
 def text_to_long(c: Column) -> Column:
-    """``"7"`` -> 7, ``"343.0"`` -> 343, junk -> NULL."""
-    return F.coalesce(c.try_cast("long"), c.try_cast("double").try_cast("long"))
+    """``"7"`` -> 7, ``"343.0"`` -> 343; ``"343.7"``, junk and what does not fit -> NULL."""
+    return _whole_number(c, "long")
 
 
 def text_to_int(c: Column) -> Column:
-    return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
+    return _whole_number(c, "int")
 
 
 def text_to_bool(c: Column) -> Column:
@@ -56,19 +70,22 @@ def decode_json(raw: DataFrame, schema: T.StructType, value_col: str = "value",
                 keep: Sequence[str] = ()) -> DataFrame:
     """Decode JSON text into typed columns of ``schema`` (tolerant).
 
-    Adds ``_malformed``: true when the text is not a JSON object (all
-    fields NULL after decoding), so callers can quarantine it.
+    Adds ``_malformed``: true when there is a text and it is not a JSON
+    object, so callers can quarantine it.  A NULL text and a JSON object
+    without known fields are not malformed; they have no key.
 
     The text is parsed once, inside an ``inline`` generator: a later filter
     on a decoded field (e.g. the key) cannot be pushed below a generator,
     so Catalyst does not copy the ``from_json`` call into the filter.
     """
     tol = tolerant_schema(schema)
-    d = F.from_json(F.col(value_col).cast("string"), tol)
+    corrupt = "_corrupt"
+    text = F.col(value_col).cast("string")
+    d = F.from_json(text, T.StructType([*tol.fields, T.StructField(corrupt, T.StringType())]),
+                    {"columnNameOfCorruptRecord": corrupt})
     flat = raw.select(*keep, F.inline(F.array(d)))
     typed = [convert(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
-    all_null = F.coalesce(*[F.col(f.name) for f in schema.fields]).isNull()
-    return flat.select(*keep, *typed, all_null.alias("_malformed"))
+    return flat.select(*keep, *typed, F.col(corrupt).isNotNull().alias("_malformed"))
 
 
 def to_silver(decoded: DataFrame, ts_col: str, key: str = "atm_id",
@@ -90,8 +107,13 @@ def to_silver(decoded: DataFrame, ts_col: str, key: str = "atm_id",
 
 def quarantine(decoded: DataFrame, key: str = "atm_id",
                keep: Sequence[str] = ("value",)) -> DataFrame:
-    """Rows that cannot enter silver, with the reason."""
-    reason = F.when(F.col("_malformed"), "malformed_json").otherwise("missing_key")
+    """Rows that cannot enter silver, with the reason: ``malformed_json`` (not a
+    JSON object), ``empty_message`` (no text; needs ``value`` among the
+    columns) or ``missing_key``."""
+    empty = F.trim("value") == "" if "value" in decoded.columns else F.lit(False)
+    none = F.col("value").isNull() if "value" in decoded.columns else F.lit(False)
+    reason = (F.when(none | empty, "empty_message").when(F.col("_malformed"), "malformed_json")
+               .otherwise("missing_key"))
     return (decoded.filter(F.col(key).isNull())
                    .select(*keep, reason.alias("reason")))
 
