@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,11 +43,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (a local test run) a fresh scratch folder is created and used.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
+    scratch folder is created on a local master only; on a cluster each
+    machine would have its own, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         d = tempfile.mkdtemp(prefix="devicegrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -54,6 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in the file system Spark would read it from."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (for written intermediate tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
@@ -69,24 +80,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
-               broadcast_bytes: int = 64 << 20) -> dict[str, str]:
-    """Session settings sized for a given input volume and cluster.
-
-    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
-    * an initial shuffle width large enough that no shuffle partition needs
-      more than ~``target_partition_bytes`` even if a stage shuffles the whole
-      input (at least 3 waves of the cluster's cores); AQE then coalesces
-      small partitions to the advisory size and splits skewed ones;
-    * broadcast only below ``broadcast_bytes`` of *measured* size.
+def scale_conf(shuffled_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               broadcast_bytes: int = 64 << 20, most_partitions: int = 20_000) -> dict[str, str]:
+    """Session settings for a job that shuffles ``shuffled_bytes`` at once.
 
-    E.g. 100 TB on 1,000 executors x 8 cores: 409,600 scan splits, a
-    409,600-wide initial shuffle coalesced at run time.
+    Give what is left *after* map-side aggregation and column pruning, not the
+    input volume.  The initial shuffle width aims at ``target_partition_bytes``,
+    with three waves of the cluster's cores at least and ``most_partitions`` at
+    most (map and reduce blocks multiply); AQE coalesces small partitions and
+    splits skewed ones at run time, larger partitions spill.
     """
-    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    wanted = -(-shuffled_bytes // target_partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.shuffle.partitions": str(max(3 * total_cores, min(most_partitions, wanted))),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",

@@ -94,10 +94,9 @@ def replenishments(levels: DataFrame) -> DataFrame:
 
 
 def _geo(t: Tables) -> DataFrame:
-    # nation (25 rows) and region (5 rows) have a fixed size by definition of
-    # the schema, so broadcasting them is bounded whatever the scale factor.
+    # No hint: AQE broadcasts a side when its measured size allows it.
     n, r = t.nation, t.region
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_name", "n_regionkey", "r_name")
 
 
@@ -125,7 +124,7 @@ def device_dim(t: Tables) -> DataFrame:
     c = t.customer
     first_order = (t.orders.groupBy("o_custkey")
                    .agg(F.to_date(F.min("o_orderdate")).alias("installed_date")))
-    base = c.join(F.broadcast(_geo(t)), c.c_nationkey == F.col("n_nationkey"))
+    base = c.join(_geo(t), c.c_nationkey == F.col("n_nationkey"))
     return (base.join(first_order, base.c_custkey == first_order.o_custkey, "left")
                 .select(*_dim_columns("c_custkey", "c_nationkey", "c_acctbal", F.col("c_mktsegment")),
                         F.col("installed_date"),
@@ -135,7 +134,7 @@ def device_dim(t: Tables) -> DataFrame:
 def level_dim(t: Tables) -> DataFrame:
     """Dimension of the cash-level devices (suppliers); no install date known."""
     s = t.supplier
-    base = s.join(F.broadcast(_geo(t)), s.s_nationkey == F.col("n_nationkey"))
+    base = s.join(_geo(t), s.s_nationkey == F.col("n_nationkey"))
     kind = F.when(F.col("s_acctbal") >= 0, "branch").otherwise("offsite")
     return base.select(*_dim_columns("s_suppkey", "s_nationkey", "s_acctbal", kind),
                        F.lit(None).cast("date").alias("installed_date"),

@@ -3,23 +3,14 @@ documents (column-oriented weather, holiday list, alert feed)."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from devicegrid.session import path_exists
 from devicegrid.sources.schemas import HOLIDAY_SCHEMA, WEATHER_SCHEMA
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
     """CSV with a declared schema (no inference pass); files split into partitions."""
     return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
@@ -28,7 +19,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                   **options) -> DataFrame:
     """Read ``path``, or an empty frame of ``schema`` when it does not exist."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     r = spark.read.schema(schema).options(**options)
     return r.format(fmt).load(path)
