@@ -24,6 +24,7 @@ from devicegrid.sinks import writers
 from devicegrid.sources import adapters, files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live, marts_stream, profile_stream
+from devicegrid.streaming.versioned import VersionedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -454,32 +455,26 @@ def live_sink(m: Model) -> DataFrame:
     rows = live.live_rows(ingest.to_bronze(src, TX_MESSAGE_SCHEMA))
     q = live.start_live_sink(rows, f"{base}/live", f"{base}/_checkpoint", available_now=True)
     q.awaitTermination()
-    return (m.spark.read.parquet(f"{base}/live")
+    return (VersionedTable(m.spark, f"{base}/live").read(rows.schema)
               .select("atm_id", "tx_type", "amount_mwk", "card_type", "success"))
 
 
 @query("live_per_minute")
 def live_per_minute(m: Model) -> DataFrame:
-    """Per-minute transaction counts on the stream (10-minute watermark).
+    """Per-minute transaction counts on the stream.
 
-    The topic is drained in one micro-batch, then a heartbeat message (no
-    key, event time one day after the data) advances the watermark so every
-    window of the data is final and emitted; the heartbeat itself is not a
-    transaction and its own window stays open.  Equals the batch counts of
-    decodable transactions (same SQL as ``tx_per_minute`` minus junk rows).
+    The topic arrives in five files that each cover the whole time range, one
+    per micro-batch; the watermark covers that disorder, counts are upserted by
+    minute, and a row lost behind the watermark would be an error.  Equals the
+    batch counts of decodable transactions.
     """
     base = _run_dir(m, "perminute")
-    landing = _land_messages(m, base)
-    heartbeat = m.tx_messages.agg(F.max("kafka_ts").alias("t")).select(
-        F.lit(None).cast("string").alias("key"), F.lit("heartbeat").alias("value"),
-        (F.col("t") + F.expr("INTERVAL 1 DAY")).alias("kafka_ts"),
-        F.lit(0).alias("partition"), F.lit(-1).cast("long").alias("offset"))
-    heartbeat.write.mode("append").json(landing)
-    b = ingest.to_bronze(ingest.file_stream(m.spark, landing), TX_MESSAGE_SCHEMA)
-    counts = live.per_minute_counts(b, ts="kafka_ts", where=F.col("atm_id").isNotNull())
-    q = ingest.start_parquet_sink(counts, f"{base}/out", f"{base}/_checkpoint", partition_by=())
-    q.awaitTermination()
-    return m.spark.read.parquet(f"{base}/out")
+    landing = f"{base}/landing"
+    m.tx_messages.repartition(5, "offset").write.json(landing)
+    b = ingest.to_bronze(ingest.file_stream(m.spark, landing, max_files_per_trigger=1), TX_MESSAGE_SCHEMA)
+    counts = live.per_minute_counts(b, ts="kafka_ts", delay="400 days", where=F.col("atm_id").isNotNull())
+    live.finished(live.start_minute_counts(counts, f"{base}/out", f"{base}/_checkpoint"))
+    return VersionedTable(m.spark, f"{base}/out").read("minute timestamp, n long")
 
 
 @query("tx_per_minute")
@@ -540,7 +535,7 @@ def daily_cash_mart_stream(m: Model) -> DataFrame:
         lambda rows: marts.daily_level_base(staging.stg_cash(rows)), marts.daily_level_windows,
         lookback_rows=C.CASH_MA_ROWS - 1, buckets=16)
     q.awaitTermination()
-    return marts_stream.read_mart(m.spark, f"{base}/mart")
+    return marts_stream.read_mart(m.spark, f"{base}/mart", m.daily_cash.schema)
 
 
 @query("daily_fault_mart_stream")
@@ -558,7 +553,7 @@ def daily_fault_mart_stream(m: Model) -> DataFrame:
         lambda rows: marts.daily_fault_base(staging.stg_faults(rows)), marts.daily_fault_windows,
         lookback_rows=C.FAULT_ROLLING_ROWS - 1, buckets=16)
     q.awaitTermination()
-    return marts_stream.read_mart(m.spark, f"{base}/mart")
+    return marts_stream.read_mart(m.spark, f"{base}/mart", m.daily_faults.schema)
 
 
 @query("device_profile_stream")

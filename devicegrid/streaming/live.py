@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from devicegrid.streaming.versioned import VersionedTable, query_id
+
 
 def live_rows(bronze: DataFrame, key: str = "atm_id") -> DataFrame:
     """Live table rows: arrival time as event time, defaults for missing values
@@ -20,44 +22,38 @@ def live_rows(bronze: DataFrame, key: str = "atm_id") -> DataFrame:
     )
 
 
+def _triggered(w, available_now: bool, processing_time: str | None):
+    if available_now:
+        return w.trigger(availableNow=True)
+    return w.trigger(processingTime=processing_time) if processing_time else w
+
+
 def start_live_sink(rows: DataFrame, table_path: str, checkpoint: str,
                     processing_time: str | None = "2 seconds",
                     available_now: bool = False) -> StreamingQuery:
-    """Micro-batch insert into a Parquet table via ``foreachBatch``.
+    """Micro-batch insert into a versioned table via ``foreachBatch``.
 
-    Each epoch is written to its own ``batch_id`` partition with overwrite
-    semantics, so a retried epoch replaces its earlier attempt
-    (exactly-once table contents despite at-least-once batch execution).
+    A retried epoch is recognised by query id and number (exactly-once table
+    contents despite at-least-once execution); small folders are merged as
+    they gather, so their number grows with the logarithm of the epochs.
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (batch.withColumn("batch_id", F.lit(epoch_id).cast("long"))
-                  .write.mode("overwrite").partitionBy("batch_id").parquet(table_path))
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        VersionedTable(batch.sparkSession, table_path).append(batch, query_id(batch), epoch_id)
 
     w = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return _triggered(w, available_now, processing_time).start()
 
 
 def per_minute_counts(df: DataFrame, ts: str = "event_ts", delay: str = "10 minutes",
                       by: tuple[str, ...] = (), where=None) -> DataFrame:
-    """Transactions per 1-minute window.  On a stream the watermark bounds the
-    state; a window is emitted (append mode) once the watermark passes it,
-    and rows older than the watermark are dropped as late.
-
-    ``where`` selects the rows to count.  It is applied inside the aggregate
-    (``count_if``) and windows without such rows are dropped afterwards, not
-    as a filter before it: Catalyst would push such a filter below the
-    watermark, and non-transaction messages (e.g. heartbeats) must still
-    advance event time.
+    """Transactions per 1-minute window.
+
+    On a stream the watermark bounds the state; it has to cover the disorder of
+    the source (between its files or partitions), as rows behind it are
+    dropped - :func:`finished` makes that an error.  ``where`` selects the rows
+    to count.  It is applied inside the aggregate, not as a filter before it:
+    Catalyst would push such a filter below the watermark, and other messages
+    must still advance event time.
     """
     if df.isStreaming:
         df = df.withWatermark(ts, delay)
@@ -68,6 +64,28 @@ def per_minute_counts(df: DataFrame, ts: str = "event_ts", delay: str = "10 minu
     return out if where is None else out.filter(F.col("n") > 0)
 
 
+def start_minute_counts(counts: DataFrame, table_path: str, checkpoint: str, buckets: int = 16,
+                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Keep a table of per-minute counts current: update mode, upserts by minute."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        VersionedTable(batch.sparkSession, table_path).upsert(batch, "minute", buckets, query_id(batch), epoch_id)
+
+    w = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(w, available_now, processing_time).start()
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows behind the watermark in the query's recent micro-batches."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def finished(query: StreamingQuery) -> None:
+    """Wait for the query; rows lost behind the watermark are an error."""
+    query.awaitTermination()
+    if lost := dropped_rows(query):
+        raise RuntimeError(f"{lost} rows came later than the watermark allows; raise its delay and start anew")
+
+
 def latest_n(df: DataFrame, n: int = 15, ts: str = "event_ts", tie: str = "offset") -> DataFrame:
     """The ``n`` most recent rows (a top-k report; batch frames)."""
     return df.orderBy(F.col(ts).desc(), F.col(tie).desc()).limit(n)

@@ -4,18 +4,20 @@ Row-frame windows (7-row averages, 30-row sums, lag) are not allowed on
 streaming frames, and a late row changes the following rows of its device
 too.  Each micro-batch (``foreachBatch``) therefore:
 
-1. writes its rows into silver partitions (device bucket, month, epoch): a
-   retried epoch overwrites its own partitions, so silver stays exact;
+1. appends its rows to a versioned silver table, marked with device bucket and
+   month (sorted, so that Parquet statistics skip other buckets and months);
 2. finds, per touched bucket, the earliest month it touched (at most
    ``buckets`` rows reach the driver);
-3. rebuilds the daily rows of those buckets from that month on, from silver
-   (static partition pruning on bucket and month);
+3. rebuilds the daily rows of those buckets from that month on, from silver;
 4. seeds the windows with each device's last ``lookback_rows`` daily rows
-   before that month, read from the existing mart (the windows look only
-   backwards, so earlier mart rows never change), materialised in the shared
-   checkpoint folder before the mart is written;
-5. replaces the mart partitions (bucket, month >= first touched month) with
-   dynamic partition overwrite.
+   before that month, read from the earlier version of those buckets' mart
+   (the windows look only backwards, so earlier mart rows never change);
+5. writes the rebuilt (bucket, month) parts as new folders and switches the
+   mart's manifest to them in one step.
+
+A batch that fails anywhere leaves both tables readable as they were; its
+retry finds by query id and epoch what is done already.  A query started on a
+fresh checkpoint has another id and adds to the tables.
 
 Work per batch is the touched buckets' rows from their first touched month
 on, plus ``lookback_rows`` daily rows per device: late data for recent
@@ -32,7 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from devicegrid.session import cut_lineage
+from devicegrid.streaming.live import _triggered
+from devicegrid.streaming.versioned import VersionedTable, query_id
 
 NO_DATE_MONTH = "9999-12"
 
@@ -45,63 +48,43 @@ def month_of(date: str):
     return F.coalesce(F.date_format(F.col(date), "yyyy-MM"), F.lit(NO_DATE_MONTH))
 
 
-def _dynamic_overwrite(df: DataFrame, path: str, parts: list[str]) -> None:
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def refresh_batch(batch: DataFrame, epoch_id: int, silver_path: str, mart_path: str,
                   base_fn: Callable[[DataFrame], DataFrame],
                   window_fn: Callable[[DataFrame], DataFrame], lookback_rows: int,
                   key: str = "atm_id", date: str = "event_date",
                   buckets: int = 256) -> list[tuple[int, str]]:
     """One micro-batch of the refresh; returns the (bucket, first month) pairs rebuilt."""
-    spark = batch.sparkSession
+    spark, query = batch.sparkSession, query_id(batch)
+    silver, mart = VersionedTable(spark, silver_path), VersionedTable(spark, mart_path)
     rows = (batch.withColumn("bucket", bucket_of(key, buckets))
-                 .withColumn("event_month", month_of(date))
-                 .withColumn("epoch", F.lit(epoch_id))).persist()  # used twice
+                 .withColumn("event_month", month_of(date))).persist()  # used twice
     try:
-        _dynamic_overwrite(rows, silver_path, ["bucket", "event_month", "epoch"])
+        silver.append(rows.sortWithinPartitions("bucket", "event_month"), query, epoch_id)
         touched = [(r.bucket, r.from_month) for r in
                    rows.groupBy("bucket").agg(F.min("event_month").alias("from_month")).collect()]
     finally:
         rows.unpersist()
-    if not touched:
+    if not touched or mart.done(query, epoch_id):
         return touched
     ids = [b for b, _ in touched]
-    first = min(m for _, m in touched)
-    # bounded by `buckets` rows: safe to broadcast
-    since = F.broadcast(spark.createDataFrame(touched, "bucket int, from_month string"))
-
-    def rebuild_scope(df: DataFrame) -> DataFrame:
-        return (df.filter(F.col("bucket").isin(ids) & (F.col("event_month") >= first))
-                  .join(since, "bucket").filter(F.col("event_month") >= F.col("from_month")))
-
-    fresh = rebuild_scope(spark.read.parquet(silver_path)).drop("bucket", "event_month",
-                                                                "epoch", "from_month")
-    base = base_fn(fresh)
-    if _exists(spark, mart_path):
-        old = (spark.read.parquet(mart_path).filter(F.col("bucket").isin(ids))
-                    .join(since, "bucket").filter(F.col("event_month") < F.col("from_month")))
+    first = dict(touched)
+    since = spark.createDataFrame(touched, "bucket int, from_month string")  # at most ``buckets`` rows
+
+    scope = (silver.read(rows.schema)
+             .filter(F.col("bucket").isin(ids) & (F.col("event_month") >= min(first.values())))
+             .join(since, "bucket").filter(F.col("event_month") >= F.col("from_month")))
+    base = base_fn(scope.drop("bucket", "event_month", "from_month"))
+    earlier = {name for name in mart.current()["parts"]
+               if (b := int(name.split("_")[0])) in first and name.split("_")[1] < first[b]}
+    if earlier:
+        old = mart.read(window_fn(base).schema, earlier)
         pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
         old = (old.withColumn("_pos", pos).filter(F.col("_pos") <= lookback_rows)
                   .select(*base.columns))
-        base = base.unionByName(cut_lineage(old))
-    mart = (window_fn(base).withColumn("bucket", bucket_of(key, buckets))
-                           .withColumn("event_month", month_of(date)))
-    out = mart.join(since, "bucket").filter(F.col("event_month") >= F.col("from_month"))
-    _dynamic_overwrite(out.drop("from_month"), mart_path, ["bucket", "event_month"])
+        base = base.unionByName(old)
+    out = (window_fn(base).withColumn("bucket", bucket_of(key, buckets)).withColumn("event_month", month_of(date))
+           .join(since, "bucket").filter(F.col("event_month") >= F.col("from_month")).drop("from_month"))
+    mart.replace(out, ["bucket", "event_month"], query, epoch_id)
     return touched
 
 
@@ -117,13 +100,9 @@ def start_mart_refresh(stream: DataFrame, silver_path: str, mart_path: str, chec
                       lookback_rows, key, date, buckets)
 
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return _triggered(w, available_now, processing_time).start()
 
 
-def read_mart(spark, mart_path: str) -> DataFrame:
-    """The mart without its storage columns."""
-    return spark.read.parquet(mart_path).drop("bucket", "event_month")
+def read_mart(spark, mart_path: str, schema) -> DataFrame:
+    """The mart without its storage columns; ``schema``: of the mart's rows."""
+    return VersionedTable(spark, mart_path).read(schema)

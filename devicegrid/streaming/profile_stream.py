@@ -4,45 +4,21 @@ The transaction statistics of the device profile (count, failures, mean
 withdrawal, last date) are algebraic, so a streaming ``groupBy(device).agg``
 keeps them in the state store (one entry per device, bounded by the number
 of devices).  In update mode each micro-batch emits the current totals of
-the devices it touched; ``foreachBatch`` upserts them into a table
-partitioned by device bucket: the touched buckets are rewritten as
-(old rows of untouched devices) + (new totals).  A retried epoch emits the
-same totals, so the table stays exact.
+the devices it touched; ``foreachBatch`` upserts them into a versioned table
+by device bucket.  A failure between writing and switching leaves the earlier
+version as it was, and a retried epoch emits the same totals.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from devicegrid.operators.marts import device_tx_stats
-from devicegrid.session import cut_lineage
-from devicegrid.streaming.marts_stream import _dynamic_overwrite, _exists, bucket_of
+from devicegrid.streaming.live import _triggered
+from devicegrid.streaming.versioned import VersionedTable, query_id
 
-
-def upsert_batch(batch: DataFrame, epoch_id: int, table_path: str, key: str = "atm_id",
-                 buckets: int = 64) -> int:
-    """Replace the rows of the batch's devices in their bucket partitions."""
-    spark = batch.sparkSession
-    # used twice below: keep the micro-batch (and its state update) from re-running
-    new = batch.withColumn("bucket", bucket_of(key, buckets)).persist()
-    try:
-        return _upsert(spark, new, table_path, key)
-    finally:
-        new.unpersist()
-
-
-def _upsert(spark, new: DataFrame, table_path: str, key: str) -> int:
-    ids = [r.bucket for r in new.select("bucket").distinct().collect()]  # <= buckets values
-    if not ids:
-        return 0
-    if _exists(spark, table_path):
-        old = spark.read.parquet(table_path).filter(F.col("bucket").isin(ids))
-        kept = old.join(new.select(key), key, "left_anti")
-        new = cut_lineage(kept.unionByName(new))
-    _dynamic_overwrite(new, table_path, ["bucket"])
-    return len(ids)
+STATS_SCHEMA = "atm_id long, total_tx long, failed_tx long, avg_withdrawal_mwk double, last_tx_date date"
 
 
 def start_stats_stream(tx_stream: DataFrame, table_path: str, checkpoint: str,
@@ -52,16 +28,12 @@ def start_stats_stream(tx_stream: DataFrame, table_path: str, checkpoint: str,
     stats = device_tx_stats(tx_stream, key)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        upsert_batch(batch, epoch_id, table_path, key, buckets)
+        VersionedTable(batch.sparkSession, table_path).upsert(batch, key, buckets, query_id(batch), epoch_id)
 
     w = (stats.writeStream.outputMode("update").foreachBatch(run)
               .option("checkpointLocation", checkpoint))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return _triggered(w, available_now, processing_time).start()
 
 
-def read_stats(spark, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).drop("bucket")
+def read_stats(spark, table_path: str, schema: str = STATS_SCHEMA) -> DataFrame:
+    return VersionedTable(spark, table_path).read(schema)

@@ -1,0 +1,154 @@
+"""Tables that micro-batches change and that survive failures.
+
+A table is a folder with immutable data folders and numbered manifests.  A
+manifest names the data folders that make up the table; a change writes new
+folders first and then a new manifest, renamed into place in one step.  A
+reader sees the old or the new table, never a half-written one, and whatever a
+failed attempt left is not referenced by any manifest.
+
+Each manifest records the (query id, epoch) it came from: a retried epoch is
+recognised and skipped, and a query with a fresh checkpoint has another id, so
+its epoch 0 does not hide earlier rows.  Data folders that the last two
+manifests do not name are deleted, so the number of files stays bounded.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections import Counter
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Appended folders of one level that are merged into one of the next.
+MERGE = 8
+KEPT_MANIFESTS = 2
+
+
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query whose micro-batch this is (stable over restarts)."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+class VersionedTable:
+    """``parts`` of the manifest: partition name -> data folder, or for appended
+    rows "level-number" -> data folder."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._io = jvm.org.apache.commons.io.IOUtils
+        self.fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    # -- manifests
+
+    def _numbers(self) -> list[int]:
+        folder = self._path(f"{self.path}/manifests")
+        if not self.fs.exists(folder):
+            return []
+        return sorted(int(f.getPath().getName()) for f in self.fs.listStatus(folder) if f.getPath().getName().isdigit())
+
+    def _manifest(self, number: int) -> dict:
+        stream = self.fs.open(self._path(f"{self.path}/manifests/{number:012d}"))
+        try:
+            return json.loads(self._io.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def current(self) -> dict:
+        """The last manifest; an empty one for a new table."""
+        numbers = self._numbers()
+        return self._manifest(numbers[-1]) if numbers else {"number": -1, "parts": {}, "seen": {}, "next": 0}
+
+    def done(self, query: str, epoch: int) -> bool:
+        return self.current()["seen"].get(query, -1) >= epoch
+
+    def _switch(self, base: dict, parts: dict, query: str, epoch: int) -> None:
+        number = base["number"] + 1
+        new = {"number": number, "parts": parts, "seen": base["seen"] | {query: epoch}, "next": base["next"] + 1}
+        draft = self._path(f"{self.path}/manifests/draft-{uuid.uuid4().hex}")
+        out = self.fs.create(draft)
+        out.write(bytearray(json.dumps(new).encode()))
+        out.close()
+        if not self.fs.rename(draft, self._path(f"{self.path}/manifests/{number:012d}")):
+            raise RuntimeError(f"{self.path}: another writer made manifest {number}")
+        self._tidy()
+
+    def _tidy(self) -> None:
+        """Delete old manifests and the data folders that no kept manifest names."""
+        numbers = self._numbers()
+        for n in numbers[:-KEPT_MANIFESTS]:
+            self.fs.delete(self._path(f"{self.path}/manifests/{n:012d}"), False)
+        used = {p.split("/")[0] for n in numbers[-KEPT_MANIFESTS:] for p in self._manifest(n)["parts"].values()}
+        for f in self.fs.listStatus(self._path(f"{self.path}/data")):
+            if f.getPath().getName() not in used:
+                self.fs.delete(f.getPath(), True)
+
+    def _folder(self) -> str:
+        return uuid.uuid4().hex
+
+    # -- reading
+
+    def read(self, schema, only: set[str] | None = None) -> DataFrame:
+        """The table's rows (of the named partitions only, if given)."""
+        folders = sorted({p for name, p in self.current()["parts"].items() if only is None or name in only})
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{p}" for p in folders])
+
+    # -- changes
+
+    def append(self, rows: DataFrame, query: str, epoch: int) -> None:
+        """Add the rows of an epoch, merging small folders as they gather."""
+        base = self.current()
+        if base["seen"].get(query, -1) >= epoch:
+            return
+        parts, folder = dict(base["parts"]), self._folder()
+        rows.write.parquet(f"{self.path}/data/{folder}")
+        parts[f"0-{base['next']}"] = folder
+        for level in range(64):
+            names = [n for n in parts if n.startswith(f"{level}-")]
+            if len(names) < MERGE:
+                break
+            merged = self._folder()
+            old = self.spark.read.schema(rows.schema).parquet(*[f"{self.path}/data/{parts.pop(n)}" for n in names])
+            old.coalesce(max(1, old.rdd.getNumPartitions() // MERGE)).write.parquet(f"{self.path}/data/{merged}")
+            parts[f"{level + 1}-{base['next']}"] = merged
+        self._switch(base, parts, query, epoch)
+
+    def replace(self, rows: DataFrame, by: list[str], query: str, epoch: int) -> None:
+        """Replace the partitions (values of ``by``) that occur in ``rows``."""
+        base = self.current()
+        if base["seen"].get(query, -1) >= epoch:
+            return
+        folder = self._folder()
+        # The partition columns stay in the files too: a part is read by its own folder.
+        named = rows.withColumn("__part", F.concat_ws("_", *[F.col(c).cast("string") for c in by]))
+        named.write.partitionBy("__part").parquet(f"{self.path}/data/{folder}")
+        parts = dict(base["parts"])
+        for f in self.fs.listStatus(self._path(f"{self.path}/data/{folder}")):
+            name = f.getPath().getName()
+            if name.startswith("__part="):
+                parts[name.removeprefix("__part=")] = f"{folder}/{name}"
+        self._switch(base, parts, query, epoch)
+
+    def upsert(self, rows: DataFrame, key: str, buckets: int, query: str, epoch: int) -> None:
+        """Replace the rows of the keys in ``rows``; touches their buckets only."""
+        if self.done(query, epoch):
+            return
+        new = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()  # used three times
+        try:
+            touched = {str(r.bucket) for r in new.select("bucket").distinct().collect()}  # bounded by buckets
+            if touched:
+                old = self.read(new.schema, touched).join(new.select(key), key, "left_anti").select(*new.columns)
+                self.replace(old.unionByName(new), ["bucket"], query, epoch)
+        finally:
+            new.unpersist()
+
+
+def folders(counted: VersionedTable) -> Counter:
+    """Numbers of data folders and manifests on disk (for checks and monitoring)."""
+    data = counted._path(f"{counted.path}/data")
+    return Counter(data=len(counted.fs.listStatus(data)) if counted.fs.exists(data) else 0, manifests=len(counted._numbers()))

@@ -98,7 +98,9 @@ def test_mart_shuffles_on_device_and_date_first(spark, sf_dir):
 def test_scale_conf_sizes_partitions():
     from devicegrid.session import scale_conf
     c = scale_conf(100 * 1024**4, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
+    # three waves of the cores; never hundreds of thousands of reduce tasks
+    assert int(c["spark.sql.shuffle.partitions"]) == 24_000
+    assert int(scale_conf(100 * 1024**4, 800)["spark.sql.shuffle.partitions"]) == 20_000
     assert scale_conf(10 << 20, 8)["spark.sql.shuffle.partitions"] == "24"
 
 

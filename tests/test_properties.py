@@ -62,21 +62,31 @@ def test_age_years_matches_calendar_rule(spark, pairs):
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.one_of(st.integers(-10**12, 10**12).map(str),
-                          st.integers(-10**6, 10**6).map(lambda v: f"{v}.0"),
+@given(st.lists(st.one_of(st.integers(-2**63, 2**63 - 1).map(str),
+                          st.integers(-2**63, 2**63 - 1).map(lambda v: f"{v}.0"),
+                          st.decimals(-10**6, 10**6, places=2).map(str),
+                          st.integers(2**63, 2**70).map(str),
                           st.text(alphabet="ab x.", max_size=4)),
                 min_size=1, max_size=30))
-def test_text_to_long_is_tolerant(spark, values):
+def test_text_to_long_keeps_whole_numbers_exactly(spark, values):
+    from decimal import Decimal, InvalidOperation
     df = spark.createDataFrame([(v,) for v in values], "s string")
     got = [r.v for r in df.select(silver.text_to_long(F.col("s")).alias("v")).collect()]
 
     def expect(s):
         try:
-            return int(s)
-        except ValueError:
-            try:
-                f = float(s)
-            except ValueError:
-                return None
-            return int(f) if f == f and abs(f) < 2**63 else None
+            d = Decimal(s)
+        except InvalidOperation:
+            return None
+        return int(d) if d == d.to_integral_value() and -2**63 <= d < 2**63 else None
     assert got == [expect(v) for v in values]
+
+
+def test_quarantine_reasons(spark):
+    from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
+    bodies = ["{}", '{"foo": 1}', "junk", None, "", '{"atm_id": "A"}', "[1", '{"amount_mwk": 343.7}']
+    d = silver.decode_json(spark.createDataFrame([(b,) for b in bodies], "value string"), TX_MESSAGE_SCHEMA, keep=("value",))
+    got = {r.value: r.reason for r in silver.quarantine(d).collect()}
+    assert got == {"{}": "missing_key", '{"foo": 1}': "missing_key", "junk": "malformed_json", None: "empty_message",
+                   "": "empty_message", "[1": "malformed_json", '{"amount_mwk": 343.7}': "missing_key"}
+    assert d.where("amount_mwk is not null").count() == 0

@@ -4,6 +4,7 @@ import json
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from devicegrid.session import shared_path
@@ -11,6 +12,7 @@ from devicegrid.sinks import writers
 from devicegrid.sources import files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live
+from devicegrid.streaming.versioned import VersionedTable
 
 
 def _scratch(spark, name):
@@ -70,7 +72,7 @@ def test_live_sink_and_per_minute(spark):
     rows = live.live_rows(ingest.to_bronze(ingest.file_stream(spark, landing), TX_MESSAGE_SCHEMA))
     q = live.start_live_sink(rows, f"{base}/live", f"{base}/ck", available_now=True)
     q.awaitTermination()
-    t = spark.read.parquet(f"{base}/live")
+    t = VersionedTable(spark, f"{base}/live").read(rows.schema)
     assert t.count() == 30 and t.filter(F.col("event_ts").isNull()).count() == 0
     batch = ingest.to_bronze(spark.read.schema(ingest.ENVELOPE).json(landing), TX_MESSAGE_SCHEMA)
     pm = live.per_minute_counts(batch.filter("atm_id IS NOT NULL"), ts="kafka_ts")
@@ -110,8 +112,12 @@ def test_written_row_count_and_inventory(spark):
     writers.overwrite_partitions(spark.range(3).withColumn("p", F.lit(0)), f"{base}/p", ["p"])
     assert spark.read.parquet(f"{base}/p").count() == 8  # partition 1 kept, partition 0 replaced
     writers.save_table(spark.range(3), "dg_inv_view", materialized="view")
-    inv = writers.table_inventory(spark).collect()
-    assert all(r.tables >= 0 for r in inv)
+    writers.save_table(spark.range(4), "dg_inv_table")
+    inv = {r.database: r.tables for r in writers.table_inventory(spark).collect()}
+    assert inv["default"] >= 2 and spark.table("dg_inv_table").count() == 4
+    writers.truncate_table(spark, "dg_inv_table")
+    assert spark.table("dg_inv_table").count() == 0
+    spark.sql("DROP TABLE dg_inv_table")
     run = writers.append_metrics(spark, f"{base}/metrics", "m", {"a": 1.0, "b": 2.0})
     assert spark.read.parquet(f"{base}/metrics").filter(F.col("run_id") == run).count() == 2
 
@@ -156,8 +162,8 @@ def test_mart_refresh_with_late_batches_equals_batch_mart(spark, sf_dir):
             marts.daily_fault_windows, C.FAULT_ROLLING_ROWS - 1, buckets=4))
     # the late batch rebuilds from 1999 on only
     assert min(mth for _, mth in touched[2]) >= "1999-01"
-    got = marts_stream.read_mart(spark, f"{base}/mart")
     want = marts.daily_fault_mart(staging.stg_faults(faults))
+    got = marts_stream.read_mart(spark, f"{base}/mart", want.schema)
     cols = want.columns
     assert got.count() == want.count()
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
@@ -165,18 +171,74 @@ def test_mart_refresh_with_late_batches_equals_batch_mart(spark, sf_dir):
     marts_stream.refresh_batch(parts[2], 2, f"{base}/silver", f"{base}/mart",
                                lambda rows: marts.daily_fault_base(staging.stg_faults(rows)),
                                marts.daily_fault_windows, C.FAULT_ROLLING_ROWS - 1, buckets=4)
-    assert spark.read.parquet(f"{base}/silver").count() == faults.count()
-    assert marts_stream.read_mart(spark, f"{base}/mart").select(*cols).exceptAll(want.select(*cols)).count() == 0
-
-
-def test_stats_upsert_is_idempotent_and_replaces(spark):
-    from devicegrid.streaming import profile_stream
-    path = f"{_scratch(spark, 'upsert')}/stats"
-    cols = "atm_id long, total_tx long"
-    b1 = spark.createDataFrame([(1, 5), (2, 7), (3, 1)], cols)
-    profile_stream.upsert_batch(b1, 0, path, buckets=2)
-    profile_stream.upsert_batch(b1, 0, path, buckets=2)   # retried epoch
-    assert sorted(map(tuple, profile_stream.read_stats(spark, path).collect())) == [(1, 5), (2, 7), (3, 1)]
-    profile_stream.upsert_batch(spark.createDataFrame([(2, 9), (4, 2)], cols), 1, path, buckets=2)
-    got = sorted(map(tuple, profile_stream.read_stats(spark, path).select("atm_id", "total_tx").collect()))
-    assert got == [(1, 5), (2, 9), (3, 1), (4, 2)]
+    assert VersionedTable(spark, f"{base}/silver").read(faults.schema).count() == faults.count()
+    assert marts_stream.read_mart(spark, f"{base}/mart", want.schema).select(*cols).exceptAll(want.select(*cols)).count() == 0
+
+
+STATS = "atm_id long, total_tx long"
+
+
+def _stats(table):
+    return sorted((r.atm_id, r.total_tx) for r in table.read(STATS + ", bucket int").collect())
+
+
+def test_upsert_is_idempotent_and_survives_a_failed_switch(spark, monkeypatch):
+    table = VersionedTable(spark, f"{_scratch(spark, 'upsert')}/stats")
+    b1 = spark.createDataFrame([(1, 5), (2, 7), (3, 1)], STATS)
+    table.upsert(b1, "atm_id", 2, "q", 0)
+    table.upsert(spark.createDataFrame([(1, 99)], STATS), "atm_id", 2, "q", 0)  # a retried epoch is skipped
+    assert _stats(table) == [(1, 5), (2, 7), (3, 1)]
+    b2 = spark.createDataFrame([(2, 9), (4, 2)], STATS)
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_switch", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            table.upsert(b2, "atm_id", 2, "q", 1)
+    assert _stats(table) == [(1, 5), (2, 7), (3, 1)]  # the earlier version, whole
+    table.upsert(b2, "atm_id", 2, "q", 1)
+    assert _stats(table) == [(1, 5), (2, 9), (3, 1), (4, 2)]
+    # A fresh checkpoint has another query id: its epoch 0 adds to the table.
+    table.upsert(spark.createDataFrame([(7, 1)], STATS), "atm_id", 2, "other", 0)
+    assert (7, 1) in _stats(table) and (1, 5) in _stats(table)
+
+
+def test_folders_stay_bounded_over_many_epochs(spark):
+    from devicegrid.streaming.versioned import folders
+    table = VersionedTable(spark, f"{_scratch(spark, 'append')}/live")
+    rows = spark.range(3).coalesce(1)
+    for epoch in range(50):
+        table.append(rows, "q", epoch)
+        table.append(rows, "q", epoch)
+    assert table.read("id long").count() == 150
+    # 50 epochs in base 8 make at most 2 x 7 folders, and one version back.
+    assert folders(table)["data"] <= 24 and folders(table)["manifests"] == 2
+
+
+def test_rows_behind_the_watermark_are_an_error(spark):
+    base = _scratch(spark, "late")
+    for i in range(4):  # four files that each cover the whole time range
+        _land(spark, f"{base}/in", [_msg(j) for j in range(i, 400, 4)])
+    b = ingest.to_bronze(ingest.file_stream(spark, f"{base}/in", max_files_per_trigger=1), TX_MESSAGE_SCHEMA)
+
+    def run(delay, name):
+        counts = live.per_minute_counts(b, ts="kafka_ts", delay=delay, where=F.col("atm_id").isNotNull())
+        live.finished(live.start_minute_counts(counts, f"{base}/{name}", f"{base}/{name}-ck"))
+        return VersionedTable(spark, f"{base}/{name}").read("minute timestamp, n long")
+
+    assert run("400 days", "wide").agg(F.sum("n")).first()[0] == 400
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        run("1 second", "narrow")
+
+
+def test_no_scratch_folder_on_a_cluster(spark):
+    from devicegrid import session
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster)
