@@ -9,8 +9,7 @@ from pyspark.sql import types as T
 from devicegrid.functions.exprs import iso_ts
 
 
-def clean_for_json(df: DataFrame) -> DataFrame:
-    """NaN -> null, timestamps -> ISO text, dates -> ``yyyy-MM-dd``."""
+def _clean_columns(df: DataFrame) -> list:
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
@@ -21,19 +20,27 @@ def clean_for_json(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return cols
+
+
+def clean_for_json(df: DataFrame) -> DataFrame:
+    """NaN -> null, timestamps -> ISO text, dates -> ``yyyy-MM-dd``."""
+    return df.select(*_clean_columns(df))
 
 
-def encode_keyed(df: DataFrame, key: str = "atm_id") -> DataFrame:
+def encode_keyed(df: DataFrame, key: str = "atm_id", envelope: dict | None = None) -> DataFrame:
     """(key, value): key = entity id text, value = JSON of the whole row.
 
     Null fields are written as ``null`` (not dropped), so every message has
-    the same field set.
+    the same field set.  ``envelope`` maps further output columns to
+    expressions over ``df`` (broker time, partition, offset).
     """
-    c = clean_for_json(df)
+    extra = {f"__{n}": c for n, c in (envelope or {}).items()}
+    c = df.withColumns(extra) if extra else df
+    cols = _clean_columns(df)
     return c.select(F.col(key).cast("string").alias("key"),
-                    F.to_json(F.struct(*[F.col(n) for n in c.columns]),
-                              {"ignoreNullFields": "false"}).alias("value"))
+                    F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"),
+                    *[F.col(e).alias(e[2:]) for e in extra])
 
 
 def topic_messages(frames: dict[str, DataFrame], topics=None, limit: int | None = None,

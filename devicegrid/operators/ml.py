@@ -2,8 +2,8 @@
 
 * labels and features are exact column expressions (window over the daily
   rows of one device, whose size is bounded by the number of days);
-* the split is a seeded hash per row, stratified by label in expectation
-  (no window over a whole class, which would put half the data in one task);
+* the split is seeded by hashes and exact within each label (no window over a
+  whole class, which would put half the data in one task);
 * models are MLlib estimators on an assembled feature vector;
 * the cash forecast is a per-device regression written with window aggregates,
   so it is exact, distributed, shuffle-free after the mart and checkable against SQL.
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import day_of_week_sunday0, portable_unit
+from devicegrid.functions.exprs import day_of_week_sunday0, portable_hash_text, portable_unit
 from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
@@ -51,6 +51,30 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = C.SPLI
     return df.withColumn(name, F.when(u < test_fraction, "test").otherwise("train"))
 
 
+def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
+                     test_fraction: float = C.SPLIT_TEST_FRACTION, seed: int = C.SEED,
+                     name: str = "split") -> DataFrame:
+    """Seeded split with the exact share of each label: the rows with the
+    smallest SHA-256 of their keys are the test rows of their label.
+
+    Rows are counted per (label, first 12 bits of the hash); the running sum
+    over those few cells says which cells are test and which train.  Only the
+    one cell per label that the limit falls into is ranked row by row.
+    """
+    drawn = df.withColumn("_hash", portable_hash_text(*keys, seed=seed)).withColumn("_cell", F.substring("_hash", 1, 3))
+    cells = drawn.groupBy(F.col(label).alias("_label"), F.col("_cell").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_label").orderBy("_of").rowsBetween(Window.unboundedPreceding, 0)
+    want = F.floor(F.sum("_n").over(Window.partitionBy("_label")) * F.lit(test_fraction) + 0.5)
+    cells = cells.select("_label", "_of", (want - (F.sum("_n").over(upto) - F.col("_n"))).alias("_room"), "_n")
+    met = drawn.join(cells, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_cell") == F.col("_of")))
+    sure = met.where((F.col("_room") <= 0) | (F.col("_room") >= F.col("_n"))).withColumn(
+        name, F.when(F.col("_room") > 0, "test").otherwise("train"))
+    place = F.row_number().over(Window.partitionBy("_label", "_of").orderBy("_hash"))
+    edge = met.where((F.col("_room") > 0) & (F.col("_room") < F.col("_n"))).withColumn(
+        name, F.when(place <= F.col("_room"), "test").otherwise("train"))
+    return sure.unionByName(edge).select(*df.columns, name)
+
+
 def fit_fault_model(train: DataFrame, features: Sequence[str] = C.FAULT_FEATURES,
                     label: str = "label", max_iter: int = C.GBT_MAX_ITER,
                     max_depth: int = C.GBT_MAX_DEPTH, step_size: float = C.GBT_STEP_SIZE,

@@ -122,14 +122,32 @@ def json_encode_keyed(m: Model) -> DataFrame:
 
 @query("silver_transactions")
 def silver_transactions(m: Model) -> DataFrame:
-    """Tolerant decode, time parsing, key filter."""
-    return m.silver_transactions.select("event_id", "atm_id", "event_ts", "event_date", "tx_type",
-                                        "amount_mwk", "card_type", "success")
+    """All transactions through message, decode, time parsing, key filter."""
+    return m.silver("atm.transactions").select("event_id", "atm_id", "event_ts", "event_date", "tx_type",
+                                               "amount_mwk", "card_type", "success")
+
+
+@query("silver_cash")
+def silver_cash(m: Model) -> DataFrame:
+    """All level readings through message and decode."""
+    return m.silver("atm.cash")
+
+
+@query("silver_faults")
+def silver_faults(m: Model) -> DataFrame:
+    """All fault events through message and decode."""
+    return m.silver("atm.faults")
+
+
+@query("silver_replenishments")
+def silver_replenishments(m: Model) -> DataFrame:
+    """All refills through message and decode."""
+    return m.silver("atm.replenishments")
 
 
 @query("quarantine_transactions")
 def quarantine_transactions(m: Model) -> DataFrame:
-    """Rows that cannot enter silver, with the reason."""
+    """Messages that cannot enter silver, with the reason: here every transaction, cut off in its middle."""
     return m.tx_quarantine.select("offset", "reason")
 
 
@@ -231,6 +249,12 @@ def filter_values(m: Model) -> DataFrame:
                                  F.col("atm_type").alias("value"))))
 
 
+@query("severity_distribution")
+def severity_distribution(m: Model) -> DataFrame:
+    """Device-days per severity."""
+    return m.daily_faults.groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("status_distribution")
 def status_distribution(m: Model) -> DataFrame:
     """Cash status counts on the latest day."""
@@ -297,7 +321,7 @@ def _fault_model(m: Model):
     """Fit once per session and input folder (the queries below share it)."""
     k = ("gbt", m.spark.sparkContext.applicationId, m.tables.sf_dir)
     if k not in _FITTED:
-        split = ml.hash_split(ml.next_event_label(m.daily_faults), ["atm_id", "event_date"])
+        split = ml.stratified_split(ml.next_event_label(m.daily_faults), ["atm_id", "event_date"])
         _FITTED[k] = (ml.fit_fault_model(split.filter("split = 'train'")), split)
     return _FITTED[k]
 
@@ -326,9 +350,9 @@ def label_positives(m: Model) -> DataFrame:
 
 @query("stratified_split")
 def stratified_split(m: Model) -> DataFrame:
-    """M5: seeded 80/20 split per row (rows-only check: hash differs by engine)."""
+    """M5: seeded 80/20 split, exact within each label."""
     lab = ml.next_event_label(m.daily_faults)
-    return ml.hash_split(lab, ["atm_id", "event_date"]).select("atm_id", "event_date", "label", "split")
+    return ml.stratified_split(lab, ["atm_id", "event_date"]).select("atm_id", "event_date", "label", "split")
 
 
 @query("fault_model_scores")

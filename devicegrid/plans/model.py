@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from devicegrid import config as C
 from devicegrid.operators import alerts, marts, silver, staging
 from devicegrid.sources import adapters
-from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
+from devicegrid.sources.schemas import BRONZE_SCHEMAS, TOPIC_ENTITY, TX_MESSAGE_SCHEMA
 from devicegrid.sources.tables import Tables
 
 
@@ -53,23 +53,25 @@ class Model:
         return adapters.level_dim(self.tables)
 
     # wire messages -> silver ----------------------------------------------
-    @cached_property
-    def tx_messages(self) -> DataFrame:
-        return adapters.transaction_messages(self.transactions)
+    def messages(self, topic: str) -> DataFrame:
+        return adapters.messages(self.tables, topic)
 
-    @cached_property
-    def tx_decoded(self) -> DataFrame:
-        return silver.decode_json(self.tx_messages, TX_MESSAGE_SCHEMA,
-                                  keep=("value", "kafka_ts", "partition", "offset"))
+    def bronze(self, topic: str) -> DataFrame:
+        """Decoded messages of a topic (transactions keep their event id)."""
+        schema = TX_MESSAGE_SCHEMA if topic == "atm.transactions" else BRONZE_SCHEMAS[topic]
+        return silver.decode_json(self.messages(topic), schema, keep=("kafka_ts", "partition", "offset"))
+
+    def silver(self, topic: str) -> DataFrame:
+        return silver.silver_from_bronze(TOPIC_ENTITY[topic], self.bronze(topic))
 
     @cached_property
-    def silver_transactions(self) -> DataFrame:
-        return silver.to_silver(self.tx_decoded.drop("value"), "timestamp",
-                                keep=("kafka_ts", "partition", "offset"))
+    def tx_messages(self) -> DataFrame:
+        return self.messages("atm.transactions")
 
     @cached_property
     def tx_quarantine(self) -> DataFrame:
-        return silver.quarantine(self.tx_decoded, keep=("offset", "value"))
+        broken = silver.decode_json(adapters.damaged(self.tx_messages), TX_MESSAGE_SCHEMA, keep=("value", "offset"))
+        return silver.quarantine(broken, keep=("offset", "value"))
 
     # staging --------------------------------------------------------------
     @cached_property

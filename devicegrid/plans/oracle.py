@@ -298,14 +298,19 @@ _SHAPES = {
 
 BODIES.update({
     "silver_transactions": """
-SELECT event_id, CAST(atm_id AS VARCHAR) AS atm_id,
-       CASE WHEN card_type = 'UnionPay' AND tx_type = 'deposit' THEN NULL ELSE event_ts END AS event_ts,
-       CASE WHEN card_type = 'UnionPay' AND tx_type = 'deposit' THEN NULL ELSE event_date END AS event_date,
-       tx_type, amount_mwk, card_type, success
-FROM tx WHERE NOT (card_type = 'UnionPay' AND tx_type = 'transfer')""",
+SELECT event_id, CAST(atm_id AS VARCHAR) AS atm_id, event_ts, event_date, tx_type, amount_mwk, card_type, success FROM tx""",
+    "silver_cash": """
+SELECT CAST(atm_id AS VARCHAR) AS atm_id, CAST(event_ts AS TIMESTAMP) AS event_ts, event_date, cash_level_mwk,
+       hourly_withdrawal_mwk, was_refilled, below_threshold FROM levels""",
+    "silver_faults": """
+SELECT CAST(atm_id AS VARCHAR) AS atm_id, CAST(event_ts AS TIMESTAMP) AS event_ts, event_date, fault_type, component,
+       event_class, duration_mins, resolved, fault_occurred FROM faults""",
+    "silver_replenishments": """
+SELECT CAST(atm_id AS VARCHAR) AS atm_id, CAST(refill_ts AS TIMESTAMP) AS refill_ts, amount_loaded_mwk, cit_team,
+       downtime_mins FROM refills""",
+    "severity_distribution": "SELECT severity, count(*) AS n FROM daily_faults GROUP BY severity",
     "quarantine_transactions": """
-SELECT event_id AS "offset", 'malformed_json' AS reason
-FROM tx WHERE card_type = 'UnionPay' AND tx_type = 'transfer'""",
+SELECT event_id AS "offset", 'malformed_json' AS reason FROM tx""",
     "dedupe_latest": """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -465,20 +470,13 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
-_JUNK = "(card_type = 'UnionPay' AND tx_type = 'transfer')"
 BODIES.update({
-    "bronze_stream": f"""
-SELECT event_id AS "offset",
-       CASE WHEN {_JUNK} THEN NULL ELSE event_id END AS event_id,
-       CASE WHEN {_JUNK} THEN NULL ELSE CAST(atm_id AS VARCHAR) END AS atm_id,
-       CASE WHEN {_JUNK} THEN NULL ELSE amount_mwk END AS amount_mwk,
-       CASE WHEN {_JUNK} THEN NULL ELSE success END AS success,
-       {_JUNK} AS malformed
-FROM tx""",
-    "live_sink": f"""
+    "bronze_stream": """
+SELECT event_id AS "offset", event_id, CAST(atm_id AS VARCHAR) AS atm_id, amount_mwk, success, false AS malformed FROM tx""",
+    "live_sink": """
 SELECT CAST(atm_id AS VARCHAR) AS atm_id, tx_type, COALESCE(amount_mwk, 0) AS amount_mwk,
        card_type, COALESCE(success, false) AS success
-FROM tx WHERE NOT {_JUNK}""",
+FROM tx""",
     "tx_per_minute": """
 SELECT date_trunc('minute', event_ts) AS minute, count(*) AS n FROM tx GROUP BY 1""",
     "latest_15": """
@@ -503,21 +501,16 @@ SELECT CAST(atm_id AS VARCHAR) AS atm_id,
 FROM device_dim"""
 BODIES["daily_fault_mart_stream"] = BODIES["daily_fault_mart"]
 BODIES["device_profile_stream"] = BODIES["device_profile_mart"]
-BODIES["live_per_minute"] = f"""
-SELECT CAST(date_trunc('minute', event_ts) AS TIMESTAMP) AS minute, count(*) AS n
-FROM tx WHERE NOT {_JUNK} GROUP BY 1"""
-
-
-def _unit(*cols: str) -> str:
-    txt = "concat_ws('|', '" + str(C.SEED) + "', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
-    return f"(CAST(('0x' || substr(sha256({txt}), 1, 8)) AS BIGINT) / 4294967296.0)"
+BODIES["live_per_minute"] = """
+SELECT CAST(date_trunc('minute', event_ts) AS TIMESTAMP) AS minute, count(*) AS n FROM tx GROUP BY 1"""
 
 
 BODIES.update({
     "stratified_split": f"""
-SELECT atm_id, event_date, CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label,
-       CASE WHEN {_unit('atm_id', 'event_date')} < {C.SPLIT_TEST_FRACTION} THEN 'test' ELSE 'train' END AS split
-FROM daily_faults""",
+SELECT atm_id, event_date, label, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY
+           sha256(concat_ws('|', '{C.SEED}', CAST(atm_id AS VARCHAR), CAST(event_date AS VARCHAR))))
+         <= floor(count(*) OVER (PARTITION BY label) * {C.SPLIT_TEST_FRACTION} + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT *, CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label FROM daily_faults)""",
     "sample_repeatable": f"""
 SELECT event_id, atm_id, event_ts, event_date, tx_type, amount_mwk, card_type, success FROM tx
 ORDER BY sha256(concat_ws('|', '{C.SEED}', CAST(event_id AS VARCHAR))), event_id LIMIT 100""",

@@ -141,40 +141,35 @@ def level_dim(t: Tables) -> DataFrame:
                        (F.col("s_acctbal") >= 0).alias("is_active"))
 
 
-def transaction_messages(tx: DataFrame) -> DataFrame:
-    """Wire messages of the transactions topic as a loosely typed producer
-    sends them: (key, value, kafka_ts, partition, offset).
-
-    Type drift follows fixed rules on the row's content so both engines can
-    reproduce it: deposits carry the amount as a float (``343.0``), transfers
-    as text (``"343"``); ``Local`` cards carry ``success`` as ``"True"`` /
-    ``"False"``; UnionPay deposits carry an unparsable time and UnionPay
-    transfers are not JSON at all.
-    """
-    amount = F.col("amount_mwk").cast("string")
-    amount_json = (F.when(F.col("tx_type") == "deposit", F.concat(amount, F.lit(".0")))
-                    .when(F.col("tx_type") == "transfer", F.concat(F.lit('"'), amount, F.lit('"')))
-                    .otherwise(amount))
-    success_json = F.when(F.col("card_type") == "Local",
-                          F.concat(F.lit('"'), F.initcap(F.col("success").cast("string")), F.lit('"'))
-                          ).otherwise(F.col("success").cast("string"))
-    union_pay = F.col("card_type") == "UnionPay"
-    ts_text = F.when(union_pay & (F.col("tx_type") == "deposit"), F.lit("not a time")) \
-               .otherwise(F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    body = F.concat(
-        F.lit('{"event_id": '), F.col("event_id").cast("string"),
-        F.lit(', "atm_id": "'), F.col("atm_id").cast("string"),
-        F.lit('", "timestamp": "'), ts_text,
-        F.lit('", "tx_type": "'), F.col("tx_type"),
-        F.lit('", "amount_mwk": '), amount_json,
-        F.lit(', "card_type": "'), F.col("card_type"),
-        F.lit('", "success": '), success_json, F.lit("}"))
-    value = F.when(union_pay & (F.col("tx_type") == "transfer"), F.lit("junk")).otherwise(body)
-    return tx.select(F.col("atm_id").cast("string").alias("key"),
-                     value.alias("value"),
-                     F.col("event_ts").cast("timestamp").alias("kafka_ts"),
-                     F.pmod(F.col("atm_id"), F.lit(3)).cast("int").alias("partition"),
-                     F.col("event_id").alias("offset"))
+def topic_frames(t: Tables) -> dict[str, DataFrame]:
+    """The rows of each topic with the field names of its messages."""
+    levels = cash_levels(t)
+    return {
+        "atm.transactions": transactions(t).withColumnRenamed("event_ts", "timestamp").drop("event_date"),
+        "atm.cash": levels.withColumnRenamed("event_ts", "timestamp").drop("event_date"),
+        "atm.faults": fault_events(t).withColumnRenamed("event_ts", "event_timestamp").drop("event_date"),
+        "atm.replenishments": replenishments(levels).withColumnRenamed("refill_ts", "refill_timestamp"),
+        "atm.dim": device_dim(t),
+    }
+
+
+def messages(t: Tables, topic: str) -> DataFrame:
+    """All rows of a topic as keyed JSON messages in a broker's envelope:
+    (key, value, kafka_ts, partition, offset)."""
+    from devicegrid.operators.encode import encode_keyed
+
+    rows = topic_frames(t)[topic]
+    time = next((c for c in rows.columns if c.endswith("timestamp")), "installed_date")
+    offset = F.col("event_id") if "event_id" in rows.columns else F.xxhash64(*rows.columns)
+    return encode_keyed(rows, envelope={
+        "kafka_ts": F.col(time).cast("timestamp"),
+        "partition": F.pmod(F.col("atm_id"), F.lit(3)).cast("int"),
+        "offset": offset})
+
+
+def damaged(messages: DataFrame) -> DataFrame:
+    """Every message cut off in its middle: what a quarantine has to hold back."""
+    return messages.withColumn("value", F.expr("left(value, cast(length(value) / 2 as int))"))
 
 
 def dimension_messages(dim: DataFrame, changed_segment: str = "BUILDING") -> DataFrame:

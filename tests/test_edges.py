@@ -238,3 +238,26 @@ def test_topic_subset_and_row_cap(spark):
         {("atm.cash", 3), ("atm.faults", 3)}
     only = encode.topic_messages({"atm.cash": a, "atm.faults": b}, topics={"atm.faults"})
     assert only.count() == 5 and only.first().value.startswith('{"atm_id":"B')
+
+
+def test_loosely_typed_messages_decode_alike(spark, sf_dir):
+    from devicegrid.plans.model import Model
+    from devicegrid.sources.schemas import TX_MESSAGE_SCHEMA
+    from drifting_messages import transaction_messages
+    tx = Model(spark, sf_dir).transactions
+    d = silver.decode_json(transaction_messages(tx), TX_MESSAGE_SCHEMA, keep=("value", "offset"))
+    junk = (F.col("card_type") == "UnionPay") & (F.col("tx_type") == "transfer")
+    kept = ["event_id", "amount_mwk", "success", "tx_type"]
+    want = tx.where(~junk).select(*kept)
+    got = d.where("not _malformed").select(*kept)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert silver.quarantine(d).where("reason = 'malformed_json'").count() == tx.where(junk).count()
+
+
+def test_silver_tables_have_the_declared_schema(spark, sf_dir):
+    from devicegrid.plans.model import Model
+    from devicegrid.sources.schemas import SILVER_SCHEMAS, TOPIC_ENTITY
+    m = Model(spark, sf_dir)
+    for topic, entity in TOPIC_ENTITY.items():
+        got = {f.name: f.dataType for f in m.silver(topic).schema if f.name != "event_id"}
+        assert got == {f.name: f.dataType for f in SILVER_SCHEMAS[entity]}, entity
