@@ -52,8 +52,7 @@ KMEANS_K = 3
 KMEANS_RESTARTS = 10
 SCORE_DISPATCH_THRESHOLD = 0.7
 
-# Transaction types, card types, fault types and their components, in order.
-TX_TYPES = ["withdrawal", "balance_enquiry", "deposit", "transfer"]
+# Card types, fault types and their components, in order.
 CARD_TYPES = ["Visa", "Mastercard", "UnionPay", "Local"]
 FAULT_TYPES = [
     "card_reader_error",
@@ -132,5 +131,3 @@ CLUSTER_FEATURES = [
 DEFAULT_AS_OF = _dt.date(2024, 2, 1)
 # Creation time stamped on alerts of a run.
 DEFAULT_RUN_TS = "2024-02-01T00:00:00"
-# Largest row count a side may have to be broadcast by ``join_small``.
-BROADCAST_MAX_ROWS = 1_000_000

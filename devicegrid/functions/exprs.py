@@ -132,26 +132,15 @@ def lower_is_true(c) -> Column:
     return F.coalesce(F.lower(col_(c).cast("string")) == F.lit("true"), F.lit(False))
 
 
-def hash_order(*cols, seed: int = C.SEED) -> Column:
-    """Repeatable pseudo-random order key (fast; Spark-specific values)."""
-    return F.xxhash64(F.lit(seed), *[col_(c) for c in cols])
-
-
 def portable_hash_text(*cols, seed: int = C.SEED) -> Column:
     """SHA-256 hex of ``seed|col1|col2..`` (columns as text).
 
-    Slower than ``hash_order`` but gives the same value in any engine with
-    SHA-256, so samples and splits built on it are reproducible elsewhere.
+    Any engine with SHA-256 gives the same value, so samples and splits built
+    on it are reproducible elsewhere.
     """
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[col_(c).cast("string") for c in cols]), 256)
 
 
-def portable_unit(*cols, seed: int = C.SEED) -> Column:
-    """Uniform number in [0, 1) from the first 32 bits of ``portable_hash_text``."""
-    h32 = F.conv(F.substring(portable_hash_text(*cols, seed=seed), 1, 8), 16, 10).cast("long")
-    return h32 / F.lit(4294967296.0)
-
-
 def calendar_features(ts) -> list[Column]:
     """Hour, weekend, month-end and peak-hour features of a timestamp.
 

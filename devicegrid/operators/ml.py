@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import day_of_week_sunday0, portable_hash_text, portable_unit
+from devicegrid.functions.exprs import day_of_week_sunday0, portable_hash_text
 from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
@@ -38,19 +38,6 @@ def next_event_label(daily_faults: DataFrame, key: str = "atm_id", date: str = "
         (nxt > 0).cast("int").alias("label"))
 
 
-def hash_split(df: DataFrame, keys: Sequence[str], test_fraction: float = C.SPLIT_TEST_FRACTION,
-               seed: int = C.SEED, name: str = "split") -> DataFrame:
-    """Seeded, repeatable train/test assignment per row.
-
-    Every row draws a uniform number from a SHA-256 hash of its keys, so each
-    label class is split in the same proportion in expectation (stratified),
-    with no shuffle and no group gathered in one task; the same split can be
-    reproduced in SQL.
-    """
-    u = portable_unit(*keys, seed=seed)
-    return df.withColumn(name, F.when(u < test_fraction, "test").otherwise("train"))
-
-
 def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
                      test_fraction: float = C.SPLIT_TEST_FRACTION, seed: int = C.SEED,
                      name: str = "split") -> DataFrame:
@@ -134,6 +121,30 @@ def feature_importance(spark: SparkSession, model, features: Sequence[str] = C.F
                  .orderBy(F.col("importance").desc(), F.col("feature")))
 
 
+def score_checks(scored: DataFrame, keys: Sequence[str], label: str = "label", threshold: float = 0.5) -> DataFrame:
+    """One row: rows, positives, and what must be 0 - scores outside [0, 1],
+    predictions that disagree with the threshold, rows that share a key."""
+    p = F.col("fault_probability")
+    per_key = scored.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(label).alias("y"),
+        F.count_if(p.isNull() | F.isnan(p) | (p < 0) | (p > 1)).alias("outside"),
+        F.count_if(F.col("predicted") != (p > threshold).cast("int")).alias("other"))
+    return per_key.agg(
+        F.sum("n").alias("rows"), F.sum("y").cast("long").alias("positives"), F.sum("outside").alias("outside_0_1"),
+        F.sum("other").alias("against_threshold"), F.count_if(F.col("n") > 1).alias("repeated_keys"))
+
+
+def cluster_checks(assigned: DataFrame, centres: list, features: Sequence[str] = C.CLUSTER_FEATURES) -> DataFrame:
+    """One row: devices, clusters used, and devices nearer to another centre (must be 0)."""
+    def distance(centre):
+        return sum((F.col(f) - F.lit(float(x))) ** 2 for f, x in zip(features, centre))
+
+    all_d = F.array(*[distance(c) for c in centres])
+    return assigned.withColumn("_d", all_d).agg(
+        F.count(F.lit(1)).alias("devices"), F.count_distinct("cluster").alias("clusters"),
+        F.count_if(F.col("_d")[F.col("cluster")] > F.array_min("_d") + 1e-9).alias("nearer_elsewhere"))
+
+
 # --- clustering --------------------------------------------------------------
 
 

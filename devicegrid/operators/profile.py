@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import hash_order, portable_hash_text
+from devicegrid.functions.exprs import portable_hash_text
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -40,13 +40,13 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def shape_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, n_rows, n_cols, null_cells) for each table; one pass per table."""
+    """(table, n_rows, n_cols, columns, null_cells) for each table; one pass per table."""
     parts = []
     for name, df in tables.items():
         nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
         parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.cast("long").alias("null_cells"))
-                       .select(F.lit(name).alias("table"), "n_rows",
-                               F.lit(len(df.columns)).alias("n_cols"), "null_cells"))
+                       .select(F.lit(name).alias("table"), "n_rows", F.lit(len(df.columns)).alias("n_cols"),
+                               F.lit(",".join(df.columns)).alias("columns"), "null_cells"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -94,9 +94,12 @@ def flag_counts(df: DataFrame, flags: dict[str, str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c)).alias(n) for n, c in flags.items()])
 
 
-def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null values (a filter list), sorted."""
-    return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
+def distinct_sorted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(dimension, value): the distinct non-null values of several columns
+    (filter lists), sorted once, from one scan."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in columns])
+    return (df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+              .orderBy("dimension", "value"))
 
 
 def optional_filter(df: DataFrame, **equals) -> DataFrame:
@@ -125,23 +128,24 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def network_kpis(dim_profile: DataFrame, daily_cash: DataFrame,
-                 at_risk: Sequence[str] = ("critical", "low"),
-                 date_source: DataFrame | None = None) -> DataFrame:
+                 at_risk: Sequence[str] = ("critical", "low"), key: str = "atm_id",
+                 date: str = "event_date") -> DataFrame:
     """Device count, total transactions, mean failure rate (unweighted, NULLs
     skipped), devices at risk on the latest day, distinct devices with levels.
 
-    Each figure is its own aggregate; they are combined as scalar subqueries
-    on the one-row profile aggregate (no join of the inputs).
+    The level figures come from one pass: each device's last day and status,
+    counted per last day; the latest of these days is the network's.
     """
-    latest = latest_rows(daily_cash, date_source=date_source)
-    risk = latest.select(F.count_if(F.col("cash_status").isin(*at_risk))).scalar()
-    levels = daily_cash if date_source is None else date_source
-    devices_with_levels = levels.select(F.count_distinct("atm_id")).scalar()
-    return dim_profile.agg(
+    last = daily_cash.groupBy(key).agg(F.max(date).alias("d"), F.max_by("cash_status", date).alias("s"))
+    days = last.groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("s").isin(*at_risk)).alias("r"))
+    levels = days.agg(F.coalesce(F.max_by("r", "d"), F.lit(0)).alias("cash_at_risk"),
+                      F.coalesce(F.sum("n"), F.lit(0)).alias("devices_with_levels"))
+    totals = dim_profile.agg(
         F.count(F.lit(1)).alias("devices"),
         F.sum("total_tx").alias("total_tx"),
-        F.avg("failure_rate").alias("avg_failure_rate"),
-    ).select("*", risk.alias("cash_at_risk"), devices_with_levels.alias("devices_with_levels"))
+        F.avg("failure_rate").alias("avg_failure_rate"))
+    return totals.select("*", levels.select("cash_at_risk").scalar().alias("cash_at_risk"),
+                         levels.select("devices_with_levels").scalar().alias("devices_with_levels"))
 
 
 def latest_status_map(dim: DataFrame, daily_cash: DataFrame, key: str = "atm_id",
@@ -178,11 +182,6 @@ def first_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def series_of(df: DataFrame, key: str, value, date: str = "event_date") -> DataFrame:
-    """One entity's rows in date order."""
-    return df.filter(F.col(key) == value).orderBy(date)
-
-
 def repeatable_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = C.SEED) -> DataFrame:
     """``n`` rows in a seeded pseudo-random order (same rows on every run and
     in any engine with SHA-256); a top-n, so no global sort is materialised."""
@@ -190,9 +189,5 @@ def repeatable_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = C.
 
 
 def shuffled(df: DataFrame, keys: Sequence[str], seed: int = C.SEED) -> DataFrame:
-    """All rows in a seeded pseudo-random order."""
-    return df.orderBy(hash_order(*keys, seed=seed), *keys)
-
-
-def rank_within(df: DataFrame, part: str, order, name: str = "rn") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(part).orderBy(order)))
+    """All rows in a seeded pseudo-random order, with their place in it."""
+    return df.withColumn("shuffle_key", portable_hash_text(*keys, seed=seed)).orderBy("shuffle_key", *keys)

@@ -7,6 +7,7 @@ DataFrame.  Computed columns carry the same names as in the SQL oracle.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -26,6 +27,7 @@ from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live, marts_stream, profile_stream
 from devicegrid.streaming.versioned import VersionedTable
 
+STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -192,19 +194,14 @@ def component_lookup(m: Model) -> DataFrame:
 def profile_numeric(m: Model) -> DataFrame:
     """Mean / std / min / max per numeric column of each table, one decimal."""
     t = m.tables
-    parts = [profile.numeric_profile(df).select(F.lit(name).alias("table"), "*")
-             for name, df in (("lineitem", t.lineitem), ("events", t.events), ("orders", t.orders))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    parts = [profile.numeric_profile(t.read(n)).select(F.lit(n).alias("table"), "*") for n in STAR_TABLES]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query("profile_shapes")
 def profile_shapes(m: Model) -> DataFrame:
     """Rows, columns and null cells per table."""
-    t = m.tables
-    return profile.shape_profile({"lineitem": t.lineitem, "events": t.events,
-                                  "orders": t.orders, "customer": t.customer,
-                                  "supplier": t.supplier, "nation": t.nation,
-                                  "region": t.region})
+    return profile.shape_profile({n: m.tables.read(n) for n in STAR_TABLES})
 
 
 @query("type_breakdown")
@@ -241,12 +238,7 @@ def dimension_counts(m: Model) -> DataFrame:
 @query("filter_values")
 def filter_values(m: Model) -> DataFrame:
     """Sorted distinct regions and types (filter lists)."""
-    d = m.device_dim
-    return (profile.distinct_sorted(d, "region").select(F.lit("region").alias("dimension"),
-                                                        F.col("region").alias("value"))
-            .unionByName(profile.distinct_sorted(d, "atm_type")
-                         .select(F.lit("atm_type").alias("dimension"),
-                                 F.col("atm_type").alias("value"))))
+    return profile.distinct_sorted(m.device_dim, ["region", "atm_type"])
 
 
 @query("severity_distribution")
@@ -265,7 +257,7 @@ def status_distribution(m: Model) -> DataFrame:
 @query("network_kpis")
 def network_kpis(m: Model) -> DataFrame:
     """Network figures in one row."""
-    return profile.network_kpis(m.device_profile, m.daily_cash, date_source=m.stg_cash)
+    return profile.network_kpis(m.device_profile, m.daily_cash)
 
 
 @query("latest_status_map")
@@ -308,10 +300,16 @@ def entity_history(m: Model) -> DataFrame:
 
 @query("sample_repeatable")
 def sample_repeatable(m: Model) -> DataFrame:
-    """100 transactions in a seeded order (rows-only check: hashes differ by engine)."""
+    """100 transactions in a seeded order."""
     return profile.repeatable_sample(m.transactions, 100, ["event_id"])
 
 
+@query("shuffled_transactions")
+def shuffled_transactions(m: Model) -> DataFrame:
+    """All transactions in a seeded order."""
+    return profile.shuffled(m.transactions, ["event_id"]).select("event_id", "atm_id", "shuffle_key")
+
+
 # --- features, models, forecast ---------------------------------------------
 
 _FITTED: dict = {}
@@ -408,6 +406,20 @@ def cluster_assignments(m: Model) -> DataFrame:
     return km.transform(z).select("atm_id", F.col("cluster").cast("int").alias("cluster"))
 
 
+@query("fault_model_checks")
+def fault_model_checks(m: Model) -> DataFrame:
+    """M5 M6 M7: held-out rows and positives, and violations that must be 0."""
+    model, split = _fault_model(m)
+    return ml.score_checks(ml.score(model, split.filter("split = 'test'")), ["atm_id", "event_date"])
+
+
+@query("cluster_checks")
+def cluster_checks(m: Model) -> DataFrame:
+    """Devices, clusters, and devices nearer to another centre (must be 0)."""
+    km, _, z = _kmeans(m)
+    return ml.cluster_checks(km.transform(z), [list(c) for c in km.stages[-1].clusterCenters()])
+
+
 @query("cluster_profile")
 def cluster_profile(m: Model) -> DataFrame:
     """Cluster sizes and mean transaction volume."""
@@ -518,9 +530,9 @@ def latest_15(m: Model) -> DataFrame:
 def csv_round_trip(m: Model) -> DataFrame:
     """Write a table as CSV with a header, read it back with its schema."""
     path = _run_dir(m, "csv")
-    reg = m.tables.region
-    writers.write_csv(reg, path)
-    return files.read_csv(m.spark, path, reg.schema)
+    rows = m.tables.customer
+    writers.write_csv(rows, path)
+    return files.read_csv(m.spark, path, rows.schema)
 
 
 # --- the marts as SQL text (same oracles as the DataFrame forms) -----------------

