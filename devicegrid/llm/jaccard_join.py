@@ -305,8 +305,10 @@ def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
 
     # 3. Exact similarities within components.
     wanted = groups.select(F.col("rep").alias("__rep"), "node", "label", "copies")
+    # Merge join at every size: the texts' shuffle is to grow with the texts, not
+    # to set in where the members outgrow a broadcast.
     found = docs.select("doc_id", F.col("text").cast("binary").alias("__text")).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("__rep"))).select("label", "node", "copies", "__text")
+        wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__rep"))).select("label", "node", "copies", "__text")
 
     def sets(batches):
         shingles = shingler(shingle)
