@@ -38,6 +38,8 @@ from devicegrid.llm.common import written
 
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 2_000_000
+#: Bytes of documents after which a task hands its stretches on.
+OUTPUT = 4 << 20
 #: Windows handled at once in one document.
 PIECE = 4_000_000
 SHIFT = 16  # a place is start << SHIFT | number of windows
@@ -45,15 +47,16 @@ SHIFT = 16  # a place is start << SHIFT | number of windows
 
 @dataclass(frozen=True)
 class Kind:
-    """``codes(data, powers)``: 64-bit codes of a text; ``body(data, codes, a, b)``: the
-    stretch to ship; ``mark(bodies, counts, docs, starts)``: for each stretch the
+    """``codes(data, powers)``: 64-bit codes of a text; ``bounds(data)``: first and
+    past-the-last byte of each code; ``body_codes(body)``: codes for the index of a
+    stretch of bytes; ``mark(bodies, counts, docs, starts)``: for each stretch the
     indices of its windows that go; ``first_stays``: the first occurrence of a
     window stays (else none does)."""
 
     window: int
     gram: int
     codes: Callable
-    body: Callable
+    bounds: Callable
     body_codes: Callable
     mark: Callable
     first_stays: bool
@@ -143,33 +146,42 @@ def run_rows(docs: DataFrame, kind: Kind) -> DataFrame:
 def _stretches(docs: DataFrame, carriers: DataFrame, kind: Kind, schema: str, emit: Callable) -> DataFrame:
     """For each document with carriers, ``emit(data, codes, doc, carriers)`` gives columns of ``schema``."""
     per_doc = carriers.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("key", "seg", "at", "rows")).alias("c"))
-    met = docs.join(per_doc, F.col("doc") == F.col("__doc"), "left").where("c is not null").select("doc", "data", "c")
+    # All columns of docs pass, so that this exchange of the texts serves the last join too.
+    met = docs.join(per_doc, F.col("doc") == F.col("__doc"), "left").where("c is not null").select(*docs.columns, "c")
+    at = [docs.columns.index(c) for c in ("doc", "data")] + [len(docs.columns)]
     fields = [x.split() for x in schema.split(", ")]
     arrow = {"long": pa.int64(), "binary": pa.binary(), "int": pa.int32()}
 
     def run(batches):
         powers = Powers()
         for batch in batches:
-            for i in range(batch.num_rows):
-                data, doc = batch.column(1)[i].as_py(), batch.column(0)[i].as_py()
-                columns = emit(data, kind.codes(data, powers), doc, batch.column(2)[i].as_py(), powers)
-                yield pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
+            out, size = [[] for _ in fields], 0
+            for row in zip(*(batch.column(i) for i in at)):
+                doc, data, carried = (x.as_py() for x in row)
+                for column, x in zip(out, emit(data, doc, carried, powers)):
+                    column.extend(x)
+                size += len(data)
+                if size > OUTPUT:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, (_, t) in zip(out, fields)], names=[n for n, _ in fields])
+                    out, size = [[] for _ in fields], 0
+            yield pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, (_, t) in zip(out, fields)], names=[n for n, _ in fields])
 
     return met.mapInArrow(run, schema)
 
 
 def _bodies(kind: Kind):
-    def emit(data, codes, doc, carriers, powers):
+    def emit(data, doc, carriers, powers):
         first = [c["at"] >> SHIFT for c in carriers]
         count = [c["at"] & ((1 << SHIFT) - 1) for c in carriers]
+        begin, past = kind.bounds(data)
         return ([c["key"] for c in carriers], [c["seg"] for c in carriers], [doc] * len(carriers), first, count,
-                [kind.body(data, codes, a, a + n - 1 + kind.window) for a, n in zip(first, count)])
+                [data[begin[a]:past[a + n - 2 + kind.window]] for a, n in zip(first, count)])
     return emit
 
 
 def _window_hashes(kind: Kind):
-    def emit(data, codes, doc, carriers, powers):
-        rolling = Rolling(codes, powers)
+    def emit(data, doc, carriers, powers):
+        rolling = Rolling(kind.codes(data, powers), powers)
         out = [[], [], [], [], [], []]
         for c in carriers:
             a, n = c["at"] >> SHIFT, c["at"] & ((1 << SHIFT) - 1)
@@ -178,7 +190,7 @@ def _window_hashes(kind: Kind):
                                        rolling.of(starts, starts + kind.window, 2).view(np.int64),
                                        rolling.of(starts, starts + kind.window, 3).view(np.int64))):
                 column.append(x)
-        return [np.concatenate(c) for c in out]
+        return [np.concatenate(c).tolist() for c in out]
     return emit
 
 
@@ -216,9 +228,9 @@ def _index_chunks(batches, kind: Kind):
 
 
 def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> DataFrame:
-    """(doc, places, marks): windows that go, by document of ``docs`` (doc long, data binary).
+    """(doc, hits): windows that go, by document of ``docs`` (doc long, data binary).
 
-    A place is a run of windows of which all go (marks null) or those marked.
+    A hit is a run of windows (``at``) of which all go (``marks`` null) or those marked.
     """
     rows = run_rows(docs, kind)
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")

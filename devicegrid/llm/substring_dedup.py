@@ -34,13 +34,16 @@ BYTE_CODES = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256,
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
+def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-the-last byte of each word."""
+    edges = np.diff(np.concatenate(([0], (~SPACE[raw]).view(np.int8), [0])))
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
 def word_codes(data: bytes, powers: Powers) -> np.ndarray:
     """A 64-bit hash of each word."""
     raw = np.frombuffer(data, np.uint8)
-    inside = np.concatenate(([0], (~SPACE[raw]).view(np.int8), [0]))
-    edges = np.diff(inside)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    return Rolling(BYTE_CODES[raw], powers).of(starts, ends, 5)
+    return Rolling(BYTE_CODES[raw], powers).of(*word_bounds(raw), 5)
 
 
 class WaveletMatrix:
@@ -128,11 +131,12 @@ def mark(bodies: list[np.ndarray], counts, docs, starts, window: int = WINDOW) -
 
 
 def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
+    shared = Powers()
     return Kind(
         window, gram,
         codes=word_codes,
-        body=lambda data, codes, a, b: codes[a:b].tobytes(),
-        body_codes=lambda body: np.frombuffer(body, np.uint64),
+        bounds=lambda data: word_bounds(np.frombuffer(data, np.uint8)),
+        body_codes=lambda body: word_codes(body, shared),
         mark=lambda bodies, counts, docs, starts: mark(bodies, counts, docs, starts, window),
         first_stays=True)
 
@@ -140,7 +144,7 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_classes: int = 16_384, with_text: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_words, n_removed, kept_sha256``, and ``kept`` (string) if asked for."""
     rows = numbered(docs)
-    hits = removed_windows(rows.select("doc", "data"), kind(window, gram), max_classes)
+    hits = removed_windows(rows, kind(window, gram), max_classes)
     met = rows.join(hits.withColumnRenamed("doc", "__doc"), F.col("doc") == F.col("__doc"), "left").select("doc_id", "data", "hits")
 
     def run(batches):

@@ -93,7 +93,7 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
     return Kind(
         window, gram,
         codes=lambda data, powers: BYTE_CODES[np.frombuffer(data, np.uint8)],
-        body=lambda data, codes, a, b: data[a:b],
+        bounds=lambda data: (range(len(data)), range(1, len(data) + 1)),
         body_codes=lambda body: np.frombuffer(body, np.uint8).astype(np.int64) + 1,
         mark=lambda bodies, counts, docs, starts: mark(bodies, counts, docs, starts, window),
         first_stays=False)
@@ -102,7 +102,7 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
 def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_classes: int = 16_384, with_text: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, and ``kept`` (binary) if asked for."""
     rows = numbered(docs)
-    hits = removed_windows(rows.select("doc", "data"), kind(window, gram), max_classes)
+    hits = removed_windows(rows, kind(window, gram), max_classes)
     met = rows.join(hits.withColumnRenamed("doc", "__doc"), F.col("doc") == F.col("__doc"), "left").select("doc_id", "data", "hits")
 
     def run(batches):
