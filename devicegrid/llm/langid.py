@@ -33,7 +33,8 @@ MAX_N = 4
 WORD = re.compile(r"[^\W\d_]+")
 #: A vote may favour one language over another by at most e to this power.
 FLOOR = -6.0
-MEMO = 200_000
+#: Words whose votes a task keeps (for four languages), and words looked up at once.
+MEMO, PART = 400_000, 50_000
 
 
 def words_of(text: str) -> list[str]:
@@ -49,55 +50,78 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies: words and n-grams by row of a matrix with a column per language."""
+    """Log frequencies: words and n-grams, each with a value per language."""
 
     def __init__(self, langs: list[str], fallback: int, words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.langs, self.fallback, self.words, self.grams = langs, fallback, words, grams
-
-    def vote(self, word: str) -> np.ndarray | None:
-        """None: the word has no letter (digit-like signs)."""
-        if not any(c.isalpha() for c in word):
-            return None
-        found = self.words.get(word)
-        n = MAX_N
-        while found is None and n:
-            known = [g for x in grams_of(word, n) if (g := self.grams.get(x)) is not None]
-            if known:
-                found = np.mean(known, axis=0)
-            n -= 1
-        if found is None:
-            return np.zeros(len(self.langs))
-        return np.maximum(found - found.max(), FLOOR)
+        self.langs, self.fallback = langs, fallback
+        self.word_at, self.gram_at = ({k: i for i, k in enumerate(x)} for x in (words, grams))
+        none = np.zeros((0, max(1, len(langs))), np.float32)
+        self.word_rows, self.gram_rows = (np.array(list(x.values()), np.float32) if x else none for x in (words, grams))
+
+    def parts(self) -> dict:
+        """Plain values, to be broadcast."""
+        return self.__dict__
+
+    @classmethod
+    def of(cls, parts: dict) -> "Model":
+        model = cls.__new__(cls)
+        model.__dict__.update(parts)
+        return model
+
+    def votes(self, words: list[str]) -> np.ndarray:
+        """A row per word: log frequencies less their maximum, not below FLOOR; zeros if nothing is known."""
+        out = np.zeros((len(words), max(1, len(self.langs))), np.float32)
+        known = [(i, at) for i, w in enumerate(words) if (at := self.word_at.get(w)) is not None]
+        if known:
+            out[[i for i, _ in known]] = self.word_rows[[at for _, at in known]]
+        get, flat, size, rest = self.gram_at.get, [], [], []
+        for i, w in enumerate(words):
+            if w in self.word_at:
+                continue
+            for n in range(MAX_N, 0, -1):
+                found = [at for g in grams_of(w, n) if (at := get(g)) is not None]
+                if found:
+                    flat += found
+                    size.append(len(found))
+                    rest.append(i)
+                    break
+        if rest:
+            size = np.array(size)
+            out[rest] = np.add.reduceat(self.gram_rows[flat], np.cumsum(size) - size) / size[:, None]
+        return np.maximum(out - out.max(axis=1, keepdims=True), FLOOR)
 
     def scorer(self):
-        """A function text -> (language, score) that keeps the votes of up to MEMO words."""
-        rows: dict[str, int] = {}
-        votes = np.zeros((MEMO, max(1, len(self.langs))))
+        """A function text -> (language, score) that keeps the votes of many words."""
+        size = max(2 * PART, MEMO // max(4, len(self.langs)) * 4)
+        votes = np.zeros((size + 1, max(1, len(self.langs))), np.float32)
+        rows: dict[str, int] = {}  # 0: a word without a letter
 
-        def score(text: str | None) -> tuple[str, float]:
-            if text is None or not self.langs:
-                return "und", 0.0
-            words = words_of(text)
-            if len(rows) + len(words) >= MEMO:
+        def learn(words: set[str]) -> None:
+            if len(rows) + len(words) > size:
                 rows.clear()
-            total, any_letter, at = np.zeros(len(self.langs)), False, []
-            for w in words:
-                i = rows.get(w)
-                if i is None:
-                    v = self.vote(w)
-                    if len(rows) + 1 >= MEMO:  # one text with more words than the memo holds
-                        if v is not None:
-                            total += v
-                            any_letter = True
-                        continue
-                    i = rows[w] = -1 if v is None else len(rows) + 1
-                    if v is not None:
-                        votes[i] = v
-                if i >= 0:
-                    at.append(i)
-            if at:
-                total += votes[at].sum(axis=0)
-            elif not any_letter:
+            lettered = [w for w in words if w.isalpha() or any(c.isalpha() for c in w)]
+            first = len(rows) + 1
+            votes[first:first + len(lettered)] = self.votes(lettered)
+            rows.update(zip(lettered, range(first, first + len(lettered))))
+            if len(lettered) < len(words):
+                rows.update(dict.fromkeys(words.difference(lettered), 0))
+
+        def score(text: str | None) -> tuple[str, float]:
+            words = words_of(text) if text and self.langs else []
+            total, any_letter = np.zeros(max(1, len(self.langs))), False
+            for k in range(0, len(words), PART):
+                part = words[k:k + PART]
+                at = [rows.get(w) for w in part]
+                if None in at:
+                    missing = {w for w, i in zip(part, at) if i is None}
+                    if len(rows) + len(missing) > size:
+                        missing = set(part)  # starts anew
+                    learn(missing)
+                    at = [rows[w] for w in part]
+                at = np.array(at)
+                any_letter |= bool(at.any())
+                total += votes[at].sum(axis=0, dtype=np.float64)
+            if not any_letter:
                 return "und", 0.0
             if not total.any():
                 return self.langs[self.fallback], 1.0 / len(self.langs)
@@ -173,16 +197,18 @@ def fit(docs: DataFrame, max_rows: int = 20_000, max_words: int = 30_000, max_gr
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every row, with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.fallback, model.words, model.grams))
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
+    names = [*keep] if "text" in keep else [*keep, "text"]
+    at = names.index("text")
+
     def run(batches):
-        score = Model(*shared.value).scorer()
+        score = Model.of(shared.value).scorer()
         for batch in batches:
-            found = [score(t) for t in batch.column(len(keep)).to_pylist()]
+            found = [score(t) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=[*keep, "lang_pred", "score"])
 
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.select(*names).mapInArrow(run, f"{schema}, lang_pred string, score double")
