@@ -535,6 +535,67 @@ def csv_round_trip(m: Model) -> DataFrame:
     return files.read_csv(m.spark, path, rows.schema)
 
 
+@query("weather_document")
+def weather_document(m: Model) -> DataFrame:
+    """Daily figures landed as one column-oriented document (bounded by the days), read back by row."""
+    path = _run_dir(m, "weather")
+    day = F.to_date("l_shipdate")
+    days = m.tables.lineitem.groupBy(day.alias("d")).agg(
+        F.max("l_quantity").alias("hi"), F.min("l_quantity").alias("lo"), F.max("l_discount").alias("rain"), F.max("l_tax").alias("wind"))
+    one = days.agg(F.array_sort(F.collect_list(F.struct("d", "hi", "lo", "rain", "wind"))).alias("x"))
+    one.select(F.struct(
+        F.transform("x", lambda r: F.date_format(r["d"], "yyyy-MM-dd")).alias("time"),
+        F.col("x.hi").alias("temperature_2m_max"), F.col("x.lo").alias("temperature_2m_min"),
+        F.col("x.rain").alias("precipitation_sum"), F.col("x.wind").alias("windspeed_10m_max")).alias("daily")).coalesce(1).write.json(path)
+    return files.read_weather(m.spark, path)
+
+
+@query("holiday_document")
+def holiday_document(m: Model) -> DataFrame:
+    """Order days landed as one array of objects, read back by row."""
+    path = _run_dir(m, "holidays")
+    days = m.tables.orders.groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        F.min("o_orderpriority").alias("name"), F.max("o_orderpriority").alias("localName"))
+    days.agg(F.to_json(F.collect_list(F.struct("date", "name", "localName", F.lit("MW").alias("countryCode")))).alias("value")
+             ).coalesce(1).write.text(path)
+    return files.read_holidays(m.spark, path)
+
+
+@query("feed_document")
+def feed_document(m: Model) -> DataFrame:
+    """The feed's header and first page as one nested document, its alerts read back."""
+    path = _run_dir(m, "feed")
+    alerts_ = m.all_alerts.filter(F.col("priority").isin("P1", "P2"))
+    writers.write_feed_document(alerts_, path, ["priority", "type", "atm_id", "event_date"])
+    return files.read_feed_document(m.spark, path)
+
+
+@query("dates_from_text")
+def dates_from_text(m: Model) -> DataFrame:
+    """Orders written as CSV, read as text or as nothing where absent, their date columns parsed."""
+    path = _run_dir(m, "orders")
+    writers.write_csv(m.tables.orders.select("o_orderkey", "o_orderdate"), path)
+    schema = "o_orderkey long, o_orderdate string"
+    landed = files.read_csv(m.spark, path, schema)
+    absent = files.read_or_empty(m.spark, f"{path}-absent", landed.schema, "csv")
+    return files.parse_date_columns(landed.unionByName(absent))
+
+
+@query("rewritten_table")
+def rewritten_table(m: Model) -> DataFrame:
+    """A table written twice with its row count observed during the write, read back as a view."""
+    path = _run_dir(m, "rewritten")
+    written = [writers.write_counted(m.tables.part, path) for _ in range(2)]
+    view = writers.save_table(m.spark.read.parquet(path), "dg_rewritten", materialized="view")
+    return view.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.lit(written[-1]).cast("long").alias("written"))
+
+
+@query("filtered_devices")
+def filtered_devices(m: Model) -> DataFrame:
+    """equality filters where "All" means none."""
+    return profile.optional_filter(m.device_dim, region="ASIA", atm_type="All").select("atm_id", "region", "atm_type")
+
+
 # --- the marts as SQL text (same oracles as the DataFrame forms) -----------------
 
 @query("daily_cash_mart_sql")

@@ -534,3 +534,16 @@ SELECT atm_id, region, total_tx, round(score, 4) AS utilisation_score,
        CASE WHEN score >= 0.8 THEN 'expand' WHEN score <= 0.2 THEN 'review' ELSE 'maintain' END AS recommendation
 FROM (SELECT *, (count(*) OVER (PARTITION BY region ORDER BY total_tx))::DOUBLE
                 / count(*) OVER (PARTITION BY region) AS score FROM device_profile)"""
+BODIES.update({
+    "weather_document": """
+SELECT CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS temperature_2m_max, min(l_quantity) AS temperature_2m_min,
+       max(l_discount) AS precipitation_sum, max(l_tax) AS windspeed_10m_max FROM lineitem GROUP BY 1""",
+    "holiday_document": """
+SELECT CAST(o_orderdate AS DATE) AS date, min(o_orderpriority) AS name, max(o_orderpriority) AS "localName" FROM orders GROUP BY 1""",
+    "feed_document": """
+SELECT alert_id, type, priority, CAST(atm_id AS VARCHAR) AS atm_id, city, sms AS message, created_at
+FROM all_alerts WHERE priority IN ('P1', 'P2') ORDER BY priority, type, all_alerts.atm_id, event_date LIMIT 25""",
+    "dates_from_text": "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM orders",
+    "rewritten_table": "SELECT p_brand, count(*) AS n, (SELECT count(*) FROM part) AS written FROM part GROUP BY p_brand",
+    "filtered_devices": "SELECT atm_id, region, atm_type FROM device_dim WHERE region = 'ASIA'",
+})

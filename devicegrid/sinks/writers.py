@@ -31,13 +31,8 @@ def write_counted(df: DataFrame, path: str, mode: str = "overwrite", fmt: str =
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> int:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        return write_counted(df, path, "overwrite", partition_by=partition_by)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    return write_counted(df, path, "overwrite", partition_by=partition_by,
+                         options={"partitionOverwriteMode": "dynamic"})
 
 
 def save_table(df: DataFrame, name: str, materialized: str = "table") -> DataFrame:
@@ -68,6 +63,18 @@ def write_feed(alerts: DataFrame, out_dir: str, generated_at: str = C.DEFAULT_RU
     return write_counted(A.feed_entries(alerts), f"{out_dir}/alerts", "overwrite", fmt="json")
 
 
+def write_feed_document(alerts: DataFrame, path: str, order: list, size: int = 25,
+                        generated_at: str = C.DEFAULT_RUN_TS) -> None:
+    """One nested document: the feed's header and its first ``size`` alerts.
+
+    The page is the feature; the whole list is written by :func:`write_feed`.
+    """
+    page = A.feed_entries(alerts.orderBy(*order).limit(size)).withColumn("atm_id", F.col("atm_id").cast("string"))
+    listed = page.agg(F.collect_list(F.struct(*page.columns)).alias("alerts"))
+    header = A.feed_summary(alerts, generated_at)
+    header.select("*", listed.scalar().alias("alerts")).coalesce(1).write.mode("overwrite").json(path)
+
+
 def write_csv(df: DataFrame, path: str) -> int:
     return write_counted(df, path, "overwrite", fmt="csv", options={"header": "true"})
 

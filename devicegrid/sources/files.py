@@ -60,3 +60,10 @@ FEED_ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in
 def read_feed_entries(spark: SparkSession, path: str) -> DataFrame:
     """Alert rows of a feed written by ``sinks.write_feed`` (empty if absent)."""
     return read_or_empty(spark, path, FEED_ENTRY, fmt="json")
+
+
+def read_feed_document(spark: SparkSession, path: str) -> DataFrame:
+    """Alert rows of a single nested feed document (``{.., "alerts": [..]}``)."""
+    doc = T.StructType([T.StructField("alerts", T.ArrayType(FEED_ENTRY))])
+    raw = read_or_empty(spark, path, doc, fmt="json", multiLine=True)
+    return raw.select(F.inline("alerts"))
