@@ -347,4 +347,4 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     text without words stays.  Of rows that repeat the smallest doc_id of their
     class all stay (drop exact copies before)."""
     marks = join_classes(docs, **options).where(F.col("class_id") != F.col("doc_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(marks, F.col("doc_id") == F.col("__id"), "left_anti")
+    return docs.join(marks.hint("merge"), F.col("doc_id") == F.col("__id"), "left_anti")
