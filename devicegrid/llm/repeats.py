@@ -233,7 +233,8 @@ def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> D
     A hit is a run of windows (``at``) of which all go (``marks`` null) or those marked.
     """
     rows = run_rows(docs, kind)
-    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # Written first: between two plain shuffles Spark can split a frequent anchor's partition.
+    often = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     rows = written(rows.join(often, "key"), "runs")
     classes = written(rows.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc", "at")).alias("first"))
                       .select("key", "seg", "rows", "first.doc", "first.at"), "classes")
