@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from devicegrid.llm.common import written
 
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Bytes of documents after which a task hands its stretches on.
 OUTPUT = 4 << 20
 #: Windows handled at once in one document.
