@@ -261,6 +261,41 @@ def with_trend_weekday(s: DataFrame, train_col: str = "train", key: str = "atm_i
                .withColumn("yhat_upper", F.col("yhat") + z * F.col("sd")))
 
 
+def _with_horizon(s: DataFrame, key: str, date: str, horizon: int) -> DataFrame:
+    """The series and, from each last row, ``horizon`` days without a value
+    (``train`` false); ``pos`` counts the own rows from the last one back."""
+    last = F.max(date).over(Window.partitionBy(key))
+    pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
+
+    def row(d, y, train):
+        return F.struct(d.alias("d"), y.alias("y"), F.lit(train).alias("train"))
+    own = row(F.col(date), F.col("y"), True)
+    ahead = [row(F.date_add(date, i), F.lit(None).cast("double"), False) for i in range(1, horizon + 1)]
+    rows = F.when(F.col(date) == F.col("_last"), F.array(own, *ahead)).otherwise(F.array(own))
+    return (s.withColumn("_last", last).withColumn("pos", pos)
+            .select(key, "pos", F.explode(rows).alias("r"))
+            .select(key, F.col("r.d").alias(date), "r.y", "r.train", F.when(F.col("r.train"), F.col("pos")).alias("pos"))
+            .withColumn("t", F.unix_date(date).cast("long"))
+            .withColumn("dow", day_of_week_sunday0(date)))
+
+
+def forecast_summary(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
+                     value: str = "avg_cash_mwk", min_rows: int = C.FORECAST_MIN_ROWS,
+                     holdout: int = C.FORECAST_HOLDOUT_ROWS, horizon: int = C.FORECAST_HORIZON_DAYS,
+                     min_cash: int = C.FORECAST_MIN_CASH) -> DataFrame:
+    """One row: devices, their mean hold-out error and how many need a refill
+    within the horizon.  Both fits run over one series frame, partitioned by
+    device once."""
+    rows = _with_horizon(_series(daily, key, date, value, min_rows), key, date, horizon)
+    cut = with_trend_weekday(rows.withColumn("_fit", F.coalesce(F.col("pos") > holdout, F.lit(False))), "_fit", key)
+    rows = cut.select(*rows.columns, F.when(~F.col("_fit"), F.abs(F.col("y") - F.col("yhat"))).alias("err"))
+    full = with_trend_weekday(rows, "train", key)
+    per_device = full.groupBy(key).agg(
+        F.avg("err").alias("mae"), F.max(~F.col("train") & (F.col("yhat_lower") < min_cash)).alias("need"))
+    return per_device.agg(F.count(F.lit(1)).alias("devices"), F.avg("mae").alias("avg_mae"),
+                          F.count_if("need").alias("devices_needing_refill"))
+
+
 def forecast_holdout_error(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
                            value: str = "avg_cash_mwk", min_rows: int = C.FORECAST_MIN_ROWS,
                            holdout: int = C.FORECAST_HOLDOUT_ROWS) -> DataFrame:
@@ -288,19 +323,7 @@ def forecast_horizon(daily: DataFrame, key: str = "atm_id", date: str = "event_d
     ``needs_refill`` is true for every row of a device when any of its
     horizon days has ``yhat_lower < min_cash``.
     """
-    s = _series(daily, key, date, value, min_rows)
-    s = s.withColumn("_last", F.max(date).over(Window.partitionBy(key)))
-
-    def row(d, y, train):
-        return F.struct(d.alias("d"), y.alias("y"), F.lit(train).alias("train"))
-    own = row(F.col(date), F.col("y"), True)
-    ahead = [row(F.date_add(date, i), F.lit(None).cast("double"), False)
-             for i in range(1, horizon + 1)]
-    rows = F.when(F.col(date) == F.col("_last"), F.array(own, *ahead)).otherwise(F.array(own))
-    ext = (s.select(key, F.explode(rows).alias("r"))
-            .select(key, F.col("r.d").alias(date), "r.y", "r.train")
-            .withColumn("t", F.unix_date(date).cast("long"))
-            .withColumn("dow", day_of_week_sunday0(date)))
+    ext = _with_horizon(_series(daily, key, date, value, min_rows), key, date, horizon)
     p = with_trend_weekday(ext, "train", key).filter(~F.col("train"))
     need = F.max((F.col("yhat_lower") < min_cash).cast("int")).over(Window.partitionBy(key)) == 1
     return p.select(key, F.col(date).alias("ds"), "yhat", "yhat_lower", "yhat_upper",

@@ -451,11 +451,16 @@ def cash_forecast(m: Model) -> DataFrame:
 @query("forecast_summary")
 def forecast_summary(m: Model) -> DataFrame:
     """Devices needing a refill within the horizon and the mean hold-out error."""
-    fc = ml.forecast_horizon(m.daily_cash)
-    mae = ml.forecast_holdout_error(m.daily_cash)
-    need = fc.filter("needs_refill").select(F.count_distinct("atm_id")).scalar()
-    return mae.agg(F.count(F.lit(1)).alias("devices"), F.avg("mae").alias("avg_mae")) \
-              .select("devices", "avg_mae", need.alias("devices_needing_refill"))
+    return ml.forecast_summary(m.daily_cash)
+
+
+@query("forecast_metrics")
+def forecast_metrics(m: Model) -> DataFrame:
+    """Hold-out error and training rows per device as metric rows."""
+    e = ml.forecast_holdout_error(m.daily_cash).select(
+        F.lit("cash_forecast").alias("model"), F.col("atm_id").cast("string").alias("entity"),
+        F.col("mae"), F.col("train_rows").cast("double").alias("train_rows"))
+    return e.unpivot(["model", "entity"], ["mae", "train_rows"], "name", "value")
 
 
 # --- streaming and file round trips -------------------------------------------

@@ -547,3 +547,6 @@ FROM all_alerts WHERE priority IN ('P1', 'P2') ORDER BY priority, type, all_aler
     "rewritten_table": "SELECT p_brand, count(*) AS n, (SELECT count(*) FROM part) AS written FROM part GROUP BY p_brand",
     "filtered_devices": "SELECT atm_id, region, atm_type FROM device_dim WHERE region = 'ASIA'",
 })
+BODIES["forecast_metrics"] = f"""{_SERIES},{_MAE}
+SELECT 'cash_forecast' AS model, CAST(atm_id AS VARCHAR) AS entity, 'mae' AS name, round(mae, 6) AS value FROM mae
+UNION ALL SELECT 'cash_forecast', CAST(atm_id AS VARCHAR), 'train_rows', train_rows FROM mae"""

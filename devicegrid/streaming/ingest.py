@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from devicegrid.operators import silver
+from devicegrid.sources.schemas import BRONZE_SCHEMAS, TOPIC_ENTITY
 
 ENVELOPE = T.StructType([
     T.StructField("key", T.StringType()),
@@ -96,3 +97,35 @@ def ingest(spark: SparkSession, topic_schema: T.StructType, source: DataFrame, o
         b = dedupe_stream(b, dedupe_key)
     return start_parquet_sink(b, out_dir, checkpoint)
 
+
+def ingest_topic(spark: SparkSession, topic: str, source: DataFrame, out_dir: str, checkpoint: str,
+                 dedupe_key: str | None = None) -> StreamingQuery:
+    """The ingest job of a topic, by its name; the schema follows from it."""
+    if topic not in BRONZE_SCHEMAS:
+        raise ValueError(f"unknown topic {topic}; known: {', '.join(sorted(BRONZE_SCHEMAS))}")
+    return ingest(spark, BRONZE_SCHEMAS[topic], source, f"{out_dir}/{TOPIC_ENTITY[topic]}", checkpoint, dedupe_key)
+
+
+def main(argv=None) -> None:
+    """``python -m devicegrid.streaming.ingest --topic atm.cash --files DIR --out DIR --checkpoint DIR``
+    (or ``--brokers HOST:PORT`` with the Kafka connector on the classpath)."""
+    import argparse
+
+    from devicegrid.session import build_session
+
+    ap = argparse.ArgumentParser(description=main.__doc__)
+    ap.add_argument("--topic", required=True)
+    ap.add_argument("--files")
+    ap.add_argument("--brokers")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    a = ap.parse_args(argv)
+    if bool(a.files) == bool(a.brokers):
+        ap.error("give either --files or --brokers")
+    spark = build_session()
+    source = file_stream(spark, a.files) if a.files else kafka_stream(spark, a.brokers, a.topic)
+    ingest_topic(spark, a.topic, source, a.out, a.checkpoint).awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -242,3 +242,27 @@ def test_no_scratch_folder_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Cluster)
+
+
+def test_ingest_by_topic_name(spark, sf_dir):
+    from devicegrid.plans.model import Model
+    base = _scratch(spark, "topic")
+    m = Model(spark, sf_dir)
+    for topic, entity in (("atm.cash", "cash"), ("atm.replenishments", "replenishments")):
+        m.messages(topic).write.json(f"{base}/{entity}-in")
+        ingest.main(["--topic", topic, "--files", f"{base}/{entity}-in", "--out", base, "--checkpoint", f"{base}/ck-{entity}"])
+        assert spark.read.parquet(f"{base}/{entity}").where("not malformed").count() == m.messages(topic).count()
+    with pytest.raises(ValueError, match="unknown topic"):
+        ingest.ingest_topic(spark, "atm.other", None, base, base)
+
+
+def test_live_sink_with_a_processing_time_trigger(spark):
+    base = _scratch(spark, "trigger")
+    _land(spark, f"{base}/in", [_msg(i) for i in range(10)])
+    rows = live.live_rows(ingest.to_bronze(ingest.file_stream(spark, f"{base}/in"), TX_MESSAGE_SCHEMA))
+    q = live.start_live_sink(rows, f"{base}/live", f"{base}/ck", processing_time="1 second")
+    q.processAllAvailable()
+    _land(spark, f"{base}/in", [_msg(i) for i in range(10, 25)])
+    q.processAllAvailable()
+    q.stop()
+    assert VersionedTable(spark, f"{base}/live").read(rows.schema).count() == 25
