@@ -94,7 +94,12 @@ def flag_counts(df: DataFrame, flags: dict[str, str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c)).alias(n) for n, c in flags.items()])
 
 
-def distinct_sorted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
+    """Distinct non-null values (a filter list), sorted."""
+    return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
+
+
+def filter_lists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(dimension, value): the distinct non-null values of several columns
     (filter lists), sorted once, from one scan."""
     pairs = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in columns])

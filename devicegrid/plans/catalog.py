@@ -238,7 +238,7 @@ def dimension_counts(m: Model) -> DataFrame:
 @query("filter_values")
 def filter_values(m: Model) -> DataFrame:
     """Sorted distinct regions and types (filter lists)."""
-    return profile.distinct_sorted(m.device_dim, ["region", "atm_type"])
+    return profile.filter_lists(m.device_dim, ["region", "atm_type"])
 
 
 @query("severity_distribution")
