@@ -48,17 +48,20 @@ def language_model(docs: DataFrame) -> langid.Model:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt where crc32(doc_id) mod 3 is not 1."""
     docs = read(spark, sf_dir, "documents")
     return langid.predict(docs.select("doc_id", "text"), language_model(docs), ["doc_id"]).select(
         "doc_id", (id_crc32() % 3 == 1).alias("held_out"), "lang_pred", "score")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards, and in nine."""
     tree = sharding.regular_tree(8)
     return sharding.shard_rows(read(spark, sf_dir, "documents"), tree, sharding.add_shard(tree))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of equal texts the largest doc_id stays; one row per document."""
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
 
 
@@ -78,6 +81,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and benchmark items hit by windows of ten words, for every document."""
     hits = decontaminate.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"), ["doc_id"])
     return hits.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -27,9 +27,10 @@ FROM marked GROUP BY conv_id
 """
 
 OP5 = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS body FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-  doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
-FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+  doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY body)
 """
 
 #: CTEs: words of documents and items, distinct windows of items, and hits.
