@@ -195,9 +195,12 @@ def _window_hashes(kind: Kind):
 
 
 def _index_chunks(batches, kind: Kind):
-    """Step 4 in a task: whole anchors, sorted, in chunks of about CHUNK codes."""
+    """Step 4 in a task: whole anchors, sorted, in chunks of about CHUNK codes.
+
+    The rows of a document given several times ship the same stretch; a class
+    has one in the index."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, last = 0, None
 
     def flush():
         whole = pa.Table.from_batches(held)
@@ -211,7 +214,14 @@ def _index_chunks(batches, kind: Kind):
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = batch.column(0).to_numpy()
+        keys, segs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        new = np.concatenate(([(keys[0], segs[0]) != last], (keys[1:] != keys[:-1]) | (segs[1:] != segs[:-1])))
+        last = keys[-1], segs[-1]
+        if not new.all():
+            batch = batch.filter(pa.array(new))
+            keys = keys[new]
+            if not len(keys):
+                continue
         ends = np.concatenate((np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
         weight = np.diff(np.concatenate(([0], np.cumsum(batch.column(4).to_numpy() + kind.window)[ends - 1])))
         at = 0

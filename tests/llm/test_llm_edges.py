@@ -318,6 +318,16 @@ def test_earlier_windows_of_awkward_rows(spark, awkward, empty, max_classes):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("max_classes", [16_384, 1])
+def test_a_row_given_twice_keeps_first_occurrences(spark, max_classes):
+    shared = [f"s{i}" for i in range(30)]
+    twice = " ".join([f"a{i}" for i in range(40)] + shared + [f"b{i}" for i in range(40)])
+    other = [f"c{i}" for i in range(40)] + shared + [f"d{i}" for i in range(40)]
+    rows = frame(spark, [(1, twice, "en"), (1, twice, "en"), (2, " ".join(other), "en")])
+    got = sorted((r.doc_id, r.n_removed, r.kept) for r in substring_dedup.remove_repeats(rows, max_classes=max_classes, with_text=True).collect())
+    assert got == [(1, 0, twice), (1, 0, twice), (2, 30, " ".join(other[:40] + other[70:]))]
+
+
 def test_periodic_texts(spark):
     rows = [(1, "a" * 900, "en"), (2, "ab" * 300, "en"), (3, "b" + "a" * 420, "en"), (4, "la " * 50, "en"), (5, "la la", "en")]
     got = {r.doc_id: r.n_removed for r in suffix_dedup.find_repeats(frame(spark, rows)).collect()}
