@@ -6,7 +6,10 @@ ends marked), the longest n of which any n-gram is known: 4, 3, 2, then 1.
 Votes are added up and turned into a posterior over the learnt languages.
 
 Fitting counts words in Spark tasks over a bounded sample of labelled rows
-(``max_rows`` in expectation, by hash of the id); the model holds at most
+(``max_rows`` in expectation, by hash of the id): an equal number of each
+language, all rows of a language with fewer.  A word not seen in a language
+counts as frequent as in the largest sample, so that a language with little
+text does not win the rare words of others.  The model holds at most
 ``max_words`` words and ``max_grams`` n-grams per language and length, so it is
 small enough to broadcast whatever the corpus size.  Scoring needs no shuffle
 and reads every text whole.
@@ -15,7 +18,8 @@ Defined results
 * ``und`` with score 0 if the text is null or has no letter;
 * letters that no n-gram knows: the language with most training rows, score
   1/languages; ties in votes: the first language in alphabetical order;
-* with nothing to learn from, every text is ``und``;
+* a language of which no word is learnt is not predicted; with nothing to
+  learn from, every text is ``und``;
 * a null id counts as empty text in the split; further columns are ignored.
 """
 
@@ -163,14 +167,30 @@ def sample_share(n: int, max_rows: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1_000_000)) < int(share * 1_000_000)
 
 
+def equal_parts(sizes: dict, max_rows: int) -> dict:
+    """The share of each group's rows that a sample of ``max_rows`` takes: an equal
+    number of each group, the whole group where it has fewer."""
+    shares, left = {}, float(max_rows)
+    for done, (group, n) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
+        part = min(n, left / (len(sizes) - done))
+        shares[group] = part / n
+        left -= part
+    return shares
+
+
+def sampled(group: str, shares: dict) -> Column:
+    """True for about the share of its group of the rows, by hash of doc_id."""
+    most = F.create_map(*(x for g, share in shares.items() for x in (F.lit(g), F.lit(int(share * 2**63) - 1).cast("long"))))
+    return F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col("doc_id")), 1) <= most[F.col(group)]
+
+
 def fit(docs: DataFrame, max_rows: int = 20_000, max_words: int = 30_000, max_grams: int = 20_000, min_count: int = 3) -> Model:
     """Learn from the rows of ``docs`` with both a language and a text."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = sorted(sizes)
-    if not langs:
+    if not sizes:
         return Model([], 0, {}, {})
-    sample = rows.where(sample_share(sum(sizes.values()), max_rows)).select("lang", "text")
+    sample = rows.where(sampled("lang", equal_parts(sizes, max_rows))).select("lang", "text")
     words = (sample.mapInArrow(_counts, "lang string, word string, n long")
              .groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
     grams = (words.mapInArrow(_gram_rows, "lang string, size int, gram string, n long")
@@ -180,6 +200,11 @@ def fit(docs: DataFrame, max_rows: int = 20_000, max_words: int = 30_000, max_gr
     top_grams = grams.withColumn("at", F.row_number().over(
         Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram"))).where(F.col("at") <= max_grams)
 
+    top_words, top_grams = top_words.collect(), top_grams.collect()
+    langs = sorted({r["lang"] for r in top_words})
+    if not langs:
+        return Model([], 0, {}, {})
+
     def table(found, key, group) -> dict[str, np.ndarray]:
         col = {x: i for i, x in enumerate(langs)}
         counts: dict[str, np.ndarray] = {}
@@ -187,12 +212,15 @@ def fit(docs: DataFrame, max_rows: int = 20_000, max_words: int = 30_000, max_gr
         for r in found:
             counts.setdefault(r[key], np.zeros(len(langs)))[col[r["lang"]]] += r["n"]
             total.setdefault(group(r), np.zeros(len(langs)))[col[r["lang"]]] += r["n"]
-        return {k: np.log((v + 0.5) / (total[len(k) if key == "gram" else 0] + 0.5 * len(counts))) for k, v in counts.items()}
+        # A count of 0 is half a word of the largest sample, whatever the language's own.
+        least = {g: 0.5 / t.max() for g, t in total.items()}
+        of = {k: len(k) if key == "gram" else 0 for k in counts}
+        return {k: np.log((v / np.maximum(total[of[k]], 1) + least[of[k]]) / (1 + least[of[k]] * len(counts))) for k, v in counts.items()}
 
     return Model(
         langs, max(range(len(langs)), key=lambda i: (sizes[langs[i]], -i)),
-        table(top_words.collect(), "word", lambda r: 0),
-        table(top_grams.collect(), "gram", lambda r: r["size"]))
+        table(top_words, "word", lambda r: 0),
+        table(top_grams, "gram", lambda r: r["size"]))
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

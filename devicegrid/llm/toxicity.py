@@ -6,7 +6,8 @@ for each coordinate, and its L1 term leaves most weights at exactly 0, so that
 the model is a short list of (coordinate, weight), bounded by 2^20 entries.
 
 Fitting takes a bounded sample of labelled rows (``max_rows`` in expectation,
-by hash of the id): texts become coordinates in parallel tasks, and one task
+by hash of the id; an equal number of each label, all rows of a label with
+fewer, and the intercept is set back to the shares of the whole): texts become coordinates in parallel tasks, and one task
 runs FTRL over the bounded sample in the order of the ids' hash.  Scoring needs
 no shuffle and reads every text whole.
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devicegrid.llm.langid import sample_share
+from devicegrid.llm.langid import equal_parts, sampled
 
 BITS = 20
 WORD = re.compile(r"\w+")
@@ -88,10 +89,13 @@ def ftrl(rows: list[tuple[np.ndarray, int]], alpha: float, beta: float, l1: floa
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: int = 6,
         alpha: float = 2.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """(coordinates, weights) learnt from ``labels`` (doc_id, toxic) and the texts."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    total = known.count()
+    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return np.zeros(0, np.int32), np.zeros(0)
+    shares = equal_parts(sizes, max_rows)
     # Bounded by max_rows, and so broadcast: the texts are not shuffled.
-    sample = known.where(sample_share(total, max_rows)).select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__y"))
+    sample = known.where(sampled("toxic", shares)).select(F.col("doc_id").alias("__id"), F.col("toxic").alias("__y"))
     rows = docs.select("doc_id", F.col("text").alias("__t")).join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "__y", "__t")
 
     def featured(batches):
@@ -112,8 +116,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: int
     found = (rows.mapInArrow(featured, "id bigint, y int, at binary").repartition(1)
              .sortWithinPartitions(F.xxhash64(F.lit("deal"), F.col("id")), "id", "at")
              .mapInArrow(train, "at int, w double").collect())
-    found.sort(key=lambda r: r["at"])
-    return np.array([r["at"] for r in found], np.int32), np.array([r["w"] for r in found], np.float64)
+    weights = {r["at"]: r["w"] for r in found}
+    if set(shares) == {0, 1} and shares[0] != shares[1]:
+        weights[0] = weights.get(0, 0.0) + math.log(shares[0] / shares[1])
+    at = sorted(weights)
+    return np.array(at, np.int32), np.array([weights[x] for x in at], np.float64)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:

@@ -95,6 +95,16 @@ def test_ftrl_equals_the_plain_loop():
     assert np.allclose(got[:30], [weight(i) for i in range(30)]) and not got[30:].any()
 
 
+def test_a_rare_label_is_in_the_sample(spark):
+    docs = frame(spark, [(i, "vile insult" if i % 1500 == 7 else f"plain words {i % 7}", "en") for i in range(4000)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 1500 == 7).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels, max_rows=40, l1=0.1)
+    rows = toxicity.score(docs, model, ["doc_id"]).collect()
+    assert model[1].max() > 0  # learnt from a toxic text
+    assert min(r.score for r in rows if r.doc_id % 1500 == 7) > 10 * max(r.score for r in rows if r.doc_id % 1500 != 7)
+    assert {r.doc_id for r in rows if r.predicted} <= set(range(7, 4000, 1500))
+
+
 # -- 3 language identification
 
 def test_language_of_awkward_rows(spark, awkward, empty):
@@ -112,6 +122,17 @@ def test_language_of_awkward_rows(spark, awkward, empty):
     assert langid.predict(empty, model, ["doc_id"]).count() == 0
 
 
+def test_a_rare_language_is_learnt_and_does_not_win_others(spark):
+    rows = [(i, f"the cat and the dog w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}", "en") for i in range(6000)]
+    rows += [(i, "mbwa na paka wa jirani", "sw") for i in range(6000, 6012)] + [(6012, "once only", "xx")]
+    score = langid.fit(frame(spark, rows), max_rows=3000).scorer()
+    assert score("mbwa wa jirani")[0] == "sw" and score("waa")[0] == score("wbc")[0] == score("the dog")[0] == "en"
+    assert langid.fit(frame(spark, rows), max_rows=300).scorer()("mbwa wa jirani")[0] == "sw"
+    assert langid.equal_parts({"a": 2, "b": 10, "c": 100}, 22) == {"a": 1.0, "b": 1.0, "c": 0.1}
+    model = langid.fit(frame(spark, rows))
+    assert model.langs == ["en", "sw"]
+
+
 def test_language_memo_does_not_change_votes():
     words = {w: np.array([-1.0, -4.0]) for w in ("aa", "bb")}
     model = langid.Model(["x", "y"], 0, words, {"c": np.array([-5.0, -1.0])})
