@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
-from devicegrid.llm.common import id_crc32, read
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, periodic_runs, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
+from devicegrid.llm.common import id_crc32, read, text_of
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,31 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def wrapped_words(text: Column, h: Column) -> Column:
+    """The text, or where ``h`` is a multiple of ten its words made periodic from
+    word a on: word i becomes word a + (i - a) % p."""
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    n, g = F.size(words), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    turned = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(turned, " ")).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, and its words without their repeats."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", wrapped_words(text_of(), id_crc32()).alias("text"))
+    found = periodic_runs.find_runs(docs, ["doc_id"])
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.back")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.short")).alias("period"), F.expr("1000 * top.length div -top.short").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -109,4 +134,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
