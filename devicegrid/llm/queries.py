@@ -101,12 +101,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def wrapped_words(text: Column, h: Column) -> Column:
     """The text, or where ``h`` is a multiple of ten its words made periodic from
     word a on: word i becomes word a + (i - a) % p."""
-    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0)
-    n, g = F.size(words), F.floor(h / 10)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    turned = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(turned, " ")).otherwise(text)
+    g = F.floor(h / 10)
+
+    def turned(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        return F.concat(F.slice(words, 1, a), F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), 1, n - a))
+
+    # A list of one, so that the words are extracted once.
+    words = F.array(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0))
+    return F.when(h % 10 == 0, F.array_join(F.transform(words, turned)[0], " ")).otherwise(text)
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
