@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, periodic_runs, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, periodic_runs, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
 from devicegrid.llm.common import id_crc32, read, text_of
 
 
@@ -98,6 +98,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document by fixed patterns and by inferred formats."""
+    found = secret_scan.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat(
+            s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.KINDS))
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def wrapped_words(text: Column, h: Column) -> Column:
     """The text, or where ``h`` is a multiple of ten its words made periodic from
     word a on: word i becomes word a + (i - a) % p."""
@@ -140,5 +153,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_secret_scan": op12_secret_scan,
     "op13_periodic_runs": op13_periodic_runs,
 }
