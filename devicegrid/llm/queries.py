@@ -106,9 +106,11 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat(
             s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.KINDS))
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(number, secret_scan.KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
 def wrapped_words(text: Column, h: Column) -> Column:
