@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, periodic_runs, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
+from devicegrid.llm import chat_format, decontaminate, exact_dedup, jaccard_join, langid, periodic_runs, prefix_trie, secret_scan, sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity
 from devicegrid.llm.common import id_crc32, read, text_of
 
 
@@ -98,6 +98,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, their heads taken from other ones."""
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document by fixed patterns and by inferred formats."""
     found = secret_scan.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -155,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_secret_scan": op12_secret_scan,
     "op13_periodic_runs": op13_periodic_runs,
 }

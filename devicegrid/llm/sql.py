@@ -91,4 +91,39 @@ SELECT d.doc_id, coalesce(n.class_id, d.doc_id) AS class_id, coalesce(n.n_links,
 FROM documents d LEFT JOIN near n USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_chat_format": OP1, "op5_exact_dedup": OP5, "op7_ngram_jaccard_join": OP7, "op8_decontamination": OP8}
+#: CRC-32 of the decimal id, bit by bit; paths as lists of (role, text).
+OP11 = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                             lambda x, y: xor(x >> 1, 3988292384::BIGINT * (x & 1))))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), sizes AS (
+  SELECT c.conv_id, c.base, c.h, least(c.h, count(t.pos)) AS taken FROM convs c LEFT JOIN turns t ON t.conv_id = c.base GROUP BY c.conv_id, c.base, c.h
+), rebuilt AS (
+  SELECT s.conv_id, t.pos AS d, t.role, t.text FROM sizes s JOIN turns t ON t.conv_id = s.base AND t.pos <= s.h
+  UNION ALL SELECT s.conv_id, s.taken + t.pos - s.h, t.role, t.text FROM sizes s JOIN turns t ON t.conv_id = s.conv_id AND t.pos > s.h
+), paths AS (
+  SELECT conv_id, d, text, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY d) AS path, count(*) OVER (PARTITION BY conv_id) AS n FROM rebuilt
+  UNION ALL SELECT c.conv_id, 0, '', [], (SELECT count(*) FROM rebuilt r WHERE r.conv_id = c.conv_id) FROM convs c
+), nodes AS (
+  SELECT min(conv_id) AS conv_id, d AS depth, path, count(*) AS n_convs, (count(*) - 1) * strlen(any_value(text)) AS gain,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM paths GROUP BY d, path
+), children AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), subtrees AS (
+  SELECT a.depth, a.path, count(*) FILTER (c.n IS NULL) AS n_leaves, sum(b.gain)::BIGINT AS saved
+  FROM nodes a JOIN nodes b ON b.depth >= a.depth AND b.path[1:a.depth] = a.path LEFT JOIN children c ON c.depth = b.depth AND c.path = b.path
+  GROUP BY a.depth, a.path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0)::BIGINT AS n_children, s.n_leaves, s.saved AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s ON s.depth = n.depth AND s.path = n.path LEFT JOIN children c ON c.depth = n.depth AND c.path = n.path
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+"""
+
+ORACLE_SQL = {"op1_chat_format": OP1, "op5_exact_dedup": OP5, "op7_ngram_jaccard_join": OP7, "op8_decontamination": OP8, "op11_prefix_trie": OP11}
