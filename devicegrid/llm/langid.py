@@ -27,10 +27,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MAX_N = 4
@@ -38,7 +39,7 @@ WORD = re.compile(r"[^\W\d_]+")
 #: A vote may favour one language over another by at most e to this power.
 FLOOR = -6.0
 #: Words whose votes a task keeps (for four languages), and words looked up at once.
-MEMO, PART = 400_000, 50_000
+MEMO, PART = 160_000, 40_000
 
 
 def words_of(text: str) -> list[str]:
@@ -223,20 +224,27 @@ def fit(docs: DataFrame, max_rows: int = 20_000, max_words: int = 30_000, max_gr
         table(top_grams, "gram", lambda r: r["size"]))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row, with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-
-    names = [*keep] if "text" in keep else [*keep, "text"]
-    at = names.index("text")
+def language_of(spark: SparkSession, model: Model, text: Column) -> Column:
+    """(lang_pred, score) of a text; only the text goes to Python."""
+    shared = spark.sparkContext.broadcast(model.parts())
 
-    def run(batches):
+    def found(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = Model.of(shared.value).scorer()
-        for batch in batches:
-            found = [score(t) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                names=[*keep, "lang_pred", "score"])
+        for part in parts:
+            out = [score(t.as_py()) for t in part]
+            yield pa.StructArray.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
+                                             names=["lang_pred", "score"])
+
+    return F.arrow_udf(found, "lang_pred string, score double")(text)
+
+
+def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every row, with ``lang_pred`` and ``score`` (kept columns of these names give way)."""
+    kept = [c for c in keep if c not in ("lang_pred", "score")]
+    found = docs.select(*kept, language_of(docs.sparkSession, model, F.col("text")).alias("__found"))
+    return found.select(*kept, "__found.lang_pred", "__found.score")
+
 
-    return docs.select(*names).mapInArrow(run, f"{schema}, lang_pred string, score double")
+def with_language(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language."""
+    return docs.where(language_of(docs.sparkSession, model, F.col("text"))["lang_pred"] != "und")
