@@ -46,7 +46,9 @@ from devicegrid.llm.decontaminate import words_of
 
 COORDS = 96
 DEPTH = 4
-MEMO = 300_000
+MEMO = 150_000
+#: Hashes of a block of sets, and of the sets compared at once.
+WEIGHT, PART = 2_000_000, 500_000
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 #: Odd multipliers of the coordinates and of a shingle's words.
 FACTORS = _RNG.integers(1, 1 << 63, COORDS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,7 +93,10 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 def runs_for(threshold: float, recall: float, depth: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has shared a bucket with probability ``recall``."""
-    return min(COORDS // depth, math.ceil(math.log(1 - recall) / math.log(1 - threshold ** depth)))
+    runs = math.ceil(math.log(1 - recall) / math.log(1 - threshold ** depth))
+    if runs > COORDS // depth:
+        raise ValueError(f"threshold {threshold} with recall {recall} needs {runs} runs of {depth} coordinates; there are {COORDS}")
+    return runs
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -120,7 +125,8 @@ def groups_of(batches, key: list[str]):
     def flush():
         if held:
             whole = pa.Table.from_batches(held)
-            yield {c: whole.column(c).to_pylist() for c in whole.column_names}
+            # Hashes stay where Arrow has them.
+            yield {c: [x.as_buffer() for x in whole.column(c)] if c == "hashes" else whole.column(c).to_pylist() for c in whole.column_names}
             held.clear()
 
     last = None
@@ -153,24 +159,25 @@ def blocked(rows: DataFrame, group: list[str], size: DataFrame, node: str, block
 
 def nodes_of(docs: DataFrame, shingle: int) -> DataFrame:
     """Per row: doc_id, node (16 bytes of the set's digest, null without words), its
-    min-hash coordinates and, to compare by, the low byte of each."""
+    size, its min-hash coordinates and, to compare by, the low byte of each."""
 
     def run(batches):
         shingles = shingler(shingle)
         for batch in batches:
-            ids, sketches = [], []
-            for text in batch.column(1).to_pylist():
-                h = shingles(text)
+            ids, sketches, sizes = [], [], []
+            for text in batch.column(1):
+                h = shingles(text.as_py())
+                sizes.append(len(h))
                 ids.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                 sketches.append(sketch(h) if len(h) else None)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(ids, pa.binary()),
+                batch.column(0), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()),
                 pa.array([None if s is None else s.tobytes() for s in sketches], pa.binary()),
                 pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in sketches], pa.binary())],
-                names=["doc_id", "node", "sketch", "brief"])
+                names=["doc_id", "node", "size", "sketch", "brief"])
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, sketch binary, brief binary")
+        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, size long, sketch binary, brief binary")
 
 
 def _paths(sketches: DataFrame, runs: int, depth: int) -> DataFrame:
@@ -230,7 +237,19 @@ def _compare_sketches(batches, margin: float):
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the numbers of shared hashes, by products over blocks of columns."""
+    """Matrix of the numbers of shared hashes, a range of hashes at a time (sets are sorted)."""
+    parts = 1 + (sum(map(len, left)) + sum(map(len, right))) // PART
+    cuts = np.array([(1 << 64) * k // parts for k in range(1, parts)], np.uint64)
+    at = [[0, *np.searchsorted(x, cuts).tolist(), len(x)] for x in (*left, *right)]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for k in range(parts):
+        some = [x[a[k]:a[k + 1]] for x, a in zip((*left, *right), at)]
+        out += _shared(some[:len(left)], some[len(left):])
+    return out
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The same by products over blocks of columns."""
     flat = np.concatenate(left + right)
     values, at = np.unique(flat, return_inverse=True)
     often = np.bincount(at) > 1
@@ -288,7 +307,7 @@ def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
     """One row per row of ``docs``: ``doc_id, class_id, n_links, n_texts, class_rows``."""
     rows = written(nodes_of(docs, shingle), "nodes")
     worded = rows.where("node is not null")
-    nodes = worded.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"))
+    nodes = worded.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("rep"), F.max("size").alias("size"))
     sketches = written(worded.select("node", "sketch", "brief").dropDuplicates(["node"]), "sketches")  # equal for equal nodes
 
     # 1. Chosen paths.
@@ -301,7 +320,7 @@ def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
             .mapInArrow(lambda b: _compare_sketches(b, margin), "a binary, b binary"))
 
     # 2. Components of the ties.
-    groups = written(components(ties).join(nodes, "node").select("node", "label", "copies", "rep"), "ties")
+    groups = written(components(ties).join(nodes, "node").select("node", "label", "copies", "rep", "size"), "ties")
 
     # 3. Exact similarities within components.
     wanted = groups.select(F.col("rep").alias("__rep"), "node", "label", "copies")
@@ -314,8 +333,8 @@ def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
         shingles = shingler(shingle)
         for batch in batches:
             hashes, keep = [], []
-            for node, text in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-                h = shingles(text)
+            for node, text in zip(batch.column(1).to_pylist(), batch.column(3)):
+                h = shingles(text.as_py())
                 # A doc_id may be given to several texts; the node's own is wanted.
                 keep.append(len(h) > 0 and hashlib.blake2b(h.tobytes(), digest_size=16).digest() == node)
                 hashes.append(h.tobytes())
@@ -324,14 +343,16 @@ def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
             yield out.filter(pa.array(keep, pa.bool_()))
 
     members = found.mapInArrow(sets, "label binary, node binary, copies long, hashes binary")
-    pairs = (blocked(members, ["label"], groups.groupBy("label").agg(F.count(F.lit(1)).alias("__n")), "node", small)
+    # A group of long texts counts as more nodes, so that blocks are bounded by their hashes too.
+    weight = groups.groupBy("label").agg(F.greatest(F.count(F.lit(1)), F.ceil(F.sum("size") * small / WEIGHT)).alias("__n"))
+    pairs = (blocked(members, ["label"], weight, "node", small)
              .select("label", "__pi", "__pj", "__own", "node", "copies", "hashes")
              .repartition("label", "__pi", "__pj").sortWithinPartitions("label", "__pi", "__pj", "node"))
     exact = written(pairs.mapInArrow(lambda b: _compare_sets(b, threshold), "node binary, links long, texts long, other binary"), "links")
     degrees = exact.where("other is null").groupBy("node").agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     classes = components(exact.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
 
-    per_node = (nodes.join(degrees, "node", "left").join(classes, "node", "left")
+    per_node = (nodes.drop("size").join(degrees, "node", "left").join(classes, "node", "left")
                 .withColumn("label", F.coalesce("label", "node")))
     per_class = per_node.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_rows"))
     answers = per_node.join(per_class, "label").select(
