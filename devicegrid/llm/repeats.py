@@ -47,9 +47,9 @@ SHIFT = 16  # a place is start << SHIFT | number of windows
 
 @dataclass(frozen=True)
 class Kind:
-    """``codes(data, powers)``: 64-bit codes of a text; ``bounds(data)``: first and
-    past-the-last byte of each code; ``body_codes(body)``: codes for the index of a
-    stretch of bytes; ``mark(bodies, counts, docs, starts)``: for each stretch the
+    """``codes(data, memo)``: 64-bit codes of a text (``memo()`` makes what a task
+    remembers of them); ``bounds(data)``: first and past-the-last byte of each code;
+    ``body_codes(body, memo)``: codes for the index of a stretch of bytes; ``mark(bodies, counts, docs, starts)``: for each stretch the
     indices of its windows that go; ``first_stays``: the first occurrence of a
     window stays (else none does)."""
 
@@ -60,6 +60,7 @@ class Kind:
     body_codes: Callable
     mark: Callable
     first_stays: bool
+    memo: Callable = dict
 
 
 class Powers:
@@ -128,13 +129,13 @@ def run_rows(docs: DataFrame, kind: Kind) -> DataFrame:
     """Step 1: (key, seg, doc, at)."""
 
     def run(batches):
-        powers = Powers()
+        powers, memo = Powers(), kind.memo()
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
             for doc, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = data.as_py()
                 if data:
-                    for key, seg, first, count in runs(kind.codes(data, powers), kind.window, kind.gram, powers):
+                    for key, seg, first, count in runs(kind.codes(data, memo), kind.window, kind.gram, powers):
                         for column, x in zip(out, (key, seg, np.full(len(key), doc), (first << SHIFT) | count)):
                             column.append(x)
             if out[0]:
@@ -153,12 +154,12 @@ def _stretches(docs: DataFrame, carriers: DataFrame, kind: Kind, schema: str, em
     arrow = {"long": pa.int64(), "binary": pa.binary(), "int": pa.int32()}
 
     def run(batches):
-        powers = Powers()
+        powers, memo = Powers(), kind.memo()
         for batch in batches:
             out, size = [[] for _ in fields], 0
             for row in zip(*(batch.column(i) for i in at)):
                 doc, data, carried = (x.as_py() for x in row)
-                for column, x in zip(out, emit(data, doc, carried, powers)):
+                for column, x in zip(out, emit(data, doc, carried, powers, memo)):
                     column.extend(x)
                 size += len(data)
                 if size > OUTPUT:
@@ -170,7 +171,7 @@ def _stretches(docs: DataFrame, carriers: DataFrame, kind: Kind, schema: str, em
 
 
 def _bodies(kind: Kind):
-    def emit(data, doc, carriers, powers):
+    def emit(data, doc, carriers, powers, memo):
         first = [c["at"] >> SHIFT for c in carriers]
         count = [c["at"] & ((1 << SHIFT) - 1) for c in carriers]
         begin, past = kind.bounds(data)
@@ -180,15 +181,16 @@ def _bodies(kind: Kind):
 
 
 def _window_hashes(kind: Kind):
-    def emit(data, doc, carriers, powers):
-        rolling = Rolling(kind.codes(data, powers), powers)
+    def emit(data, doc, carriers, powers, memo):
+        codes = kind.codes(data, memo)
+        rolling, other = Rolling(codes, powers), Rolling(mix(codes, 7), powers)
         out = [[], [], [], [], [], []]
         for c in carriers:
             a, n = c["at"] >> SHIFT, c["at"] & ((1 << SHIFT) - 1)
             starts = np.arange(a, a + n)
             for column, x in zip(out, (np.full(n, c["key"]), np.full(n, c["seg"]), np.full(n, doc), starts,
                                        rolling.of(starts, starts + kind.window, 2).view(np.int64),
-                                       rolling.of(starts, starts + kind.window, 3).view(np.int64))):
+                                       other.of(starts, starts + kind.window, 3).view(np.int64))):
                 column.append(x)
         return [np.concatenate(c).tolist() for c in out]
     return emit
@@ -201,11 +203,12 @@ def _index_chunks(batches, kind: Kind):
     has one in the index."""
     held: list[pa.RecordBatch] = []
     size, last = 0, None
+    memo = kind.memo()
 
     def flush():
         whole = pa.Table.from_batches(held)
         key, seg, doc, first, count = (whole.column(c).to_numpy() for c in ("key", "seg", "doc", "first", "count"))
-        marks = kind.mark([kind.body_codes(b.as_py()) for b in whole.column("body")], count, doc, first)
+        marks = kind.mark([kind.body_codes(b.as_py(), memo) for b in whole.column("body")], count, doc, first)
         some = [i for i, m in enumerate(marks) if len(m)]
         yield pa.RecordBatch.from_arrays([
             pa.array(key[some]), pa.array(seg[some]), pa.array([marks[i].tolist() for i in some], pa.list_(pa.int32()))],
@@ -272,7 +275,9 @@ def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> D
     else:
         whole = F.col("rows") > 1
     known = classes.select("key", "seg", "rows", F.col("doc").alias("first_doc"), F.col("at").alias("first_at"))
-    hits = (rows.join(known.join(marks, ["key", "seg"], "left").where("rows > 1 or marks is not null"), ["key", "seg"])
+    # Written too, so that a class of very many rows is split in the join.
+    known = written(known.join(marks, ["key", "seg"], "left").where("rows > 1 or marks is not null"), "marked")
+    hits = (rows.join(known, ["key", "seg"])
             .withColumn("marks", F.when(~whole, F.col("marks"))).where(whole | F.col("marks").isNotNull()))
     return hits.groupBy("doc").agg(F.collect_list(F.struct("at", "marks")).alias("hits"))
 

@@ -27,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devicegrid.llm.repeats import Kind, Powers, Rolling, covered, numbered, removed_windows, suffix_order
+from devicegrid.llm.repeats import Kind, covered, numbered, removed_windows, suffix_order
 
 WINDOW, GRAM = 20, 4
-BYTE_CODES = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
@@ -40,10 +39,19 @@ def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def word_codes(data: bytes, powers: Powers) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    raw = np.frombuffer(data, np.uint8)
-    return Rolling(BYTE_CODES[raw], powers).of(*word_bounds(raw), 5)
+class Codes(dict):
+    """64 bits of a digest of each word, of the last words that came."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        code = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return code
+
+
+def word_codes(data: bytes, codes: Codes) -> np.ndarray:
+    words = data.split()
+    return np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
 
 
 class WaveletMatrix:
@@ -131,12 +139,11 @@ def mark(bodies: list[np.ndarray], counts, docs, starts, window: int = WINDOW) -
 
 
 def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
-    shared = Powers()
     return Kind(
         window, gram,
-        codes=word_codes,
+        codes=word_codes, memo=Codes,
         bounds=lambda data: word_bounds(np.frombuffer(data, np.uint8)),
-        body_codes=lambda body: word_codes(body, shared),
+        body_codes=word_codes,
         mark=lambda bodies, counts, docs, starts: mark(bodies, counts, docs, starts, window),
         first_stays=True)
 

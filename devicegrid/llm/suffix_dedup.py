@@ -92,9 +92,9 @@ def mark(bodies: list[np.ndarray], counts, docs, starts, window: int = WINDOW) -
 def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
     return Kind(
         window, gram,
-        codes=lambda data, powers: BYTE_CODES[np.frombuffer(data, np.uint8)],
+        codes=lambda data, memo: BYTE_CODES[np.frombuffer(data, np.uint8)],
         bounds=lambda data: (range(len(data)), range(1, len(data) + 1)),
-        body_codes=lambda body: np.frombuffer(body, np.uint8).astype(np.int64) + 1,
+        body_codes=lambda body, memo: np.frombuffer(body, np.uint8).astype(np.int64) + 1,
         mark=lambda bodies, counts, docs, starts: mark(bodies, counts, docs, starts, window),
         first_stays=False)
 
