@@ -124,7 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: int
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row, with ``score`` and ``predicted``."""
+    """The columns ``keep`` of every row, with ``score`` and ``predicted`` (kept columns of these names give way)."""
+    keep = [c for c in keep if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 

@@ -382,3 +382,50 @@ def test_runs_cover_every_window_once_and_depend_on_content_alone():
     inner = [(k, s) for k, s, f, c in zip(key, seg, first, count) if 50 < f and f + c < 300]
     again = [(k, s) for k, s, f, c in zip(key, seg, first, count) if 1177 + 50 < f and f + c < 1177 + 300]
     assert inner and inner == again
+
+
+def thue_morse(n, a, b):
+    word = a
+    for _ in range(n):
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word
+
+
+def test_substring_dedup_tells_words_of_equal_polynomial_sums_apart(spark):
+    for n in (10, 11, 12):
+        x, y = thue_morse(n, "a", "b"), thue_morse(n, "b", "a")
+        rest = " ".join(f"w{i}" for i in range(19))
+        docs = frame(spark, [(1, f"{x} {rest}", "en"), (2, f"{y} {rest}", "en"), (3, f"{x} {rest}", "en")])
+        got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(docs).collect()}
+        assert got == {1: 0, 2: 0, 3: 20}
+
+
+def test_result_columns_win_over_kept_ones(spark):
+    rows = [(i, "the cat and the dog " * 3 + str(i), "en", 0.5, "x", 7) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, lang_pred string, predicted int")
+    model = langid.fit(docs)
+    found = langid.predict(docs, model, docs.columns)
+    assert sorted(found.columns) == sorted(docs.columns) and {r.lang_pred for r in found.collect()} == {"en"}
+    kept = langid.with_language(docs.union(docs.limit(1).withColumn("text", F.lit(None).cast("string"))), model)
+    assert kept.columns == docs.columns and kept.count() == 20 and {r.lang_pred for r in kept.collect()} == {"x"}
+    toxic = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    scored = toxicity.score(docs, toxic, docs.columns).collect()
+    assert len(scored) == 20 and all(r.predicted in (0, 1) for r in scored)
+    pieces = sentencepiece_codec.encode(docs.withColumn("ids", F.lit("x")), piece_model(), ["doc_id", "ids", "text"], max_units=20)
+    assert all(len(r.ids) for r in pieces.collect())
+    assert sentencepiece_codec.decode(pieces, piece_model(), ["doc_id", "text"]).where("text is null").count() == 0
+
+
+def test_near_copies_of_long_texts_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "WEIGHT", 3000)
+    monkeypatch.setattr(jaccard_join, "PART", 1000)
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(500)}" for _ in range(400)]
+    rows = [(i, " ".join(base[:380 + i % 20] + [f"tail{i}"]), "en") for i in range(60)]
+    out = {r.doc_id: r for r in jaccard_join.join_classes(frame(spark, rows)).collect()}
+    assert {(r.class_id, r.n_links, r.class_rows) for r in out.values()} == {(0, 59, 60)}
+
+
+def test_a_threshold_beyond_the_runs_is_an_error():
+    with pytest.raises(ValueError):
+        jaccard_join.runs_for(0.5, 0.99999)
