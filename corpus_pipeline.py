@@ -17,8 +17,7 @@ from devicegrid.llm.queries import language_model, piece_model
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null or no letter) go."""
-    found = langid.predict(docs, language_model(docs), docs.columns)
-    return found.where(F.col("lang_pred") != "und").select(*docs.columns)
+    return langid.with_language(docs, language_model(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
