@@ -27,9 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devicegrid.llm.repeats import Kind, covered, numbered, removed_windows, suffix_order
+from devicegrid.llm.repeats import BASE, Kind, covered, mix, numbered, removed_windows, suffix_order
 
 WINDOW, GRAM = 20, 4
+BASE64 = np.uint64(BASE)
+#: Masks of the first 0 to 8 bytes.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
@@ -39,19 +42,24 @@ def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-class Codes(dict):
-    """64 bits of a digest of each word, of the last words that came."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        code = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return code
-
-
-def word_codes(data: bytes, codes: Codes) -> np.ndarray:
-    words = data.split()
-    return np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+def word_codes(data: bytes, memo: dict) -> np.ndarray:
+    """A 64-bit hash of each word: eight bytes after eight, each mixed into what
+    came before; a digest for words of more than 64 bytes."""
+    raw = np.frombuffer(data + bytes(8), np.uint8)
+    begin, past = word_bounds(raw[:len(data)])
+    eight = np.ndarray((len(data) + 1,), "<u8", raw, strides=(1,))
+    size = past - begin
+    codes = mix(size.astype(np.uint64), 5)
+    which, at, left = np.arange(len(size)), begin, size
+    for _ in range(8):
+        codes[which] = mix(codes[which] * BASE64 ^ (eight[at] & KEEP[np.minimum(left, 8)]))
+        more = left > 8
+        if not more.any():
+            break
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > 64).tolist():
+        codes[i] = int.from_bytes(hashlib.blake2b(data[begin[i]:past[i]], digest_size=8).digest(), "little")
+    return codes
 
 
 class WaveletMatrix:
@@ -141,7 +149,7 @@ def mark(bodies: list[np.ndarray], counts, docs, starts, window: int = WINDOW) -
 def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
     return Kind(
         window, gram,
-        codes=word_codes, memo=Codes,
+        codes=word_codes,
         bounds=lambda data: word_bounds(np.frombuffer(data, np.uint8)),
         body_codes=word_codes,
         mark=lambda bodies, counts, docs, starts: mark(bodies, counts, docs, starts, window),
