@@ -5,8 +5,7 @@
 * the split is seeded by hashes and exact within each label (no window over a
   whole class, which would put half the data in one task);
 * models are MLlib estimators on an assembled feature vector;
-* the cash forecast is a per-device regression written with window aggregates,
-  so it is exact, distributed, shuffle-free after the mart and checkable against SQL.
+* the cash forecast is in ``operators.forecast``.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from devicegrid import config as C
-from devicegrid.functions.exprs import day_of_week_sunday0, portable_hash_text
+from devicegrid.functions.exprs import portable_hash_text
 from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
@@ -219,112 +218,3 @@ def utilisation(profile: DataFrame, key: str = "atm_id", group: str = "region",
             .otherwise("maintain"))
     return j.select(key, group, value, F.round("_score", 4).alias("utilisation_score"),
                     rec.alias("recommendation"))
-
-
-# --- cash forecast -------------------------------------------------------------
-#
-# The daily mart is already hash-partitioned by device (its window), so the
-# model is fitted with window aggregates partitioned by the device (and by
-# device + weekday, which that partitioning also satisfies): no extra shuffle
-# and no join back.  Each window group is one device's daily rows, bounded by
-# the number of days, never by the raw event volume.
-
-
-def _series(daily: DataFrame, key: str, date: str, value: str, min_rows: int) -> DataFrame:
-    s = daily.select(key, date, F.col(value).cast("double").alias("y"),
-                     F.unix_date(date).cast("long").alias("t"),
-                     day_of_week_sunday0(date).alias("dow"))
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    return s.withColumn("n_rows", n).filter(F.col("n_rows") >= min_rows)
-
-
-def with_trend_weekday(s: DataFrame, train_col: str = "train", key: str = "atm_id",
-                       z: float = C.FORECAST_BAND_Z) -> DataFrame:
-    """Fit per device on the rows where ``train_col`` is true and predict every row.
-
-    Model: least-squares trend y = a + b*t, plus the weekday mean of the
-    trend residuals, plus a band of +/- z * (population sd of what is left).
-    Adds a, b, train_rows, wd, sd, yhat, yhat_lower, yhat_upper.
-    """
-    tr = F.col(train_col)
-    dev = Window.partitionBy(key)
-    dev_dow = Window.partitionBy(key, "dow")
-    out = (s.withColumn("a", F.regr_intercept(F.when(tr, F.col("y")), F.when(tr, F.col("t"))).over(dev))
-            .withColumn("b", F.regr_slope(F.when(tr, F.col("y")), F.when(tr, F.col("t"))).over(dev))
-            .withColumn("train_rows", F.count_if(tr).over(dev))
-            .withColumn("trend", F.col("a") + F.col("b") * F.col("t"))
-            .withColumn("wd", F.avg(F.when(tr, F.col("y") - F.col("trend"))).over(dev_dow))
-            .withColumn("sd", F.stddev_pop(F.when(tr, (F.col("y") - F.col("trend")) - F.col("wd")))
-                        .over(dev)))
-    return (out.withColumn("yhat", F.col("trend") + F.coalesce(F.col("wd"), F.lit(0.0)))
-               .withColumn("yhat_lower", F.col("yhat") - z * F.col("sd"))
-               .withColumn("yhat_upper", F.col("yhat") + z * F.col("sd")))
-
-
-def _with_horizon(s: DataFrame, key: str, date: str, horizon: int) -> DataFrame:
-    """The series and, from each last row, ``horizon`` days without a value
-    (``train`` false); ``pos`` counts the own rows from the last one back."""
-    last = F.max(date).over(Window.partitionBy(key))
-    pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
-
-    def row(d, y, train):
-        return F.struct(d.alias("d"), y.alias("y"), F.lit(train).alias("train"))
-    own = row(F.col(date), F.col("y"), True)
-    ahead = [row(F.date_add(date, i), F.lit(None).cast("double"), False) for i in range(1, horizon + 1)]
-    rows = F.when(F.col(date) == F.col("_last"), F.array(own, *ahead)).otherwise(F.array(own))
-    return (s.withColumn("_last", last).withColumn("pos", pos)
-            .select(key, "pos", F.explode(rows).alias("r"))
-            .select(key, F.col("r.d").alias(date), "r.y", "r.train", F.when(F.col("r.train"), F.col("pos")).alias("pos"))
-            .withColumn("t", F.unix_date(date).cast("long"))
-            .withColumn("dow", day_of_week_sunday0(date)))
-
-
-def forecast_summary(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
-                     value: str = "avg_cash_mwk", min_rows: int = C.FORECAST_MIN_ROWS,
-                     holdout: int = C.FORECAST_HOLDOUT_ROWS, horizon: int = C.FORECAST_HORIZON_DAYS,
-                     min_cash: int = C.FORECAST_MIN_CASH) -> DataFrame:
-    """One row: devices, their mean hold-out error and how many need a refill
-    within the horizon.  Both fits run over one series frame, partitioned by
-    device once."""
-    rows = _with_horizon(_series(daily, key, date, value, min_rows), key, date, horizon)
-    cut = with_trend_weekday(rows.withColumn("_fit", F.coalesce(F.col("pos") > holdout, F.lit(False))), "_fit", key)
-    rows = cut.select(*rows.columns, F.when(~F.col("_fit"), F.abs(F.col("y") - F.col("yhat"))).alias("err"))
-    full = with_trend_weekday(rows, "train", key)
-    per_device = full.groupBy(key).agg(
-        F.avg("err").alias("mae"), F.max(~F.col("train") & (F.col("yhat_lower") < min_cash)).alias("need"))
-    return per_device.agg(F.count(F.lit(1)).alias("devices"), F.avg("mae").alias("avg_mae"),
-                          F.count_if("need").alias("devices_needing_refill"))
-
-
-def forecast_holdout_error(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
-                           value: str = "avg_cash_mwk", min_rows: int = C.FORECAST_MIN_ROWS,
-                           holdout: int = C.FORECAST_HOLDOUT_ROWS) -> DataFrame:
-    """Fit on all but the last ``holdout`` rows of each series, report the
-    mean absolute error on those rows: (key, train_rows, mae)."""
-    s = _series(daily, key, date, value, min_rows)
-    pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
-    s = s.withColumn("train", pos > holdout)
-    p = with_trend_weekday(s, "train", key)
-    return p.groupBy(key).agg(F.max("train_rows").alias("train_rows"),
-                              F.avg(F.when(~F.col("train"), F.abs(F.col("y") - F.col("yhat"))))
-                               .alias("mae"))
-
-
-def forecast_horizon(daily: DataFrame, key: str = "atm_id", date: str = "event_date",
-                     value: str = "avg_cash_mwk", min_rows: int = C.FORECAST_MIN_ROWS,
-                     horizon: int = C.FORECAST_HORIZON_DAYS,
-                     min_cash: int = C.FORECAST_MIN_CASH) -> DataFrame:
-    """Refit on every row and forecast the ``horizon`` days after each
-    series' last date: (key, ds, yhat, yhat_lower, yhat_upper, needs_refill).
-
-    The horizon days are generated from each series' last row (``explode``)
-    as rows without a value, so the same windows fit the history and predict
-    the new days in one pass, without a second scan or a union.
-    ``needs_refill`` is true for every row of a device when any of its
-    horizon days has ``yhat_lower < min_cash``.
-    """
-    ext = _with_horizon(_series(daily, key, date, value, min_rows), key, date, horizon)
-    p = with_trend_weekday(ext, "train", key).filter(~F.col("train"))
-    need = F.max((F.col("yhat_lower") < min_cash).cast("int")).over(Window.partitionBy(key)) == 1
-    return p.select(key, F.col(date).alias("ds"), "yhat", "yhat_lower", "yhat_upper",
-                    need.alias("needs_refill"))

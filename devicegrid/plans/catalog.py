@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions import exprs
-from devicegrid.operators import alerts, encode, marts, ml, profile, silver, staging
+from devicegrid.operators import alerts, encode, forecast, marts, ml, profile, silver, staging
 from devicegrid.plans import sql_marts
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
@@ -438,26 +438,26 @@ def utilisation_scores(m: Model) -> DataFrame:
 
 @query("forecast_mae")
 def forecast_mae(m: Model) -> DataFrame:
-    """Hold-out error of the per-device trend + weekday model."""
-    return ml.forecast_holdout_error(m.daily_cash)
+    """Hold-out error of the per-device trend and season model."""
+    return round_doubles(forecast.forecast_holdout_error(m.daily_cash), 2)
 
 
 @query("cash_forecast")
 def cash_forecast(m: Model) -> DataFrame:
     """Next 3 days per device with the 80 % band and refill flag."""
-    return ml.forecast_horizon(m.daily_cash)
+    return round_doubles(forecast.forecast_horizon(m.daily_cash), 2)
 
 
 @query("forecast_summary")
 def forecast_summary(m: Model) -> DataFrame:
     """Devices needing a refill within the horizon and the mean hold-out error."""
-    return ml.forecast_summary(m.daily_cash)
+    return round_doubles(forecast.forecast_summary(m.daily_cash), 2)
 
 
 @query("forecast_metrics")
 def forecast_metrics(m: Model) -> DataFrame:
     """Hold-out error and training rows per device as metric rows."""
-    e = ml.forecast_holdout_error(m.daily_cash).select(
+    e = round_doubles(forecast.forecast_holdout_error(m.daily_cash), 2).select(
         F.lit("cash_forecast").alias("model"), F.col("atm_id").cast("string").alias("entity"),
         F.col("mae"), F.col("train_rows").cast("double").alias("train_rows"))
     return e.unpivot(["model", "entity"], ["mae", "train_rows"], "name", "value")

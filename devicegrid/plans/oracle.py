@@ -395,33 +395,41 @@ s AS (SELECT s0.*, row_number() OVER (PARTITION BY s0.atm_id ORDER BY event_date
       FROM s0 JOIN sz USING (atm_id) WHERE n_rows >= {C.FORECAST_MIN_ROWS})"""
 
 
-def _fit(src: str, x: str = "") -> str:
+# The forecast's terms and ridge, restated for SQL.
+_CHANGES, _YEARLY, _WEEKLY = 6, 3, 3
+_P = 2 + _CHANGES + 2 * (_YEARLY + _WEEKLY)
+_RIDGE = [0.0, 0.0] + [4.0] * _CHANGES + [1.0] * (2 * (_YEARLY + _WEEKLY))
+_U = "((t - lo) / span)"
+_TERMS = ", ".join(["1.0::DOUBLE", _U] + [f"greatest({_U} - {0.8 * (k + 1) / (_CHANGES + 1)!r}::DOUBLE, 0)" for k in range(_CHANGES)]
+                   + [f"{f}(t * {2 * 3.141592653589793 * k / period!r}::DOUBLE)" for period, most in ((365.25, _YEARLY), (7.0, _WEEKLY))
+                      for k in range(1, most + 1) for f in ("sin", "cos")])
+
+
+def _fit(src: str, x: str) -> str:
+    """Normal equations summed by (i, j), solved by elimination in a recursive query."""
     return f"""
-tr{x} AS (SELECT atm_id, regr_intercept(y, t) AS a, regr_slope(y, t) AS b, count(*) AS train_rows
-       FROM {src} GROUP BY atm_id),
-r{x} AS (SELECT q.*, a, b, y - (a + b * t) AS r FROM {src} q JOIN tr{x} USING (atm_id)),
-wd{x} AS (SELECT atm_id, dow, avg(r) AS wd FROM r{x} GROUP BY atm_id, dow),
-sd{x} AS (SELECT q.atm_id, stddev_pop(q.r - w.wd) AS sd FROM r{x} q JOIN wd{x} w USING (atm_id, dow)
-       GROUP BY q.atm_id)"""
+d{x} AS (SELECT atm_id, min(t) AS lo, greatest(max(t) - min(t), 1)::DOUBLE AS span,
+         CASE WHEN max(abs(y)) > 0 THEN max(abs(y)) ELSE 1 END AS scale, count(*) AS train_rows FROM {src} GROUP BY atm_id),
+x{x} AS (SELECT q.atm_id, q.t, q.y, [{_TERMS}, y / scale] AS x FROM {src} q JOIN d{x} USING (atm_id)),
+xx{x} AS (SELECT atm_id, i, j, sum(x[i] * x[j]) + CASE WHEN i = j THEN {_RIDGE}[i] ELSE 0 END AS v
+         FROM x{x}, range(1, {_P + 1}) AS a(i), range(1, {_P + 2}) AS b(j) GROUP BY atm_id, i, j),
+e{x} AS (SELECT atm_id, 0 AS k, list(r ORDER BY i) AS m FROM (SELECT atm_id, i, list(v ORDER BY j) AS r FROM xx{x} GROUP BY atm_id, i) GROUP BY atm_id
+         UNION ALL SELECT atm_id, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda v: v / m[k + 1][k + 1])
+           ELSE list_transform(r, lambda v, j: v - m[k + 1][j] * (r[k + 1] / m[k + 1][k + 1])) END) FROM e{x} WHERE k < {_P}),
+c{x} AS (SELECT atm_id, list_transform(m, lambda r: r[{_P + 1}]) AS coef, lo, span, scale, train_rows FROM e{x} JOIN d{x} USING (atm_id) WHERE k = {_P}),
+sd{x} AS (SELECT q.atm_id, stddev_pop(q.y - scale * list_dot_product(coef, q.x[1:{_P}])) AS sd FROM x{x} q JOIN c{x} USING (atm_id) GROUP BY q.atm_id)"""
 
 
 _MAE = f"""
 train AS (SELECT * FROM s WHERE pos > {C.FORECAST_HOLDOUT_ROWS}),
-test AS (SELECT * FROM s WHERE pos <= {C.FORECAST_HOLDOUT_ROWS}),{_fit('train')},
-mae AS (SELECT q.atm_id, tr.train_rows,
-               avg(abs(y - (a + b * t + COALESCE(w.wd, 0)))) AS mae
-        FROM test q JOIN tr USING (atm_id) JOIN sd USING (atm_id)
-        LEFT JOIN wd w ON w.atm_id = q.atm_id AND w.dow = q.dow
-        GROUP BY q.atm_id, tr.train_rows)"""
+test AS (SELECT * FROM s WHERE pos <= {C.FORECAST_HOLDOUT_ROWS}),{_fit('train', '_h')},
+mae AS (SELECT q.atm_id, train_rows, round(avg(abs(y - scale * list_dot_product(coef, [{_TERMS}]))), 2) AS mae, avg(abs(y - scale * list_dot_product(coef, [{_TERMS}]))) AS exact
+        FROM test q JOIN c_h USING (atm_id) GROUP BY q.atm_id, train_rows)"""
 
 _FC = f"""{_fit('s', '_f')},
-last AS (SELECT atm_id, max(event_date) AS last FROM s GROUP BY atm_id),
-days AS (SELECT atm_id, CAST(last + CAST(g.i AS INTEGER) AS DATE) AS ds
-         FROM last CROSS JOIN range(1, {C.FORECAST_HORIZON_DAYS + 1}) AS g(i)),
-p AS (SELECT d.atm_id, d.ds,
-             a + b * CAST(date_diff('day', DATE '1970-01-01', d.ds) AS BIGINT) + COALESCE(w.wd, 0) AS yhat, sd
-      FROM days d JOIN tr_f USING (atm_id) JOIN sd_f USING (atm_id)
-      LEFT JOIN wd_f w ON w.atm_id = d.atm_id AND w.dow = dayofweek(d.ds)),
+days AS (SELECT atm_id, CAST(max(event_date) + CAST(g.i AS INTEGER) AS DATE) AS ds, max(s.t) + g.i AS t
+         FROM s CROSS JOIN range(1, {C.FORECAST_HORIZON_DAYS + 1}) AS g(i) GROUP BY atm_id, g.i),
+p AS (SELECT d.atm_id, d.ds, scale * list_dot_product(coef, [{_TERMS}]) AS yhat, sd FROM days d JOIN c_f USING (atm_id) JOIN sd_f USING (atm_id)),
 fc AS (SELECT atm_id, ds, yhat, yhat - {C.FORECAST_BAND_Z} * sd AS yhat_lower,
               yhat + {C.FORECAST_BAND_Z} * sd AS yhat_upper,
               max(CASE WHEN yhat - {C.FORECAST_BAND_Z} * sd < {C.FORECAST_MIN_CASH} THEN 1 ELSE 0 END)
@@ -443,12 +451,12 @@ FROM (SELECT CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label FROM daily_faults)
         + " FROM zf)\nSELECT atm_id, " + ", ".join(
             f"round(CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0 END, 6) AS {c}" for c in _ZF)
         + " FROM zf CROSS JOIN zs",
-    "forecast_mae": f"{_SERIES},{_MAE}\nSELECT atm_id, train_rows, round(mae, 6) AS mae FROM mae",
+    "forecast_mae": f"{_SERIES},{_MAE}\nSELECT atm_id, train_rows, mae FROM mae",
     "cash_forecast": f"""{_SERIES},{_FC}
-SELECT atm_id, ds, round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower,
-       round(yhat_upper, 6) AS yhat_upper, needs_refill FROM fc""",
+SELECT atm_id, ds, round(yhat, 2) AS yhat, round(yhat_lower, 2) AS yhat_lower,
+       round(yhat_upper, 2) AS yhat_upper, needs_refill FROM fc""",
     "forecast_summary": f"""{_SERIES},{_MAE},{_FC}
-SELECT count(*) AS devices, round(avg(mae), 6) AS avg_mae,
+SELECT count(*) AS devices, round(avg(exact), 2) AS avg_mae,
        (SELECT count(DISTINCT atm_id) FROM fc WHERE needs_refill) AS devices_needing_refill
 FROM mae""",
 })
@@ -461,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
         if b.upper().startswith(("SELECT", "(SELECT")):
             out[name] = f"WITH {BASE}\n{body}"
         else:  # body begins with further CTEs
-            out[name] = f"WITH {BASE},\n{b}"
+            out[name] = f"WITH RECURSIVE {BASE},\n{b}"
     return out
 
 
@@ -548,5 +556,5 @@ FROM all_alerts WHERE priority IN ('P1', 'P2') ORDER BY priority, type, all_aler
     "filtered_devices": "SELECT atm_id, region, atm_type FROM device_dim WHERE region = 'ASIA'",
 })
 BODIES["forecast_metrics"] = f"""{_SERIES},{_MAE}
-SELECT 'cash_forecast' AS model, CAST(atm_id AS VARCHAR) AS entity, 'mae' AS name, round(mae, 6) AS value FROM mae
+SELECT 'cash_forecast' AS model, CAST(atm_id AS VARCHAR) AS entity, 'mae' AS name, mae AS value FROM mae
 UNION ALL SELECT 'cash_forecast', CAST(atm_id AS VARCHAR), 'train_rows', train_rows FROM mae"""

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from devicegrid.operators import ml
+from devicegrid.operators import forecast, ml
 from devicegrid.plans.model import Model
 
 
@@ -51,12 +51,12 @@ def test_forecast_skips_short_series(spark):
     rows = [("S", dt.date(2024, 1, 1) + dt.timedelta(days=i), 1000.0) for i in range(10)]
     rows += [("L", dt.date(2024, 1, 1) + dt.timedelta(days=i), 60000.0 - 100 * i) for i in range(40)]
     d = spark.createDataFrame(rows, "atm_id string, event_date date, avg_cash_mwk double")
-    fc = ml.forecast_horizon(d).orderBy("ds").collect()
+    fc = forecast.forecast_horizon(d).orderBy("ds").collect()
     assert {r.atm_id for r in fc} == {"L"} and len(fc) == 3
     # a clean linear decline is forecast exactly
     assert abs(fc[0].yhat - 56000.0) < 1e-6 and abs(fc[2].yhat - 55800.0) < 1e-6
     assert all(r.needs_refill is False for r in fc)
-    mae = ml.forecast_holdout_error(d).collect()
+    mae = forecast.forecast_holdout_error(d).collect()
     assert len(mae) == 1 and mae[0].train_rows == 33 and mae[0].mae < 1e-6
 
 
@@ -107,3 +107,30 @@ def test_dedupe_limits_each_key_before_the_shuffle(spark, sf_dir):
     plan = E.queries()["dedupe_latest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     below_exchange = plan.split("Exchange hashpartitioning", 1)[1]
     assert "WindowGroupLimit" in below_exchange
+
+
+def test_forecast_follows_seasons_and_changes(spark):
+    import math
+    days = range(3 * 365)
+    level = [50_000 + 20 * i - (30 * (i - 600) if i > 600 else 0) + 5_000 * math.sin(2 * math.pi * i / 365.25) + (2_000 if i % 7 == 3 else 0) for i in days]
+    rows = [("A", dt.date(2021, 1, 1) + dt.timedelta(days=i), y) for i, y in zip(days, level)]
+    rows += [("N", dt.date(2021, 1, 1) + dt.timedelta(days=i), None if i % 3 else 100.0) for i in range(60)] + [("Z", dt.date(2021, 1, 1) + dt.timedelta(days=i), 0.0) for i in range(40)]
+    d = spark.createDataFrame(rows, "atm_id string, event_date date, avg_cash_mwk double")
+    got = {r.atm_id: r for r in forecast.forecast_holdout_error(d).collect()}
+    assert got["A"].mae < 1_000 and got["A"].train_rows == len(days) - 7  # 2,000 without the week, 5,000 without the year
+    assert abs(got["N"].mae) < 1e-6 and got["Z"].mae == 0
+    plain = forecast.forecast_holdout_error(d, season=forecast.Season(0, 0.8, 0, 0)).where("atm_id = 'A'").first()
+    assert plain.mae > 3 * got["A"].mae
+    assert "Python" not in _plan(forecast.forecast_horizon(d)) and _plan(forecast.forecast_horizon(d)).count("Exchange hashpartitioning") <= 1
+
+
+def test_forecast_solves_the_normal_equations(spark, sf_dir):
+    import numpy as np
+    s, season = forecast._series(Model(spark, sf_dir).daily_cash, "atm_id", "event_date", "avg_cash_mwk", 30), forecast.Season()
+    for r in s.select("s", forecast.fitted(F.col("s"), season).alias("m")).limit(20).collect():
+        t, y = np.array([x.t for x in r.s], float), np.array([x.y for x in r.s]) / r.m.scale
+        u = (t - r.m.lo) / r.m.span
+        x = [np.ones_like(u), u] + [np.maximum(u - 0.8 * (k + 1) / 7, 0) for k in range(6)]
+        x += [f(2 * np.pi * k * t / p) for p in (365.25, 7.0) for k in (1, 2, 3) for f in (np.sin, np.cos)]
+        x = np.array(x).T
+        assert np.allclose((x.T @ x + np.diag(season.ridge())) @ np.array(r.m.coef), x.T @ y, atol=1e-9)
