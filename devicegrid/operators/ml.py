@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions.exprs import portable_hash_text
+from devicegrid.operators.ranking import roc_auc
 from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
@@ -100,16 +101,20 @@ def score(model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def classification_metrics(scored: DataFrame, label: str = "label") -> dict[str, float]:
-    """ROC-AUC of the probability and F1 of the positive class."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="fault_probability",
-                                        metricName="areaUnderROC", numBins=0).evaluate(scored)
+    """Exact ROC-AUC of the probability and F1 of the positive class."""
+    one = scored.select(F.lit("model").alias("_of"), "fault_probability", label)
+    auc = roc_auc(one, "_of", "fault_probability", label).first()
     c = scored.agg(F.count_if((F.col("predicted") == 1) & (F.col(label) == 1)).alias("tp"),
                    F.count_if((F.col("predicted") == 1) & (F.col(label) == 0)).alias("fp"),
                    F.count_if((F.col("predicted") == 0) & (F.col(label) == 1)).alias("fn")).first()
     denom = 2 * c.tp + c.fp + c.fn
-    return {"roc_auc": float(auc), "f1": (2.0 * c.tp / denom) if denom else 0.0}
+    return {"roc_auc": float("nan") if auc is None or auc.auc is None else auc.auc, "f1": (2.0 * c.tp / denom) if denom else 0.0}
+
+
+def feature_auc(labelled: DataFrame, features: Sequence[str] = C.FAULT_FEATURES, label: str = "label") -> DataFrame:
+    """(feature, positives, negatives, auc): how well each feature alone orders the labels."""
+    long = labelled.select(label, *[F.col(c).cast("double").alias(c) for c in features]).unpivot([label], list(features), "feature", "value")
+    return roc_auc(long, "feature", "value", label)
 
 
 def feature_importance(spark: SparkSession, model, features: Sequence[str] = C.FAULT_FEATURES) -> DataFrame:
@@ -169,34 +174,6 @@ def zscore(df: DataFrame, features: Sequence[str] = C.CLUSTER_FEATURES,
     return filled.select(*keep, *cols)
 
 
-def fit_kmeans(z: DataFrame, features: Sequence[str] = C.CLUSTER_FEATURES, k: int = C.KMEANS_K,
-               restarts: int = C.KMEANS_RESTARTS, seed: int = C.SEED):
-    """k-means with ``restarts`` seeds on one cached feature table; keeps the
-    model with the lowest within-cluster cost.  Returns (model, cost)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    asm = VectorAssembler(inputCols=list(features), outputCol="features")
-    data = asm.transform(z).persist()
-    try:
-        best, best_cost = None, None
-        for i in range(restarts):
-            m = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
-            cost = m.summary.trainingCost
-            if best_cost is None or cost < best_cost:
-                best, best_cost = m, cost
-        return Pipeline(stages=[asm, best]).fit(z), best_cost
-    finally:
-        data.unpersist()
-
-
-def silhouette(assigned: DataFrame) -> float:
-    """Silhouette with squared Euclidean distance (MLlib's measure)."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(assigned)
-
-
 def utilisation(profile: DataFrame, key: str = "atm_id", group: str = "region",
                 value: str = "total_tx") -> DataFrame:
     """``utilisation_score`` in (0, 1]: the share of the group's rows with at

@@ -28,10 +28,12 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None,
     """mean / sample std / min / max per numeric column, long format.
 
     One pass: all statistics of all columns in a single aggregate, then an
-    ``unpivot`` of that one row into (column, mean, std, min, max).
+    ``unpivot`` of that one row into (column, mean, std, min, max).  A mean is an
+    exact decimal sum divided once, so that its last place does not depend on the
+    order of the rows.
     """
     cols = list(columns or numeric_columns(df))
-    stats = df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+    stats = df.agg(*[F.struct((F.sum(F.col(c).cast("decimal(28,6)")).cast("double") / F.count(c)).alias("mean"), F.stddev_samp(c).alias("std"),
                               F.min(c).cast("double").alias("min"),
                               F.max(c).cast("double").alias("max")).alias(c) for c in cols])
     long = stats.unpivot([], cols, "column", "s")

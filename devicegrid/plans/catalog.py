@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions import exprs
-from devicegrid.operators import alerts, encode, forecast, marts, ml, profile, silver, staging
+from devicegrid.operators import alerts, clusters, encode, forecast, marts, ml, profile, silver, staging
 from devicegrid.plans import sql_marts
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
@@ -328,8 +328,7 @@ def _kmeans(m: Model):
     k = ("kmeans", m.spark.sparkContext.applicationId, m.tables.sf_dir)
     if k not in _FITTED:
         z = ml.zscore(m.device_profile)
-        model, cost = ml.fit_kmeans(z)
-        _FITTED[k] = (model, cost, z)
+        _FITTED[k] = (clusters.fit_kmeans(z), z)
     return _FITTED[k]
 
 
@@ -382,12 +381,22 @@ def model_metrics(m: Model) -> DataFrame:
     """Metric rows of the fault model and the clustering."""
     model, split = _fault_model(m)
     fm = ml.classification_metrics(ml.score(model, split.filter("split = 'test'")))
-    km, cost, z = _kmeans(m)
-    assigned = km.transform(z)
-    rows = [("fault_gbt", "roc_auc", fm["roc_auc"]), ("fault_gbt", "f1", fm["f1"]),
-            ("kmeans", "silhouette_sq_euclidean", ml.silhouette(assigned)),
-            ("kmeans", "inertia", float(cost))]
-    n = assigned.select(F.count(F.lit(1)).cast("double")).scalar()
+    rows = [("fault_gbt", "roc_auc", fm["roc_auc"]), ("fault_gbt", "f1", fm["f1"])]
+    return m.spark.createDataFrame(rows, "model string, metric string, value double").unionByName(cluster_metrics(m))
+
+
+@query("feature_auc")
+def feature_auc(m: Model) -> DataFrame:
+    """M7: exact AUC of every feature against the next day's label."""
+    return ml.feature_auc(ml.next_event_label(m.daily_faults))
+
+
+@query("cluster_metrics")
+def cluster_metrics(m: Model) -> DataFrame:
+    """Silhouette, inertia and rows of the clustering."""
+    km, z = _kmeans(m)
+    rows = [("kmeans", "silhouette", clusters.silhouette(clusters.assign(z, km))), ("kmeans", "inertia", km.cost)]
+    n = z.select(F.count(F.lit(1)).cast("double")).scalar()
     base = m.spark.createDataFrame(rows, "model string, metric string, value double")
     return base.unionByName(m.spark.range(1).select(
         F.lit("kmeans").alias("model"), F.lit("n_samples").alias("metric"), n.alias("value")))
@@ -402,8 +411,8 @@ def cluster_zscores(m: Model) -> DataFrame:
 @query("cluster_assignments")
 def cluster_assignments(m: Model) -> DataFrame:
     """K-means (best of 10 seeds) cluster per device."""
-    km, _, z = _kmeans(m)
-    return km.transform(z).select("atm_id", F.col("cluster").cast("int").alias("cluster"))
+    km, z = _kmeans(m)
+    return clusters.assign(z, km).select("atm_id", "cluster")
 
 
 @query("fault_model_checks")
@@ -416,15 +425,15 @@ def fault_model_checks(m: Model) -> DataFrame:
 @query("cluster_checks")
 def cluster_checks(m: Model) -> DataFrame:
     """Devices, clusters, and devices nearer to another centre (must be 0)."""
-    km, _, z = _kmeans(m)
-    return ml.cluster_checks(km.transform(z), [list(c) for c in km.stages[-1].clusterCenters()])
+    km, z = _kmeans(m)
+    return ml.cluster_checks(clusters.assign(z, km), km.centres)
 
 
 @query("cluster_profile")
 def cluster_profile(m: Model) -> DataFrame:
     """Cluster sizes and mean transaction volume."""
-    km, _, z = _kmeans(m)
-    a = km.transform(z).select("atm_id", "cluster")
+    km, z = _kmeans(m)
+    a = clusters.assign(z, km).select("atm_id", "cluster")
     return (m.device_profile.join(a, "atm_id")
               .groupBy("cluster").agg(F.count(F.lit(1)).alias("n"),
                                       F.avg("total_tx").alias("avg_tx")))

@@ -324,7 +324,7 @@ FROM tx""",
     "component_lookup": """
 SELECT fault_type, component, count(*) AS events FROM faults GROUP BY fault_type, component""",
     "profile_numeric": "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", round(round(avg({c}), 1), 6) AS mean, "
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", round(round(sum(CAST({c} AS DECIMAL(28,6)))::DOUBLE / count({c}), 1), 6) AS mean, "
         f"round(round(stddev_samp({c}), 1), 6) AS std, "
         f"round(CAST(min({c}) AS DOUBLE), 1) AS min, round(CAST(max({c}) AS DOUBLE), 1) AS max "
         f"FROM {t}" for t, cols in _COLUMNS.items() for c in cols.split() if _NUMERIC.search(c)),
@@ -555,6 +555,61 @@ FROM all_alerts WHERE priority IN ('P1', 'P2') ORDER BY priority, type, all_aler
     "rewritten_table": "SELECT p_brand, count(*) AS n, (SELECT count(*) FROM part) AS written FROM part GROUP BY p_brand",
     "filtered_devices": "SELECT atm_id, region, atm_type FROM device_dim WHERE region = 'ASIA'",
 })
+# k-means: draws from SHA-256, all restarts in one recursive query of 40 rounds.
+_ZNAMES = ", ".join(_ZF)
+_Z = ("zf AS (SELECT atm_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in _ZF) + " FROM device_profile),\nzs AS (SELECT "
+      + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _ZF) + " FROM zf),\nz AS (SELECT atm_id, "
+      + ", ".join(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0 END AS {c}" for c in _ZF) + " FROM zf CROSS JOIN zs)")
+
+
+def _sq(a: str, b: str) -> str:
+    return "(" + " + ".join(f"({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c})" for c in _ZF) + ")"
+
+
+def _pick(step: int) -> str:
+    u = (f"((('0x' || substr(sha256(concat_ws('|', '{C.SEED}', CAST(r AS VARCHAR), '{step}', CAST(atm_id AS VARCHAR))), 1, 13))::BIGINT + 1) / 4503599627370497.0::DOUBLE)")
+    if step == 0:
+        weighted = f"SELECT g.r, z.*, 1.0::DOUBLE AS w FROM z CROSS JOIN range({C.KMEANS_RESTARTS}) AS g(r)"
+    else:
+        weighted = f"SELECT s.r, z.*, min({_sq('z', 's')}) AS w FROM z CROSS JOIN seeds{step - 1} s GROUP BY s.r, z.atm_id, {', '.join('z.' + c for c in _ZF)}"
+    drawn = f"""
+SELECT r, {step} AS c, {_ZNAMES} FROM ({weighted}) QUALIFY row_number() OVER (
+  PARTITION BY r ORDER BY CASE WHEN w > 0 THEN -ln({u}) / w ELSE 'inf'::DOUBLE END, atm_id) = 1"""
+    return f"seeds{step} AS ({drawn}" + (f" UNION ALL SELECT * FROM seeds{step - 1}" if step else "") + ")"
+
+
+_KMEANS = _Z + ",\n" + ",\n".join(_pick(i) for i in range(C.KMEANS_K)) + f""",
+cen AS (
+  SELECT 0 AS it, r, c, {_ZNAMES} FROM seeds{C.KMEANS_K - 1}
+  UNION ALL
+  SELECT o.it + 1, o.r, o.c, {", ".join(f"coalesce(n.{c}, o.{c})" for c in _ZF)}
+  FROM cen o LEFT JOIN (
+    SELECT r, c, {", ".join(f"avg({c}) AS {c}" for c in _ZF)} FROM (
+      SELECT k.r, z.atm_id, {", ".join(f"any_value(z.{c}) AS {c}" for c in _ZF)}, arg_min(k.c, ({_sq('z', 'k')}, k.c)) AS c
+      FROM z CROSS JOIN cen k GROUP BY k.r, z.atm_id) GROUP BY r, c) n ON n.r = o.r AND n.c = o.c
+  WHERE o.it < 40),
+last AS (SELECT * FROM cen WHERE it = 40),
+costs AS (SELECT r, sum(d) AS cost FROM (SELECT k.r, z.atm_id, min({_sq('z', 'k')}) AS d FROM z CROSS JOIN last k GROUP BY k.r, z.atm_id) GROUP BY r),
+best AS (SELECT r, cost FROM costs ORDER BY round(cost, 6), r LIMIT 1),
+assigned AS (SELECT z.*, q.cluster FROM z JOIN (SELECT z.atm_id, arg_min(k.c, ({_sq('z', 'k')}, k.c)) AS cluster
+             FROM z CROSS JOIN last k WHERE k.r = (SELECT r FROM best) GROUP BY z.atm_id) q USING (atm_id))"""
+BODIES["cluster_assignments"] = _KMEANS + "\nSELECT atm_id, cluster::INTEGER AS cluster FROM assigned"
+BODIES["cluster_profile"] = _KMEANS + """
+SELECT cluster::INTEGER AS cluster, count(*) AS n, round(avg(p.total_tx), 6) AS avg_tx FROM device_profile p JOIN assigned a USING (atm_id) GROUP BY cluster"""
+BODIES["cluster_metrics"] = _KMEANS + f""",
+drawn AS (SELECT * FROM assigned ORDER BY sha256(concat_ws('|', '{C.SEED}', CAST(atm_id AS VARCHAR))), atm_id LIMIT 2000),
+sizes AS (SELECT cluster, count(*) AS n FROM assigned GROUP BY cluster),
+apart AS (SELECT i.atm_id, i.cluster AS own, o.cluster AS other, sum(sqrt({_sq('i', 'o')})) AS d FROM drawn i CROSS JOIN assigned o GROUP BY i.atm_id, i.cluster, o.cluster),
+ab AS (SELECT atm_id, max(CASE WHEN own = other THEN d / (n - 1) END) FILTER (own <> other OR n > 1) AS a, min(CASE WHEN own <> other THEN d / n END) AS b
+       FROM apart JOIN sizes ON sizes.cluster = other GROUP BY atm_id)
+SELECT 'kmeans' AS model, 'silhouette' AS metric, round(avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS value FROM ab
+UNION ALL SELECT 'kmeans', 'inertia', round(cost, 6) FROM best
+UNION ALL SELECT 'kmeans', 'n_samples', count(*)::DOUBLE FROM z"""
+BODIES["feature_auc"] = "\nUNION ALL ".join(f"""
+SELECT '{f}' AS feature, sum(y)::BIGINT AS positives, sum(1 - y)::BIGINT AS negatives,
+  round((sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)), 6) AS auc
+FROM (SELECT y, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2.0 AS rk
+      FROM (SELECT COALESCE({f}, 0)::DOUBLE AS v, CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS y FROM daily_faults))""" for f in C.FAULT_FEATURES)
 BODIES["forecast_metrics"] = f"""{_SERIES},{_MAE}
 SELECT 'cash_forecast' AS model, CAST(atm_id AS VARCHAR) AS entity, 'mae' AS name, mae AS value FROM mae
 UNION ALL SELECT 'cash_forecast', CAST(atm_id AS VARCHAR), 'train_rows', train_rows FROM mae"""

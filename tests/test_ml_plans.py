@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from devicegrid.operators import forecast, ml
+from devicegrid.operators import clusters, forecast, ml, ranking
 from devicegrid.plans.model import Model
 
 
@@ -40,9 +40,9 @@ def test_gbt_and_kmeans_small(spark, sf_dir):
     imp = ml.feature_importance(spark, model).collect()
     assert len(imp) == len(ml.C.FAULT_FEATURES)
     z = ml.zscore(m.device_profile)
-    km, cost = ml.fit_kmeans(z, restarts=2)
-    assigned = km.transform(z)
-    assert assigned.select("cluster").distinct().count() <= 3 and cost >= 0
+    km = clusters.fit_kmeans(z, restarts=2)
+    assigned = clusters.assign(z, km)
+    assert assigned.select("cluster").distinct().count() <= 3 and km.cost >= 0 and -1 <= clusters.silhouette(assigned) <= 1
     u = ml.utilisation(m.device_profile).agg(F.min("utilisation_score"), F.max("utilisation_score")).first()
     assert 0.0 <= u[0] <= u[1] <= 1.0
 
@@ -134,3 +134,33 @@ def test_forecast_solves_the_normal_equations(spark, sf_dir):
         x += [f(2 * np.pi * k * t / p) for p in (365.25, 7.0) for k in (1, 2, 3) for f in (np.sin, np.cos)]
         x = np.array(x).T
         assert np.allclose((x.T @ x + np.diag(season.ridge())) @ np.array(r.m.coef), x.T @ y, atol=1e-9)
+
+
+def test_auc_counts_pairs_with_ties(spark):
+    rows = [("a", float(i % 7), int(i % 3 == 0)) for i in range(200)] + [("b", 1.0, 1), ("b", None, 0), ("c", 0.5, 1), ("c", 0.5, 0), ("c", 0.1, 0)]
+    got = {r.g: r for r in ranking.roc_auc(spark.createDataFrame(rows, "g string, s double, y int").repartition(5), "g", "s", "y").collect()}
+    pos, neg = [s for g, s, y in rows if g == "a" and y], [s for g, s, y in rows if g == "a" and not y]
+    assert abs(got["a"].auc - sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)) < 1e-12
+    assert got["b"].auc is None and got["c"].auc == 0.75 and got["c"].negatives == 2
+
+
+def test_running_totals_over_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"), (F.col("id") * 3).alias("v"))
+        got = ranking.running_totals(df, "g", "o", ["v"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all(r.before_v == sum(3 * i for i in range(r.g, r.o, 2)) for r in got) and len(got) == 3000
+
+
+def test_kmeans_finds_groups_and_stands_few_rows(spark):
+    rows = [(i, 10.0 * (i % 3) + (i * 7 % 11) / 100, 0.0) for i in range(90)]
+    z = spark.createDataFrame(rows, "id long, x double, y double")
+    km = clusters.fit_kmeans(z, "id", ["x", "y"], restarts=4)
+    assigned = clusters.assign(z, km, ["x", "y"])
+    assert len({(r.id % 3, r.cluster) for r in assigned.collect()}) == 3
+    assert clusters.silhouette(assigned, "id", ["x", "y"]) > 0.98
+    one = clusters.fit_kmeans(z.limit(1), "id", ["x", "y"])
+    assert one.cost == 0 and clusters.silhouette(clusters.assign(z.limit(1), one, ["x", "y"]), "id", ["x", "y"]) == 0
+    assert clusters.fit_kmeans(z.where("false"), "id", ["x", "y"]).centres == []
