@@ -50,6 +50,8 @@ def seeded(rows: DataFrame, key: str, features: Sequence[str], k: int, restarts:
     to the nearest one so far: the row of smallest -ln(u) / weight (ties by key)."""
     centres: Centres = [[] for _ in range(restarts)]
     for step in range(k):
+        if step and not all(centres):
+            break
         picks = []
         for r in range(restarts):
             weight = F.array_min(_distances(_point(features), F.lit(centres[r]))) if step else F.lit(1.0)
