@@ -4,7 +4,7 @@
   rows of one device, whose size is bounded by the number of days);
 * the split is seeded by hashes and exact within each label (no window over a
   whole class, which would put half the data in one task);
-* models are MLlib estimators on an assembled feature vector;
+* the fault model is in ``operators.boosting``, clusters in ``operators.clusters``;
 * the cash forecast is in ``operators.forecast``.
 """
 
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions.exprs import portable_hash_text
+from devicegrid.operators import boosting
 from devicegrid.operators.ranking import roc_auc
-from devicegrid.session import ensure_checkpoint_dir
 
 # --- fault model -------------------------------------------------------------
 
@@ -64,40 +64,16 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str = "label",
 
 def fit_fault_model(train: DataFrame, features: Sequence[str] = C.FAULT_FEATURES,
                     label: str = "label", max_iter: int = C.GBT_MAX_ITER,
-                    max_depth: int = C.GBT_MAX_DEPTH, step_size: float = C.GBT_STEP_SIZE,
-                    seed: int = C.SEED):
-    """Boosted trees on the assembled features (a fitted PipelineModel).
-
-    ``cacheNodeIds`` keeps each row's tree node between levels instead of
-    recomputing it, and the node cache is checkpointed every 10 rounds into
-    the shared checkpoint folder (bounded lineage over 300 rounds); neither
-    changes the fitted model.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter,
-                        maxDepth=max_depth, stepSize=step_size, seed=seed,
-                        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
-    ensure_checkpoint_dir(train.sparkSession)
-    data = train.persist()
-    try:
-        return Pipeline(stages=[asm, gbt]).fit(data)
-    finally:
-        data.unpersist()
-
-
-def score(model, df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Adds ``fault_probability`` (class 1) and ``predicted`` (probability > threshold)."""
-    from pyspark.ml.functions import vector_to_array
+                    max_depth: int = C.GBT_MAX_DEPTH, step_size: float = C.GBT_STEP_SIZE) -> boosting.Boosted:
+    """Boosted trees; ``label`` may have more than two values (softmax)."""
+    return boosting.fit(train, features, label, max_iter, max_depth, step_size)
 
-    p = model.transform(df)
-    prob = vector_to_array("probability").getItem(1)
-    keep = [c for c in df.columns]
-    return p.select(*keep, prob.alias("fault_probability"),
-                    (prob > threshold).cast("int").alias("predicted"))
+
+def score(model: boosting.Boosted, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Adds ``fault_probability`` (class 1) and ``predicted`` (probability > threshold)."""
+    prob = F.col("_p").getItem(1)
+    return boosting.with_probabilities(model, df, "_p").select(
+        *df.columns, prob.alias("fault_probability"), (prob > threshold).cast("int").alias("predicted"))
 
 
 def classification_metrics(scored: DataFrame, label: str = "label") -> dict[str, float]:
@@ -117,11 +93,9 @@ def feature_auc(labelled: DataFrame, features: Sequence[str] = C.FAULT_FEATURES,
     return roc_auc(long, "feature", "value", label)
 
 
-def feature_importance(spark: SparkSession, model, features: Sequence[str] = C.FAULT_FEATURES) -> DataFrame:
-    """(feature, importance), largest first."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    return (spark.createDataFrame(list(zip(features, [float(x) for x in imp])),
-                                  "feature string, importance double")
+def feature_importance(spark: SparkSession, model: boosting.Boosted) -> DataFrame:
+    """(feature, importance: share of the mean gain), largest first."""
+    return (spark.createDataFrame(list(model.importance().items()), "feature string, importance double")
                  .orderBy(F.col("importance").desc(), F.col("feature")))
 
 

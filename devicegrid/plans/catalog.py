@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from devicegrid import config as C
 from devicegrid.functions import exprs
-from devicegrid.operators import alerts, clusters, encode, forecast, marts, ml, profile, silver, staging
+from devicegrid.operators import alerts, boosting, clusters, encode, forecast, marts, ml, profile, silver, staging
 from devicegrid.plans import sql_marts
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
@@ -385,6 +385,13 @@ def model_metrics(m: Model) -> DataFrame:
     return m.spark.createDataFrame(rows, "model string, metric string, value double").unionByName(cluster_metrics(m))
 
 
+@query("first_split_gains")
+def first_split_gains(m: Model) -> DataFrame:
+    """M6: gain of every split open to the root of the fault model's first tree."""
+    split = ml.stratified_split(ml.next_event_label(m.daily_faults), ["atm_id", "event_date"])
+    return boosting.first_split_gains(split.filter("split = 'train'"), C.FAULT_FEATURES)
+
+
 @query("feature_auc")
 def feature_auc(m: Model) -> DataFrame:
     """M7: exact AUC of every feature against the next day's label."""

@@ -555,6 +555,22 @@ FROM all_alerts WHERE priority IN ('P1', 'P2') ORDER BY priority, type, all_aler
     "rewritten_table": "SELECT p_brand, count(*) AS n, (SELECT count(*) FROM part) AS written FROM part GROUP BY p_brand",
     "filtered_devices": "SELECT atm_id, region, atm_type FROM device_dim WHERE region = 'ASIA'",
 })
+def _gains(f: str) -> str:
+    return f"""
+SELECT '{f}' AS feature, cut, round((gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1)) / 2, 6) AS gain
+FROM (SELECT min(v) AS cut, bin, sum(sum(0.5 - y)) OVER w AS gl, sum(sum(0.25)) OVER w AS hl, sum(sum(0.5 - y)) OVER () AS gt, sum(sum(0.25)) OVER () AS ht
+      FROM (SELECT {f}::DOUBLE AS v, label::DOUBLE AS y, (rank() OVER (ORDER BY {f}) - 1) * 64 // count(*) OVER () AS bin FROM train)
+      GROUP BY bin WINDOW w AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+WHERE bin > 0 AND hl >= 1 AND ht - hl >= 1"""
+
+
+BODIES["first_split_gains"] = f"""
+train AS (SELECT * FROM (SELECT {_FEATS}, label, row_number() OVER (PARTITION BY label ORDER BY
+           sha256(concat_ws('|', '{C.SEED}', CAST(atm_id AS VARCHAR), CAST(event_date AS VARCHAR)))) AS place,
+         floor(count(*) OVER (PARTITION BY label) * {C.SPLIT_TEST_FRACTION} + 0.5) AS most
+         FROM (SELECT *, CASE WHEN {_NEXT} > 0 THEN 1 ELSE 0 END AS label FROM daily_faults)) WHERE place > most)
+""" + "\nUNION ALL ".join(map(_gains, C.FAULT_FEATURES))
+
 # k-means: draws from SHA-256, all restarts in one recursive query of 40 rounds.
 _ZNAMES = ", ".join(_ZF)
 _Z = ("zf AS (SELECT atm_id, " + ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0) AS {c}" for c in _ZF) + " FROM device_profile),\nzs AS (SELECT "

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from devicegrid.operators import clusters, forecast, ml, ranking
+from devicegrid.operators import boosting, clusters, forecast, ml, ranking
 from devicegrid.plans.model import Model
 
 
@@ -164,3 +164,57 @@ def test_kmeans_finds_groups_and_stands_few_rows(spark):
     one = clusters.fit_kmeans(z.limit(1), "id", ["x", "y"])
     assert one.cost == 0 and clusters.silhouette(clusters.assign(z.limit(1), one, ["x", "y"]), "id", ["x", "y"]) == 0
     assert clusters.fit_kmeans(z.where("false"), "id", ["x", "y"]).centres == []
+
+
+def plain_boosting(x, y, classes, rounds, depth, step, ridge=1.0, least=1.0):
+    """Exact greedy trees over all values, row by row."""
+    import numpy as np
+    outputs = 1 if classes == 2 else classes
+    margin = np.zeros((len(y), outputs))
+    for _ in range(rounds):
+        g, h = boosting.gradients(margin, y)
+        new = margin.copy()
+        for k in range(outputs):
+            def leaf(rows, level):
+                gt, ht = g[rows, k].sum(), h[rows, k].sum()
+                best = (1e-6, None)
+                if level < depth:
+                    for f in range(x.shape[1]):
+                        for cut in np.unique(x[:, f])[1:]:
+                            left = rows[x[rows, f] < cut]
+                            gl, hl = g[left, k].sum(), h[left, k].sum()
+                            if hl < least or ht - hl < least:
+                                continue
+                            gain = (gl ** 2 / (hl + ridge) + (gt - gl) ** 2 / (ht - hl + ridge) - gt ** 2 / (ht + ridge)) / 2
+                            if gain > best[0] + 1e-9:
+                                best = (gain, (f, cut))
+                if best[1] is None:
+                    new[rows, k] += -step * gt / (ht + ridge)
+                    return
+                f, cut = best[1]
+                leaf(rows[x[rows, f] < cut], level + 1)
+                leaf(rows[x[rows, f] >= cut], level + 1)
+            leaf(np.arange(len(y)), 0)
+        margin = new
+    return boosting.probabilities(margin)
+
+
+def test_boosting_equals_exact_greedy_trees(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    x = np.stack([rng.integers(0, 9, 400), rng.integers(0, 4, 400), rng.integers(0, 15, 400)], axis=1)
+    for classes in (2, 3):
+        y = np.minimum((x[:, 0] > 4).astype(int) + ((x[:, 2] + rng.integers(0, 6, 400)) > 12), classes - 1)
+        df = spark.createDataFrame([(i, *map(int, r), int(v)) for i, (r, v) in enumerate(zip(x, y))], "id long, a int, b int, c int, label int").repartition(5)
+        model = boosting.fit(df, ["a", "b", "c"], rounds=12, depth=3, step=0.3, bins=200)
+        got = np.array([r.p for r in boosting.with_probabilities(model, df, "p").orderBy("id").collect()])
+        want = plain_boosting(x, y, classes, 12, 3, 0.3)
+        assert got.shape == (400, classes) and np.allclose(got[:, 1] if classes == 2 else got, want[:, 0] if classes == 2 else want, atol=1e-9)
+        assert abs(sum(model.importance().values()) - 1) < 1e-9
+    empty = boosting.fit(df.where("false"), ["a", "b", "c"], rounds=2)
+    assert boosting.with_probabilities(empty, df, "p").first().p == [0.5, 0.5]
+
+
+def test_quantile_cuts_are_exact(spark):
+    df = spark.range(1000).select((F.col("id") % 100).alias("v"), F.lit(None).cast("int").alias("w"))
+    assert boosting.quantile_cuts(df.repartition(7), ["v", "w"], 4) == [[25.0, 50.0, 75.0], []]
