@@ -32,6 +32,7 @@ from devicegrid.session import cut_lineage
 
 FRESH = 4
 BLOCK = 500_000
+ROWS_PER_TASK = 25_000
 
 
 @dataclass
@@ -218,8 +219,9 @@ def fit(rows: DataFrame, features: Sequence[str], label: str = "label", rounds:
         found = state.mapPartitions(sums)
         return found.treeReduce(np.add) if found.getNumPartitions() > 64 else sum(found.collect())
 
-    # A task a core: a pass is short, so that more tasks would only wait for each other.
-    state = packed.rdd.coalesce(spark.sparkContext.defaultParallelism).mapPartitions(opened).persist()
+    # A task a core, and none for a few rows: a pass is short, more tasks only wait for each other.
+    tasks = max(1, min(spark.sparkContext.defaultParallelism, kept.count() // ROWS_PER_TASK))
+    state = packed.rdd.coalesce(tasks).mapPartitions(opened).persist()
     try:
         if not state.isEmpty():
             fresh = 0
