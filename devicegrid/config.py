@@ -34,6 +34,10 @@ ALERT_MIN_CASH = 100_000
 ALERT_LOOKBACK_DAYS = 30
 ALERT_MIN_WARNINGS = 3
 
+# Live table: rows of an insert batch, longest wait of a batch's first row.
+LIVE_BATCH_ROWS = 20
+LIVE_BATCH_SECONDS = 2.0
+
 # Forecast: refill needed when the lower band falls below 50,000; series need
 # at least 30 rows; the last 7 rows are held out; the horizon is 3 days.
 FORECAST_MIN_CASH = 50_000

@@ -25,7 +25,6 @@ from devicegrid.sinks import writers
 from devicegrid.sources import adapters, files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
 from devicegrid.streaming import ingest, live, marts_stream, profile_stream
-from devicegrid.streaming.versioned import VersionedTable
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -506,13 +505,14 @@ def bronze_stream(m: Model) -> DataFrame:
 
 @query("live_sink")
 def live_sink(m: Model) -> DataFrame:
-    """Micro-batch live table with arrival time and defaults."""
+    """Insert batches of 20 rows or 2 seconds per source partition
+    (list state, processing-time timers), arrival time and defaults, appended
+    by the file sink.  Runs until no row is held any more."""
     base = _run_dir(m, "live")
-    src = ingest.file_stream(m.spark, _land_messages(m, base), max_files_per_trigger=4)
+    src = ingest.file_stream(m.spark, _land_messages(m, base))
     rows = live.live_rows(ingest.to_bronze(src, TX_MESSAGE_SCHEMA))
-    q = live.start_live_sink(rows, f"{base}/live", f"{base}/_checkpoint", available_now=True)
-    q.awaitTermination()
-    return (VersionedTable(m.spark, f"{base}/live").read(rows.schema)
+    live.drained(live.start_live_sink(rows, f"{base}/live", f"{base}/_checkpoint", lanes=8))
+    return (m.spark.read.schema(rows.schema).parquet(f"{base}/live")
               .select("atm_id", "tx_type", "amount_mwk", "card_type", "success"))
 
 
@@ -521,17 +521,20 @@ def live_per_minute(m: Model) -> DataFrame:
     """Per-minute transaction counts on the stream.
 
     The topic arrives in five files that each cover the whole time range, one
-    per micro-batch; the watermark covers that disorder, counts are upserted by
-    minute, and a row lost behind the watermark would be an error.  Equals the
-    batch counts of decodable transactions.
+    per micro-batch.  The watermark's delay is that disorder, the topic's own time
+    span; the newest count of each minute holds, and a row lost behind the
+    watermark would be an error.  Equals the batch counts of decodable
+    transactions.
     """
     base = _run_dir(m, "perminute")
     landing = f"{base}/landing"
     m.tx_messages.repartition(5, "offset").write.json(landing)
+    span = m.tx_messages.agg(F.coalesce(F.timestamp_diff("SECOND", F.min("kafka_ts"), F.max("kafka_ts")), F.lit(0))).first()[0]
     b = ingest.to_bronze(ingest.file_stream(m.spark, landing, max_files_per_trigger=1), TX_MESSAGE_SCHEMA)
-    counts = live.per_minute_counts(b, ts="kafka_ts", delay="400 days", where=F.col("atm_id").isNotNull())
-    live.finished(live.start_minute_counts(counts, f"{base}/out", f"{base}/_checkpoint"))
-    return VersionedTable(m.spark, f"{base}/out").read("minute timestamp, n long")
+    counts = live.per_minute_counts(b, ts="kafka_ts", delay=f"{span + 60} seconds", where=F.col("atm_id").isNotNull())
+    with live.LateRows(m.spark) as late:
+        late.finished(live.start_minute_counts(counts, f"{base}/out", f"{base}/_checkpoint"))
+    return live.minute_counts(m.spark, f"{base}/out", counts.schema)
 
 
 @query("tx_per_minute")
@@ -640,18 +643,17 @@ def device_profile_mart_sql(m: Model) -> DataFrame:
 @query("daily_cash_mart_stream")
 def daily_cash_mart_stream(m: Model) -> DataFrame:
     """W1-W3 on a stream: level readings arrive in several micro-batches, each
-    covering a range of dates; every batch rebuilds only the touched device
-    buckets from their first touched month, seeded with the last 6 daily rows
-    before it.  The final mart equals the batch mart (same oracle)."""
+    covering a range of dates; daily rows are streaming state, and every batch
+    replays the windows of the devices it touched from their first touched day.
+    The newest rows equal the batch mart (same oracle)."""
     base = _run_dir(m, "martstream")
     levels = m.cash_levels
     levels.repartitionByRange(6, "event_ts").write.mode("overwrite").parquet(f"{base}/landing")
     src = (m.spark.readStream.schema(levels.schema).option("maxFilesPerTrigger", 2)
            .parquet(f"{base}/landing"))
     q = marts_stream.start_mart_refresh(
-        src, f"{base}/silver", f"{base}/mart", f"{base}/_checkpoint",
-        lambda rows: marts.daily_level_base(staging.stg_cash(rows)), marts.daily_level_windows,
-        lookback_rows=C.CASH_MA_ROWS - 1, buckets=16)
+        src, f"{base}/daily", f"{base}/mart", f"{base}/_checkpoint",
+        lambda rows: marts.daily_level_base(staging.stg_cash(rows)), marts.daily_level_windows)
     q.awaitTermination()
     return marts_stream.read_mart(m.spark, f"{base}/mart", m.daily_cash.schema)
 
@@ -659,17 +661,16 @@ def daily_cash_mart_stream(m: Model) -> DataFrame:
 @query("daily_fault_mart_stream")
 def daily_fault_mart_stream(m: Model) -> DataFrame:
     """W4 on a stream: fault events arrive in time-ranged micro-batches; the
-    30-row rolling sum is kept exact by seeding each rebuild with the last 29
-    daily rows before it.  Same oracle as the batch fault mart."""
+    30-row rolling sum is replayed for touched devices over their daily rows.
+    Same oracle as the batch fault mart."""
     base = _run_dir(m, "faultstream")
     events = m.fault_events
     events.repartitionByRange(6, "event_ts").write.mode("overwrite").parquet(f"{base}/landing")
     src = (m.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2)
            .parquet(f"{base}/landing"))
     q = marts_stream.start_mart_refresh(
-        src, f"{base}/silver", f"{base}/mart", f"{base}/_checkpoint",
-        lambda rows: marts.daily_fault_base(staging.stg_faults(rows)), marts.daily_fault_windows,
-        lookback_rows=C.FAULT_ROLLING_ROWS - 1, buckets=16)
+        src, f"{base}/daily", f"{base}/mart", f"{base}/_checkpoint",
+        lambda rows: marts.daily_fault_base(staging.stg_faults(rows)), marts.daily_fault_windows)
     q.awaitTermination()
     return marts_stream.read_mart(m.spark, f"{base}/mart", m.daily_faults.schema)
 
@@ -677,15 +678,14 @@ def daily_fault_mart_stream(m: Model) -> DataFrame:
 @query("device_profile_stream")
 def device_profile_stream(m: Model) -> DataFrame:
     """G4 J1 on a stream: transaction statistics kept as streaming state
-    (update mode) and upserted per micro-batch; joined with the dimension and
+    (update mode), the newest totals taken; joined with the dimension and
     the fault statistics it equals the batch profile (same oracle)."""
     base = _run_dir(m, "profilestream")
     tx = m.transactions
     tx.repartitionByRange(5, "event_ts").write.mode("overwrite").parquet(f"{base}/landing")
     src = (m.spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 2)
            .parquet(f"{base}/landing"))
-    q = profile_stream.start_stats_stream(staging.stg_transactions(src), f"{base}/tx_stats",
-                                          f"{base}/_checkpoint", buckets=16)
+    q = profile_stream.start_stats_stream(staging.stg_transactions(src), f"{base}/tx_stats", f"{base}/_checkpoint")
     q.awaitTermination()
-    stats = profile_stream.read_stats(m.spark, f"{base}/tx_stats")
+    stats = profile_stream.read_stats(m.spark, f"{base}/tx_stats", marts.device_tx_stats(m.stg_transactions).schema)
     return marts.device_profile_join(m.stg_device_dim, stats, marts.device_fault_stats(m.stg_faults))

@@ -2,107 +2,64 @@
 
 Row-frame windows (7-row averages, 30-row sums, lag) are not allowed on
 streaming frames, and a late row changes the following rows of its device
-too.  Each micro-batch (``foreachBatch``) therefore:
-
-1. appends its rows to a versioned silver table, marked with device bucket and
-   month (sorted, so that Parquet statistics skip other buckets and months);
-2. finds, per touched bucket, the earliest month it touched (at most
-   ``buckets`` rows reach the driver);
-3. rebuilds the daily rows of those buckets from that month on, from silver;
-4. seeds the windows with each device's last ``lookback_rows`` daily rows
-   before that month, read from the earlier version of those buckets' mart
-   (the windows look only backwards, so earlier mart rows never change);
-5. writes the rebuilt (bucket, month) parts as new folders and switches the
-   mart's manifest to them in one step.
-
-A batch that fails anywhere leaves both tables readable as they were; its
-retry finds by query id and epoch what is done already.  A query started on a
-fresh checkpoint has another id and adds to the tables.
-
-Work per batch is the touched buckets' rows from their first touched month
-on, plus ``lookback_rows`` daily rows per device: late data for recent
-months does not rebuild history.  The result equals the batch mart over all
-rows seen so far.  Rows without a date sort last in the windows and are kept
-in a sentinel month that is always rebuilt.
+too.  So the work is split where the daily rows are:
+
+1. The mart's aggregate (one row per device and day) is a streaming aggregation:
+   Spark's state store holds its partial sums, a late row of any age finds its
+   day, and update mode emits the days that a micro-batch changed.
+2. ``foreachBatch`` adds those daily rows as an epoch (``epochs``), then replays
+   the windows of the touched devices over their newest daily rows, from each
+   device's first touched day on; the windows look only backwards, so earlier
+   rows stand.  The replayed mart rows are an epoch too.
+
+Readers take the newest version per device and day.  Both writes replace their
+own epoch when it is retried, and a retry replays the same daily rows (those up
+to its epoch).  State is one entry per device and day; the per-batch work is the
+touched devices' daily rows, never raw rows.  Rows without a date sort last in
+the windows and are replayed with any other day of their device.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from devicegrid.streaming import epochs
 from devicegrid.streaming.live import _triggered
-from devicegrid.streaming.versioned import VersionedTable, query_id
-
-NO_DATE_MONTH = "9999-12"
-
-
-def bucket_of(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def month_of(date: str):
-    return F.coalesce(F.date_format(F.col(date), "yyyy-MM"), F.lit(NO_DATE_MONTH))
-
 
-def refresh_batch(batch: DataFrame, epoch_id: int, silver_path: str, mart_path: str,
-                  base_fn: Callable[[DataFrame], DataFrame],
-                  window_fn: Callable[[DataFrame], DataFrame], lookback_rows: int,
-                  key: str = "atm_id", date: str = "event_date",
-                  buckets: int = 256) -> list[tuple[int, str]]:
-    """One micro-batch of the refresh; returns the (bucket, first month) pairs rebuilt."""
-    spark, query = batch.sparkSession, query_id(batch)
-    silver, mart = VersionedTable(spark, silver_path), VersionedTable(spark, mart_path)
-    rows = (batch.withColumn("bucket", bucket_of(key, buckets))
-                 .withColumn("event_month", month_of(date))).persist()  # used twice
-    try:
-        silver.append(rows.sortWithinPartitions("bucket", "event_month"), query, epoch_id)
-        touched = [(r.bucket, r.from_month) for r in
-                   rows.groupBy("bucket").agg(F.min("event_month").alias("from_month")).collect()]
-    finally:
-        rows.unpersist()
-    if not touched or mart.done(query, epoch_id):
-        return touched
-    ids = [b for b, _ in touched]
-    first = dict(touched)
-    since = spark.createDataFrame(touched, "bucket int, from_month string")  # at most ``buckets`` rows
 
-    scope = (silver.read(rows.schema)
-             .filter(F.col("bucket").isin(ids) & (F.col("event_month") >= min(first.values())))
-             .join(since, "bucket").filter(F.col("event_month") >= F.col("from_month")))
-    base = base_fn(scope.drop("bucket", "event_month", "from_month"))
-    earlier = {name for name in mart.current()["parts"]
-               if (b := int(name.split("_")[0])) in first and name.split("_")[1] < first[b]}
-    if earlier:
-        old = mart.read(window_fn(base).schema, earlier)
-        pos = F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc()))
-        old = (old.withColumn("_pos", pos).filter(F.col("_pos") <= lookback_rows)
-                  .select(*base.columns))
-        base = base.unionByName(old)
-    out = (window_fn(base).withColumn("bucket", bucket_of(key, buckets)).withColumn("event_month", month_of(date))
-           .join(since, "bucket").filter(F.col("event_month") >= F.col("from_month")).drop("from_month"))
-    mart.replace(out, ["bucket", "event_month"], query, epoch_id)
-    return touched
+def refresh_batch(changed: DataFrame, epoch_id: int, daily_path: str, mart_path: str,
+                  window_fn: Callable[[DataFrame], DataFrame], key: str = "atm_id", date: str = "event_date") -> None:
+    """Add an epoch's changed daily rows and replay the windows behind them."""
+    spark, run = changed.sparkSession, epochs.query_id(changed)
+    epochs.write_epoch(changed, daily_path, run, epoch_id)
+    rows = epochs.read_epochs(spark, daily_path, changed.schema).filter((F.col("run") != run) | (F.col("epoch") <= epoch_id))
+    this = (F.col("run") == run) & (F.col("epoch") == epoch_id)
+    since = rows.filter(this).groupBy(F.col(key).alias("_key")).agg(F.min(date).alias("_since"))
+    daily = epochs.latest(rows.join(since.select("_key"), F.col(key) == F.col("_key"), "left_semi"), [key, date])
+    mart = window_fn(daily.select(*changed.columns))
+    replayed = (mart.join(since, F.col(key) == F.col("_key"))
+                    .filter(F.col(date).isNull() | (F.col(date) >= F.col("_since"))).select(*mart.columns))
+    epochs.write_epoch(replayed, mart_path, run, epoch_id)
 
 
-def start_mart_refresh(stream: DataFrame, silver_path: str, mart_path: str, checkpoint: str,
+def start_mart_refresh(stream: DataFrame, daily_path: str, mart_path: str, checkpoint: str,
                        base_fn: Callable[[DataFrame], DataFrame],
-                       window_fn: Callable[[DataFrame], DataFrame], lookback_rows: int,
-                       key: str = "atm_id", date: str = "event_date", buckets: int = 256,
-                       available_now: bool = True,
+                       window_fn: Callable[[DataFrame], DataFrame],
+                       key: str = "atm_id", date: str = "event_date", available_now: bool = True,
                        processing_time: str | None = None) -> StreamingQuery:
-    """Run ``refresh_batch`` for every micro-batch of ``stream``."""
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        refresh_batch(batch, epoch_id, silver_path, mart_path, base_fn, window_fn,
-                      lookback_rows, key, date, buckets)
+    """Aggregate ``stream`` by ``base_fn`` and run ``refresh_batch`` on what each micro-batch changed."""
+    def run(changed: DataFrame, epoch_id: int) -> None:
+        refresh_batch(changed, epoch_id, daily_path, mart_path, window_fn, key, date)
 
-    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = base_fn(stream).writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
     return _triggered(w, available_now, processing_time).start()
 
 
-def read_mart(spark, mart_path: str, schema) -> DataFrame:
-    """The mart without its storage columns; ``schema``: of the mart's rows."""
-    return VersionedTable(spark, mart_path).read(schema)
+def read_mart(spark: SparkSession, mart_path: str, schema: T.StructType, key: str = "atm_id", date: str = "event_date") -> DataFrame:
+    """The mart's newest rows; ``schema``: of the mart's rows."""
+    return epochs.latest(epochs.read_epochs(spark, mart_path, schema), [key, date]).select(*schema.fieldNames())

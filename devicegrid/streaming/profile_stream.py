@@ -4,36 +4,32 @@ The transaction statistics of the device profile (count, failures, mean
 withdrawal, last date) are algebraic, so a streaming ``groupBy(device).agg``
 keeps them in the state store (one entry per device, bounded by the number
 of devices).  In update mode each micro-batch emits the current totals of
-the devices it touched; ``foreachBatch`` upserts them into a versioned table
-by device bucket.  A failure between writing and switching leaves the earlier
-version as it was, and a retried epoch emits the same totals.
+the devices it touched, which are added as an epoch; a retried epoch replaces
+itself by the same totals.  Readers take each device's newest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from devicegrid.operators.marts import device_tx_stats
+from devicegrid.streaming import epochs
 from devicegrid.streaming.live import _triggered
-from devicegrid.streaming.versioned import VersionedTable, query_id
 
-STATS_SCHEMA = "atm_id long, total_tx long, failed_tx long, avg_withdrawal_mwk double, last_tx_date date"
-
-
-def start_stats_stream(tx_stream: DataFrame, table_path: str, checkpoint: str,
-                       key: str = "atm_id", buckets: int = 64, available_now: bool = True,
-                       processing_time: str | None = None) -> StreamingQuery:
-    """Stateful aggregation of ``tx_stream`` upserted into ``table_path``."""
-    stats = device_tx_stats(tx_stream, key)
 
+def start_stats_stream(tx_stream: DataFrame, table_path: str, checkpoint: str, key: str = "atm_id",
+                       available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Stateful aggregation of ``tx_stream``, its totals added to ``table_path``."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        VersionedTable(batch.sparkSession, table_path).upsert(batch, key, buckets, query_id(batch), epoch_id)
+        epochs.write_epoch(batch, table_path, epochs.query_id(batch), epoch_id)
 
-    w = (stats.writeStream.outputMode("update").foreachBatch(run)
-              .option("checkpointLocation", checkpoint))
+    w = (device_tx_stats(tx_stream, key).writeStream.outputMode("update").foreachBatch(run)
+         .option("checkpointLocation", checkpoint))
     return _triggered(w, available_now, processing_time).start()
 
 
-def read_stats(spark, table_path: str, schema: str = STATS_SCHEMA) -> DataFrame:
-    return VersionedTable(spark, table_path).read(schema)
+def read_stats(spark: SparkSession, table_path: str, schema: T.StructType, key: str = "atm_id") -> DataFrame:
+    """The newest totals; ``schema``: of ``device_tx_stats``'s rows."""
+    return epochs.latest(epochs.read_epochs(spark, table_path, schema), [key])

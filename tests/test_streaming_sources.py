@@ -11,8 +11,7 @@ from devicegrid.session import shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
-from devicegrid.streaming import ingest, live
-from devicegrid.streaming.versioned import VersionedTable
+from devicegrid.streaming import epochs, ingest, live
 
 
 def _scratch(spark, name):
@@ -70,9 +69,8 @@ def test_live_sink_and_per_minute(spark):
     landing = f"{base}/in"
     _land(spark, landing, [_msg(i) for i in range(30)] + [("x", "junk", None, 0, 999)])
     rows = live.live_rows(ingest.to_bronze(ingest.file_stream(spark, landing), TX_MESSAGE_SCHEMA))
-    q = live.start_live_sink(rows, f"{base}/live", f"{base}/ck", available_now=True)
-    q.awaitTermination()
-    t = VersionedTable(spark, f"{base}/live").read(rows.schema)
+    live.drained(live.start_live_sink(rows, f"{base}/live", f"{base}/ck"), 300)
+    t = spark.read.schema(rows.schema).parquet(f"{base}/live")
     assert t.count() == 30 and t.filter(F.col("event_ts").isNull()).count() == 0
     batch = ingest.to_bronze(spark.read.schema(ingest.ENVELOPE).json(landing), TX_MESSAGE_SCHEMA)
     pm = live.per_minute_counts(batch.filter("atm_id IS NOT NULL"), ts="kafka_ts")
@@ -144,73 +142,69 @@ def test_build_layers_writes_every_layer(spark, sf_dir):
 
 
 def test_mart_refresh_with_late_batches_equals_batch_mart(spark, sf_dir):
-    from devicegrid import config as C
     from devicegrid.operators import marts, staging
     from devicegrid.plans.model import Model
     from devicegrid.streaming import marts_stream
-    m = Model(spark, sf_dir)
-    faults = m.fault_events
+    faults = Model(spark, sf_dir).fault_events
     base = _scratch(spark, "martref")
-    # batch 1: up to 1998, batch 2: from 2000, batch 3: late rows of 1999
-    parts = [faults.filter(F.year("event_date") <= 1998), faults.filter(F.year("event_date") >= 2000),
-             faults.filter(F.year("event_date") == 1999)]
-    touched = []
+    # up to 1998, then from 2000 and rows without a date, then late rows of 1999
+    year = F.year("event_date")
+    undated = faults.filter(F.dayofmonth("event_date") == 3).withColumn("event_date", F.lit(None).cast("date"))
+    parts = [faults.filter(year <= 1998), faults.filter(year >= 2000).unionByName(undated), faults.filter(year == 1999)]
     for epoch, part in enumerate(parts):
-        touched.append(marts_stream.refresh_batch(
-            part, epoch, f"{base}/silver", f"{base}/mart",
-            lambda rows: marts.daily_fault_base(staging.stg_faults(rows)),
-            marts.daily_fault_windows, C.FAULT_ROLLING_ROWS - 1, buckets=4))
-    # the late batch rebuilds from 1999 on only
-    assert min(mth for _, mth in touched[2]) >= "1999-01"
-    want = marts.daily_fault_mart(staging.stg_faults(faults))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(faults.schema).parquet(f"{base}/in")
+        marts_stream.start_mart_refresh(src, f"{base}/daily", f"{base}/mart", f"{base}/ck",
+                                        lambda rows: marts.daily_fault_base(staging.stg_faults(rows)),
+                                        marts.daily_fault_windows).awaitTermination()
+    seen = spark.read.schema(faults.schema).parquet(f"{base}/in")
+    want = marts.daily_fault_mart(staging.stg_faults(seen))
     got = marts_stream.read_mart(spark, f"{base}/mart", want.schema)
-    cols = want.columns
-    assert got.count() == want.count()
-    assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
-    # a retried epoch leaves silver unchanged
-    marts_stream.refresh_batch(parts[2], 2, f"{base}/silver", f"{base}/mart",
-                               lambda rows: marts.daily_fault_base(staging.stg_faults(rows)),
-                               marts.daily_fault_windows, C.FAULT_ROLLING_ROWS - 1, buckets=4)
-    assert VersionedTable(spark, f"{base}/silver").read(faults.schema).count() == faults.count()
-    assert marts_stream.read_mart(spark, f"{base}/mart", want.schema).select(*cols).exceptAll(want.select(*cols)).count() == 0
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    # the late batch replays from each device's first late day on, and what comes after it
+    last = epochs.read_epochs(spark, f"{base}/mart", want.schema).filter("epoch = 2")
+    assert last.filter(F.year("event_date") < 1999).count() == 0 and last.filter(F.year("event_date") > 1999).count() > 0
+    # a retried epoch replaces itself
+    daily = marts.daily_fault_base(staging.stg_faults(seen))
+    again = epochs.read_epochs(spark, f"{base}/daily", daily.schema).filter("epoch = 2")
+    again.select(*daily.columns).write.parquet(f"{base}/again")
+    run = again.first().run
+    before = spark.read.parquet(f"{base}/mart").count()
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
+    try:
+        marts_stream.refresh_batch(spark.read.parquet(f"{base}/again"), 2, f"{base}/daily", f"{base}/mart", marts.daily_fault_windows)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert spark.read.parquet(f"{base}/mart").count() == before
+    assert marts_stream.read_mart(spark, f"{base}/mart", want.schema).exceptAll(want).count() == 0
 
 
 STATS = "atm_id long, total_tx long"
 
 
-def _stats(table):
-    return sorted((r.atm_id, r.total_tx) for r in table.read(STATS + ", bucket int").collect())
-
-
-def test_upsert_is_idempotent_and_survives_a_failed_switch(spark, monkeypatch):
-    table = VersionedTable(spark, f"{_scratch(spark, 'upsert')}/stats")
-    b1 = spark.createDataFrame([(1, 5), (2, 7), (3, 1)], STATS)
-    table.upsert(b1, "atm_id", 2, "q", 0)
-    table.upsert(spark.createDataFrame([(1, 99)], STATS), "atm_id", 2, "q", 0)  # a retried epoch is skipped
-    assert _stats(table) == [(1, 5), (2, 7), (3, 1)]
-    b2 = spark.createDataFrame([(2, 9), (4, 2)], STATS)
-    with monkeypatch.context() as m:
-        m.setattr(VersionedTable, "_switch", lambda *a: (_ for _ in ()).throw(OSError("killed")))
-        with pytest.raises(OSError):
-            table.upsert(b2, "atm_id", 2, "q", 1)
-    assert _stats(table) == [(1, 5), (2, 7), (3, 1)]  # the earlier version, whole
-    table.upsert(b2, "atm_id", 2, "q", 1)
-    assert _stats(table) == [(1, 5), (2, 9), (3, 1), (4, 2)]
-    # A fresh checkpoint has another query id: its epoch 0 adds to the table.
-    table.upsert(spark.createDataFrame([(7, 1)], STATS), "atm_id", 2, "other", 0)
-    assert (7, 1) in _stats(table) and (1, 5) in _stats(table)
-
-
-def test_folders_stay_bounded_over_many_epochs(spark):
-    from devicegrid.streaming.versioned import folders
-    table = VersionedTable(spark, f"{_scratch(spark, 'append')}/live")
-    rows = spark.range(3).coalesce(1)
-    for epoch in range(50):
-        table.append(rows, "q", epoch)
-        table.append(rows, "q", epoch)
-    assert table.read("id long").count() == 150
-    # 50 epochs in base 8 make at most 2 x 7 folders, and one version back.
-    assert folders(table)["data"] <= 24 and folders(table)["manifests"] == 2
+def _stats(spark, path):
+    schema = spark.createDataFrame([], STATS).schema
+    rows = epochs.latest(epochs.read_epochs(spark, path, schema), ["atm_id"])
+    return sorted((r.atm_id, r.total_tx) for r in rows.collect())
+
+
+def test_epochs_replace_themselves_and_the_newest_version_holds(spark):
+    path = f"{_scratch(spark, 'epochs')}/stats"
+    assert _stats(spark, path) == []
+    epochs.write_epoch(spark.createDataFrame([(1, 5), (2, 7), (3, 1)], STATS), path, "q", 0)
+    epochs.write_epoch(spark.createDataFrame([(1, 99)], STATS), path, "q", 1)
+    epochs.write_epoch(spark.createDataFrame([(1, 6), (4, None)], STATS), path, "q", 1)  # retried: replaced, not added
+    assert _stats(spark, path) == [(1, 6), (2, 7), (3, 1), (4, None)]
+    epochs.write_epoch(spark.createDataFrame([], STATS), path, "q", 2)
+    # a fresh checkpoint has another id: its epoch 0 adds, and is newer
+    epochs.write_epoch(spark.createDataFrame([(2, 1), (7, 1)], STATS), path, "other", 0)
+    assert _stats(spark, path) == [(1, 6), (2, 1), (3, 1), (4, None), (7, 1)]
+    # an epoch that broke off half-way leaves the others as they were
+    with pytest.raises(Exception, match="broke off"):
+        broken = spark.createDataFrame([(3, 50)], STATS).withColumn(
+            "total_tx", F.when(F.col("atm_id") == 3, F.raise_error(F.lit("broke off")).cast("long")))
+        epochs.write_epoch(broken, path, "other", 1)
+    assert (3, 1) in _stats(spark, path)
 
 
 def test_rows_behind_the_watermark_are_an_error(spark):
@@ -221,8 +215,9 @@ def test_rows_behind_the_watermark_are_an_error(spark):
 
     def run(delay, name):
         counts = live.per_minute_counts(b, ts="kafka_ts", delay=delay, where=F.col("atm_id").isNotNull())
-        live.finished(live.start_minute_counts(counts, f"{base}/{name}", f"{base}/{name}-ck"))
-        return VersionedTable(spark, f"{base}/{name}").read("minute timestamp, n long")
+        with live.LateRows(spark) as late:
+            late.finished(live.start_minute_counts(counts, f"{base}/{name}", f"{base}/{name}-ck"))
+        return live.minute_counts(spark, f"{base}/{name}", counts.schema)
 
     assert run("400 days", "wide").agg(F.sum("n")).first()[0] == 400
     with pytest.raises(RuntimeError, match="later than the watermark"):
@@ -256,13 +251,57 @@ def test_ingest_by_topic_name(spark, sf_dir):
         ingest.ingest_topic(spark, "atm.other", None, base, base)
 
 
-def test_live_sink_with_a_processing_time_trigger(spark):
-    base = _scratch(spark, "trigger")
-    _land(spark, f"{base}/in", [_msg(i) for i in range(10)])
-    rows = live.live_rows(ingest.to_bronze(ingest.file_stream(spark, f"{base}/in"), TX_MESSAGE_SCHEMA))
-    q = live.start_live_sink(rows, f"{base}/live", f"{base}/ck", processing_time="1 second")
-    q.processAllAvailable()
-    _land(spark, f"{base}/in", [_msg(i) for i in range(10, 25)])
-    q.processAllAvailable()
-    q.stop()
-    assert VersionedTable(spark, f"{base}/live").read(rows.schema).count() == 25
+def test_late_rows_are_counted_over_more_batches_than_a_query_remembers(spark):
+    base = _scratch(spark, "manylate")
+    _land(spark, f"{base}/in", [_msg(59)])  # advances event time; every later file is behind it
+    for i in range(12):
+        _land(spark, f"{base}/in", [_msg(0)])
+    b = ingest.to_bronze(ingest.file_stream(spark, f"{base}/in", max_files_per_trigger=1), TX_MESSAGE_SCHEMA)
+    counts = live.per_minute_counts(b, ts="kafka_ts", delay="1 second")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)  # a short memory stands for a long stream
+    try:
+        with live.LateRows(spark) as late:
+            q = live.start_minute_counts(counts, f"{base}/out", f"{base}/ck")
+            with pytest.raises(RuntimeError, match="later than the watermark"):
+                late.finished(q)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    remembered = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
+    counted = live.minute_counts(spark, f"{base}/out", counts.schema).agg(F.sum("n")).first()[0]
+    lost = late.lost[str(q.runId)]
+    assert counted + lost == 13 and lost >= 11 > remembered  # the batch after an advance may still admit
+    assert late.batches[str(q.runId)] > len(q.recentProgress)
+
+
+def test_insert_batches_by_size_or_age_lose_and_repeat_nothing_over_a_restart(spark):
+    import time
+    base = _scratch(spark, "batches")
+
+    def start(seconds):
+        rows = live.live_rows(ingest.to_bronze(ingest.file_stream(spark, f"{base}/in"), TX_MESSAGE_SCHEMA))
+        return live.start_live_sink(rows, f"{base}/live", f"{base}/ck", seconds=seconds)
+
+    def out():
+        schema = "partition int, offset long, batch_offset long, batch_rows int"
+        return spark.read.schema(schema).parquet(f"{base}/live").collect() if os.path.exists(f"{base}/live") else []
+
+    _land(spark, f"{base}/in", [_msg(i) for i in range(135)])  # 45 rows in each of 3 partitions
+    q = start(3600)
+    end = time.monotonic() + 120
+    while len(out()) < 120 and time.monotonic() < end:
+        time.sleep(1)
+    q.stop()  # 5 rows a partition are held in state, too young to go
+    first = out()
+    assert len(first) == 120 and {r.batch_rows for r in first} == {20}
+    _land(spark, f"{base}/in", [_msg(i) for i in range(135, 135 + 54)])  # 18 more each: 23 held, so one batch and 3 rows
+    q = start(2)
+    live.drained(q, 300)
+    rows = out()
+    assert sorted(r.offset for r in rows) == list(range(189))
+    sizes = {}
+    for r in rows:
+        sizes.setdefault((r.partition, r.batch_offset), []).append(r)
+    for p in range(3):
+        assert sorted(len(v) for k, v in sizes.items() if k[0] == p) == [3, 20, 20, 20]
+    assert all(len(v) == v[0].batch_rows for v in sizes.values())
