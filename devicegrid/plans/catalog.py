@@ -20,7 +20,7 @@ from devicegrid.operators import alerts, boosting, clusters, encode, forecast, m
 from devicegrid.plans import sql_marts
 from devicegrid.plans.model import Model
 from devicegrid.plans.normalize import round_doubles
-from devicegrid.session import shared_path
+from devicegrid.session import cut_lineage, shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import adapters, files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
@@ -478,6 +478,43 @@ def forecast_metrics(m: Model) -> DataFrame:
     return e.unpivot(["model", "entity"], ["mae", "train_rows"], "name", "value")
 
 
+# --- managed tables ---
+
+def _database(m: Model, name: str) -> str:
+    """A database of this run's own, in the shared folder."""
+    base = _run_dir(m, name)
+    database = f"{name}_{base.rsplit('-', 1)[1]}"
+    m.spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    return database
+
+
+@query("laid_out_devices")
+def laid_out_devices(m: Model) -> DataFrame:
+    """Daily cash rows and the device dimension as managed tables bucketed
+    by device, the daily rows sorted by date; rolling columns joined with the
+    dimension, with no exchange after the tables are written."""
+    db = _database(m, "laidout")
+    daily = writers.save_laid_out(marts.daily_level_base(m.stg_cash), f"{db}.daily_cash", "atm_id", ["event_date"])
+    dim = writers.save_laid_out(m.stg_level_dim, f"{db}.dim", "atm_id", [])
+    return (marts.daily_level_windows(daily).join(dim, "atm_id")
+            .select("atm_id", "region", "event_date", "min_cash_mwk", "cash_ma_7d", "withdrawal_ma_7d", "prev_min_cash", "cash_status"))
+
+
+@query("managed_tables")
+def managed_tables(m: Model) -> DataFrame:
+    """Staging tables built in full, counted, one of them truncated and counted again."""
+    db = _database(m, "managed")
+    counts = []
+    for name, rows in (("stg_transactions", m.stg_transactions), ("stg_cash", m.stg_cash), ("stg_faults", m.stg_faults)):
+        table = writers.save_table(rows, f"{db}.{name}")
+        counts.append(table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n"))
+    built = cut_lineage(functools.reduce(DataFrame.unionByName, counts))  # counted before the truncation
+    writers.truncate_table(m.spark, f"{db}.stg_cash")
+    left = m.spark.table(f"{db}.stg_cash").agg(F.count(F.lit(1)).alias("n")).select(F.lit("stg_cash, truncated").alias("name"), "n")
+    here = writers.table_inventory(m.spark).filter(F.col("database") == db)
+    return built.unionByName(left).unionByName(here.select(F.lit("tables").alias("name"), F.col("tables").alias("n")))
+
+
 # --- streaming and file round trips -------------------------------------------
 
 def _run_dir(m: Model, name: str) -> str:

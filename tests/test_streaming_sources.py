@@ -305,3 +305,23 @@ def test_insert_batches_by_size_or_age_lose_and_repeat_nothing_over_a_restart(sp
     for p in range(3):
         assert sorted(len(v) for k, v in sizes.items() if k[0] == p) == [3, 20, 20, 20]
     assert all(len(v) == v[0].batch_rows for v in sizes.values())
+
+
+def test_laid_out_tables_need_no_exchange_and_keep_their_order(spark, sf_dir):
+    import __spark_entry__ as E
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables beyond a broadcast
+    try:
+        text = E.queries()["laid_out_devices"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" in text and "Window" in text and "Exchange" not in text
+    spark.sql("CREATE DATABASE order_check LOCATION '" + _scratch(spark, "order") + "'")
+    rows = spark.range(1000).select((F.col("id") % 7).alias("k"), F.xxhash64("id").alias("at"), "id")
+    t = writers.save_laid_out(rows, "order_check.t", "k", ["at"], buckets=4)
+    assert sorted(r.id for r in t.collect()) == list(range(1000))
+    files_of = t.select("_metadata.file_path").distinct().collect()
+    assert 1 <= len(files_of) <= 4  # one file a bucket
+    for f in files_of:
+        got = [(r.k, r["at"]) for r in spark.read.parquet(f.file_path).coalesce(1).collect()]
+        assert got == sorted(got)
