@@ -24,11 +24,21 @@ def id_crc32(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+#: Spark drops the shuffle files of a statement when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` to a fresh folder below the cluster's shared checkpoint
     folder and read it back: later reads need no recomputation and survive
-    lost executors."""
+    lost executors.  ``drop_shuffles``: the shuffle files of the write go as
+    soon as it has ended."""
     spark = df.sparkSession
     path = shared_path(spark, f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true" if drop_shuffles else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

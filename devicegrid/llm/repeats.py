@@ -247,10 +247,10 @@ def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> D
     """
     rows = run_rows(docs, kind)
     # Written first: between two plain shuffles Spark can split a frequent anchor's partition.
-    often = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
-    rows = written(rows.join(often, "key"), "runs")
+    often = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often", True)
+    rows = written(rows.join(often, "key"), "runs", True)
     classes = written(rows.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc", "at")).alias("first"))
-                      .select("key", "seg", "rows", "first.doc", "first.at"), "classes")
+                      .select("key", "seg", "rows", "first.doc", "first.at"), "classes", True)
     per_key = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
     several = classes.join(per_key, "key")
 
@@ -276,7 +276,7 @@ def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> D
         whole = F.col("rows") > 1
     known = classes.select("key", "seg", "rows", F.col("doc").alias("first_doc"), F.col("at").alias("first_at"))
     # Written too, so that a class of very many rows is split in the join.
-    known = written(known.join(marks, ["key", "seg"], "left").where("rows > 1 or marks is not null"), "marked")
+    known = written(known.join(marks, ["key", "seg"], "left").where("rows > 1 or marks is not null"), "marked", True)
     hits = (rows.join(known, ["key", "seg"])
             .withColumn("marks", F.when(~whole, F.col("marks"))).where(whole | F.col("marks").isNotNull()))
     return hits.groupBy("doc").agg(F.collect_list(F.struct("at", "marks")).alias("hits"))
