@@ -245,7 +245,7 @@ def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> D
 
     A hit is a run of windows (``at``) of which all go (``marks`` null) or those marked.
     """
-    rows = run_rows(docs, kind)
+    rows = written(run_rows(docs, kind), "places")
     # Written first: between two plain shuffles Spark can split a frequent anchor's partition.
     often = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often", True)
     rows = written(rows.join(often, "key"), "runs", True)
