@@ -16,8 +16,9 @@ Which windows occur again is found in these steps:
    class is cut from its first document and shipped by anchor.  Shards are
    indexed in chunks of about ``CHUNK`` codes and stream their own stretches
    through the index, which marks the windows that other classes have too.
-   An anchor with more than ``max_classes`` classes is not put into a chunk:
-   its windows are compared by 128-bit hashes with an aggregation.
+   An anchor with more than ``MOST_CODES`` codes in its stretches is not put
+   into a chunk: its windows are compared by two 64-bit hashes, sums over
+   different codes, with an aggregation.
 5. Marks return to the rows of their classes and to the documents.
 
 The index of step 4 and the rule which occurrence goes are given by a
@@ -38,6 +39,8 @@ from devicegrid.llm.common import written
 
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1_000_000
+#: Codes of one anchor's stretches beyond which it is not indexed (an anchor is never split).
+MOST_CODES = 2 * CHUNK
 #: Bytes of documents after which a task hands its stretches on.
 OUTPUT = 4 << 20
 #: Windows handled at once in one document.
@@ -240,10 +243,11 @@ def _index_chunks(batches, kind: Kind):
         yield from flush()
 
 
-def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> DataFrame:
+def removed_windows(docs: DataFrame, kind: Kind, max_classes: int | None = None) -> DataFrame:
     """(doc, hits): windows that go, by document of ``docs`` (doc long, data binary).
 
     A hit is a run of windows (``at``) of which all go (``marks`` null) or those marked.
+    ``max_classes``: anchors of more classes are not indexed either.
     """
     rows = written(run_rows(docs, kind), "places")
     # Written first: between two plain shuffles Spark can split a frequent anchor's partition.
@@ -251,18 +255,23 @@ def removed_windows(docs: DataFrame, kind: Kind, max_classes: int = 16_384) -> D
     rows = written(rows.join(often, "key"), "runs", True)
     classes = written(rows.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("doc", "at")).alias("first"))
                       .select("key", "seg", "rows", "first.doc", "first.at"), "classes", True)
-    per_key = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    codes = F.col("at").bitwiseAND((1 << SHIFT) - 1) + kind.window
+    wide = F.col("codes") > MOST_CODES
+    if max_classes is not None:
+        wide = wide | (F.col("classes") > max_classes)
+    per_key = (classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum(codes).alias("codes")).where("classes > 1")
+               .select("key", wide.alias("wide")))
     several = classes.join(per_key, "key")
 
-    bodies = _stretches(docs, several.where(F.col("classes") <= max_classes), kind,
+    bodies = _stretches(docs, several.where("not wide"), kind,
                         "key long, seg long, doc long, first long, count int, body binary", _bodies(kind))
     marks = (bodies.repartition("key").sortWithinPartitions("key", "seg")
              .mapInArrow(lambda b: _index_chunks(b, kind), "key long, seg long, marks array<int>"))
-    if not per_key.where(F.col("classes") > max_classes).isEmpty():
-        wide = _stretches(docs, several.where(F.col("classes") > max_classes), kind,
-                          "key long, seg long, doc long, start long, h1 long, h2 long", _window_hashes(kind))
-        same = wide.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start")).alias("least")).where("n > 1")
-        gone = wide.join(same, ["h1", "h2"])
+    if not per_key.where("wide").isEmpty():
+        hashed = _stretches(docs, several.where("wide"), kind,
+                            "key long, seg long, doc long, start long, h1 long, h2 long", _window_hashes(kind))
+        same = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start")).alias("least")).where("n > 1")
+        gone = hashed.join(same, ["h1", "h2"])
         if kind.first_stays:
             gone = gone.where((F.col("doc") != F.col("least.doc")) | (F.col("start") != F.col("least.start")))
         starts = several.select("key", "seg", F.shiftright("at", SHIFT).alias("a"))

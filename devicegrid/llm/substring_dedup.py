@@ -156,7 +156,7 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
         first_stays=True)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_classes: int = 16_384, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_classes: int | None = None, with_text: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_words, n_removed, kept_sha256``, and ``kept`` (string) if asked for."""
     rows = numbered(docs)
     hits = removed_windows(rows, kind(window, gram), max_classes)

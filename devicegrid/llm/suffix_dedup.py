@@ -99,7 +99,7 @@ def kind(window: int = WINDOW, gram: int = GRAM) -> Kind:
         first_stays=False)
 
 
-def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_classes: int = 16_384, with_text: bool = False) -> DataFrame:
+def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_classes: int | None = None, with_text: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, and ``kept`` (binary) if asked for."""
     rows = numbered(docs)
     hits = removed_windows(rows, kind(window, gram), max_classes)
