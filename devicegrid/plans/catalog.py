@@ -24,7 +24,7 @@ from devicegrid.session import cut_lineage, shared_path
 from devicegrid.sinks import writers
 from devicegrid.sources import adapters, files
 from devicegrid.sources.schemas import BRONZE_SCHEMAS, TX_MESSAGE_SCHEMA
-from devicegrid.streaming import ingest, live, marts_stream, profile_stream
+from devicegrid.streaming import ingest, live, marts_stream, profile_stream, topic
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -540,6 +540,49 @@ def bronze_stream(m: Model) -> DataFrame:
               .select("offset", "event_id", "atm_id", "amount_mwk", "success", "malformed"))
 
 
+#: Offsets in a segment of the landed topic, and in a micro-batch at most.
+SEGMENT, BATCH = 1_000, 50_000
+
+
+def _topic_to_bronze(m: Model, base: str, starting: str = "earliest") -> DataFrame:
+    """Read the landed topic on from where the stream's checkpoint stands."""
+    src = topic.topic_stream(m.spark, f"{base}/topic", f"{base}/progress", starting, BATCH, segment_offsets=SEGMENT)
+    topic.drain(ingest.start_parquet_sink(ingest.to_bronze(src, TX_MESSAGE_SCHEMA), f"{base}/bronze", f"{base}/_checkpoint",
+                                          available_now=False, partition_by=()))
+    rows = ingest.to_bronze(m.tx_messages, TX_MESSAGE_SCHEMA)
+    return (m.spark.read.schema(rows.schema).parquet(f"{base}/bronze")
+              .select("offset", "event_id", "atm_id", "amount_mwk", "success", "malformed"))
+
+
+@query("bronze_by_offsets")
+def bronze_by_offsets(m: Model) -> DataFrame:
+    """Offset-addressed topic -> bronze, so many offsets a micro-batch at most."""
+    base = _run_dir(m, "offsets")
+    topic.land(m.tx_messages, f"{base}/topic", SEGMENT)
+    return _topic_to_bronze(m, base)
+
+
+@query("bronze_from_latest")
+def bronze_from_latest(m: Model) -> DataFrame:
+    """A stream that starts at the topic's end, with half the topic landed
+    before its start, takes what is landed after it."""
+    base = _run_dir(m, "latest")
+    half = m.tx_messages.select(F.floor(F.floor(F.max("offset") / 2) / SEGMENT) * SEGMENT).scalar()
+    topic.land(m.tx_messages.filter(F.col("offset") < half), f"{base}/topic", SEGMENT)
+    _topic_to_bronze(m, base, "latest")
+    topic.land(m.tx_messages.filter(F.col("offset") >= half), f"{base}/topic", SEGMENT)
+    return _topic_to_bronze(m, base, "latest")
+
+
+@query("bronze_lost_segment")
+def bronze_lost_segment(m: Model) -> DataFrame:
+    """S3: the topic has lost the second segment of partition 0; the stream passes over it."""
+    base = _run_dir(m, "lost")
+    lost = (F.col("partition") == 0) & F.col("offset").between(SEGMENT, 2 * SEGMENT - 1)
+    topic.land(m.tx_messages.filter(~lost), f"{base}/topic", SEGMENT)
+    return _topic_to_bronze(m, base)
+
+
 @query("live_sink")
 def live_sink(m: Model) -> DataFrame:
     """Insert batches of 20 rows or 2 seconds per source partition

@@ -476,6 +476,14 @@ def oracle_sql() -> dict[str, str]:
 BODIES.update({
     "bronze_stream": """
 SELECT event_id AS "offset", event_id, CAST(atm_id AS VARCHAR) AS atm_id, amount_mwk, success, false AS malformed FROM tx""",
+    "bronze_by_offsets": """
+SELECT event_id AS "offset", event_id, CAST(atm_id AS VARCHAR) AS atm_id, amount_mwk, success, false AS malformed FROM tx""",
+    "bronze_from_latest": """
+SELECT event_id AS "offset", event_id, CAST(atm_id AS VARCHAR) AS atm_id, amount_mwk, success, false AS malformed FROM tx
+WHERE event_id >= (SELECT max(event_id) // 2 // 1000 * 1000 FROM tx)""",
+    "bronze_lost_segment": """
+SELECT event_id AS "offset", event_id, CAST(atm_id AS VARCHAR) AS atm_id, amount_mwk, success, false AS malformed FROM tx
+WHERE NOT (atm_id % 3 = 0 AND event_id BETWEEN 1000 AND 1999)""",
     "live_sink": """
 SELECT CAST(atm_id AS VARCHAR) AS atm_id, tx_type, COALESCE(amount_mwk, 0) AS amount_mwk,
        card_type, COALESCE(success, false) AS success
