@@ -88,6 +88,44 @@ def decode_json(raw: DataFrame, schema: T.StructType, value_col: str = "value",
     return flat.select(*keep, *typed, F.col(corrupt).isNotNull().alias("_malformed"))
 
 
+#: JSON types by the names a variant's schema gives them.
+JSON_TYPES = {"BIGINT": "whole", "DECIMAL": "decimal", "FLOAT": "decimal", "DOUBLE": "decimal", "STRING": "text",
+              "BOOLEAN": "boolean", "VOID": "null", "OBJECT": "object", "ARRAY": "array"}
+
+
+def _json_types(dtype: T.DataType) -> set[str]:
+    """JSON types that state a value of ``dtype`` without conversion."""
+    if isinstance(dtype, (T.LongType, T.IntegerType)):
+        return {"whole"}
+    if isinstance(dtype, T.DoubleType):
+        return {"whole", "decimal"}
+    return {"boolean"} if isinstance(dtype, T.BooleanType) else {"text"}
+
+
+def field_types(messages: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """(field, type, n, drifted): which JSON types the fields of messages have, how often.
+
+    ``drifted``: ``schema`` knows no such field or not by that type (null is
+    never drift).  Texts that are no JSON object count under a null field as
+    ``malformed``; null texts do not count.  A message is parsed once, into a
+    variant; counts combine in the tasks.
+    """
+    text = F.col(value_col).cast("string")
+    v = F.try_parse_json(text)
+    is_object = F.schema_of_variant(v).startswith("OBJECT")
+    parsed = messages.filter(text.isNotNull()).select(F.when(is_object, v).alias("__v"))
+    spark = messages.sparkSession
+    fields = parsed.lateralJoin(spark.tvf.variant_explode_outer(F.col("__v").outer()))
+    names = F.create_map(*[F.lit(x) for kv in JSON_TYPES.items() for x in kv])
+    kind = F.coalesce(names[F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)], F.lit("other"))
+    known = [F.lit(f"{f.name}:{t}") for f in schema.fields for t in sorted(_json_types(f.dataType) | {"null"})]
+    return (fields.select(F.col("key").alias("field"),
+                          F.when(F.col("__v").isNull(), "malformed").otherwise(kind).alias("type"))
+                  .filter("field IS NOT NULL OR type = 'malformed'")
+                  .groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("drifted", ~F.coalesce(F.concat("field", F.lit(":"), "type").isin(*known), F.lit(False))))
+
+
 def to_silver(decoded: DataFrame, ts_col: str, key: str = "atm_id",
               ts_name: str = "event_ts", date_name: str | None = "event_date",
               keep: Sequence[str] = ()) -> DataFrame:

@@ -121,6 +121,14 @@ def json_encode_keyed(m: Model) -> DataFrame:
     return encode.encode_keyed(m.transactions)
 
 
+@query("message_field_types")
+def message_field_types(m: Model) -> DataFrame:
+    """Drift report of all five topics, the JSON types found per field."""
+    return functools.reduce(DataFrame.unionByName, [
+        silver.field_types(m.messages(name), schema).select(F.lit(name).alias("topic"), "field", "type", "n", "drifted")
+        for name, schema in BRONZE_SCHEMAS.items()])
+
+
 @query("silver_transactions")
 def silver_transactions(m: Model) -> DataFrame:
     """All transactions through message, decode, time parsing, key filter."""

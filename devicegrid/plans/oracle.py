@@ -553,6 +553,29 @@ SELECT CAST(atm_id AS VARCHAR) AS key,
                      'success': success}) AS VARCHAR) AS value
 FROM tx"""
 
+TOPIC_FIELDS = {
+    "atm.transactions": ("tx", "event_id, atm_id, timestamp: event_ts, tx_type, amount_mwk, card_type, success"),
+    "atm.cash": ("levels", "atm_id, timestamp: event_ts, cash_level_mwk, hourly_withdrawal_mwk, was_refilled, below_threshold"),
+    "atm.faults": ("faults", "atm_id, event_timestamp: event_ts, fault_type, component, event_class, duration_mins, resolved, fault_occurred"),
+    "atm.replenishments": ("refills", "atm_id, refill_timestamp: refill_ts, amount_loaded_mwk, cit_team, downtime_mins"),
+    "atm.dim": ("device_dim", "atm_id, city, region, latitude, longitude, atm_type, atm_model, bank, installed_date, is_active"),
+}
+
+
+def _message_json(fields: str) -> str:
+    pairs = [(f.split(": ") * 2)[:2] for f in fields.split(", ")]
+    return "to_json({" + ", ".join(f"'{name}': {column}" for name, column in pairs) + "})"
+
+
+# Ids are sent as numbers, the message schemas want them as text.
+BODIES["message_field_types"] = """
+SELECT topic, field, CASE WHEN t = 'VARCHAR' THEN 'text' WHEN t IN ('BIGINT', 'UBIGINT') THEN 'whole' WHEN t = 'DOUBLE' THEN 'decimal'
+                          ELSE lower(t) END AS type, count(*) AS n, field IN ('atm_id', 'event_id') AS drifted
+FROM (""" + " UNION ALL ".join(
+    f"SELECT '{topic}' AS topic, e.key AS field, e.type AS t FROM {table}, json_each({_message_json(fields)}) e"
+    for topic, (table, fields) in TOPIC_FIELDS.items()) + """)
+GROUP BY ALL"""
+
 BODIES["utilisation_scores"] = """
 SELECT atm_id, region, total_tx, round(score, 4) AS utilisation_score,
        CASE WHEN score >= 0.8 THEN 'expand' WHEN score <= 0.2 THEN 'review' ELSE 'maintain' END AS recommendation
