@@ -218,3 +218,37 @@ def test_boosting_equals_exact_greedy_trees(spark):
 def test_quantile_cuts_are_exact(spark):
     df = spark.range(1000).select((F.col("id") % 100).alias("v"), F.lit(None).cast("int").alias("w"))
     assert boosting.quantile_cuts(df.repartition(7), ["v", "w"], 4) == [[25.0, 50.0, 75.0], []]
+
+
+def test_boosting_tasks_hold_as_many_rows(spark):
+    df = spark.range(2_000_000, numPartitions=10).select((F.col("id") % 9).alias("a"), (F.col("id") % 2).cast("int").alias("label"))
+    model = boosting.Boosted(["a"], [[3.0, 6.0]], 2, 1)
+    sizes = boosting.even_blocks(df, model, "label", 8).rdd.mapPartitions(lambda rows: [sum(len(r.bins) for r in rows)]).collect()
+    assert len(sizes) == 8 and sum(sizes) == 2_000_000 and max(sizes) < 1.3 * 250_000
+
+
+def test_boosting_sums_are_the_same_in_chunks(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x, y, margin = rng.integers(0, 6, (4, 500)).astype(np.uint8), rng.integers(0, 2, 500), rng.normal(size=(500, 1))
+    tree = boosting.Tree.empty(3)
+    tree.feature[[1, 2, 3, 5]], tree.cut[[1, 2, 3, 5]], tree.value[:] = [0, 3, 1, 2], [2, 0, 4, 3], rng.normal(size=16)
+
+    def node(r):  # a leaf keeps its rows
+        at = 1
+        while tree.feature[at] >= 0:
+            at = 2 * at + int(x[tree.feature[at], r] > tree.cut[at])
+        return at
+
+    assert tree.nodes(x, 3).tolist() == [node(r) for r in range(500)]
+    monkeypatch.setattr(boosting, "CHUNK", 64)
+    g, h = boosting.gradients(margin, y)
+    got = boosting.histograms(margin, x, y, [tree], 2, 6)
+    want = np.zeros((2, 4, 4, 6))
+    for r in range(500):
+        if node(r) >= 4:
+            at = node(r) if node(r) < 8 else node(r) // 2
+            for f in range(4):
+                want[:, at - 4, f, x[f, r]] += g[r, 0], h[r, 0]
+    assert np.allclose(got[0], want, atol=1e-12)
+    assert np.allclose(boosting.added(margin, x, [[tree]], 3)[:, 0], margin[:, 0] + [tree.value[node(r)] for r in range(500)])
