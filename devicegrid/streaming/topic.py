@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +46,14 @@ ARROW = pa.schema([("key", pa.string()), ("value", pa.string()), ("kafka_ts", pa
 
 
 def land(messages: DataFrame, path: str, segment_offsets: int = SEGMENT_OFFSETS) -> None:
-    """Append messages (envelope columns) to a landed topic, a file a segment."""
+    """Append messages (envelope columns) to a landed topic, a file a segment.
+
+    A task costs its files, not its bytes, so small ones are not put together.
+    """
+    tasks = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (messages.select("key", "value", "kafka_ts", "partition", "offset")
      .withColumn("segment", F.floor(F.col("offset") / F.lit(segment_offsets)).cast("long"))
-     .repartition("partition", "segment").sortWithinPartitions("partition", "segment", "offset")
+     .repartition(tasks, "partition", "segment").sortWithinPartitions("partition", "segment", "offset")
      .write.mode("append").partitionBy("partition", "segment").parquet(path))
 
 
@@ -121,6 +126,9 @@ class TopicReader(DataSourceStreamReader):
         self.strict = options["fail_on_data_loss"] == "true"
         self.start: dict[str, int] | None = None
         self.planned: dict[str, int] | None = None
+        #: Segments and ends as last listed: a listing costs what is landed, not what a batch reads.
+        self.listed: dict[str, dict[int, str]] = {}
+        self.ends: dict[str, int] = {}
 
     # What is landed
 
@@ -145,6 +153,18 @@ class TopicReader(DataSourceStreamReader):
         found = {str(p): self._named(folder, "segment") for p, folder in self._named(self.path, "partition").items()}
         return {p: segments for p, segments in found.items() if segments}
 
+    def _look(self) -> None:
+        self.listed = self._segments()
+        self.ends = {p: self._end(s) for p, s in self.listed.items()}
+
+    def _held(self, partition: str, first: int, past: int) -> dict[int, str]:
+        """Segments of a range of offsets; those not yet seen are looked for once more."""
+        span = range(first // self.size, (past - 1) // self.size + 1)
+        known = self.listed.get(partition, {})
+        if len(span) > len(known) or not all(s in known for s in span):
+            known = self.listed[partition] = self._named(f"{self.path}/partition={partition}", "segment")
+        return {s: known[s] for s in span if s in known} if len(span) <= len(known) else {s: known[s] for s in sorted(known) if s in span}
+
     def _end(self, segments: dict[int, str]) -> int:
         """One past the newest offset of a partition, from its newest segment's footers."""
         newest = max(segments)
@@ -191,22 +211,26 @@ class TopicReader(DataSourceStreamReader):
     def latestOffset(self) -> dict[str, int]:
         if self.planned is None:
             self.planned = self._saved("planned") or self.initialOffset()
-        landed = self._segments()
-        done = {p: min(s) * self.size for p, s in landed.items()} | self.planned
-        ends = admitted(done, {p: self._end(s) for p, s in landed.items()}, self.limit)
+        # Listed anew only when less than a batch is known to wait.
+        if sum(max(0, e - self.planned.get(p, e)) for p, e in self.ends.items()) < self.limit:
+            self._look()
+        done = {p: min(s) * self.size for p, s in self.listed.items()} | self.planned
+        ends = admitted(done, self.ends, self.limit)
         if ends != self.planned:
             self._save("planned", ends)
             self.planned = ends
         return ends
 
     def partitions(self, start: dict[str, int], end: dict[str, int]) -> list[OffsetRange]:
-        landed, out = self._segments(), []
+        out = []
         for p, past in end.items():
-            held = landed.get(p, {})
-            first = start.get(p, min(held, default=0) * self.size)
+            if p not in start and p not in self.listed:
+                self._look()
+            first = start.get(p, min(self.listed.get(p, {}), default=0) * self.size)
             if past <= first:
                 continue
-            wanted = sorted(s for s in held if first // self.size <= s <= (past - 1) // self.size)
+            held = {s: self._parts(folder) for s, folder in self._held(p, first, past).items()}
+            wanted = [s for s, files in held.items() if files]  # a listed segment may be gone
             lost = (past - 1) // self.size - first // self.size + 1 - len(wanted)
             if lost and self.strict:
                 raise RuntimeError(f"{lost} segments of partition {p} are missing between the offsets {first} and {past}")
@@ -214,7 +238,7 @@ class TopicReader(DataSourceStreamReader):
             for i in range(0, len(wanted), step):
                 some = wanted[i:i + step]
                 out.append(OffsetRange(int(p), max(first, some[0] * self.size), min(past, (some[-1] + 1) * self.size),
-                                       [f for s in some for f in self._parts(held[s])]))
+                                       [f for s in some for f in held[s]]))
         return out
 
     def commit(self, end: dict[str, int]) -> None:
@@ -231,11 +255,12 @@ class TopicReader(DataSourceStreamReader):
         files, _ = self._folder(self.path)
         for path in partition.files:
             try:
-                rows = pq.read_table(path, filesystem=files, partitioning=None, columns=["key", "value", "kafka_ts", "offset"],
-                                     filters=[("offset", ">=", partition.first), ("offset", "<", partition.past)])
+                with files.open_input_file(path) as f:
+                    rows = pq.ParquetFile(f).read(["key", "value", "kafka_ts", "offset"])
             except FileNotFoundError:
                 if self.strict:
                     raise
                 continue
+            rows = rows.filter((pc.field("offset") >= partition.first) & (pc.field("offset") < partition.past))
             rows = rows.append_column("partition", pa.array([partition.partition] * len(rows), pa.int32()))
             yield from rows.select(ARROW.names).cast(ARROW).to_batches()

@@ -86,3 +86,19 @@ def test_admission_never_goes_back_nor_over_the_limit(done, more, limit):
     waiting = sum(ends.values()) - sum(done[p] for p in ends)
     assert all(done[p] <= got[p] <= ends.get(p, done[p]) for p in done)
     assert sum(got.values()) - sum(done.values()) == min(limit, waiting)
+
+
+def test_a_batch_lists_what_it_reads_not_the_whole_topic(spark, base, monkeypatch):
+    topic.land(_messages(spark, 0, 3000), f"{base}/topic", 50)
+    reader = topic.TopicReader({"path": f"{base}/topic", "progress": f"{base}/progress", "starting": "earliest", "max_offsets": "300",
+                                "task_offsets": "100", "segment_offsets": "50", "fail_on_data_loss": "true"})
+    looks = []
+    monkeypatch.setattr(reader, "_segments", lambda found=reader._segments: looks.append(1) or found())
+    at, rows = reader.initialOffset(), 0
+    while (end := reader.latestOffset()) != at:
+        rows += sum(b.num_rows for part in reader.partitions(at, end) for b in reader.read(part))
+        at = end
+    assert rows == 3000 and len(looks) <= 4  # 30 batches
+    topic.land(_messages(spark, 3000, 3100), f"{base}/topic", 50)
+    end = reader.latestOffset()
+    assert sum(b.num_rows for part in reader.partitions(at, end) for b in reader.read(part)) == 100
