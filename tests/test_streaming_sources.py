@@ -325,3 +325,15 @@ def test_laid_out_tables_need_no_exchange_and_keep_their_order(spark, sf_dir):
     for f in files_of:
         got = [(r.k, r["at"]) for r in spark.read.parquet(f.file_path).coalesce(1).collect()]
         assert got == sorted(got)
+
+
+def test_landed_ranges_are_split_by_their_rows(spark, monkeypatch):
+    from devicegrid.plans import catalog
+    from devicegrid.session import shared_path
+    monkeypatch.setattr(catalog, "FILE_ROWS", 100)
+    rows = spark.range(3000).select((F.col("id") % 7).alias("atm_id"), F.timestamp_seconds(F.col("id") % 50).alias("event_ts"))
+    path = shared_path(spark, "tests", f"ranges-{uuid.uuid4().hex[:10]}")
+    src = catalog._stream_by_time(rows, path, 6, 2)
+    assert src.isStreaming and src.schema == rows.schema
+    counts = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(counts) == 3000 and len(counts) > 20 and max(counts) <= 250
