@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devicegrid import config as C
-from devicegrid.operators import alerts, marts, ml, staging
+from devicegrid.operators import alerts, forecast, marts, ml, staging
 from devicegrid.plans.model import Model
 from devicegrid.sinks import writers
 
@@ -81,7 +81,7 @@ def build_layers(spark: SparkSession, sf_dir: str, out_dir: str,
     n["features.next_day_label"] = writers.write_counted(
         ml.next_event_label(daily_faults), p("features", "next_day_label"))
     if with_forecast:
-        n["forecast.cash"] = writers.write_counted(ml.forecast_horizon(daily_cash),
+        n["forecast.cash"] = writers.write_counted(forecast.forecast_horizon(daily_cash),
                                                    p("forecast", "cash"))
     return n
 

@@ -337,3 +337,12 @@ def test_landed_ranges_are_split_by_their_rows(spark, monkeypatch):
     assert src.isStreaming and src.schema == rows.schema
     counts = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
     assert sum(counts) == 3000 and len(counts) > 20 and max(counts) <= 250
+
+
+def test_table_inventory_leaves_out_temporary_views(spark):
+    before = sorted(writers.table_inventory(spark).collect())
+    spark.range(1).createOrReplaceTempView("inventory_view")
+    try:
+        assert sorted(writers.table_inventory(spark).collect()) == before
+    finally:
+        spark.catalog.dropTempView("inventory_view")
