@@ -162,12 +162,6 @@ def _gram_rows(batches):
             "n": pa.array(list(seen.values()), pa.int64())})
 
 
-def sample_share(n: int, max_rows: int) -> Column:
-    """True for about ``max_rows`` of ``n`` rows, by hash of doc_id."""
-    share = min(1.0, max_rows / max(n, 1))
-    return F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1_000_000)) < int(share * 1_000_000)
-
-
 def equal_parts(sizes: dict, max_rows: int) -> dict:
     """The share of each group's rows that a sample of ``max_rows`` takes: an equal
     number of each group, the whole group where it has fewer."""

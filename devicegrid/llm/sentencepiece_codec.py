@@ -8,11 +8,13 @@ lattice with the higher-order function ``aggregate``: Viterbi for unigram
 models, and for BPE models - where the best path is not the library's answer -
 the merges in order of rank over the same edges.
 
-:func:`encode` does this for the ``max_units`` most frequent units of a bounded
-sample of documents; the dictionary is bounded, and so broadcast.  Which units
-are in it changes no result: the tasks that turn documents into ids fold the
-lattices of the other units themselves.  No text is shuffled.  (All units of
-all documents would have to travel to the dictionary and back; see README.)
+:func:`encode` does this for every different unit of all documents.  The tasks
+that read documents write them in packs: a document as the numbers of its units
+in the pack, and each different unit of a pack once.  A unit's lattice is folded
+once, its ids go back to the packs that hold it, and each pack is put together
+with its documents.  No text is shuffled.  Only units of more than ``APART``
+signs, whose merges grow with the square of their length, are merged with a heap
+in a task of their own table.
 
 Defined results
 * a null text has null ids, an empty one none; decoding gives the text back,
@@ -33,13 +35,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm.langid import sample_share
+from devicegrid.llm.common import written
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
-#: Units whose ids a task keeps, and the length from which merges use a heap.
-MEMO, LONG = 300_000, 48
+#: The length from which merges use a heap, and the one from which units have no lattice.
+LONG, APART = 48, 256
+#: Units, each occurrence counted, after which a pack of documents ends.
+PACK = 8_000_000
+#: Units of packs that one task folds; their edges are some hundred times as many bytes.
+ROWS = 50_000
 
 
 class Model:
@@ -164,38 +170,53 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
     """(unit, ids) for the distinct units of a table: lattice, join, fold."""
-    spark = units.sparkSession
-    whole = units.select("unit").where("unit <> ''").distinct().withColumn("n", F.length("unit"))
-    spans = (whole.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return _folded(units.select("unit").where("unit <> ''").distinct(), model)
+
+
+def _folded(whole: DataFrame, model: Model) -> DataFrame:
+    """(unit, ids) and the further columns of a table of different units, lists of them kept once a unit."""
+    spark, kept = whole.sparkSession, [c for c in whole.columns if c != "unit"]
+    spans = (whole.withColumn("n", F.length("unit")).withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
              .withColumn("e", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("n"), F.col("s") + model.longest))))
              .withColumn("piece", F.col("unit").substr(F.col("s") + 1, F.col("e") - F.col("s"))))
     # Bounded by the model's pieces.
     met = spans.join(F.broadcast(piece_table(spark, model)), "piece", "left")
-    # Single signs stay in the lattice, with or without a piece.
+    # Single signs stay in the lattice, with or without a piece.  The rows of a
+    # unit lie together already: grouping them needs no exchange.
+    edge = F.struct((-F.col("score")).alias("rank"), "s", "e", "id", F.when(F.col("id").isNull(), F.col("piece")).alias("sign"))
+    first = (F.col("s") == 0) & (F.col("e") == 1)
     edges = met.where(F.col("id").isNotNull() | (F.col("e") == F.col("s") + 1)).groupBy("unit", "n").agg(
-        F.array_sort(F.collect_list(F.struct("e", "s", "score", "id", "piece"))).alias("edges"))
+        F.collect_list(edge).alias("edges"), *[F.first(F.when(first, F.col(c)), ignorenulls=True).alias(c) for c in kept])
     if model.kind == BPE:
-        ends = F.aggregate(F.sequence(F.lit(1), F.col("n")), F.sequence(F.lit(0), F.col("n")), _merge_step)
+        # The end of the part that starts at each sign, -1 where none starts.
+        path = F.aggregate(F.sequence(F.lit(1), F.col("n")), F.sequence(F.lit(1), F.col("n")), _merge_step)
+        on_path = lambda path, x: F.get(path, x["s"]) == x["e"]
     else:
-        ends = _viterbi_ends(model.unknown)
-    cut = edges.withColumn("ends", ends)
-    chosen = F.flatten(F.transform(F.slice("ends", 2, F.size("ends") - 1), lambda e, k: F.filter(
-        "edges", lambda x: (x["e"] == e) & (x["s"] == F.col("ends")[k]))))
-    out = cut.select("unit", F.posexplode(chosen).alias("k", "edge"))
-    fallback = F.udf(lambda p: [bytes_of[b] for b in p.encode()], "array<int>")
-    bytes_of = model.bytes
-    rare = F.when(F.col("edge.id").isNull(), fallback(F.col("edge.piece"))).otherwise(F.array(F.col("edge.id")))
-    return out.select("unit", "k", rare.alias("ids")).groupBy("unit").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
-
-
-def _merge_step(bounds: Column, _: Column) -> Column:
-    """One merge: drop the bound between the neighbours whose joined piece ranks best."""
-    pairs = F.flatten(F.transform(F.slice(bounds, 1, F.greatest(F.size(bounds) - 2, F.lit(0))), lambda s, i: F.transform(
-        F.filter("edges", lambda x: (x["s"] == s) & (x["e"] == bounds[i + 2]) & x["id"].isNotNull()),
-        lambda x: F.struct((-x["score"]).alias("rank"), i.alias("i")))))
-    best = F.array_min(pairs)["i"]
-    return F.when(best.isNull(), bounds).otherwise(F.concat(F.slice(bounds, 1, best + 1), F.slice(bounds, best + 3, F.size(bounds))))
+        path = _viterbi_ends(model.unknown)
+        on_path = lambda path, x: F.get(path, F.array_position(path, x["s"]).cast("int")) == x["e"]
+    bytes_of = F.array(*[F.lit(b) for b in model.bytes])
+
+    def ids(x: Column) -> Column:
+        sign = F.encode(x["sign"], "UTF-8")
+        return F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(F.transform(
+            F.sequence(F.lit(1), F.octet_length(sign)), lambda i: F.get(bytes_of, F.conv(F.hex(sign.substr(i, F.lit(1))), 16, 10).cast("int"))))
+
+    # In an array of one, so that the path is folded once and not for each edge.
+    chosen = F.array_sort(F.transform(F.flatten(F.transform(F.array(path), lambda path: F.filter("edges", lambda x: on_path(path, x)))),
+                                      lambda x: F.struct(x["s"].alias("s"), ids(x).alias("ids"))))
+    return edges.select("unit", F.flatten(chosen["ids"]).alias("ids"), *kept)
+
+
+def _merge_step(ends: Column, _: Column) -> Column:
+    """One merge of two parts: the edge over both that ranks best, the leftmost of equal ones."""
+    over_two = F.filter("edges", lambda x: F.get(ends, F.get(ends, x["s"])) == x["e"])
+
+    def merged(best: Column) -> Column:
+        middle = F.get(ends, best["s"])
+        return F.when(best.isNull(), ends).otherwise(F.transform(ends, lambda e, i: F.when(
+            i == best["s"], best["e"]).when(i == middle, F.lit(-1)).otherwise(e)))
+
+    return F.transform(F.array(F.array_min(over_two)), merged)[0]
 
 
 def _viterbi_ends(unknown: float) -> Column:
@@ -204,7 +225,7 @@ def _viterbi_ends(unknown: float) -> Column:
 
     def step(best: Column, end: Column) -> Column:
         paths = F.transform(F.filter("edges", lambda x: x["e"] == end), lambda x: F.struct(
-            (best[x["s"]]["score"] + F.coalesce(x["score"], F.lit(unknown))).alias("score"), (-x["s"]).alias("back")))
+            (best[x["s"]]["score"] + F.coalesce(-x["rank"], F.lit(unknown))).alias("score"), (-x["s"]).alias("back")))
         top = F.array_max(paths)
         return F.concat(best, F.array(F.struct(top["score"].alias("score"), (-top["back"]).alias("back"))))
 
@@ -214,65 +235,88 @@ def _viterbi_ends(unknown: float) -> Column:
         lambda ends, _: F.when(ends[0] == 0, ends).otherwise(F.concat(F.array(p[ends[0]]["back"]), ends))))[0]
 
 
-def frequent_units(docs: DataFrame, model: Model, max_rows: int, max_units: int) -> DataFrame:
-    """(unit): the most frequent short units in about ``max_rows`` documents."""
+def fold_apart(units: DataFrame, model: Model) -> DataFrame:
+    """(unit, ids) and the further columns of units too long for a lattice."""
+    shared = units.sparkSession.sparkContext.broadcast(model.parts())
+    names = [c for c in units.columns if c != "unit"]
+
+    def run(batches):
+        m = Model.of(shared.value)
+        for batch in batches:
+            ids = [np.array(m.fold(u), np.int32) for u in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids), *batch.columns[1:]], names=["unit", "ids", *names])
+
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in units.select(*names).schema)
+    return units.select("unit", *names).mapInArrow(run, f"unit string, ids array<int>{kept}")
+
+
+def _packs(docs: DataFrame, model: Model, keep: list[str], max_units: int) -> DataFrame:
+    """The documents of each task in packs of about ``max_units`` different units
+    (a document is in one pack), two kinds of rows with the number ``__pack``:
+    the columns ``keep``, ``__codes`` (numbers in the pack of a text's units,
+    compressed 32-bit values), ``__n`` (how many) and ``__said`` (digest of
+    the text); and ``__unit`` with its number ``__at``, once a pack."""
     shared = docs.sparkSession.sparkContext.broadcast(model.parts())
+    fields = docs.select(*keep).schema
 
     def run(batches):
-        from collections import Counter
+        from collections import defaultdict
+
+        from pyspark import TaskContext
         m = Model.of(shared.value)
+        pack, size = TaskContext.get().partitionId() << 32, 0
+        at: dict[str, int] = defaultdict()
+        at.default_factory = at.__len__
+        types = None
+
+        def listed():
+            names = list(at)
+            for i in range(0, len(names), 20_000):
+                part = names[i:i + 20_000]
+                nothing = [pa.nulls(len(part), t) for t in types]
+                yield pa.RecordBatch.from_arrays([*nothing, pa.array([pack] * len(part), pa.int64()), *(pa.nulls(len(part), t) for t in (
+                    pa.binary(), pa.int64(), pa.binary())), pa.array(part, pa.string()), pa.array(range(i, i + len(part)), pa.int32())], names=columns)
+
+        columns = [*keep, "__pack", "__codes", "__n", "__said", "__unit", "__at"]
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update(m.units(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"])
-
-    sample = docs.where(F.col("text").isNotNull()).where(sample_share(docs.count(), max_rows)).select("text")
-    return (sample.mapInArrow(run, "unit string, n long").where(F.length("unit") <= LONG).groupBy("unit").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "unit").limit(max_units).select("unit"))
-
-
-class Encoder:
-    """Turns texts into ids: units looked up in the dictionary or folded, and kept."""
-
-    def __init__(self, model: Model, known: list[tuple[str, list[int]]]):
-        self.model, self.known = model, known
-        self.start_anew()
-
-    def start_anew(self) -> None:
-        self.at: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.int32), 0
-        self.begin, self.length = np.zeros(MEMO, np.int64), np.zeros(MEMO, np.int64)
-        for unit, ids in self.known:
-            self.add(unit, ids)
-
-    def add(self, unit: str, ids: list[int]) -> None:
-        k, n = len(self.at), len(ids)
-        if self.used + n > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros(max(n, len(self.flat)), np.int32)))
-        self.flat[self.used:self.used + n] = ids
-        self.at[unit], self.begin[k], self.length[k] = k, self.used, n
-        self.used += n
-
-    def encode(self, text: str) -> np.ndarray:
-        units, out = self.model.units(text), []
-        room = MEMO - len(self.known) - 1
-        for i in range(0, len(units), room):
-            part = units[i:i + room]
-            at = [self.at.get(u) for u in part]
-            if None in at:
-                new = {u for u, k in zip(part, at) if k is None}
-                if len(self.at) + len(new) > MEMO or self.used > 1 << 24:
-                    self.start_anew()
-                    new = set(part).difference(self.at)
-                for u in new:
-                    self.add(u, self.model.fold(u))
-                at = [self.at[u] for u in part]
-            at = np.array(at)
-            length = self.length[at]
-            shift = self.begin[at] - (np.cumsum(length) - length)
-            out.append(self.flat[np.repeat(shift, length) + np.arange(length.sum())])
-        return np.concatenate(out) if out else np.zeros(0, np.int32)
+            types = [c.type for c in batch.columns[:len(keep)]]
+            for i in range(0, batch.num_rows, 512):
+                packs, codes, counts, said = [], [], [], []
+                for text in batch.column(len(keep)).slice(i, 512).to_pylist():
+                    if len(at) >= max_units or size >= PACK:
+                        yield from listed()
+                        pack, size = pack + 1, 0
+                        at.clear()
+                    packs.append(pack)
+                    units = None if text is None else m.units(text)
+                    numbers = None if text is None else np.fromiter(map(at.__getitem__, units), np.int32, len(units))
+                    size += len(units or ())
+                    codes.append(None if text is None else _pressed(numbers))
+                    counts.append(None if text is None else len(units))
+                    said.append(None if text is None else _digest(text.replace(MARK, " ")))
+                n = len(packs)
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 512) for c in batch.columns[:len(keep)]), pa.array(packs, pa.int64()), pa.array(codes, pa.binary()),
+                                                  pa.array(counts, pa.int64()), pa.array(said, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32())], names=columns)
+        yield from listed()
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(
+        run, f"{schema}__pack long, __codes binary, __n long, __said binary, __unit string, __at int")
+
+
+def _pressed(numbers: np.ndarray) -> bytes:
+    """32-bit values compressed, their first bytes first."""
+    return pa.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True) if len(numbers) else b""
+
+
+def _unpressed(data: pa.Buffer, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.int32)
+    return np.frombuffer(pa.decompress(data, 4 * n, "zstd"), np.uint8).reshape(4, n).T.copy().view(np.int32)[:, 0]
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode(), digest_size=16).digest()
 
 
 class Decoder:
@@ -295,38 +339,50 @@ def _lists(arrays: list) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()), mask=pa.array([a is None for a in arrays], pa.bool_()))
 
 
-def encode(docs: DataFrame, path: str, keep: list[str], max_rows: int = 5_000, max_units: int = 50_000, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, keep: list[str], max_units: int = 500_000, digest: bool = False) -> DataFrame:
     """The columns ``keep`` and ``ids`` of every row; with ``digest`` instead
     ``n_tokens``, ``ids_sha256`` (little-endian 32-bit ids) and ``round_trip``.
-    Kept columns of these names give way."""
+    Kept columns of these names give way.  ``max_units``: different units after
+    which a pack of documents ends."""
     keep = [c for c in keep if c not in (("n_tokens", "ids_sha256", "round_trip") if digest else ("ids",))]
     model = Model(path)
-    spark = docs.sparkSession
-    # Bounded by max_units units of at most LONG signs.
-    known = [(r.unit, list(r.ids)) for r in encode_units(frequent_units(docs, model, max_rows, max_units), model).collect()]
-    shared = spark.sparkContext.broadcast((model.parts(), known))
+    packs = written(_packs(docs, model, keep, max_units), "pieces")
+    met = packs.where(F.col("__unit").isNotNull()).select(F.col("__unit").alias("unit"), "__pack", "__at")
+    # A unit's list has at most one entry a pack.  Few units come twice to a task: no lists before the exchange.
+    parts = 1 + packs.count() // ROWS
+    whole = met.where(F.length("unit") <= APART).repartition(parts, "unit").groupBy("unit").agg(F.collect_list(F.struct("__pack", "__at")).alias("at"))
+    apart = F.length("unit") > APART
+    found = _folded(whole, model).unionByName(fold_apart(met.where(apart).select("unit", F.array(F.struct("__pack", "__at")).alias("at")), model))
+    back = found.select(F.explode("at").alias("at"), "ids").select("at.*", "ids")
+    rows = packs.where(F.col("__unit").isNull()).drop("__unit", "__at")
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
-    def run(batches):
-        m = Model.of(shared.value[0])
-        encoder, decoder = Encoder(m, shared.value[1]), Decoder(m)
-        for batch in batches:
-            texts = batch.column(len(keep))
-            # Ids of a part of the batch at a time: a batch may hold long texts.
-            for i in range(0, batch.num_rows, 512):
-                part = texts.slice(i, 512).to_pylist()
-                ids = [None if t is None else encoder.encode(t) for t in part]
-                kept = [c.slice(i, 512) for c in batch.columns[:len(keep)]]
-                if digest:
-                    more = [pa.array([None if x is None else len(x) for x in ids], pa.int64()),
-                            pa.array([None if x is None else hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids], pa.string()),
-                            pa.array([None if x is None else decoder.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, part)], pa.bool_())]
-                    yield pa.RecordBatch.from_arrays([*kept, *more], names=[*keep, "n_tokens", "ids_sha256", "round_trip"])
-                else:
-                    yield pa.RecordBatch.from_arrays([*kept, _lists(ids)], names=[*keep, "ids"])
-
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    return rows.mapInArrow(run, f"{schema}, " + ("n_tokens long, ids_sha256 string, round_trip boolean" if digest else "ids array<int>"))
+    def run(rows: pa.Table, units: pa.Table) -> pa.Table:
+        decoder = Decoder(Model.of(shared.value)) if digest else None
+        lists, at = units.column("ids").combine_chunks(), units.column("__at").to_numpy()
+        flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        begin, length = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        begin[at], length[at] = offsets[:-1], np.diff(offsets)
+        out = []
+        for codes, n, said in zip(*(rows.column(c) for c in ("__codes", "__n", "__said"))):
+            ids = None
+            if n.is_valid:
+                codes = _unpressed(codes.as_buffer(), n.as_py())
+                many = length[codes]
+                ids = flat[np.repeat(begin[codes] - (np.cumsum(many) - many), many) + np.arange(many.sum())] if len(codes) else codes
+            # With a digest no more than one document's ids are kept.
+            out.append(ids if not digest else (None, None, None) if ids is None else (
+                len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), _digest(decoder.decode(ids)) == said.as_py()))
+        if digest:
+            more = {c: pa.array([x[k] for x in out], t) for k, (c, t) in enumerate(
+                {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "round_trip": pa.bool_()}.items())}
+        else:
+            more = {"ids": _lists(out)}
+        return pa.table([*(rows.column(c) for c in keep), *more.values()], names=[*keep, *more])
+
+    return rows.groupBy("__pack").cogroup(back.groupBy("__pack")).applyInArrow(
+        run, (f"{schema}, " if keep else "") + ("n_tokens long, ids_sha256 string, round_trip boolean" if digest else "ids array<int>"))
 
 
 def decode(rows: DataFrame, path: str, keep: list[str]) -> DataFrame:

@@ -231,6 +231,22 @@ def test_encode_and_decode_awkward_rows(spark, awkward, empty):
     assert sentencepiece_codec.encode(empty, piece_model(), ["doc_id"]).count() == 0
 
 
+def test_every_unit_passes_the_lattice(spark, monkeypatch):
+    import sentencepiece
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abtherin日") for _ in range(rng.randint(1, 9))) for _ in range(30)) for _ in range(40)]
+    texts += ["x" * 300 + " the end", "", None, texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    library = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    for max_units in (50, 500_000):
+        got = sentencepiece_codec.encode(docs, piece_model(), ["doc_id"], max_units=max_units).collect()
+        assert {r.doc_id: r.ids for r in got} == {i: None if t is None else library.encode(t) for i, t in enumerate(texts)}
+    model = sentencepiece_codec.Model(piece_model())
+    monkeypatch.setattr(sentencepiece_codec, "_folded", lambda whole, model: whole.select("unit", F.array(F.lit(7)).alias("ids"), "at"))
+    got = {r.doc_id: r.ids for r in sentencepiece_codec.encode(docs.where("doc_id < 40"), piece_model(), ["doc_id"], max_units=50).collect()}
+    assert got == {i: [7] * len(model.units(t)) for i, t in enumerate(texts[:40])}
+
+
 # -- 7 n-gram Jaccard join
 
 def shingles(text):
