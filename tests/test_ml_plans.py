@@ -136,6 +136,24 @@ def test_forecast_solves_the_normal_equations(spark, sf_dir):
         assert np.allclose((x.T @ x + np.diag(season.ridge())) @ np.array(r.m.coef), x.T @ y, atol=1e-9)
 
 
+def test_forecast_sums_by_grouping(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    rows = [("A", d, 5000.0 + 30 * i + 400 * (i % 7)) for i, d in enumerate(days)] + [(None, d, 100.0 * i) for i, d in enumerate(days[:40])]
+    rows += [("B", d, None if i % 9 == 4 or i > 50 else 9000.0 - 50 * i + 300 * (i % 5)) for i, d in enumerate(days)]
+    d = spark.createDataFrame(rows, "atm_id string, event_date date, avg_cash_mwk double").repartition(4)
+    season = forecast.Season()
+    s = forecast._series(d, "atm_id", "event_date", "avg_cash_mwk", 30)
+    got = {r.atm_id: r for r in forecast._fits(s, "atm_id", {"train": 7, "whole": 0}, season).collect()}
+    assert set(got) == {"A", "B", None}
+    for n, name in ((7, "train"), (0, "whole")):
+        for r in s.select("atm_id", "s", forecast.fitted(F.slice("s", 1, F.size("s") - n), season).alias("m")).collect():
+            m = got[r.atm_id][name]
+            assert got[r.atm_id].s == r.s and (m.lo, m.span, m.scale) == (r.m.lo, r.m.span, r.m.scale)
+            assert all(abs(a - b) < 1e-9 for a, b in zip(m.coef, r.m.coef, strict=True))
+    plan = _plan(forecast.forecast_summary(d))
+    assert plan.count("Exchange hashpartitioning") <= 1 and "partial_sum" in plan
+
+
 def test_auc_counts_pairs_with_ties(spark):
     rows = [("a", float(i % 7), int(i % 3 == 0)) for i in range(200)] + [("b", 1.0, 1), ("b", None, 0), ("c", 0.5, 1), ("c", 0.5, 0), ("c", 0.1, 0)]
     got = {r.g: r for r in ranking.roc_auc(spark.createDataFrame(rows, "g string, s double, y int").repartition(5), "g", "s", "y").collect()}
