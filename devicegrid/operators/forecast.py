@@ -140,11 +140,12 @@ def _fits(series: DataFrame, key: str, left_out: dict[str, int], season: Season)
     def name(f: str, i: int) -> str:
         return f"{f}{i}" if i < own or i == p else f"w{i}"
 
-    # The first term is 1, or null on rows that are left out.
+    # The first term is 1, or null on rows that are left out.  A row without a
+    # date comes first: its device has no ``lo``, null sums and a null model.
     sums = [f"sum({f}0 * {name(f, i)} * {name(f, j)}) AS {f}_{i}_{j}" for f in left_out for i in range(p) for j in range(i, p + 1)]
     total = days.select(key, *columns).groupBy(key).agg(F.first("d", ignorenulls=True).alias("d"), *map(F.expr, sums))
     matrices = [F.expr("array(" + ", ".join("array(" + ", ".join(
-        f"coalesce({f}_{min(i, j)}_{max(i, j)}, 0D) + {ridge[i] if i == j else 0.0}D" for j in range(p + 1)) + ")" for i in range(p)) + ")").alias(f) for f in left_out]
+        f"{f}_{min(i, j)}_{max(i, j)} + {ridge[i] if i == j else 0.0}D" for j in range(p + 1)) + ")" for i in range(p)) + ")").alias(f) for f in left_out]
     return total.select(key, "d", *matrices).select(key, "d.s", *[F.struct(
         _solution(F.col(f), season).alias("coef"), *(F.col(f"d.of_{f}.{c}").alias(c) for c in ("lo", "span", "scale"))).alias(f) for f in left_out])
 
