@@ -247,6 +247,32 @@ def test_every_unit_passes_the_lattice(spark, monkeypatch):
     assert got == {i: [7] * len(model.units(t)) for i, t in enumerate(texts[:40])}
 
 
+def test_lattices_fold_alike_wherever_their_edges_are_cut(spark):
+    model = sentencepiece_codec.Model(piece_model())
+    rng = random.Random(7)
+    units = {"".join(rng.choice("abtherin日▁.") for _ in range(rng.randint(1, 14))) for _ in range(400)} | {"\n", "x" * 300, "the" * 120}
+    df = spark.createDataFrame([(u, str(i)) for i, u in enumerate(sorted(units))], "unit string, at string")
+    for kind in (sentencepiece_codec.BPE, sentencepiece_codec.UNIGRAM):
+        model.kind = kind
+        got = sentencepiece_codec._folded(df, model, at_once=50).collect()
+        assert {r.unit: (list(r.ids), r.at) for r in got} == {u: (model.fold(u), str(i)) for i, u in enumerate(sorted(units))}
+        assert len(got) == len(units)
+
+
+def test_packs_are_made_once_and_small(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghinorstuv") for _ in range(rng.randint(2, 14))) for _ in range(5000)]
+    texts = [" ".join(rng.choice(words) for _ in range(300)) + "\nend" for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    rows = sentencepiece_codec.encode(docs, piece_model(), ["doc_id"], digest=True)
+    assert all(r.round_trip for r in rows.collect())
+    # The units and the documents of a pack come from one exchange.
+    assert "ReusedExchange" in rows._jdf.queryExecution().executedPlan().toString()
+    packs = sentencepiece_codec._packs(docs, sentencepiece_codec.Model(piece_model()), ["doc_id"], 500_000, 16)
+    size = packs.agg(F.sum(F.length("__data") + F.coalesce(F.length("__at"), F.lit(0)))).first()[0]
+    assert size < 0.5 * sum(map(len, texts))
+
+
 # -- 7 n-gram Jaccard join
 
 def shingles(text):
