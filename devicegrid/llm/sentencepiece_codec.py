@@ -181,8 +181,11 @@ UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """(piece, id, score): as many rows as the model has pieces."""
-    rows = [(p, i, float(model.scores[p])) for p, i in model.ids.items()]
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    pieces = list(model.ids)
+    # As Arrow columns no Python worker has to start for it.
+    return spark.createDataFrame(pa.table({
+        "piece": pa.array(pieces, pa.string()), "id": pa.array(list(model.ids.values()), pa.int32()),
+        "score": pa.array([float(model.scores[p]) for p in pieces], pa.float64())}))
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
@@ -214,22 +217,25 @@ def _folded(whole: DataFrame, model: Model, at_once: int = EDGES) -> DataFrame:
 
     def run(batches):
         m, open_ = Model.of(shared.value), []
+        scores = m.score_of()
         for batch in batches:
             open_.append(batch)
             if sum(b.num_rows for b in open_) >= at_once:
                 rows = pa.Table.from_batches(open_)
                 # The last unit may go on in the next batch.
                 last = int(np.flatnonzero(rows.column(0).is_valid().to_numpy())[-1])
-                yield from _fold_edges(rows.slice(0, last), m, kept)
+                yield from _fold_edges(rows.slice(0, last), m, scores, kept)
                 open_ = pa.Table.from_batches(rows.slice(last).combine_chunks().to_batches()).to_batches()
         if open_:
-            yield from _fold_edges(pa.Table.from_batches(open_), m, kept)
+            yield from _fold_edges(pa.Table.from_batches(open_), m, scores, kept)
+            open_.clear()
+        _release()
 
     types = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in whole.select(*kept).schema)
     return edges.mapInArrow(run, f"unit string, ids array<int>{types}")
 
 
-def _fold_edges(rows: pa.Table, model: Model, kept: list[str]):
+def _fold_edges(rows: pa.Table, model: Model, scores: np.ndarray, kept: list[str]):
     """Folds the lattices of units whose edges lie together, all units at a time."""
     starts = np.flatnonzero(rows.column("unit").is_valid().to_numpy())
     if not len(starts):
@@ -244,7 +250,7 @@ def _fold_edges(rows: pa.Table, model: Model, kept: list[str]):
     in_lattice = s >= 0
     unit, s, e, ids = unit[in_lattice], s[in_lattice], e[in_lattice], ids[in_lattice]
     begin, end = base[unit] + s, base[unit] + e
-    score = np.where(ids >= 0, model.score_of()[ids], model.unknown)
+    score = np.where(ids >= 0, scores[ids], model.unknown)
     ends = (_merged_ends if model.kind == BPE else _viterbi_ends)(unit, begin, end, score, base)
     chosen = np.flatnonzero(ends[begin] == end)
     chosen = chosen[np.argsort(begin[chosen], kind="stable")]
@@ -398,6 +404,9 @@ def _packs(docs: DataFrame, model: Model, keep: list[str], max_units: int, bucke
                     codes.clear()
         if at:
             yield from listed()
+        # It refers to itself: a worker would keep its units until some later collection.
+        at.clear()
+        _release()
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(
@@ -429,7 +438,10 @@ def _different(rows: pa.Table) -> pa.Table:
     places["pack"], places["at"] = packs[order], number[order]
     offsets = (np.concatenate(([0], np.cumsum(np.bincount(unit)))) * PLACE.itemsize).astype(np.int32)
     at = pa.Array.from_buffers(pa.binary(), len(seen), [None, pa.py_buffer(offsets), pa.py_buffer(places.tobytes())])
-    return pa.table({"unit": pa.array([u or "\n" for u in seen], pa.string()), "at": at})
+    _release()
+    different = pa.array([u or "\n" for u in seen], pa.string())
+    seen.clear()
+    return pa.table({"unit": different, "at": at})
 
 
 def _id_type(ids: int) -> np.dtype:
@@ -464,6 +476,13 @@ def _sent_back(batches, most: int):
             part, size = [], 0
     if size:
         yield from rows(part)
+        part.clear()
+    _release()
+
+
+def _release() -> None:
+    """Gives back the memory that Arrow holds for later: workers wait for their next task."""
+    pa.default_memory_pool().release_unused()
 
 
 def _zstd(data: bytes, level: int) -> bytes:
@@ -499,12 +518,6 @@ class Decoder:
         return text[1:] if self.prefix and text[:1] == " " else text
 
 
-def _lists(arrays: list) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([0 if a is None else len(a) for a in arrays]))).astype(np.int32)
-    values = np.concatenate([a for a in arrays if a is not None] or [np.zeros(0, np.int32)])
-    return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()), mask=pa.array([a is None for a in arrays], pa.bool_()))
-
-
 def encode(docs: DataFrame, path: str, keep: list[str], max_units: int = 500_000, digest: bool = False) -> DataFrame:
     """The columns ``keep`` and ``ids`` of every row; with ``digest`` instead
     ``n_tokens``, ``ids_sha256`` (little-endian 32-bit ids) and ``round_trip``.
@@ -526,6 +539,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], max_units: int = 500_000
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(rows: pa.Table, units: pa.Table) -> pa.Table:
+        _release()
         decoder = Decoder(Model.of(shared.value)) if digest else None
         at, many = ([_unpressed(x.as_buffer(), n.as_py()) for x, n in zip(units.column(c), units.column("__units"))] for c in ("__at", "__many"))
         kind = _id_type(most)
@@ -538,7 +552,9 @@ def encode(docs: DataFrame, path: str, keep: list[str], max_units: int = 500_000
         parts = rows.filter(pc.equal(kind, CODES)).sort_by("__i")
         numbers = np.concatenate([_unpressed(x.as_buffer(), n.as_py()) for x, n in zip(parts.column("__data"), parts.column("__n"))] or nothing)
         rows = rows.filter(pc.equal(kind, DOC)).sort_by("__i")
-        out, end = [], 0
+        # With a digest no more than one document's ids are kept.
+        values = None if digest else np.empty(length[numbers].sum(), np.int32)
+        out, end, filled = [], 0, 0
         for n, said in zip(rows.column("__n"), rows.column("__data")):
             ids = None
             if n.is_valid:
@@ -546,14 +562,20 @@ def encode(docs: DataFrame, path: str, keep: list[str], max_units: int = 500_000
                 end += len(codes)
                 many = length[codes]
                 ids = flat[np.repeat(begin[codes] - (np.cumsum(many) - many), many) + np.arange(many.sum())] if len(codes) else codes
-            # With a digest no more than one document's ids are kept.
-            out.append(ids if not digest else (None, None, None) if ids is None else (
-                len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), _digest(decoder.decode(ids)) == said.as_py()))
+            if digest:
+                out.append((None, None, None) if ids is None else (
+                    len(ids), hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest(), _digest(decoder.decode(ids)) == said.as_py()))
+            else:
+                out.append(filled)
+                if ids is not None:
+                    values[filled:filled + len(ids)] = ids
+                    filled += len(ids)
         if digest:
             more = {c: pa.array([x[k] for x in out], t) for k, (c, t) in enumerate(
                 {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "round_trip": pa.bool_()}.items())}
         else:
-            more = {"ids": _lists(out)}
+            more = {"ids": pa.ListArray.from_arrays(np.array([*out, filled], np.int32), pa.array(values, pa.int32()),
+                                                    mask=rows.column("__n").combine_chunks().is_null())}
         return pa.table([*(rows.column(c) for c in keep), *more.values()], names=[*keep, *more])
 
     return packs.groupBy("__pack").cogroup(back.groupBy("__pack")).applyInArrow(
