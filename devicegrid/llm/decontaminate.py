@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from devicegrid.llm.common import release_memory
+
 #: Bytes to lower-cased bytes; what separates words becomes a space.
 TABLE = bytes((b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20) for b in range(256))
 SPAN = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -139,6 +141,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], ngram: int = 10
                     columns |= {"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())}
                 kept = list(batch.columns[:k]) + ([] if last else [batch.column(k)])
                 yield pa.RecordBatch.from_arrays([*kept, *columns.values()], names=[*batch.schema.names[:len(kept)], *columns])
+            del found
+            release_memory()
 
         hits = f"spans {spans_type}, items {items_type}"
         out = out.mapInArrow(run, f"{schema}, {hits}, n_words long, n_hit long" if last else f"{schema}, __text binary, {hits}")

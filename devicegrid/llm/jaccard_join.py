@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devicegrid.llm.common import release_arrow, written
+from devicegrid.llm.common import release_memory, written
 from devicegrid.llm.components import components
 from devicegrid.llm.decontaminate import words_of
 
@@ -175,7 +175,8 @@ def nodes_of(docs: DataFrame, shingle: int) -> DataFrame:
                 pa.array([None if s is None else s.tobytes() for s in sketches], pa.binary()),
                 pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in sketches], pa.binary())],
                 names=["doc_id", "node", "size", "sketch", "brief"])
-        release_arrow()
+        del shingles
+        release_memory()
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, size long, sketch binary, brief binary")
@@ -195,7 +196,7 @@ def _paths(sketches: DataFrame, runs: int, depth: int) -> DataFrame:
                 pa.array(path.ravel()),
                 pa.array([r.tobytes() for row in rest for r in row], pa.binary()),
                 pa.array([n for n in nodes for _ in range(runs)], pa.binary())], names=["path", "rest", "node"])
-        release_arrow()
+        release_memory()
 
     return sketches.select("node", "sketch").mapInArrow(run, "path long, rest binary, node binary")
 
@@ -236,7 +237,7 @@ def _compare_sketches(batches, margin: float):
             kept = forest(len(s), np.concatenate(a), np.concatenate(b))
             yield pa.RecordBatch.from_arrays([pa.array([g["node"][x] for x, _ in kept], pa.binary()),
                                               pa.array([g["node"][y] for _, y in kept], pa.binary())], names=["a", "b"])
-    release_arrow()
+    release_memory()
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -303,7 +304,7 @@ def _compare_sets(batches, threshold: float):
             pa.array(links[some].tolist() + [0] * len(kept), pa.int64()),
             pa.array(texts[some].tolist() + [0] * len(kept), pa.int64()),
             pa.array([None] * len(some) + [nodes[b] for _, b in kept], pa.binary())], names=["node", "links", "texts", "other"])
-    release_arrow()
+    release_memory()
 
 
 def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, recall: float = 0.99999,
@@ -345,7 +346,8 @@ def join_classes(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, reca
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(hashes, pa.binary())],
                                              names=["label", "node", "copies", "hashes"])
             yield out.filter(pa.array(keep, pa.bool_()))
-        release_arrow()
+        del shingles
+        release_memory()
 
     members = found.mapInArrow(sets, "label binary, node binary, copies long, hashes binary")
     # A group of long texts counts as more nodes, so that blocks are bounded by their hashes too.

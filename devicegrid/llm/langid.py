@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from devicegrid.llm.common import release_memory
+
 MAX_N = 4
 WORD = re.compile(r"[^\W\d_]+")
 #: A vote may favour one language over another by at most e to this power.
@@ -146,6 +148,7 @@ def _counts(batches):
                 "lang": pa.array([lang] * len(words), pa.string()),
                 "word": pa.array(list(words), pa.string()),
                 "n": pa.array(list(words.values()), pa.int64())})
+    release_memory()
 
 
 def _gram_rows(batches):
@@ -160,6 +163,7 @@ def _gram_rows(batches):
             "size": pa.array([k[1] for k in seen], pa.int32()),
             "gram": pa.array([k[2] for k in seen], pa.string()),
             "n": pa.array(list(seen.values()), pa.int64())})
+    release_memory()
 
 
 def equal_parts(sizes: dict, max_rows: int) -> dict:
@@ -228,6 +232,8 @@ def language_of(spark: SparkSession, model: Model, text: Column) -> Column:
             out = [score(t.as_py()) for t in part]
             yield pa.StructArray.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
                                              names=["lang_pred", "score"])
+        del score
+        release_memory()
 
     return F.arrow_udf(found, "lang_pred string, score double")(text)
 

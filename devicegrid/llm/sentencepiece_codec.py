@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devicegrid.llm.common import release_arrow
+from devicegrid.llm.common import release_memory
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -231,7 +231,8 @@ def _folded(whole: DataFrame, model: Model, at_once: int = EDGES) -> DataFrame:
         if open_:
             yield from _fold_edges(pa.Table.from_batches(open_), m, scores, kept)
             open_.clear()
-        release_arrow()
+        del m, scores
+        release_memory()
 
     types = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in whole.select(*kept).schema)
     return edges.mapInArrow(run, f"unit string, ids array<int>{types}")
@@ -408,7 +409,8 @@ def _packs(docs: DataFrame, model: Model, keep: list[str], max_units: int, bucke
             yield from listed()
         # It refers to itself: a worker would keep its units until some later collection.
         at.clear()
-        release_arrow()
+        codes.clear()
+        release_memory()
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(
@@ -440,7 +442,7 @@ def _different(rows: pa.Table) -> pa.Table:
     places["pack"], places["at"] = packs[order], number[order]
     offsets = (np.concatenate(([0], np.cumsum(np.bincount(unit)))) * PLACE.itemsize).astype(np.int32)
     at = pa.Array.from_buffers(pa.binary(), len(seen), [None, pa.py_buffer(offsets), pa.py_buffer(places.tobytes())])
-    release_arrow()
+    release_memory()
     different = pa.array([u or "\n" for u in seen], pa.string())
     seen.clear()
     return pa.table({"unit": different, "at": at})
@@ -479,7 +481,7 @@ def _sent_back(batches, most: int):
     if size:
         yield from rows(part)
         part.clear()
-    release_arrow()
+    release_memory()
 
 
 def _zstd(data: bytes, level: int) -> bytes:
@@ -536,7 +538,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], max_units: int = 500_000
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(rows: pa.Table, units: pa.Table) -> pa.Table:
-        release_arrow()
+        release_memory()
         decoder = Decoder(Model.of(shared.value)) if digest else None
         at, many = ([_unpressed(x.as_buffer(), n.as_py()) for x, n in zip(units.column(c), units.column("__units"))] for c in ("__at", "__many"))
         kind = _id_type(most)

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from devicegrid.llm import (chat_format, components, decontaminate, exact_dedup, jaccard_join, langid, repeats,
+from devicegrid.llm import (chat_format, common, components, decontaminate, exact_dedup, jaccard_join, langid, repeats,
                             sentencepiece_codec, sharding, substring_dedup, suffix_dedup, toxicity)
 from devicegrid.llm.queries import piece_model
 
@@ -36,6 +36,31 @@ def empty(spark):
     return frame(spark, [])
 
 
+def anonymous_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon:")) // 1024
+
+
+def test_release_memory_gives_back_what_malloc_holds():
+    # Every hundredth array stays, so that malloc does not give back the rest by itself.
+    arrays = [np.ones(12_000) for _ in range(3000)]
+    kept = arrays[::100]
+    del arrays
+    before = anonymous_mb()
+    common.release_memory()
+    assert anonymous_mb() < before - 100 and len(kept) == 30
+
+
+def test_large_arrays_go_back_as_they_are_freed():
+    common.release_memory()
+    np.ones(4_000_000)  # malloc would keep arrays up to this size from now on
+    arrays = [np.ones(1_000_000) for _ in range(30)]
+    kept = arrays[-1]
+    before = anonymous_mb()
+    del arrays
+    assert anonymous_mb() < before - 100 and len(kept) == 1_000_000
+
+
 # -- 1 chat formatting
 
 def chats(spark, rows):
