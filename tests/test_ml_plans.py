@@ -274,3 +274,53 @@ def test_boosting_sums_are_the_same_in_chunks(monkeypatch):
                 want[:, at - 4, f, x[f, r]] += g[r, 0], h[r, 0]
     assert np.allclose(got[0], want, atol=1e-12)
     assert np.allclose(boosting.added(margin, x, [[tree]], 3)[:, 0], margin[:, 0] + [tree.value[node(r)] for r in range(500)])
+
+
+def test_boosting_keeps_one_vector_for_rows_alike(spark, monkeypatch):
+    """A pass goes over different vectors of bins and label, however many rows they stand for."""
+    import numpy as np
+    df = spark.range(200_000, numPartitions=3).select(
+        (F.col("id") % 9).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("b"), ((F.col("id") % 9 + F.col("id") % 5) > 7).cast("int").alias("label"))
+    held, cut = [], boosting.cut_lineage
+
+    def spied(rows):
+        if "labels" in rows.columns:
+            held.append(rows)
+        return cut(rows)
+    monkeypatch.setattr(boosting, "cut_lineage", spied)
+    model = boosting.fit(df, ["a", "b"], rounds=3, depth=2, bins=50)
+    assert sum(len(r.labels) // 4 for r in held[0].collect()) == 45
+    got = boosting.with_probabilities(model, df.distinct(), "p").select("a", "b", F.col("p")[1].alias("p")).collect()
+    every = np.array([(i % 9, i % 5) for i in range(45)])
+    n = np.array([len(range(i, 200_000, 45)) for i in range(45)])
+    x = np.repeat(every, n, axis=0)
+    y = (x.sum(axis=1) > 7).astype(int)
+    want = dict(zip(map(tuple, x.tolist()), plain_boosting(x, y, 2, 3, 2, 0.05)[:, 0].tolist()))
+    assert len(got) == 45 and all(abs(r.p - want[(r.a, r.b or 0)]) < 1e-9 for r in got)
+
+
+def test_boosting_sums_of_bundles_are_those_of_their_features():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    widths = [40, 3, 200, 2, 7, 30]
+    x = np.stack([rng.integers(0, w, 700) for w in widths]).astype(np.uint8)
+    y, margin, counts = rng.integers(0, 3, 700), rng.normal(size=(700, 3)), rng.integers(1, 9, 700)
+    tree = boosting.Tree.empty(2)
+    tree.feature[[1, 3]], tree.cut[[1, 3]] = [2, 0], [90, 11]
+    groups = boosting.bundles(widths)
+    assert sorted(f for g in groups for f in g) == list(range(6)) and len(groups) < 6
+    assert all(np.prod([widths[f] for f in g]) <= boosting.CELLS for g in groups)
+    for level in (0, 1):
+        got = boosting.histograms(margin, x, y, [tree] * 3, level, 200, counts, (groups, widths, boosting.bundled(x, groups, widths)))
+        many = np.repeat(np.arange(700), counts)
+        assert np.allclose(got, boosting.histograms(margin[many], x[:, many], y[many], [tree] * 3, level, 200), atol=1e-9)
+
+
+def test_split_is_the_same_with_cells_first(spark):
+    rows = spark.range(3000).select((F.col("id") % 900).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 2).cast("int").alias("label"))
+    one, other = (ml.stratified_split(rows, ["k"], cells_first=c) for c in (False, True))
+    assert one.columns == other.columns
+    assert one.groupBy("label", "split").count().exceptAll(other.groupBy("label", "split").count()).count() == 0
+    unique = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 2).cast("int").alias("label"))
+    one, other = (ml.stratified_split(unique, ["k"], cells_first=c) for c in (False, True))
+    assert one.count() == 3000 and one.exceptAll(other).count() == 0
