@@ -179,6 +179,37 @@ def test_mart_refresh_with_late_batches_equals_batch_mart(spark, sf_dir):
     assert marts_stream.read_mart(spark, f"{base}/mart", want.schema).exceptAll(want).count() == 0
 
 
+def _landed_levels(spark, base):
+    """Level readings of three devices in two files; the second has a late day of device 1."""
+    import datetime as dt
+    schema = "atm_id long, event_ts timestamp, event_date date, cash_level_mwk long, hourly_withdrawal_mwk long, was_refilled boolean, below_threshold boolean"
+    day = lambda k, d: (k, dt.datetime(2024, 1, d, 6), dt.date(2024, 1, d), 1000 * k + d, d, d % 2 == 0, k == 2)
+    for rows in ([day(1, 2), day(1, 9), day(2, 3), day(3, 4)], [day(1, 5), day(1, 9), day(2, 8)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+
+def _refreshed_levels(spark, base):
+    from devicegrid.operators import marts, staging
+    from devicegrid.streaming import marts_stream
+    src = _landed_levels(spark, base)
+    marts_stream.start_mart_refresh(src, f"{base}/daily", f"{base}/mart", f"{base}/ck",
+                                    lambda rows: marts.daily_level_base(staging.stg_cash(rows)), marts.daily_level_windows).awaitTermination()
+    want = marts.daily_level_mart(staging.stg_cash(spark.read.schema(src.schema).parquet(f"{base}/in")))
+    return marts_stream.read_mart(spark, f"{base}/mart", want.schema), want
+
+
+def test_daily_rows_of_a_mart_stream_lie_on_disk(spark):
+    """The state of a mart's stream is as large as its daily rows: not kept in the heap."""
+    base, key = _scratch(spark, "martstate"), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    got, want = _refreshed_levels(spark, base)
+    with open(f"{base}/ck/offsets/0") as f:
+        assert "RocksDBStateStoreProvider" in f.read()
+    assert spark.conf.get(key) == before and spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "false") == "false"
+    assert got.count() == 6 and got.exceptAll(want).count() == 0
+
+
 STATS = "atm_id long, total_tx long"
 
 
