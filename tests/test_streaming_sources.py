@@ -210,6 +210,27 @@ def test_daily_rows_of_a_mart_stream_lie_on_disk(spark):
     assert got.count() == 6 and got.exceptAll(want).count() == 0
 
 
+def test_replay_deals_daily_rows_out_once(spark, monkeypatch):
+    """Newest rows, touched devices and windows of a replay share one exchange by device."""
+    from devicegrid.operators import marts
+    from devicegrid.streaming import marts_stream
+    base, plans, write = _scratch(spark, "martplan"), [], epochs.write_epoch
+
+    def spied(rows, path, run, epoch):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, path, run, epoch)
+    monkeypatch.setattr(epochs, "write_epoch", spied)
+    daily = marts.daily_level_base(spark.range(400).select(
+        (F.col("id") % 5).alias("atm_id"), F.expr("date_add(date '2024-01-01', cast(id % 40 as int))").alias("event_date"),
+        F.col("id").alias("cash_level_mwk"), F.col("id").alias("hourly_withdrawal_mwk"), F.lit(True).alias("was_refilled"), F.lit(False).alias("below_threshold")))
+    for epoch in (0, 1):
+        marts_stream.refresh_batch(daily.filter(F.col("atm_id") >= 3 * epoch), epoch, f"{base}/daily", f"{base}/mart", marts.daily_level_windows)
+    assert plans[3].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plans[3]
+    want = marts.daily_level_windows(daily)
+    got = marts_stream.read_mart(spark, f"{base}/mart", want.schema)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
 STATS = "atm_id long, total_tx long"
 
 
