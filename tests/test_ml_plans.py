@@ -324,3 +324,19 @@ def test_split_is_the_same_with_cells_first(spark):
     unique = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 2).cast("int").alias("label"))
     one, other = (ml.stratified_split(unique, ["k"], cells_first=c) for c in (False, True))
     assert one.count() == 3000 and one.exceptAll(other).count() == 0
+
+
+def test_kmeans_passes_use_all_cores(spark, monkeypatch):
+    """Rows that come in one partition are dealt out over the cores, with the same clusters."""
+    rows = spark.range(3000).coalesce(1).select(F.col("id").alias("k"), (F.col("id") % 3 * 10.0).alias("x"), (F.col("id") % 3 * -5.0).alias("y"))
+    parts, cut = [], clusters.cut_lineage
+
+    def spied(df):
+        parts.append(df.rdd.getNumPartitions())
+        return cut(df)
+    monkeypatch.setattr(clusters, "cut_lineage", spied)
+    found = clusters.fit_kmeans(rows, "k", ["x", "y"])
+    cores = spark.sparkContext.defaultParallelism
+    assert parts == [cores] and cores > 1
+    assert sorted(map(tuple, found.centres)) == [(0.0, 0.0), (10.0, -5.0), (20.0, -10.0)] and found.cost == 0
+    assert clusters.silhouette(clusters.assign(rows, found, ["x", "y"]), "k", ["x", "y"]) == 1.0
